@@ -19,16 +19,16 @@ from pyspark.sql import functions as F
 
 # --- fixed values: character classes -----------------------------------------------------------------
 #: What prints nothing.
-INVISIBLE = "­͏؜᠎​-‏‪-‮⁠-⁤⁦-⁯﻿"
+INVISIBLE = "\u00ad\u034f\u061c\u180e\u200b-\u200f\u202a-\u202e\u2060-\u2064\u2066-\u206f\ufeff"
 #: Full stops that may also close an abbreviation or stand in a number.
 DOTS = ".․…．﹒"
 #: Marks that close a sentence wherever they stand outside quotation marks.
 STRONG = (
-    "!?։؝؞؟۔܀-܂।॥၊။።፧፨᙮᠃᠉"
-    "។៕།༎‼‽⁇-⁉。︒︕︖﹖﹗！？｡"
+    "!?\u0589\u061d\u061e\u061f\u06d4\u0700-\u0702\u0964\u0965\u104a\u104b\u1362\u1367\u1368\u166e\u1803\u1809"
+    "\u17d4\u17d5\u0f0d\u0f0e\u203c\u203d\u2047-\u2049\u3002\ufe12\ufe15\ufe16\ufe56\ufe57\uff01\uff1f\uff61"
 )
 #: Scripts without closing marks, in which white space divides the sentences (Thai, Lao).
-UNMARKED = "ก-ฺเ-๛ກ-ໟ"
+UNMARKED = "\u0e01-\u0e3a\u0e40-\u0e5b\u0e81-\u0edf"
 QUOTES = {"«": "»", "“": "”", "”": "“", '"': '"', "„": "“", "「": "」", "『": "』", "｢": "｣", "＂": "＂", "‹": "›", "《": "》"}
 CLOSERS = "»”“\"」』｣＂›》)\\]）］}'’"
 #: Abbreviations before a name: they never end a sentence before a capital letter.
@@ -50,8 +50,8 @@ STARTERS = {
 LATIN_ALIKE = str.maketrans("аеосрхуіАВЕНІКМОРСТХУοαεορνΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "aeocpxyiABEHIKMOPCTXYoaeopvABEZHIKMNOPTYX")
 # ------------------------------------------------------------------------------------------------------
 
-_BREAK = r"(?>\r\n|[\n\r\x85 ])"
-_PARAGRAPHS = re.compile(rf"{_BREAK}(?:[^\S\r\n\x85  ]|[{INVISIBLE}])*{_BREAK}[\s{INVISIBLE}]*| \s*")
+_BREAK = r"(?>\r\n|[\n\r\x85\u2028])"
+_PARAGRAPHS = re.compile(rf"{_BREAK}(?:[^\S\r\n\x85\u2028\u2029]|[{INVISIBLE}])*{_BREAK}[\s{INVISIBLE}]*|\u2029\s*")
 _MARKS = re.compile(f"[{DOTS}{STRONG}]+")
 _SPACE_UNMARKED = re.compile(rf"(?<=[{UNMARKED}])[{INVISIBLE}]*(\s+)(?=[{INVISIBLE}]*[^\W\d_])")
 _QUOTE = re.compile("[" + "".join(QUOTES) + "]")
