@@ -5,5 +5,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+from ..operators import flatten, hierarchy
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p4_found": flatten.p4_found,
+    "p4_facts": flatten.p4_facts,
+    "p6_found": hierarchy.p6_found,
+    "p6_trees": hierarchy.p6_trees,
+    "p6_descendants": hierarchy.p6_descendants,
+}
 SQL: dict[str, str] = {}
