@@ -5,13 +5,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import lookalike, packing, sentences, split, tokenizer
+from . import lookalike, names, packing, sentences, split, tokenizer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": split.p1_found,
     "p1_pieces": split.p1_pieces,
     "p2_found": lookalike.p2_found,
     "p2_forms": lookalike.p2_forms,
+    "p3_found": names.p3_found,
+    "p3_groups": names.p3_groups,
     "p5_found": sentences.p5_found,
     "p7_ids": tokenizer.p7_ids,
     "p8_containers": packing.p8_containers,
