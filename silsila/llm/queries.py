@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import lookalike, names, packing, sentences, split, tokenizer
+from . import lookalike, names, packing, quality, sentences, split, tokenizer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": split.p1_found,
@@ -16,5 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p3_groups": names.p3_groups,
     "p5_found": sentences.p5_found,
     "p7_ids": tokenizer.p7_ids,
+    "p9_found": quality.p9_found,
+    "p9_statistics": quality.p9_statistics,
     "p8_containers": packing.p8_containers,
 }
