@@ -6,12 +6,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import flatten, hierarchy
+from . import core_queries, lineage_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    **core_queries.QUERIES,
     "p4_found": flatten.p4_found,
     "p4_facts": flatten.p4_facts,
     "p6_found": hierarchy.p6_found,
     "p6_trees": hierarchy.p6_trees,
     "p6_descendants": hierarchy.p6_descendants,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {**core_queries.SQL, **lineage_sql.SQL}
