@@ -57,4 +57,17 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stage_path = path
+    return out
+
+
+def release(*stages: DataFrame | None) -> None:
+    """Deletes the files of stages that nothing reads any more; other DataFrames are left alone."""
+    for df in stages:
+        path = getattr(df, "_stage_path", None)
+        if path:
+            jvm = df.sparkSession._jvm
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
+            df._stage_path = None
