@@ -525,3 +525,117 @@ def stream_vs_batch_counts(spark, sf_dir):
     from ..streaming.incremental import daily_counts_stream
 
     return daily_counts_stream(spark, f"{sf_dir}/events.parquet")
+
+
+# --- labels -------------------------------------------------------------------------------------------------
+from ..operators import labels as L  # noqa: E402
+from ..operators import search as S  # noqa: E402
+from ..operators.lineage import lineage as read_lineage  # noqa: E402
+
+_SENTENCES = f"""s AS (SELECT doc_id, lang, trim(q, ' ' || chr(9) || chr(13) || chr(10)) AS quote FROM (SELECT doc_id, coalesce(lang, 'none') AS lang, unnest(regexp_extract_all(coalesce(text, ''), '{L.PIECES}')) AS q FROM documents)
+  WHERE trim(q, ' ' || chr(9) || chr(13) || chr(10)) <> '')"""
+
+
+@query(f"WITH {_SENTENCES}, l AS (SELECT {L.label_sql('quote')} AS label FROM s) SELECT label, count(*) AS n FROM l GROUP BY 1")
+def sentence_label_distribution(spark, sf_dir):
+    return L.labelled(table(spark, sf_dir, "documents"), "text", "doc_id").groupBy("label").agg(F.count("*").alias("n"))
+
+
+@query(f"""WITH {_SENTENCES}, l AS (SELECT lang, quote, {L.label_sql('quote')} AS label FROM s)
+SELECT lang, CAST(sum(CASE WHEN label <> 'unlabeled' THEN length(quote) ELSE 0 END) AS BIGINT) AS labelled_chars, CAST(sum(length(quote)) AS BIGINT) AS chars,
+  count(*) FILTER (WHERE label = 'unlabeled') AS n_unlabeled FROM l GROUP BY 1""")
+def label_coverage_by_lang(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("lang", F.lit("none")).alias("lang"), "text")
+    rows = L.labelled(d.withColumn("k", F.struct("doc_id", "lang")), "text", "k").select("k.lang", "quote", "label")
+    return L.coverage(rows, ["lang"])
+
+
+@query("""
+WITH RECURSIVE p AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\n.؟!]+([.؟!]+|\\n+|$)|[\\n.؟!]+') AS a FROM documents),
+e AS (SELECT doc_id, unnest(a) AS piece, generate_subscripts(a, 1) AS i FROM p),
+o AS (SELECT doc_id, piece, i, sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY i) - length(piece) AS pos0 FROM e)
+SELECT doc_id, CAST(pos0 + length(piece) - length(ltrim(piece, ' ' || chr(9) || chr(13) || chr(10))) AS INTEGER) AS start_at, trim(piece, ' ' || chr(9) || chr(13) || chr(10)) AS quote
+FROM o WHERE trim(piece, ' ' || chr(9) || chr(13) || chr(10)) <> '' AND NOT regexp_full_match(piece, '[\\n.؟!]+')
+""")
+def span_offsets(spark, sf_dir):
+    """Offsets of the labelling stage's sentences, from the running length of the pieces."""
+    pieces = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\n.؟!]+([.؟!]+|\n+|$)|[\n.؟!]+"), F.lit(0))
+    d = table(spark, sf_dir, "documents").select("doc_id", pieces.alias("a"))
+    ends = F.aggregate("a", F.array(F.lit(0)), lambda acc, p: F.array_append(acc, F.element_at(acc, -1) + F.length(p)))
+    rows = d.select("doc_id", F.explode(F.arrays_zip(F.col("a").alias("piece"), F.slice(ends, F.lit(1), F.size("a")).alias("at"))).alias("x"))
+    piece = F.col("x.piece")
+    blanks = F.lit(" \t\r\n")
+    keep = (F.btrim(piece, blanks) != "") & ~F.regexp_like(piece, F.lit(r"^[\n.؟!]+$"))
+    return rows.where(keep).select("doc_id", (F.col("x.at") + F.length(piece) - F.length(F.ltrim(piece, blanks))).cast("int").alias("start_at"), F.btrim(piece, blanks).alias("quote"))
+
+
+# --- search -------------------------------------------------------------------------------------------------
+_TERMS = "t AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}]+')) AS term FROM documents) GROUP BY 1, 2)"
+_QUERY = ["كان", "مات", "سنة"]
+
+
+def _terms(spark, sf_dir):
+    return S.index(table(spark, sf_dir, "documents"), "doc_id", {"text": "text"})
+
+
+@query(f"WITH {_TERMS} SELECT doc_id FROM t GROUP BY 1 HAVING " + " AND ".join(f"bool_or(starts_with(term, '{q}'))" for q in _QUERY))
+def prefix_fts_and(spark, sf_dir):
+    return S.prefix_and(_terms(spark, sf_dir), "doc_id", _QUERY)
+
+
+@query(f"""WITH {_TERMS}, z AS (SELECT doc_id, sum(tf) AS len FROM t GROUP BY 1), st AS (SELECT count(*) AS n, avg(len) AS a FROM z),
+d AS (SELECT term, count(*) AS df FROM t WHERE term IN ({', '.join(repr(q) for q in _QUERY)}) GROUP BY 1)
+SELECT t.doc_id, round(sum(ln(1 + (st.n - d.df + 0.5) / (d.df + 0.5)) * t.tf * 2.2 / (t.tf + 1.2 * (0.25 + 0.75 * z.len / st.a))), 6) AS score
+FROM t JOIN d ON t.term = d.term JOIN z ON t.doc_id = z.doc_id, st GROUP BY 1""")
+def bm25_rank(spark, sf_dir):
+    return S.bm25(_terms(spark, sf_dir), "doc_id", _QUERY).select("doc_id", F.round("score", 6).alias("score"))
+
+
+@query("WITH p AS " + _now("persons", "*") + """
+SELECT person_id, entry_number, display_name FROM p WHERE qism = 1 AND coalesce(entry_marker, 'none') = 'none' AND NOT is_woman ORDER BY entry_number NULLS LAST, person_id LIMIT 25 OFFSET 10""")
+def search_page(spark, sf_dir):
+    p = current_rows(table(spark, sf_dir, "persons"), "person_id", ["entry_number", "display_name", "qism", "entry_marker", "is_woman", "section_type", "letter", "entry_kind"])
+    f = S.Filters.parse({"qism": "1", "marker": "none", "woman": "0", "limit": "25", "offset": "10"})
+    return S.search(p, f).select("person_id", "entry_number", "display_name")
+
+
+# --- names and citations in text ------------------------------------------------------------------------------
+@query()
+def name_chain_parse(spark, sf_dir):
+    """Lineages read from the entries' openings; rejected chains keep their reason."""
+    raw = current_rows(table(spark, sf_dir, "raw"), "person_id", ["text_body", "display_name"])
+    return raw.select("person_id", read_lineage("text_body", "display_name").alias("n")).select(
+        "person_id", "n.ism", "n.father", "n.full_name", "n.kunya", "n.source", "n.confidence", "n.rejected_reason", "n.link_count"
+    )
+
+
+_CITES = "(ذكره|ذكرها|ذكر|قاله|قال|أخرجه|أخرج|رواه|روى|أورده|نقله|حكاه|وثقه|ضعفه)[ ]+([^.،؛]{2,45})"
+
+
+@query("WITH r AS " + _now("raw", "person_id, text_body") + f""", f AS (SELECT person_id, trim(regexp_replace(coalesce(text_body, ''), '[ \\t\\r\\n]+', ' ', 'g')) AS t FROM r),
+m AS (SELECT person_id, unnest(regexp_extract_all(t, '{_CITES}', 1)) AS verb, unnest(regexp_extract_all(t, '{_CITES}', 2)) AS target FROM f),
+v AS (SELECT DISTINCT authority_key, alias FROM (SELECT authority_key, unnest(list_append(aliases, label_ar)) AS alias FROM authorities) WHERE alias IS NOT NULL AND alias <> ''),
+d AS (SELECT DISTINCT verb, target FROM m),
+h AS (SELECT d.verb, d.target, v.authority_key FROM d JOIN v ON contains(d.target, v.alias) QUALIFY row_number() OVER (PARTITION BY d.verb, d.target ORDER BY length(v.alias) DESC, v.alias, v.authority_key) = 1)
+SELECT DISTINCT m.person_id, h.authority_key, m.verb FROM m JOIN h ON m.verb = h.verb AND m.target = h.target""")
+def text_citations(spark, sf_dir):
+    """Authorities cited in the entries: the verb's window, the longest alias in it, each (authority, verb) once."""
+    from ..operators.graph import citations_in
+
+    raw = current_rows(table(spark, sf_dir, "raw"), "person_id", ["text_body"])
+    flat = F.btrim(F.regexp_replace(F.coalesce("text_body", F.lit("")), r"[ \t\r\n]+", " "))
+    from ..functions.vocab import Vocabulary
+
+    return citations_in(raw.withColumn("flat", flat), "flat", "person_id", Vocabulary.load(table(spark, sf_dir, "authorities")))
+
+
+@query("""
+WITH e AS (SELECT user_id, ts, event_id, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS sid FROM e)
+SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS n FROM s GROUP BY user_id, sid
+""")
+def user_sessions(spark, sf_dir):
+    """Sessions of events closed by a pause of half an hour (an extension: batch form of the stream operator)."""
+    from ..streaming.incremental import sessions
+
+    return sessions(table(spark, sf_dir, "events"), "ts", "30 minutes", ["user_id"])
