@@ -639,3 +639,75 @@ def user_sessions(spark, sf_dir):
     from ..streaming.incremental import sessions
 
     return sessions(table(spark, sf_dir, "events"), "ts", "30 minutes", ["user_id"])
+
+
+# --- entries ---------------------------------------------------------------------------------------------------
+from ..functions.vocab import Vocabulary  # noqa: E402
+from ..operators import biography as Y  # noqa: E402
+from ..operators import graph as G  # noqa: E402
+
+
+def _bodies(spark, sf_dir):
+    raw = current_rows(table(spark, sf_dir, "raw"), "person_id", ["text_body", "footnotes"])
+    p = current_rows(table(spark, sf_dir, "persons"), "person_id", ["qism", "is_woman", "section_type", "nisba", "entry_marker"])
+    return p.drop("ingested_at").join(raw.drop("ingested_at"), "person_id", "left")
+
+
+@query("WITH p AS " + _now("persons", "person_id, qism") + ", r AS " + _now("raw", "person_id, text_body") + f""",
+b AS (SELECT p.person_id, qism, coalesce(text_body, '') AS t, regexp_matches(coalesce(text_body, ''), '{Y.CROSS}') AS x FROM p LEFT JOIN r ON p.person_id = r.person_id)
+SELECT person_id, CASE WHEN qism = 4 THEN 'qism4_refutation' WHEN length(t) < 150 AND NOT x THEN 'name_only' WHEN length(t) < 400 AND x AND contains(t, 'كنى') THEN 'kunya_redirect'
+  WHEN length(t) < 400 AND x THEN 'crossref_stub' ELSE 'biography' END AS kind,
+  CASE qism WHEN 1 THEN 'established' WHEN 2 THEN 'vision_or_birth' WHEN 3 THEN 'mukhadram' WHEN 4 THEN 'listed_in_error' ELSE 'disputed' END AS companionship_status FROM b""")
+def entry_kinds(spark, sf_dir):
+    b = _bodies(spark, sf_dir).withColumn("t", F.coalesce("text_body", F.lit("")))
+    return b.select("person_id", Y.entry_kind(F.col("qism"), F.length("t"), F.col("t")).alias("kind"), Y.companionship_status(F.col("qism")).alias("companionship_status"))
+
+
+@query()
+def person_labels(spark, sf_dir):
+    """Labels of every entry after classification."""
+    tribes = Vocabulary.of([("ansari", ["الأنصاري"]), ("qurashi", ["القرشي"]), ("mawla", ["مولاهم", "مولى"])])
+    battles = Vocabulary.of([("badr", ["بدر"]), ("uhud", ["أحد"]), ("siffin", ["صفين"])])
+    out = Y.classified(_bodies(spark, sf_dir), "text_body", tribes, battles)
+    return out.select("person_id", "length_class", "kind", "origin", "status", "generation", F.array_join("flags", ",").alias("flags"), F.array_join(F.transform("labels", lambda x: x["key"]), ",").alias("labels"))
+
+
+@query()
+def biography_facts(spark, sf_dir):
+    """The long table of facts read from every entry by patterns."""
+    raw = current_rows(table(spark, sf_dir, "raw"), "person_id", ["text_body"])
+    return Y.fact_groups(raw, "text_body", "person_id")
+
+
+@query()
+def text_references(spark, sf_dir):
+    """Pointers to other entries in every text."""
+    raw = current_rows(table(spark, sf_dir, "raw"), "person_id", ["text_body"])
+    return G.text_references(raw, "text_body", "person_id").drop("evidence")
+
+
+@query()
+def genealogy_edges(spark, sf_dir):
+    """Father edges by names: the entry whose display or full name is the father's."""
+    n = current_rows(table(spark, sf_dir, "nasab"), "person_id", ["ism", "father", "grandfather", "chain"])
+    p = current_rows(table(spark, sf_dir, "persons"), "person_id", ["display_name_norm"])
+    father = F.concat_ws(" بن ", "father", "grandfather")
+    children = n.where("father is not null").select(F.col("person_id").alias("child_id"), father.alias("father_norm"), F.col("chain").alias("child_chain"))
+    chains = n.select("person_id", "chain")
+    names = p.select("person_id", F.col("display_name_norm").alias("norm")).where("norm is not null").join(chains, "person_id", "left")
+    return G.genealogy(children, names).select("from_id", "to_id", "type", "confidence", "resolved", "ambiguous", F.array_join("candidates", ",").alias("candidates"))
+
+
+@query("WITH p AS " + _now("persons", "person_id, death_year_hijri") + """, n AS """ + _now("nasab", "person_id, chain") + """
+SELECT p.person_id, coalesce(death_year_hijri, -1) AS year, CAST(coalesce(len(chain), 0) AS INTEGER) AS links FROM p LEFT JOIN n ON p.person_id = n.person_id""")
+def joined_features(spark, sf_dir):
+    p = current_rows(table(spark, sf_dir, "persons"), "person_id", ["death_year_hijri"]).drop("ingested_at")
+    n = current_rows(table(spark, sf_dir, "nasab"), "person_id", ["chain"]).drop("ingested_at")
+    return p.join(n, "person_id", "left").select("person_id", F.coalesce("death_year_hijri", F.lit(-1)).alias("year"), F.coalesce(F.size("chain"), F.lit(0)).alias("links"))
+
+
+@query()
+def chunk_text(spark, sf_dir):
+    """Texts packed into chunks for an extractor."""
+    d = table(spark, sf_dir, "documents").select("doc_id", X.chunks("text").alias("c"))
+    return d.select("doc_id", F.posexplode("c").alias("chunk_no", "chunk")).select("doc_id", "chunk_no", F.length("chunk").alias("n_chars"))
