@@ -96,7 +96,18 @@ def pack_sizes(sizes, capacity: int = CAPACITY, sources=None, clusters=None, str
             pieces.append((capacity, item, start // capacity, start))
             start += capacity
         pieces.append((size - start, item, start // capacity, start))
-    pieces.sort(key=lambda p: (-p[0], p[1], p[2]))
+    # of equal sizes the sources and clusters take turns, so that neighbours seldom conflict
+    turns: dict[object, int] = defaultdict(int)
+    order = []
+    for n, (size, item, *_) in enumerate(pieces):
+        turn = 0
+        if sources is not None or clusters is not None:
+            for key in (("s", size, sources[item]) if sources is not None else None, ("c", size, clusters[item]) if clusters is not None else None):
+                if key is not None:
+                    turn = max(turn, turns[key])
+                    turns[key] += 1
+        order.append((-size, turn, n))
+    pieces = [pieces[n] for _, _, n in sorted(order)]
     packer, places, out = Packer(capacity, strict), defaultdict(int), []
     for size, item, piece, start in pieces:
         b = packer.place(size, None if sources is None else sources[item], None if clusters is None else clusters[item])

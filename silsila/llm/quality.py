@@ -174,12 +174,12 @@ class Reader:
         times = 2
         for n in NGRAMS:
             out[f"top_{n}gram"], times = coverage(tokens, n) if times > 1 else (0.0, 0)
-        out["top_word"] = _share(max((k * len(w) for w, k in counts.items()), default=0), solid)
+        out["top_word"] = _share(max((k * len(w) for w, k in counts.items() if words[w] or w.isalnum()), default=0), solid)
         out["single_letters"] = _share(single, len(tokens))
         out["odd_ratio"] = _share(sizes["o"] + sizes["r"], solid)
         out["miscoded_ratio"] = _share(len(_LATIN1.findall(stored)), solid)
         out["longest_token"] = longest
-        out["_lines"], out["_counts"], out["_tokens"], out["_dense"], out["_text"] = lines, counts, len(tokens), dense, text
+        out["_lines"], out["_counts"], out["_tokens"], out["_dense"], out["_text"], out["_stored"] = lines, counts, len(tokens), dense, text, stored
         leaders = "._-…" if len(lines) > 2 else ""
         out["_top_char"] = _share(max((n for c, n in characters.items() if not c.isspace() and c not in leaders), default=0), solid)
         out["_solid"], out["_replaced"] = solid, _share(sizes["r"], solid)
@@ -210,6 +210,8 @@ def _repeats(s: Statistics) -> bool:
     if s["_dense"] > 0.3:
         clauses = [c.strip() for c in _CLAUSE.split(s["_text"]) if c.strip()]
         return len(clauses) >= 5 and len(set(clauses)) < 0.35 * len(clauses) or s["_tokens"] >= 12 and s["distinct_words"] < 0.2
+    if s["distinct_words"] >= 0.12 and _is_list(s):
+        return False  # items of a list may share words
     if s["_tokens"] >= 12 and (s["top_word"] > 0.4 or s["distinct_words"] < 0.12 and s["top_4gram"] > 0.25):
         return True
     return s["_tokens"] >= 20 and max(s["top_2gram"], s["top_4gram"]) > 0.5
@@ -229,7 +231,7 @@ def _is_junk(s: Statistics) -> bool:
     long = sum(n * len(t) for t, n in s["_counts"].items() if len(t) > 30 and t.isascii() and not t.startswith(("http", "www.")))
     if _share(long, s["_solid"]) > 0.6:
         return True
-    return s["letter_ratio"] < 0.35 and s["digit_ratio"] < 0.5 and s["n_chars"] > 20 and _list_share(s) < 0.5
+    return s["letter_ratio"] < 0.35 and s["digit_ratio"] < 0.5 and s["_solid"] > 20 and _list_share(s) < 0.5
 
 
 def _is_table(s: Statistics) -> bool:
@@ -259,7 +261,7 @@ def _tabular(s: Statistics) -> bool:
 
 def _raw_lines(s: Statistics) -> list[str]:
     if "_raw" not in s:
-        s["_raw"] = [x for x in _LINE.split(s["_text"]) if x.strip()]
+        s["_raw"] = [x for x in _LINE.split(s["_stored"]) if x.strip()]
     return s["_raw"]
 
 
