@@ -102,6 +102,8 @@ def printed(text: str) -> str:
         text = _KAF_JOINED.sub("ك", text)
     if "ە" in text:
         text = _AE.sub("ه", text)
+    if "\u0654" in text:  # a hamza left on a yeh that was decided only now
+        text = unicodedata.normalize("NFC", text)
     return text
 
 
