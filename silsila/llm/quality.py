@@ -76,9 +76,14 @@ _CLASSES = _Classes()
 
 
 class _Words(dict):
-    """A token's word: lower case without outer marks; empty if it has no letter."""
+    """Of a token: length of its word (lower case, outer marks left out), whether it has one, whether the word is common,
+    whether the token is one letter, its length in a spaced script, its length if it is more than marks."""
 
-    def __missing__(self, token: str) -> str:
+    def __init__(self, common: set[str]):
+        super().__init__()
+        self.common = common
+
+    def __missing__(self, token: str) -> tuple[int, int, int, int, int, int]:
         if len(self) > 200_000:
             self.clear()
         a, b = 0, len(token)
@@ -87,8 +92,13 @@ class _Words(dict):
         while b > a and _CLASSES[token[b - 1]] not in "lu":
             b -= 1
         word = token[a:b].lower()
-        self[token] = word
-        return word
+        spaced = token.isascii() or not _UNSPACED.search(token)
+        facts = (
+            len(word), int(bool(word)), int(word in self.common), int(len(token) == 1 and _CLASSES[token] != "u"),
+            len(token) if spaced else 0, len(token) if word or token.isalnum() else 0,
+        )
+        self[token] = facts
+        return facts
 
 
 def coverage(words: list[str], n: int) -> tuple[float, int]:
@@ -121,7 +131,7 @@ class Reader:
         self.canonical = Canonical(representatives({}))
         self.common = {self.canonical(w).lower() for words in common.values() for w in words}
         unspaced = sorted({self.canonical(w) for words in common.values() for w in words if _UNSPACED.match(w)}, key=len, reverse=True)
-        self.words = _Words()
+        self.words = _Words(self.common)
         self.unspaced = re.compile("|".join(map(re.escape, unspaced))) if unspaced else None
 
     def statistics(self, stored: str) -> Statistics:
@@ -138,19 +148,18 @@ class Reader:
         solid = sum(sizes.values()) - sizes[" "]
         letters, digits = sizes["l"] + sizes["u"], sizes["d"]
         dense = _share(sizes["u"], solid)
-        n_words = word_chars = common = single = longest = 0
+        n_words = word_chars = common = single = longest = top = 0
         words = self.words
         for token, n in counts.items():
-            word = words[token]
-            if word:
-                n_words += n
-                word_chars += n * len(word)
-                if word in self.common:
-                    common += n
-            if len(token) == 1 and _CLASSES[token] != "u":
-                single += n
-            if len(token) > longest and (token.isascii() or not _UNSPACED.search(token)):
-                longest = len(token)
+            size, is_word, is_common, is_single, spaced, weight = words[token]
+            n_words += n * is_word
+            word_chars += n * size
+            common += n * is_common
+            single += n * is_single
+            if spaced > longest:
+                longest = spaced
+            if n * weight > top:
+                top = n * weight
         if dense > 0.3 and self.unspaced is not None:
             # without blanks the share is that of the characters in common words
             common_share = _share(sum(map(len, self.unspaced.findall(text))), letters)
@@ -164,7 +173,7 @@ class Reader:
         out["letter_ratio"] = _share(letters, solid)
         out["n_lines"] = len(lines)
         out["n_paragraphs"] = len(paragraphs)
-        out["end_mark_lines"] = _share(sum(_END.search(x, max(0, len(x) - 24)) is not None and _LEADER.search(x) is None for x in lines), len(lines))
+        out["end_mark_lines"] = _share(sum(_END.search(x, max(0, len(x) - 24)) is not None and _LEADER.search(x[-24:]) is None for x in lines), len(lines))
         out["bullet_lines"] = _share(sum(_BULLET.match(x) is not None for x in lines), len(lines))
         out["short_lines"] = _share(sum(len(x) <= 60 and len(x.split()) <= 6 for x in lines), len(lines))
         out["common_words"] = common_share
@@ -174,7 +183,7 @@ class Reader:
         times = 2
         for n in NGRAMS:
             out[f"top_{n}gram"], times = coverage(tokens, n) if times > 1 else (0.0, 0)
-        out["top_word"] = _share(max((k * len(w) for w, k in counts.items() if words[w] or w.isalnum()), default=0), solid)
+        out["top_word"] = _share(top, solid)
         out["single_letters"] = _share(single, len(tokens))
         out["odd_ratio"] = _share(sizes["o"] + sizes["r"], solid)
         out["miscoded_ratio"] = _share(len(_LATIN1.findall(stored)), solid)
@@ -182,6 +191,7 @@ class Reader:
         out["_lines"], out["_counts"], out["_tokens"], out["_dense"], out["_text"], out["_stored"] = lines, counts, len(tokens), dense, text, stored
         leaders = "._-…" if len(lines) > 2 else ""
         out["_top_char"] = _share(max((n for c, n in characters.items() if not c.isspace() and c not in leaders), default=0), solid)
+        out["_latin"] = _share(sum(n for c, n in characters.items() if c.isascii() and c.isalpha()), solid)
         out["_solid"], out["_replaced"] = solid, _share(sizes["r"], solid)
         return out
 
@@ -196,6 +206,8 @@ class Reader:
 
 
 def _consonants_only(s: Statistics) -> float:
+    if s["_latin"] < 0.4:
+        return 0.0
     latin = [(t, n) for t, n in s["_counts"].items() if len(t) > 3 and t.isascii() and t.isalpha()]
     total = sum(n for _, n in latin)
     return _share(sum(n for t, n in latin if not VOWELS & set(t.lower())), total) if total > 4 and total > 0.5 * s["_tokens"] else 0.0
@@ -210,11 +222,9 @@ def _repeats(s: Statistics) -> bool:
     if s["_dense"] > 0.3:
         clauses = [c.strip() for c in _CLAUSE.split(s["_text"]) if c.strip()]
         return len(clauses) >= 5 and len(set(clauses)) < 0.35 * len(clauses) or s["_tokens"] >= 12 and s["distinct_words"] < 0.2
-    if s["distinct_words"] >= 0.12 and _is_list(s):
-        return False  # items of a list may share words
-    if s["_tokens"] >= 12 and (s["top_word"] > 0.4 or s["distinct_words"] < 0.12 and s["top_4gram"] > 0.25):
-        return True
-    return s["_tokens"] >= 20 and max(s["top_2gram"], s["top_4gram"]) > 0.5
+    again = s["_tokens"] >= 12 and (s["top_word"] > 0.4 or s["distinct_words"] < 0.12 and s["top_4gram"] > 0.25)
+    again = again or s["_tokens"] >= 20 and max(s["top_2gram"], s["top_4gram"]) > 0.5
+    return again and (s["distinct_words"] < 0.12 or not _is_list(s))  # items of a list may share words
 
 
 def _is_junk(s: Statistics) -> bool:
@@ -228,9 +238,10 @@ def _is_junk(s: Statistics) -> bool:
         return True
     if _consonants_only(s) > 0.5:
         return True
-    long = sum(n * len(t) for t, n in s["_counts"].items() if len(t) > 30 and t.isascii() and not t.startswith(("http", "www.")))
-    if _share(long, s["_solid"]) > 0.6:
-        return True
+    if s["longest_token"] > 30:
+        long = sum(n * len(t) for t, n in s["_counts"].items() if len(t) > 30 and t.isascii() and not t.startswith(("http", "www.")))
+        if _share(long, s["_solid"]) > 0.6:
+            return True
     return s["letter_ratio"] < 0.35 and s["digit_ratio"] < 0.5 and s["_solid"] > 20 and _list_share(s) < 0.5
 
 
@@ -241,10 +252,14 @@ def _is_table(s: Statistics) -> bool:
 
 
 def _tabular(s: Statistics) -> bool:
+    if sum(len(x) > 300 for x in s["_lines"]) > 0.5 * len(s["_lines"]):
+        return False  # running text
     lines = [x for x in s["_lines"] if not _RULE.match(x)]
     if len(lines) < 3:
         return False
     for mark in "|;\t,،؛":
+        if mark not in s["_stored"]:
+            continue
         counts = Counter(x.count(mark) for x in _raw_lines(s) if not _RULE.match(x))
         top, times = max(counts.items(), key=lambda c: (c[1], c[0]))
         least = 2 if mark in "|;\t" else 3
@@ -255,6 +270,8 @@ def _tabular(s: Statistics) -> bool:
     keys = [m[1] for m in map(_PAIR.match, lines) if m]
     if len(keys) >= 0.8 * len(lines) and len(lines) >= 4 and len(set(keys)) <= 0.5 * len(keys):
         return True
+    if "  " not in s["_stored"] and "\t" not in s["_stored"]:
+        return False
     gaps = sum(len(_GAPS.findall(x)) >= 1 for x in _raw_lines(s))
     return gaps >= 0.6 * len(lines) and s["end_mark_lines"] < 0.3 and _columns(_raw_lines(s)) >= 0.6
 
@@ -280,6 +297,8 @@ def _list_share(s: Statistics) -> float:
     for line in s["_lines"]:
         size = len(line)
         total += size
+        if size > 200:  # longer than any item with its leader
+            continue
         bare = _LEADER.sub("", line).strip()
         words = bare.split()
         led = _BULLET.match(line) is not None or _LEADER.search(line) is not None
@@ -293,7 +312,9 @@ def _list_share(s: Statistics) -> float:
 
 
 def _is_list(s: Statistics) -> bool:
-    return s["n_lines"] >= 4 and _list_share(s) >= 0.6
+    if "_list" not in s:
+        s["_list"] = s["n_lines"] >= 4 and _list_share(s) >= 0.6
+    return s["_list"]
 
 
 def _common_words(spark, sf_dir: str) -> dict[str, list[str]]:
