@@ -8,6 +8,7 @@ from ..functions import text as X
 from ..operators import relational as R
 from ..operators import reports as A
 from ..operators.current import current_rows
+from ..session import spread
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -147,7 +148,7 @@ SELECT authority_key, count(*) AS n_docs FROM h GROUP BY 1
 def vocab_all_matches(spark, sf_dir):
     from ..functions.vocab import Vocabulary
 
-    found = table(spark, sf_dir, "documents").select(F.explode(F.array_distinct(Vocabulary.load(table(spark, sf_dir, "authorities")).find_all("text"))).alias("authority_key"))
+    found = spread(table(spark, sf_dir, "documents").select("text")).select(F.explode(F.array_distinct(Vocabulary.load(table(spark, sf_dir, "authorities")).find_all("text"))).alias("authority_key"))
     return found.groupBy("authority_key").agg(F.count("*").alias("n_docs"))
 
 
@@ -160,7 +161,7 @@ SELECT d.doc_id, h.authority_key FROM documents d LEFT JOIN h ON d.doc_id = h.do
 def vocab_first_match(spark, sf_dir):
     from ..functions.vocab import Vocabulary
 
-    return table(spark, sf_dir, "documents").select("doc_id", Vocabulary.load(table(spark, sf_dir, "authorities")).find_first("text").alias("authority_key"))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", Vocabulary.load(table(spark, sf_dir, "authorities")).find_first("text").alias("authority_key"))
 
 
 # --- windows ----------------------------------------------------------------------------------------------
@@ -538,14 +539,14 @@ _SENTENCES = f"""s AS (SELECT doc_id, lang, trim(q, ' ' || chr(9) || chr(13) ||
 
 @query(f"WITH {_SENTENCES}, l AS (SELECT {L.label_sql('quote')} AS label FROM s) SELECT label, count(*) AS n FROM l GROUP BY 1")
 def sentence_label_distribution(spark, sf_dir):
-    return L.labelled(table(spark, sf_dir, "documents"), "text", "doc_id").groupBy("label").agg(F.count("*").alias("n"))
+    return L.labelled(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), "text", "doc_id").groupBy("label").agg(F.count("*").alias("n"))
 
 
 @query(f"""WITH {_SENTENCES}, l AS (SELECT lang, quote, {L.label_sql('quote')} AS label FROM s)
 SELECT lang, CAST(sum(CASE WHEN label <> 'unlabeled' THEN length(quote) ELSE 0 END) AS BIGINT) AS labelled_chars, CAST(sum(length(quote)) AS BIGINT) AS chars,
   count(*) FILTER (WHERE label = 'unlabeled') AS n_unlabeled FROM l GROUP BY 1""")
 def label_coverage_by_lang(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("lang", F.lit("none")).alias("lang"), "text")
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", F.coalesce("lang", F.lit("none")).alias("lang"), "text"))
     rows = L.labelled(d.withColumn("k", F.struct("doc_id", "lang")), "text", "k").select("k.lang", "quote", "label")
     return L.coverage(rows, ["lang"])
 
@@ -575,7 +576,7 @@ _QUERY = ["كان", "مات", "سنة"]
 
 
 def _terms(spark, sf_dir):
-    return S.index(table(spark, sf_dir, "documents"), "doc_id", {"text": "text"})
+    return S.index(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), "doc_id", {"text": "text"})
 
 
 @query(f"WITH {_TERMS} SELECT doc_id FROM t GROUP BY 1 HAVING " + " AND ".join(f"bool_or(starts_with(term, '{q}'))" for q in _QUERY))

@@ -71,3 +71,9 @@ def release(*stages: DataFrame | None) -> None:
             target = jvm.org.apache.hadoop.fs.Path(path)
             target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
             df._stage_path = None
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores where its files give fewer partitions than there are cores; large inputs stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -45,7 +45,16 @@ def test_overlap_and_score(spark):
     ],
 )
 def test_sentence_labels(spark, sentence, label):
-    assert spark.createDataFrame([(sentence,)], "quote string").select(L.scored_label("quote").alias("s")).first().s.label == label
+    rows = L.found_patterns(spark.createDataFrame([(sentence,)], "quote string"), "quote")
+    assert rows.select(L.best_label("quote").alias("s")).first().s.label == label
+
+
+def test_prefix_tree():
+    import re
+
+    words = ["بدر", "بدرا", "أحد", "أحزاب", "خيبر"]
+    for text in ("يوم بدرا", "أحز", "في خيبر", "أح", "الأحزاب", ""):
+        assert bool(re.search(L.prefix_tree(words), text)) == any(w in text for w in words)
 
 
 def test_references(spark):
