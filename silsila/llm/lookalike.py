@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.current import latest
-from ..session import materialize
+from ..session import materialize, spread
 
 # --- fixed values ----------------------------------------------------------------------------------------
 #: Equal-looking code points and strings: members of one row print alike everywhere.
@@ -254,8 +254,8 @@ def alike_pairs(values: DataFrame, key: str = "person_id", slice_rows: int = 400
 
 def _tables(spark, sf_dir: str) -> list[tuple[DataFrame, list[str]]]:
     return [
-        (spark.read.parquet(f"{sf_dir}/persons.parquet"), ["display_name", "full_name"]),
-        (spark.read.parquet(f"{sf_dir}/raw.parquet"), ["text_body"]),
+        (spark.read.parquet(f"{sf_dir}/persons.parquet").select("person_id", "ingested_at", "display_name", "full_name"), ["display_name", "full_name"]),
+        (spread(spark.read.parquet(f"{sf_dir}/raw.parquet").select("person_id", "ingested_at", "text_body")), ["text_body"]),
     ]
 
 

@@ -19,6 +19,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
 from .tokenizer import count_column
 
 CAPACITY = 2048
@@ -148,4 +149,4 @@ def containers(documents: DataFrame, capacity: int = CAPACITY, shard_rows: int =
 
 
 def p8_containers(spark, sf_dir: str) -> DataFrame:
-    return containers(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return containers(spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")))

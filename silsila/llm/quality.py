@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from ..session import spread
 from .lookalike import Canonical, representatives
 from .sentences import DOTS, INVISIBLE, STRONG
 
@@ -353,7 +354,8 @@ def with_statistics(documents: DataFrame, common: dict[str, list[str]], text: st
 
 
 def p9_statistics(spark, sf_dir: str) -> DataFrame:
-    return with_statistics(spark.read.parquet(f"{sf_dir}/documents.parquet"), _common_words(spark, sf_dir))
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return with_statistics(spread(documents), _common_words(spark, sf_dir))
 
 
 def p9_found(spark, sf_dir: str) -> DataFrame:

@@ -235,5 +235,7 @@ def sentences(df: DataFrame, text: str = "text_body", key: str = "person_id", or
 
 
 def p5_found(spark, sf_dir: str) -> DataFrame:
-    raw = spark.read.parquet(f"{sf_dir}/raw.parquet")
-    return sentences(raw).select("person_id", "start_pos")
+    from ..session import spread
+
+    raw = spark.read.parquet(f"{sf_dir}/raw.parquet").select("person_id", "text_body", "ingested_at")
+    return sentences(spread(raw)).select("person_id", "start_pos")

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from ..session import spread
+
 NAME = "byte_bpe_50k"
 DEFAULT_FOLDER = "/opt/tokenizers"
 #: Words kept in the table of a worker; beyond it the table starts anew.
@@ -197,4 +199,5 @@ def count_column(df: DataFrame, text: str, keep: list[str], count: str = "n_toke
 
 
 def p7_ids(spark, sf_dir: str) -> DataFrame:
-    return encode_column(spark.read.parquet(f"{sf_dir}/documents.parquet"), "text", ["doc_id"])
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return encode_column(spread(documents), "text", ["doc_id"])
