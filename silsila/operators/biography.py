@@ -217,3 +217,37 @@ def merged_chunks(rows: DataFrame, key: str, order: str, scalars: list[str], fla
 
 def _lists(c: str) -> Column:
     return F.transform(f"__{c}", lambda x: F.coalesce(x[c], F.array().cast("array<string>")))
+
+
+def name_rows(persons: DataFrame, key: str = "person_id") -> DataFrame:
+    """``key, form, kind`` of every name form of a person once: display, full and kunya; null and blank forms give no row."""
+    forms = F.array(*[F.struct(F.btrim(F.col(c)).alias("form"), F.lit(k).alias("kind")) for c, k in (("display_name", "display"), ("full_name", "full"), ("kunya", "kunya"))])
+    rows = persons.select(key, F.explode(forms).alias("n")).select(key, "n.form", "n.kind")
+    return rows.where("form is not null and form != ''").distinct()
+
+
+def dispute_forms(note: Column) -> Column:
+    """Up to five candidate forms (3 to 40 characters) of a note on a disputed name."""
+    parts = F.split(F.regexp_replace(note, "^.*?(?:اختلف(?:وا)? في اسمه|قيل اسمه)", ""), r"\s*(?:فقيل|وقيل|ويقال|[،؛.])\s*")
+    return F.slice(F.filter(F.transform(parts, F.btrim), lambda p: F.length(p).between(3, 40)), 1, 5)
+
+
+def fact_counts(facts: DataFrame, key: str = "person_id") -> DataFrame:
+    """Facts and persons of each list."""
+    per = facts.groupBy("coll_path", key).agg(F.count("*").alias("n"))
+    return per.groupBy("coll_path").agg(F.sum("n").alias("n_facts"), F.count("*").alias("n_persons"), F.max("n").alias("most"))
+
+
+def span_gaps(spans: DataFrame, lengths: DataFrame, key: str = "person_id") -> DataFrame:
+    """Spans of a text without those that overlap an earlier one, and the gaps between them as spans labelled ``gap``."""
+    from pyspark.sql import Window
+
+    order = Window.partitionBy(key).orderBy("start", "end")
+    reach = F.coalesce(F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    kept = spans.withColumn("__reach", reach).where(F.col("start") >= F.col("__reach"))
+    before = F.coalesce(F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    kept = kept.withColumn("__before", before)
+    gaps = kept.where("start > __before").select(key, F.col("__before").alias("start"), F.col("start").alias("end"), F.lit("gap").alias("label"))
+    ends = kept.groupBy(key).agg(F.max("end").alias("__last"))
+    tails = lengths.join(ends, key, "left").select(key, F.coalesce("__last", F.lit(0)).alias("start"), F.col("length").alias("end"), F.lit("gap").alias("label")).where("`start` < `end`")
+    return kept.select(key, "start", "end", "label").unionByName(gaps).unionByName(tails)

@@ -712,3 +712,48 @@ def chunk_text(spark, sf_dir):
     """Texts packed into chunks for an extractor."""
     d = table(spark, sf_dir, "documents").select("doc_id", X.chunks("text").alias("c"))
     return d.select("doc_id", F.posexplode("c").alias("chunk_no", "chunk")).select("doc_id", "chunk_no", F.length("chunk").alias("n_chars"))
+
+
+@query("WITH p AS " + _now("persons", "person_id, display_name, full_name, kunya") + """
+SELECT DISTINCT person_id, trim(form, ' ') AS form, kind FROM (SELECT person_id, display_name AS form, 'display' AS kind FROM p UNION ALL SELECT person_id, full_name, 'full' FROM p UNION ALL SELECT person_id, kunya, 'kunya' FROM p)
+WHERE form IS NOT NULL AND trim(form, ' ') <> ''""")
+def name_rows(spark, sf_dir):
+    return Y.name_rows(current_rows(table(spark, sf_dir, "persons"), "person_id", ["display_name", "full_name", "kunya"]))
+
+
+@query()
+def fact_counts(spark, sf_dir):
+    """Facts and persons of each list of the nested records."""
+    from ..operators.flatten import p4_found
+
+    return Y.fact_counts(p4_found(spark, sf_dir))
+
+
+@query()
+def facts_evidence(spark, sf_dir):
+    """Evidence tally of the facts in the nested records."""
+    from ..operators.flatten import p4_facts
+
+    f = p4_facts(spark, sf_dir).select("evidence", F.col("confidence").cast("double").alias("confidence"))
+    return A.evidence_tally(f)
+
+
+@query()
+def narration_edges(spark, sf_dir):
+    """Narrators named in the nested records, resolved to entries by their names: resolved, ambiguous or unresolved."""
+    from ..operators.flatten import PERSON_LISTS, flatten_lists, pivot_fields
+
+    lists = [p for p in PERSON_LISTS if p.startswith("narration.narrated")]
+    facts = pivot_fields(flatten_lists(table(spark, sf_dir, "persons"), "person_json", lists), ["value", "normalized"])
+    n = current_rows(table(spark, sf_dir, "nasab"), "person_id", ["chain"]).drop("ingested_at")
+    p = current_rows(table(spark, sf_dir, "persons"), "person_id", ["display_name_norm", "full_name_norm", "qism", "section_type", "letter", "is_woman"])
+    index = p.join(n, "person_id", "left").select(
+        "person_id", F.array_distinct(F.array_compact(F.array("display_name_norm", "full_name_norm"))).alias("forms"), "qism", F.col("section_type").alias("section"), "letter", "is_woman", "chain"
+    )
+    norm = F.coalesce("normalized", "value")
+    wanted = facts.where(norm.isNotNull()).join(n, "person_id", "left").select(
+        F.concat_ws("#", "person_id", "coll_path", F.col("pos").cast("string")).alias("ref_id"), F.col("person_id").alias("from_id"), norm.alias("norm"),
+        F.array_join(F.slice(F.split(norm, " بن "), 1, 2), " بن ").alias("short"), F.lit(None).cast("int").alias("qism"), F.lit(None).cast("string").alias("section"),
+        F.lit(None).cast("string").alias("letter"), F.lit(None).cast("boolean").alias("is_woman"), "chain",
+    )
+    return G.resolve_names(wanted, G.name_keys(index), index).select("ref_id", "from_id", "to_id", "resolved", "ambiguous", F.array_join("candidates", ",").alias("candidates"))

@@ -77,3 +77,7 @@ SELECT person_id, coll_path, CAST(x.pos AS INTEGER) AS pos FROM x WHERE json_typ
 
 
 SQL = {"p6_found": LINEAGE, "p4_found": _flat()}
+FACT_COUNTS = f"""
+WITH f AS ({SQL['p4_found']}), c AS (SELECT coll_path, person_id, count(*) AS n FROM f GROUP BY 1, 2)
+SELECT coll_path, CAST(sum(n) AS BIGINT) AS n_facts, count(*) AS n_persons, max(n) AS most FROM c GROUP BY 1
+"""

@@ -16,4 +16,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p6_trees": hierarchy.p6_trees,
     "p6_descendants": hierarchy.p6_descendants,
 }
-SQL: dict[str, str] = {**core_queries.SQL, **lineage_sql.SQL}
+SQL: dict[str, str] = {**core_queries.SQL, **lineage_sql.SQL, "fact_counts": lineage_sql.FACT_COUNTS}

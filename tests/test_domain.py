@@ -119,3 +119,13 @@ def test_filters():
     assert (f.limit, f.offset, f.woman, f.qism, f.postings) == (40, 0, True, 2, [("battle", "badr")])
     assert S.Filters.parse({"limit": "900"}).limit == 100 and S.Filters.parse({"limit": "-5"}).limit == 1 and S.Filters.parse({}).woman is None
     assert S.query_tokens('أبو "هريرة" (x)') == ["أبو", "هريرة", "x"] and S.query_tokens("") == []
+
+
+def test_names_disputes_and_gaps(spark):
+    p = spark.createDataFrame([("a", "زيد ", None, "أبو علي"), ("b", None, "", None)], "person_id string, display_name string, full_name string, kunya string")
+    assert sorted(map(tuple, Y.name_rows(p).collect())) == [("a", "أبو علي", "kunya"), ("a", "زيد", "display")]
+    note = spark.createDataFrame([("اختلف في اسمه فقيل زيد وقيل عمرو وقيل ب",)], "t string")
+    assert note.select(Y.dispute_forms(F.col("t")).alias("x")).first().x == ["زيد", "عمرو"]
+    spans = spark.createDataFrame([("a", 2, 5, "x"), ("a", 4, 7, "y"), ("a", 7, 9, "z")], "person_id string, start int, end int, label string")
+    sizes = spark.createDataFrame([("a", 12), ("b", 3)], "person_id string, length int")
+    assert sorted(map(tuple, Y.span_gaps(spans, sizes).collect())) == [("a", 0, 2, "gap"), ("a", 2, 5, "x"), ("a", 5, 7, "gap"), ("a", 7, 9, "z"), ("a", 9, 12, "gap"), ("b", 0, 3, "gap")]
