@@ -67,6 +67,8 @@ class _Fold(dict):
             out = None
         elif category == "Zs" or char == "\t":
             out = " "
+        elif 0xFDF0 <= code <= 0xFDFF and code != 0xFDF2:
+            out = char  # signs for whole phrases do not look like them
         elif kind in FOLDED_KINDS and not unicodedata.normalize("NFKC", char).startswith(" "):
             out = unicodedata.normalize("NFKC", char)
         else:
