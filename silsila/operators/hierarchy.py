@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, release
 
 LANES = 32
 
@@ -44,7 +44,8 @@ def rooted(edges: DataFrame, paths: bool = False) -> DataFrame:
             "node", "parent", F.col("at2").alias("at"), (F.col("steps") + F.col("steps2")).alias("steps"), F.col("done2").alias("done"),
             *([F.concat("path", F.slice("path2", F.lit(2), F.greatest(F.size("path2") - 1, F.lit(0)))).alias("path")] if paths else []),
         )
-        state = materialize(closed.unionByName(moved))
+        before, state = state, materialize(closed.unionByName(moved))
+        release(before)
         left = state.where("not done").count()
         if left in (0, waiting):
             break
@@ -91,7 +92,8 @@ def ranked(elements: DataFrame) -> DataFrame:
         moved = open_.join(nxt, "last").select(
             "element", F.col("last2").alias("last"), (F.col("rank") + F.col("rank2")).alias("rank"), (F.col("weight") + F.col("weight2")).alias("weight"), F.col("done2").alias("done")
         )
-        state = materialize(closed.unionByName(moved))
+        before, state = state, materialize(closed.unionByName(moved))
+        release(before)
         if state.where("not done").isEmpty():
             return state.drop("done")
 
