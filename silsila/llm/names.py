@@ -274,18 +274,32 @@ def match(a: Profile, b: Profile) -> int:
     return 0
 
 
-def keys_of(p: Profile) -> list[str]:
-    """Blocking keys: pairs and triples of parts, so that any one or two misspelled parts leave a key."""
-    own, father = sorted(n for n in p.own if len(n) > 1), sorted(n for n in p.father if len(n) > 1)
-    grand = sorted({x[2] for x in p.lines if len(x[2]) > 1})
-    ends, nisbas, kunyas = sorted(p.ends), sorted(p.nisbas), sorted(p.kunyas)
+def near_of(packed: str) -> dict[str, list[str]]:
+    """The labels beside themselves under which these names are blocked (see ``_with_near``)."""
+    out: dict[str, list[str]] = {}
+    for line in filter(None, packed.split("\n")):
+        name, label = line.split("|")
+        out.setdefault(name, []).append(label)
+    return out
+
+
+def keys_of(p: Profile, near: dict[str, list[str]] | None = None) -> list[str]:
+    """Blocking keys: every two profiles that ``match`` share one, if ``near`` has the labels of their names.
+
+    A match rests on two parts that are equal or one edit apart: own name and father; one of them and the kunya; or,
+    where the own name is an initial or a pet form, father and tribe. Names one edit apart share a label.
+    """
+    near = near or {}
+
+    def labels(names) -> list[str]:
+        return sorted({label for n in names if len(n) > 1 for label in (n, *near.get(n, ()))})
+
+    own, father, kunyas = labels(p.own), labels(p.father), labels(p.kunyas)
+    tribes = [*(f"e{e}" for e in labels(p.ends)), *(f"n{n}" for n in labels(p.nisbas))]
     out = {f"of|{o}|{f}" for o in own for f in father}
-    tribes = [*(f"e{e}" for e in ends), *(f"n{n}" for n in nisbas)]
-    out |= {f"og|{o}|{g}|{t}" for o in own for g in grand for t in tribes}
-    out |= {f"fg|{f}|{g}|{t}" for f in father for g in grand for t in tribes}
-    out |= {f"kt|{k}|{t}" for k in kunyas for t in tribes}
     out |= {f"ok|{o}|{k}" for o in own for k in kunyas}
     out |= {f"fk|{f}|{k}" for f in father for k in kunyas}
+    out |= {f"ft|{f}|{t}" for f in father for t in tribes}
     return sorted(out)
 
 
@@ -330,19 +344,62 @@ def _number(key: str) -> int:
     return xxh3_64_intdigest(key.encode()) - (1 << 63)
 
 
+def shortened(name: str) -> set[str]:
+    """The name and what is left of it without one letter; names one edit apart share one of these."""
+    return {name, *(name[:i] + name[i + 1 :] for i in range(len(name)))}
+
+
+def _with_near(profiles: DataFrame) -> DataFrame:
+    """``profiles`` with ``near``: lines ``name|label`` of its names that have a more frequent name one edit apart.
+
+    Of two such names the more frequent one is the label under which both are blocked. Only distinct names are
+    compared, and a shortened name is that of a bounded number of names.
+    """
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, names = [], []
+            for i, v in zip(*(c.to_pylist() for c in batch.columns)):
+                p = profile(v)
+                found = [n for n in p.own | p.father | p.kunyas | p.ends | p.nisbas if len(n) > 2]
+                ids += [i] * len(found)
+                names += found
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(names, pa.string())], names=["id", "name"])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(name, n, short) for name, n in zip(*(c.to_pylist() for c in batch.columns)) for short in shortened(name)]
+            columns = zip(*rows) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.string()))], names=["name", "n", "short"])
+
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([distance(a, b, 1) <= 1 for a, b in zip(*(c.to_pylist() for c in batch.columns))], pa.bool_()))
+
+    names = materialize(profiles.select("id", "variants").mapInArrow(read, "id long, name string"))
+    short = materialize(names.groupBy("name").agg(F.count("*").alias("n")).mapInArrow(cut, "name string, n long, short string"))
+    more = short.select("short", F.col("name").alias("label"), F.col("n").alias("m"))
+    pairs = short.join(more, "short").where(F.struct("m", "label") > F.struct("n", "name")).select("name", "label").distinct()
+    labels = names.join(pairs.mapInArrow(close, "name string, label string"), "name")
+    near = labels.groupBy("id").agg(F.array_join(F.array_sort(F.collect_set(F.concat_ws("|", "name", "label"))), "\n").alias("near"))
+    out = materialize(profiles.join(near, "id", "left").withColumn("near", F.coalesce("near", F.lit(""))))
+    release(names, short, profiles)
+    return out
+
+
 def _keys(profiles: DataFrame) -> DataFrame:
     """``id, key`` of all blocking keys, as 64-bit hashes; a collision only adds a comparison."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, keys = [], []
-            for i, v in zip(*(c.to_pylist() for c in batch.columns)):
-                found = keys_of(profile(v))
+            for i, v, near in zip(*(c.to_pylist() for c in batch.columns)):
+                found = keys_of(profile(v), near_of(near))
                 ids += [i] * len(found)
                 keys += map(_number, found)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.int64())], names=["id", "key"])
 
-    return profiles.select("id", "variants").mapInArrow(run, "id long, key long")
+    return profiles.select("id", "variants", "near").mapInArrow(run, "id long, key long")
 
 
 def _split(profiles: DataFrame, level: int) -> DataFrame:
@@ -351,10 +408,10 @@ def _split(profiles: DataFrame, level: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: tuple[list[int], list[int], list[int]] = ([], [], [])
-            for i, v in zip(*(c.to_pylist() for c in batch.columns)):
+            for i, v, near in zip(*(c.to_pylist() for c in batch.columns)):
                 p = profile(v)
                 parts = parts_of(p)
-                for key in keys_of(p):
+                for key in keys_of(p, near_of(near)):
                     before = [_number(k) for k in split_keys(key, parts, level - 1)]
                     finer = [_number(k) for k in split_keys(key, parts, level)]
                     for k in before:
@@ -363,7 +420,7 @@ def _split(profiles: DataFrame, level: int) -> DataFrame:
                         rows[2].extend(finer)
             yield pa.RecordBatch.from_arrays([pa.array(r, pa.int64()) for r in rows], names=["id", "key", "finer"])
 
-    return profiles.select("id", "variants").mapInArrow(run, "id long, key long, finer long")
+    return profiles.select("id", "variants", "near").mapInArrow(run, "id long, key long, finer long")
 
 
 def _blocks(keys: DataFrame, profiles: DataFrame, block: int, levels: int = 3) -> DataFrame:
@@ -421,6 +478,7 @@ def link_profiles(entries: DataFrame, block: int = BLOCK, most_rounds: int = 12)
     grouped = kept.groupBy("variants").agg(F.sort_array(F.collect_list("book")).alias("books"), F.sort_array(F.collect_list("person_id")).alias("members"))
     # numbers are given over sorted rows and then kept in the written table
     profiles = materialize(grouped.select("variants", "books", "members").withColumn("id", F.monotonically_increasing_id()))
+    profiles = _with_near(profiles)
     keys = materialize(_keys(profiles))
     scores: DataFrame | None = None
     changed: DataFrame | None = None
@@ -467,6 +525,7 @@ def _merged(profiles: DataFrame, merges: DataFrame) -> DataFrame:
     rest = tagged.where("into is null").drop("into")
     joined = tagged.where("into is not null").groupBy("into").agg(
         F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.split("variants", "\n"))))), "\n").alias("variants"),
+        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.split("near", "\n"))))), "\n").alias("near"),
         F.sort_array(F.flatten(F.collect_list("books"))).alias("books"), F.sort_array(F.flatten(F.collect_list("members"))).alias("members"),
     ).withColumnRenamed("into", "id")
     return materialize(rest.unionByName(joined))

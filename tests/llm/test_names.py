@@ -93,3 +93,19 @@ def test_small_blocks_lose_nothing(spark):
 
 def test_empty(spark):
     assert groups(spark, []) == [] and link_profiles(spark.createDataFrame([], "person_id string, variants string")).count() == 0
+
+
+def test_two_misspelled_parts_meet(spark):
+    rows = [
+        ("a:1:1-1", FULL, None, None), ("b:1:1-1", "زهوج بن ميحث بن غنوج الخطادعي", None, None),
+        ("a:1:2-1", "طارقش بن لطولم بن رافعت بن سنجار القرشيني", None, None), ("b:1:2-1", "طارقس بن لطومل بن سنجار القرشيني", None, None),
+    ]
+    assert all(match(person(x[1]), person(y[1])) >= 100 for x, y in (rows[:2], rows[2:]))
+    assert groups(spark, rows) == [["a:1:1-1", "b:1:1-1"], ["a:1:2-1", "b:1:2-1"]]
+
+
+def test_names_one_edit_apart_share_a_shortened_one():
+    from silsila.llm.names import shortened
+
+    for other in ("كتب", "كاتب", "كتابب", "قتاب", "كتاب"):
+        assert shortened("كتاب") & shortened(other)
