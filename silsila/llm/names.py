@@ -35,7 +35,7 @@ SERVANT = "عبد"  # takes the next word with it
 ARTICLE = "ال"
 KNOWN_AS = re.compile(r" المعروفه? ب(\S+)")
 # -----------------------------------------------------------------------------------------------------
-#: A block with more profiles than this is split by more parts of the names (see ``_blocks``).
+#: A block with more profiles than this is compared in portions of about this many (see ``_blocks``).
 BLOCK = 64
 
 _INVERTED = re.compile(r"^(ال\S+)(?: (ال\S+))? ، (.+)$")
@@ -304,7 +304,7 @@ def keys_of(p: Profile, near: dict[str, list[str]] | None = None) -> list[str]:
 
 
 def parts_of(p: Profile) -> list[str]:
-    """Parts that split a block that is too large, none of which its key holds already."""
+    """Parts of the names by which a key can be made finer; linking does not need them."""
     return sorted(
         {f"o|{n}" for n in p.own if len(n) > 1} | {f"f|{n}" for n in p.father if len(n) > 1} | {f"g|{n}" for x in p.lines for n in x[2:]}
         | {f"n|{n}" for n in p.nisbas} | {f"k|{n}" for n in p.kunyas}
@@ -402,43 +402,18 @@ def _keys(profiles: DataFrame) -> DataFrame:
     return profiles.select("id", "variants", "near").mapInArrow(run, "id long, key long")
 
 
-def _split(profiles: DataFrame, level: int) -> DataFrame:
-    """``id, key, finer``: each key of these profiles with every choice of ``level`` more parts."""
+def _blocks(keys: DataFrame, block: int) -> DataFrame:
+    """``id, key, part, inside`` of every profile in its blocks; one of more than ``block`` profiles is cut into portions.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows: tuple[list[int], list[int], list[int]] = ([], [], [])
-            for i, v, near in zip(*(c.to_pylist() for c in batch.columns)):
-                p = profile(v)
-                parts = parts_of(p)
-                for key in keys_of(p, near_of(near)):
-                    before = [_number(k) for k in split_keys(key, parts, level - 1)]
-                    finer = [_number(k) for k in split_keys(key, parts, level)]
-                    for k in before:
-                        rows[0].extend([i] * len(finer))
-                        rows[1].extend([k] * len(finer))
-                        rows[2].extend(finer)
-            yield pa.RecordBatch.from_arrays([pa.array(r, pa.int64()) for r in rows], names=["id", "key", "finer"])
-
-    return profiles.select("id", "variants", "near").mapInArrow(run, "id long, key long, finer long")
-
-
-def _blocks(keys: DataFrame, profiles: DataFrame, block: int, levels: int = 3) -> DataFrame:
-    """``id, key`` with every block that holds more than ``block`` profiles split by more parts of the names.
-
-    Each member enters the block of each of its further parts: two spellings of one person agree in at least one part
-    beside the key's. A profile without a further part leaves the block; with so many others alike its match would
-    not be the only one. Up to ``levels`` parts are added.
+    The portions are drawn by a hash, and each two of them, and each by itself, make a block: all pairs of a large
+    block are compared, in many tasks. Where ``inside`` is false only profiles of different portions are.
     """
-    for level in range(1, levels + 1):
-        large = keys.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > block).select("key")
-        if large.isEmpty():
-            break
-        crowd = keys.join(large, "key", "left_semi")
-        members = profiles.join(crowd.select("id").distinct(), "id", "left_semi")
-        finer = _split(members, level).distinct().join(large, "key", "left_semi").select("id", F.col("finer").alias("key")).distinct()
-        keys = materialize(keys.join(large, "key", "left_anti").unionByName(finer))
-    return keys
+    many = keys.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > block).select("key", F.ceil(F.col("n") / block).cast("int").alias("parts"))
+    part = F.coalesce(F.expr("cast(pmod(xxhash64(id), parts) as int)"), F.lit(0))
+    dealt = keys.join(many, "key", "left").withColumn("part", part)
+    met = dealt.select("id", "key", "part", "parts", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("with"))
+    key = F.when(F.col("parts").isNull(), F.col("key")).otherwise(F.xxhash64("key", F.least("part", "with"), F.greatest("part", "with")))
+    return met.select("id", key.alias("key"), "part", (F.col("part") == F.col("with")).alias("inside"))
 
 
 def _scored(pairs: DataFrame, profiles: DataFrame) -> DataFrame:
@@ -464,7 +439,8 @@ def _scored(pairs: DataFrame, profiles: DataFrame) -> DataFrame:
 def _candidates(blocks: DataFrame, changed: DataFrame | None) -> DataFrame:
     """Pairs that share a block, at least one of them changed."""
     left = blocks if changed is None else blocks.join(changed, "id", "left_semi")
-    pairs = left.join(blocks.withColumnRenamed("id", "other"), "key").where("id < other" if changed is None else "id != other")
+    other = blocks.select("key", F.col("id").alias("other"), F.col("part").alias("other_part"))
+    pairs = left.join(other, "key").where("id < other" if changed is None else "id != other").where("inside or part != other_part")
     return pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
 
 
@@ -484,8 +460,7 @@ def link_profiles(entries: DataFrame, block: int = BLOCK, most_rounds: int = 12)
     changed: DataFrame | None = None
     weak = False
     for _ in range(most_rounds):
-        blocks = _blocks(keys, profiles, block)
-        fresh = _scored(_candidates(blocks, changed), profiles)
+        fresh = _scored(_candidates(_blocks(keys, block), changed), profiles)
         old = scores
         scores = materialize(fresh if old is None else old.unionByName(fresh).dropDuplicates(["a", "b"]))
         merges = _mutual(scores, weak)
@@ -501,7 +476,7 @@ def link_profiles(entries: DataFrame, block: int = BLOCK, most_rounds: int = 12)
         keys = materialize(keys.join(gone, "id", "left_anti").unionByName(fresh_keys))
         kept_scores = scores.join(gone.withColumnRenamed("id", "a"), "a", "left_anti").join(gone.withColumnRenamed("id", "b"), "b", "left_anti")
         last, scores = scores, materialize(kept_scores.select("a", "b", "score"))
-        release(old, last, *before, blocks if blocks is not before[1] else None)
+        release(old, last, *before)
     return profiles.select(F.explode("members").alias("person_id"), F.col("id").alias("group_id"))
 
 

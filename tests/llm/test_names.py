@@ -109,3 +109,12 @@ def test_names_one_edit_apart_share_a_shortened_one():
 
     for other in ("كتب", "كاتب", "كتابب", "قتاب", "كتاب"):
         assert shortened("كتاب") & shortened(other)
+
+
+def test_large_blocks_lose_nothing(spark):
+    # beside own name and father, each pair has only a misspelled forefather in common
+    fathers = ["مسنان", "تافوب", "غيلان", "لطولم", "رافعت", "سنجار"]
+    ends = ["غنوج", "ضيهم", "توشط", "معور", "اشخه", "مفطت"]
+    rows = [r for i, (g, e) in enumerate(zip(fathers, ends)) for r in ((f"a:1:{i}-1", f"زهوح بن ميحث بن {g} بن {e}", None, None), (f"b:1:{i}-1", f"زهوح بن ميحث بن {g[:3]}{g[4:]}", None, None))]
+    want = sorted([f"a:1:{i}-1", f"b:1:{i}-1"] for i in range(len(fathers)))
+    assert groups(spark, rows) == want and groups(spark, rows, block=2) == want
