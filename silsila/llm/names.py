@@ -444,8 +444,11 @@ def _candidates(blocks: DataFrame, changed: DataFrame | None) -> DataFrame:
     return pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
 
 
-def link_profiles(entries: DataFrame, block: int = BLOCK, most_rounds: int = 12) -> DataFrame:
-    """``person_id, group_id`` of all entries ``(person_id, variants)`` that could be read."""
+def link_profiles(entries: DataFrame, block: int = BLOCK) -> DataFrame:
+    """``person_id, group_id`` of all entries ``(person_id, variants)`` that could be read.
+
+    Every round but the last merges profiles, so the rounds end by themselves.
+    """
     entries = entries.withColumn("book", F.substring_index("person_id", ":", 1))
     # equal spellings: the books are gathered only where they can be as many as the entries
     per_book = entries.groupBy("variants", "book").agg(F.count("*").alias("n"), F.min("person_id").alias("person_id"))
@@ -459,7 +462,7 @@ def link_profiles(entries: DataFrame, block: int = BLOCK, most_rounds: int = 12)
     scores: DataFrame | None = None
     changed: DataFrame | None = None
     weak = False
-    for _ in range(most_rounds):
+    while True:
         fresh = _scored(_candidates(_blocks(keys, block), changed), profiles)
         old = scores
         scores = materialize(fresh if old is None else old.unionByName(fresh).dropDuplicates(["a", "b"]))
@@ -481,10 +484,13 @@ def link_profiles(entries: DataFrame, block: int = BLOCK, most_rounds: int = 12)
 
 
 def _mutual(scores: DataFrame, weak: bool) -> DataFrame:
-    """Pairs that are each other's best match; weak ones only where neither has another candidate."""
+    """Pairs that are each other's best match; weak ones only where neither has another candidate.
+
+    Equal scores are ordered by a hash of the pair, so that of many profiles alike many pairs are mutual at once.
+    """
     both = scores.select("a", "b", "score", F.col("a").alias("me"), F.col("b").alias("other"))
     both = both.unionByName(scores.select("a", "b", "score", F.col("b").alias("me"), F.col("a").alias("other")))
-    rank = F.struct(F.col("score"), F.col("a"), F.col("b"))
+    rank = F.struct(F.col("score"), F.xxhash64("a", "b"), F.col("a"), F.col("b"))
     if not weak:
         both = both.where("score >= 100")
     best = both.groupBy("me").agg(F.max(rank).alias("top"), F.count("*").alias("n"))

@@ -118,3 +118,17 @@ def test_large_blocks_lose_nothing(spark):
     rows = [r for i, (g, e) in enumerate(zip(fathers, ends)) for r in ((f"a:1:{i}-1", f"زهوح بن ميحث بن {g} بن {e}", None, None), (f"b:1:{i}-1", f"زهوح بن ميحث بن {g[:3]}{g[4:]}", None, None))]
     want = sorted([f"a:1:{i}-1", f"b:1:{i}-1"] for i in range(len(fathers)))
     assert groups(spark, rows) == want and groups(spark, rows, block=2) == want
+
+
+def test_many_tied_entries_become_one_group(spark):
+    # every two spellings of this person, one in each book, score the same
+    letters = "بتثجحخدذرزسشصضطظ"
+    rows = [(f"b{i:02d}:1:1-1", f"زهوح بن ميحث بن مسن{c}ان بن تافوب بن غنوج الخطادعي", None, None) for i, c in enumerate(letters)]
+    assert groups(spark, rows) == [sorted(r[0] for r in rows)]
+
+
+def test_ties_merge_many_pairs_in_a_round(spark):
+    from silsila.llm.names import _mutual
+
+    tied = spark.createDataFrame([(a, b, 100) for b in range(32) for a in range(b)], "a long, b long, score int")
+    assert _mutual(tied, False).count() > 3
