@@ -146,7 +146,47 @@ PERSON_LISTS = [
     "life.companionship", "life.battles", "life.offices", "life.family", "life.residences", "life.traits", "life.events", "life.wounds",
     "life.ages", "narration.narrated_from", "narration.narrated_to", "narration.praise", "narration.criticism", "narration.defenses", "labels",
 ]
-FACT_FIELDS = ["value", "normalized", "kind", "key", "source", "evidence", "confidence", "page", "relation", "marker", "text"]
+_FACT = ["value", "source", "evidence", "confidence", "page"]
+_KIND_TOO = [*_FACT, "kind"]
+#: The fields of the objects of each list that have a column in its table; all others come out in ``other``.
+LIST_FIELDS = {
+    **dict.fromkeys(PERSON_LISTS, _KIND_TOO), "entry.footnotes": ["marker", "text", "page"], "identity.alternate_names": [*_KIND_TOO, "normalized"],
+    "life.battles": [*_FACT, "key"], "life.offices": [*_FACT, "role", "place"], "life.family": [*_FACT, "normalized", "relation"], "life.residences": [*_FACT, "key"],
+    "life.events": [*_KIND_TOO, "key", "year_hijri", "place"], "life.ages": [*_KIND_TOO, "years"], "narration.narrated_from": [*_FACT, "normalized"],
+    "narration.narrated_to": [*_FACT, "normalized"], "labels": ["key", "source", "confidence"],
+}
+FACT_FIELDS = ["value", "normalized", "kind", "key", "source", "evidence", "confidence", "page", "relation", "marker", "text", "year_hijri", "place", "role", "years"]
+
+
+def flat_table(rows: DataFrame, fields: list[str]) -> DataFrame:
+    """The flat rows with a column for each of these fields; ``other`` holds the fields and values without a column."""
+    other = F.filter("fields", lambda f: ~f["field"].isin(fields))
+    held = rows.select("*", other.alias("other"))
+    return pivot_fields(held, fields)
+
+
+def inner_rows(rows: DataFrame) -> DataFrame:
+    """A row for each value in a list inside an object: the list's path in the object, the position, what is behind it."""
+    values = rows.select("person_id", "coll_path", "pos", F.explode("fields").alias("f")).where(F.col("f.field").rlike(r"\[\d+\]"))
+    part = lambda k: F.regexp_extract("f.field", r"^(.*?)\[(\d+)\]\.?(.*)$", k)
+    return values.select("person_id", "coll_path", "pos", part(1).alias("inner_path"), part(2).cast("int").alias("inner_pos"), part(3).alias("field"), F.col("f.value").alias("value"))
+
+
+def _list_query(name: str):
+    def query(spark, sf_dir: str) -> DataFrame:
+        persons = spark.read.parquet(f"{sf_dir}/persons.parquet")
+        return flat_table(flatten_lists(persons, "person_json", [name]), LIST_FIELDS[name])
+
+    return query
+
+
+#: A query for the flat table of each list.
+LIST_QUERIES = {f"p4_{name.replace('.', '_')}": _list_query(name) for name in PERSON_LISTS}
+
+
+def p4_inner(spark, sf_dir: str) -> DataFrame:
+    persons = spark.read.parquet(f"{sf_dir}/persons.parquet")
+    return inner_rows(flatten_lists(persons, "person_json", PERSON_LISTS))
 
 
 def p4_found(spark, sf_dir: str) -> DataFrame:
@@ -156,4 +196,4 @@ def p4_found(spark, sf_dir: str) -> DataFrame:
 
 def p4_facts(spark, sf_dir: str) -> DataFrame:
     persons = spark.read.parquet(f"{sf_dir}/persons.parquet")
-    return pivot_fields(flatten_lists(persons, "person_json", PERSON_LISTS), FACT_FIELDS)
+    return flat_table(flatten_lists(persons, "person_json", PERSON_LISTS), FACT_FIELDS)

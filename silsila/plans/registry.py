@@ -12,6 +12,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **core_queries.QUERIES,
     "p4_found": flatten.p4_found,
     "p4_facts": flatten.p4_facts,
+    "p4_inner": flatten.p4_inner,
+    **flatten.LIST_QUERIES,
     "p6_found": hierarchy.p6_found,
     "p6_trees": hierarchy.p6_trees,
     "p6_descendants": hierarchy.p6_descendants,

@@ -42,6 +42,25 @@ def test_current_record_and_clashing_columns(spark):
     assert flatten_lists(df.limit(0), "person_json", PERSON_LISTS).count() == 0
 
 
+def test_each_list_has_a_table_with_all_its_fields(spark, tmp_path):
+    from silsila.plans.registry import QUERIES
+
+    record = {"life": {
+        "events": [{"value": "v", "year_hijri": 57, "place": "p", "seen": [{"by": "x"}, "y"]}], "offices": [None, {"role": "r", "place": "q"}], "ages": {"years": 60},
+    }}
+    rows = [("a", json.dumps(record), dt.datetime(2026, 1, 1))]
+    spark.createDataFrame(rows, "person_id string, person_json string, ingested_at timestamp").write.parquet(f"{tmp_path}/persons.parquet")
+    facts = {r.coll_path: r for r in QUERIES["p4_facts"](spark, str(tmp_path)).collect()}
+    assert (facts["life.events"].year_hijri, facts["life.events"].place, facts["life.offices"].role, facts["life.ages"].years) == ("57", "p", "r", "60")
+    events = QUERIES["p4_life_events"](spark, str(tmp_path)).collect()
+    assert [(r.person_id, r.coll_path, r.pos, r.value, r.year_hijri, r.place) for r in events] == [("a", "life.events", 0, "v", "57", "p")]
+    assert [tuple(x) for x in events[0].other] == [("seen[0].by", "x"), ("seen[1]", "y")]
+    assert [(r.pos, r.role, r.place) for r in QUERIES["p4_life_offices"](spark, str(tmp_path)).collect()] == [(1, "r", "q")]
+    inner = sorted(tuple(r) for r in QUERIES["p4_inner"](spark, str(tmp_path)).collect())
+    assert inner == [("a", "life.events", 0, "seen", 0, "by", "x"), ("a", "life.events", 0, "seen", 1, "", "y")]
+    assert all(f"p4_{p.replace('.', '_')}" in QUERIES for p in PERSON_LISTS)
+
+
 def brute(edges):
     parent = dict(edges)
     out = {}
