@@ -1,7 +1,7 @@
 """Nested JSON records as flat tables, one for each list.
 
-A record is read once into path-value-ordinal triples; triples are grouped by their repeated ancestor, the list
-they stand in, and each group is pivoted into rows that keep the record's key, the list and the position.
+A record is read whole and each list looked up by its path; the objects of a list are read into path-value pairs where
+their fields are wanted, and pivoted into rows that keep the record's key, the list and the position.
 
 A list may be stored as an array, as text that holds the array, as an object keyed by position, or as one object
 alone (position 0); whatever holds it may be stored as text, too. Defined cases: a null in a list takes its
