@@ -22,10 +22,17 @@ from pyspark.sql import functions as F
 INVISIBLE = "\u00ad\u034f\u061c\u180e\u200b-\u200f\u202a-\u202e\u2060-\u2064\u2066-\u206f\ufeff"
 #: Full stops that may also close an abbreviation or stand in a number.
 DOTS = ".․…．﹒"
-#: Marks that close a sentence wherever they stand outside quotation marks.
+#: Marks that close a sentence wherever they stand outside quotation marks: Unicode's Sentence_Terminal but for ``DOTS``, and a few more.
 STRONG = (
     "!?\u0589\u061d\u061e\u061f\u06d4\u0700-\u0702\u0964\u0965\u104a\u104b\u1362\u1367\u1368\u166e\u1803\u1809"
     "\u17d4\u17d5\u0f0d\u0f0e\u203c\u203d\u2047-\u2049\u3002\ufe12\ufe15\ufe16\ufe56\ufe57\uff01\uff1f\uff61"
+    "\u07f9\u0837\u0839\u083d\u083e\u1735\u1736\u1944\u1945\u1aa8-\u1aab\u1b4e\u1b4f\u1b5a\u1b5b\u1b5e\u1b5f\u1b7d-\u1b7f\u1c3b\u1c3c\u1c7e\u1c7f"
+    "\u2cf9-\u2cfb\u2e2e\u2e3c\u2e53\u2e54\u2e60\u2e61\ua4ff\ua60e\ua60f\ua6f3\ua6f7\ua876\ua877\ua8ce\ua8cf\ua92f\ua9c8\ua9c9\uaa5d-\uaa5f"
+    "\uaaf0\uaaf1\uabeb\U00010a56\U00010a57\U00010f55-\U00010f59\U00010f86-\U00010f89\U00011047\U00011048\U000110be-\U000110c1"
+    "\U00011141-\U00011143\U000111c5\U000111c6\U000111cd\U000111de\U000111df\U00011238\U00011239\U0001123b\U0001123c\U000112a9"
+    "\U000113d4\U000113d5\U0001144b\U0001144c\U000115c2\U000115c3\U000115c9-\U000115d7\U00011641\U00011642\U0001173c-\U0001173e\U00011944"
+    "\U00011946\U00011a42\U00011a43\U00011a9b\U00011a9c\U00011c41\U00011c42\U00011ef7\U00011ef8\U00011f43\U00011f44\U00016a6e\U00016a6f\U00016af5"
+    "\U00016b37\U00016b38\U00016b44\U00016d6e\U00016d6f\U00016e98\U0001bc9f\U0001da88"
 )
 #: Scripts without closing marks, in which white space divides the sentences (Thai, Lao).
 UNMARKED = "\u0e01-\u0e3a\u0e40-\u0e5b\u0e81-\u0edf"

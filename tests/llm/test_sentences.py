@@ -82,3 +82,10 @@ def test_current_body_decides(spark):
     got = sorted((r.person_id, r.start_pos) for r in sentences(df).collect() if r.person_id != "b")
     assert got == [("a", 0), ("a", 6)]
     assert cut_long(df.limit(0)).count() == 0 and sentences(df.limit(0)).count() == 0
+
+
+def test_terminators_of_all_scripts():
+    from silsila.llm.sentences import sentence_starts
+
+    for mark in "\u07f9\u1735\u1b5a\u1c7e\ua60e\ua9c8\uaa5d\uabeb\u2e2e\U00011047\U00016af5":
+        assert sentence_starts(f"abc def{mark} ghi jkl{mark}") == [0, 9], hex(ord(mark))
