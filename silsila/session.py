@@ -55,18 +55,46 @@ def materialize(df: DataFrame) -> DataFrame:
     A Parquet table keeps Catalyst's statistics and column pruning, which ``checkpoint()`` loses.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    path = _stage(spark)
     df.write.mode("overwrite").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stage_path = path
     return out
 
 
+def bucketed(df: DataFrame, column: str) -> DataFrame:
+    """``df`` written to the shared folder in sorted buckets of ``column``.
+
+    Joins and groupings on the column read the buckets as they lie: what meets the table is shuffled to its buckets, the
+    table itself never again. There are as many buckets as shuffle partitions.
+    """
+    spark = df.sparkSession
+    path, buckets = _stage(spark), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"silsila_{path.rsplit('-', 1)[1]}"
+    writer = df.repartition(buckets, column).write.format("parquet").mode("overwrite").option("path", path)
+    writer.bucketBy(buckets, column).sortBy(column).saveAsTable(name)
+    out = spark.table(name)
+    out._stage_path, out._stage_table = path, name
+    return out
+
+
+def _stage(spark: SparkSession) -> str:
+    """A new folder of the shared folder; what nothing has released by then goes when the driver ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(target)
+    files.deleteOnExit(target)
+    return path
+
+
 def release(*stages: DataFrame | None) -> None:
     """Deletes the files of stages that nothing reads any more; other DataFrames are left alone."""
     for df in stages:
         path = getattr(df, "_stage_path", None)
         if path:
+            if table := getattr(df, "_stage_table", None):
+                df.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
             jvm = df.sparkSession._jvm
             target = jvm.org.apache.hadoop.fs.Path(path)
             target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
