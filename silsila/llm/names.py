@@ -2,20 +2,21 @@
 
 Merge and rematch: every distinct spelling is a profile; profiles that share a blocking key are compared; the best
 mutual matches are merged, which unites their spellings and initials; merged profiles, being richer, are blocked and
-compared again, until a round merges nothing. Strong matches come first. Weak ones (an initial for a name, a name
-and a father's name and nothing else) are taken afterwards, and only where each side has no other candidate.
+compared again, until a round merges nothing. Strong matches come first. Weak ones (an initial for a name, a father
+left out, a name and a father's name and nothing else) are taken afterwards, and only where each side has no other
+candidate that is as good.
 
 Defined cases: entries without any name are linked with none; a person has at most one entry in a book (the part
-of the id before the first colon), so profiles that share a book are never merged; equal spellings of which one
-book has several entries are namesakes that cannot be told apart and are linked with none. A profile's entries
-are thus at most as many as there are books, and no group of equal rows, however large, is compared with itself.
+of the id before the first colon), so profiles that share a book are never merged; of equal spellings of which one
+book has several entries, these are namesakes that nothing tells apart and are linked with none, while those of
+other books are linked. A profile's entries are thus at most as many as there are books, and no group of equal
+rows, however large, is compared with itself.
 """
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
-from itertools import combinations
+from functools import lru_cache, reduce
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -25,7 +26,7 @@ from pyspark.sql import types as T
 
 from ..functions.folding import fold
 from ..operators.current import current_rows
-from ..session import materialize, release
+from ..session import bucketed, materialize, release
 from .lookalike import Canonical, representatives
 
 # --- fixed values ------------------------------------------------------------------------------------
@@ -161,18 +162,40 @@ def pack(variants: list[Variant]) -> str:
 _WEAK_LETTERS = str.maketrans("", "", "اويىء")
 
 
+def _bare(name: str) -> str:
+    """What stands behind ``عبد`` and the article; any other name as it is."""
+    return name.rsplit(" ", 1)[-1].removeprefix(ARTICLE) if name.startswith(SERVANT + " ") else name
+
+
+@lru_cache(maxsize=100_000)
+def firm_letters(name: str) -> tuple[str, ...]:
+    """The last three firm letters of a name; a feminine end counts only where fewer are left without it."""
+    name = _bare(name)
+    whole = name.translate(_WEAK_LETTERS)
+    cut = name.removesuffix("ه").removesuffix("اء").translate(_WEAK_LETTERS)
+    return tuple(dict.fromkeys(x[-3:] for x in ((cut,) if len(cut) > 2 else (cut, whole)) if x))
+
+
+@lru_cache(maxsize=100_000)
+def _is_pet(name: str) -> bool:
+    """Whether the name has the shape of a pet name: XYyZ, XaZw or XwZw."""
+    return len(name) == 4 and (name[2] == "ي" or name[1] in "او" and name[3] == "و")
+
+
 def _pet_form(pet: str, name: str) -> bool:
-    """Pet names keep the name's first firm letter and one or two more in their order: XwZw, XaZw, XZyT or a cut end."""
-    if not 3 <= len(pet) <= 5 or len(name) < 3:
-        return False
-    a, b = pet.translate(_WEAK_LETTERS), name.translate(_WEAK_LETTERS)
-    if len(a) < 2 or len(a) > len(b) or a[0] != b[0]:
+    """Pet names are made of a name's last firm letters, or of its first, some more in their order and its last."""
+    if pet == name or not _is_pet(pet):
         return False
-    if name.startswith(pet):
+    if pet == _bare(name):
         return True
-    shaped = len(a) == 2 and pet[-1] == "و" and pet[1] in "او" or len(a) == 3 and pet[2:3] == "ي" and len(pet) == 4
+    for x in firm_letters(name):
+        if pet in (f"{x[0]}ا{x[-1]}و", f"{x[0]}و{x[-1]}و") or len(x) == 3 and pet == f"{x[0]}{x[1]}ي{x[2]}":
+            return True
+    a, b = pet.translate(_WEAK_LETTERS), _bare(name).translate(_WEAK_LETTERS)
+    if not 2 <= len(a) <= len(b) or a[0] != b[0] or a[-1] != b[-1]:
+        return False
     rest = iter(b)
-    return shaped and a[-1] == b[-1] and all(c in rest for c in a)
+    return all(c in rest for c in a)
 
 
 def _agree(a: frozenset[str], b: frozenset[str]) -> int:
@@ -216,14 +239,25 @@ def _lines_agree(a: Profile, b: Profile) -> int:
     return best
 
 
-def _father_left_out(a: Profile, b: Profile) -> bool:
-    """Whether one line is the other without the father, two forefathers at least agreeing."""
+def _father_left_out(a: Profile, b: Profile, surely: bool) -> bool:
+    """Whether one line is the other without the father, two forefathers at least agreeing.
+
+    ``surely`` if nobody but the father is left out before them, and no two lines name a father each.
+    """
+    found = False
     for x in a.lines:
         for y in b.lines:
-            short, long = (x[1:], y[1:]) if len(x) <= len(y) else (y[1:], x[1:])
-            if len(short) > 1 and len(short) < len(long) and _within(short, long[1:]):
-                return True
-    return False
+            if _near(x[1], y[1]):
+                continue
+            held = False
+            for without, other in ((x[1:], y[2:]), (y[1:], x[2:])):
+                short, long = (without, other) if len(without) <= len(other) else (other, without)
+                if _within(short, long) and (_near(without[0], other[0]) or short is without and not surely):
+                    held = True
+                    found = found or len(short) > 1
+            if surely and not held:
+                return False
+    return found
 
 
 def match(a: Profile, b: Profile) -> int:
@@ -238,7 +272,8 @@ def match(a: Profile, b: Profile) -> int:
     if kunya < 0:
         return 0
     line = _lines_agree(a, b)
-    if father < 0 and kunya >= 2 and own >= 2 and _father_left_out(a, b):
+    left_out = father < 0 and own >= 2 and _father_left_out(a, b, surely=kunya < 2)
+    if left_out:
         father, line = 2, 2
     if line < 0 and kunya >= 2 and own >= 2 and father >= 2:
         line = 0  # lines that leave out different forefathers
@@ -254,6 +289,8 @@ def match(a: Profile, b: Profile) -> int:
     if tribe < 0 or (nisba < 0 and end == 0):
         return 0
     score = 4 * own + 4 * father + 3 * kunya + 2 * line + max(tribe, 0)
+    if left_out and kunya < 2:
+        return score if tribe >= 2 else 0
     known = (tribe >= 2) + (line > 0) + (kunya >= 2)
     if own >= 2 and father >= 2 and known:
         return 100 + score
@@ -283,39 +320,62 @@ def near_of(packed: str) -> dict[str, list[str]]:
     return out
 
 
-def keys_of(p: Profile, near: dict[str, list[str]] | None = None) -> list[str]:
-    """Blocking keys: every two profiles that ``match`` share one, if ``near`` has the labels of their names.
+class Key(NamedTuple):
+    """A blocking key. Of a key whose ``inside`` is false only profiles with different ``part`` are compared."""
+
+    key: str
+    part: int = 0
+    inside: bool = True
+
+
+def _labels(names, near: dict[str, list[str]]) -> list[str]:
+    return sorted({label for n in names if len(n) > 1 for label in (n, *near.get(n, ()))})
 
-    A match rests on two parts that are equal or one edit apart: own name and father; one of them and the kunya; or,
-    where the own name is an initial or a pet form, father and tribe. Names one edit apart share a label.
-    """
-    near = near or {}
 
-    def labels(names) -> list[str]:
-        return sorted({label for n in names if len(n) > 1 for label in (n, *near.get(n, ()))})
+def keys_of(p: Profile, near: dict[str, list[str]] | None = None) -> list[Key]:
+    """Blocking keys: every two profiles that ``match`` meet under one, if ``near`` has the labels of their names.
 
-    own, father, kunyas = labels(p.own), labels(p.father), labels(p.kunyas)
-    tribes = [*(f"e{e}" for e in labels(p.ends)), *(f"n{n}" for n in labels(p.nisbas))]
-    out = {f"of|{o}|{f}" for o in own for f in father}
-    out |= {f"ok|{o}|{k}" for o in own for k in kunyas}
-    out |= {f"fk|{f}|{k}" for f in father for k in kunyas}
-    out |= {f"ft|{f}|{t}" for f in father for t in tribes}
+    A match rests on parts that are equal or one edit apart, and names one edit apart share a label: own name and
+    father (or, where one line leaves the father out, the grandfather); one of them and the kunya; or, where the own
+    name of one is an initial or a pet form, father and tribe.
+    """
+    near = near or {}
+    own, father, kunyas = _labels(p.own, near), _labels(p.father, near), _labels(p.kunyas, near)
+    tribes = [*(f"e{e}" for e in _labels(p.ends, near)), *(f"n{n}" for n in _labels(p.nisbas, near))]
+    elders = _labels({x[2] for x in p.lines if len(x) > 3}, near)
+    out = {Key(f"of|{o}|{f}") for o in own for f in (*father, *elders)}
+    out |= {Key(f"ok|{o}|{k}") for o in own for k in kunyas}
+    out |= {Key(f"fk|{f}|{k}") for f in father for k in kunyas}
+    kin = [f"ft|{f}|{t}" for f in father for t in tribes]
+    out |= {Key(k, 1, False) for k in kin}
+    if any(len(n) == 1 or _is_pet(n) for n in p.own):
+        out |= {Key(k, 0, False) for k in kin}
     return sorted(out)
 
 
-def parts_of(p: Profile) -> list[str]:
-    """Parts of the names by which a key can be made finer; linking does not need them."""
-    return sorted(
-        {f"o|{n}" for n in p.own if len(n) > 1} | {f"f|{n}" for n in p.father if len(n) > 1} | {f"g|{n}" for x in p.lines for n in x[2:]}
-        | {f"n|{n}" for n in p.nisbas} | {f"k|{n}" for n in p.kunyas}
-    )
+#: The ways to part tribe (n), line (g) and kunya (k) between two profiles of which neither tells what the other does.
+_SPLITS = (("", "ngk"), ("n", "gk"), ("g", "nk"), ("k", "ng"))
 
 
-def split_keys(key: str, parts: list[str], level: int) -> list[str]:
-    """The key with ``level`` more parts that it does not hold."""
-    held = set(key.split("|")) | {t[1:] for t in key.split("|")}
-    free = [x for x in parts if x.split("|", 1)[1] not in held]
-    return ["+".join((key, *c)) for c in combinations(free, level)]
+def finer_keys(kind: str, p: Profile, near: dict[str, list[str]] | None = None) -> list[Key]:
+    """What parts a crowded block: every two of its profiles that match meet under one of these.
+
+    Two profiles of one own name and father match because they share a further part, or an initial of one, or because
+    each leaves open what the other tells. Those that meet otherwise share a tribe or a forefather as well.
+    """
+    near = near or {}
+    elders = {g for x in p.lines for g in x[2:]}
+    out = [Key(f"g{g}") for g in _labels(elders, near)]
+    out += [Key(f"i{x[0]}", int(len(x) > 1), False) for x in sorted({*elders, *p.nisbas, *p.kunyas})]
+    if kind in ("of", "ok", "fk"):
+        out += [Key(f"t{t}") for t in _labels(p.ends | p.nisbas, near)]
+    if kind == "of":
+        out += [Key(f"k{k}") for k in _labels(p.kunyas, near)]
+        out += [Key(f"long kunya {len(k) // 3 + d}") for k in p.kunyas if len(k) > 4 for d in (0, 1)]  # two edits may lie between them
+        told = {x for x, known in (("n", p.nisbas), ("g", p.lines), ("k", p.kunyas)) if known}
+        for one, other in _SPLITS:
+            out += [Key(f"r{one}", part, False) for part, side in ((0, one), (1, other)) if told <= set(side)]
+    return list(dict.fromkeys(out))
 
 
 _ENTRY = T.StructType([T.StructField("person_id", T.StringType()), T.StructField("variants", T.StringType())])
@@ -361,7 +421,7 @@ def _with_near(profiles: DataFrame) -> DataFrame:
             ids, names = [], []
             for i, v in zip(*(c.to_pylist() for c in batch.columns)):
                 p = profile(v)
-                found = [n for n in p.own | p.father | p.kunyas | p.ends | p.nisbas if len(n) > 2]
+                found = {n for n in (*p.own, *p.father, *p.kunyas, *p.nisbas, *(g for x in p.lines for g in x[2:])) if len(n) > 2}
                 ids += [i] * len(found)
                 names += found
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(names, pa.string())], names=["id", "name"])
@@ -382,134 +442,226 @@ def _with_near(profiles: DataFrame) -> DataFrame:
     pairs = short.join(more, "short").where(F.struct("m", "label") > F.struct("n", "name")).select("name", "label").distinct()
     labels = names.join(pairs.mapInArrow(close, "name string, label string"), "name")
     near = labels.groupBy("id").agg(F.array_join(F.array_sort(F.collect_set(F.concat_ws("|", "name", "label"))), "\n").alias("near"))
-    out = materialize(profiles.join(near, "id", "left").withColumn("near", F.coalesce("near", F.lit(""))))
+    out = bucketed(profiles.join(near, "id", "left").withColumn("near", F.coalesce("near", F.lit(""))), "id")
     release(names, short, profiles)
     return out
 
 
+#: ``role`` is the kind of key, and the part of a profile in a block that is not compared inside.
+_KEY_ROW = "id long, key long, role int"
+_KINDS = ("of", "ok", "fk", "ft")
+_ALL = 2
+
+
+def _role(kind: int, k: Key) -> int:
+    return kind * 3 + (_ALL if k.inside else k.part)
+
+
+def _key_batch(rows: list[tuple[int, str, int]]) -> pa.RecordBatch:
+    ids, keys, roles = zip(*rows) if rows else ((),) * 3
+    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([_number(k) for k in keys], pa.int64()), pa.array(roles, pa.int32())], names=["id", "key", "role"])
+
+
 def _keys(profiles: DataFrame) -> DataFrame:
-    """``id, key`` of all blocking keys, as 64-bit hashes; a collision only adds a comparison."""
+    """The blocking keys of all profiles, as 64-bit hashes; a collision only adds a comparison."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, keys = [], []
+            rows = []
             for i, v, near in zip(*(c.to_pylist() for c in batch.columns)):
-                found = keys_of(profile(v), near_of(near))
-                ids += [i] * len(found)
-                keys += map(_number, found)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.int64())], names=["id", "key"])
+                rows += [(i, k.key, _role(_KINDS.index(k.key[:2]), k)) for k in keys_of(profile(v), near_of(near))]
+            yield _key_batch(rows)
 
-    return profiles.select("id", "variants", "near").mapInArrow(run, "id long, key long")
+    return profiles.select("id", "variants", "near").mapInArrow(run, _KEY_ROW)
 
 
-def _blocks(keys: DataFrame, block: int) -> DataFrame:
-    """``id, key, part, inside`` of every profile in its blocks; one of more than ``block`` profiles is cut into portions.
+def _fresh_keys(merged: DataFrame) -> DataFrame:
+    """Of merged profiles the keys that none of their parts had."""
 
-    The portions are drawn by a hash, and each two of them, and each by itself, make a block: all pairs of a large
-    block are compared, in many tasks. Where ``inside`` is false only profiles of different portions are.
-    """
-    many = keys.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > block).select("key", F.ceil(F.col("n") / block).cast("int").alias("parts"))
-    part = F.coalesce(F.expr("cast(pmod(xxhash64(id), parts) as int)"), F.lit(0))
-    dealt = keys.join(many, "key", "left").withColumn("part", part)
-    met = dealt.select("id", "key", "part", "parts", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("with"))
-    key = F.when(F.col("parts").isNull(), F.col("key")).otherwise(F.xxhash64("key", F.least("part", "with"), F.greatest("part", "with")))
-    return met.select("id", key.alias("key"), "part", (F.col("part") == F.col("with")).alias("inside"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for i, v, near, parts in zip(*(c.to_pylist() for c in batch.columns)):
+                labels = near_of(near)
+                known = {k for part in parts for k in keys_of(profile(part), labels)}
+                rows += [(i, k.key, _role(_KINDS.index(k.key[:2]), k)) for k in keys_of(profile(v), labels) if k not in known]
+            yield _key_batch(rows)
 
+    return merged.select("id", "variants", "near", "parts").mapInArrow(run, _KEY_ROW)
 
-def _scored(pairs: DataFrame, profiles: DataFrame) -> DataFrame:
-    """``a, b, score`` of the candidate pairs that match and share no book."""
-    side = profiles.select("id", "variants", "books")
-    left = side.select(F.col("id").alias("a"), F.col("variants").alias("va"), F.col("books").alias("ba"))
-    right = side.select(F.col("id").alias("b"), F.col("variants").alias("vb"), F.col("books").alias("bb"))
-    joined = pairs.join(left, "a").join(right, "b").where(~F.arrays_overlap("ba", "bb")).select("a", "b", "va", "vb")
+
+class Crowded(NamedTuple):
+    """Keys of blocks with too many profiles, and the number of portions of what is still crowded behind a further part."""
+
+    keys: DataFrame
+    portions: DataFrame
+
+
+def _parted(rows: DataFrame) -> DataFrame:
+    """Key rows ``(.., variants, near)`` under their finer keys."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for i, key, role, v, near in zip(*(c.to_pylist() for c in batch.columns)):
+                kind, part = divmod(role, 3)
+                for k in finer_keys(_KINDS[kind], profile(v), near_of(near)):
+                    if part == _ALL:
+                        found.append((i, f"{key}|{k.key}", _role(kind, k)))
+                    elif k.inside:
+                        found.append((i, f"{key}|{k.key}", role))
+                    else:  # the parts of both must differ
+                        found.append((i, f"{key}|{k.key}|{(part + k.part) % 2}", role))
+            yield _key_batch(found)
+
+    return rows.select("id", "key", "role", "variants", "near").mapInArrow(run, _KEY_ROW)
+
+
+def _crowded(keys: DataFrame, profiles: DataFrame, block: int) -> Crowded | None:
+    """What is crowded among ``keys``, counted over all of them; none on most data."""
+    many = materialize(keys.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > block).select("key"))
+    if many.isEmpty():
+        release(many)
+        return None
+    finer = _parted(keys.join(many, "key", "left_semi").join(profiles.select("id", "variants", "near"), "id"))
+    counts = finer.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > block)
+    return Crowded(many, materialize(counts.select("key", F.ceil(F.col("n") / block).cast("int").alias("portions"))))
+
+
+def _blocks(keys: DataFrame, profiles: DataFrame, crowded: Crowded | None) -> DataFrame:
+    """``id, key, role, cut`` of every profile in its blocks.
+
+    A crowded block is parted by a further part of its names. What is crowded still is cut into portions by a hash, and
+    each two of them, and each by itself, make a block: all its pairs are compared, in many tasks. ``cut`` is the portion
+    where two meet.
+    """
+    if crowded is None:
+        return keys.select("id", "key", "role", F.lit(-1).alias("cut"))
+    small = keys.join(crowded.keys, "key", "left_anti")
+    finer = _parted(keys.join(crowded.keys, "key", "left_semi").join(profiles.select("id", "variants", "near"), "id"))
+    dealt = finer.join(crowded.portions, "key", "left").withColumn("cut", F.expr("cast(pmod(xxhash64(id), coalesce(portions, 1)) as int)"))
+    met = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.coalesce("portions", F.lit(1)) - 1)))
+    key = F.when(F.col("portions").isNull(), F.col("key")).otherwise(F.xxhash64("key", F.least("cut", "with"), F.greatest("cut", "with")))
+    cut = F.when(F.col("cut") == F.col("with"), -1).otherwise(F.col("cut"))
+    parted = met.select("id", key.alias("key"), "role", cut.alias("cut"))
+    return small.select("id", "key", "role", F.lit(-1).alias("cut")).unionByName(parted)
+
+
+def _pairs(left: DataFrame, *rights: DataFrame, once: bool = False) -> DataFrame:
+    """``a, b`` (a < b) of the profiles that meet in a block; each side of the join keeps its buckets."""
+    found = []
+    for right in rights:
+        other = right.select("key", F.col("id").alias("other"), F.col("role").alias("other_role"), F.col("cut").alias("other_cut"))
+        pairs = left.join(other, "key").where("id < other" if once else "id != other")
+        pairs = pairs.where(f"role % 3 = {_ALL} or role != other_role").where("cut = -1 or cut != other_cut")
+        found.append(pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")))
+    return reduce(DataFrame.unionByName, found).distinct()
+
+
+def _scored(pairs: DataFrame, base: DataFrame, now: DataFrame | None) -> DataFrame:
+    """``a, b, score`` of the pairs that share no book, 0 where they do not match; profiles of ``now`` go before those of ``base``."""
+
+    def beside(rows: DataFrame, side: str) -> DataFrame:
+        first = base.select(F.col("id").alias(side), F.col("variants").alias("v1"), F.col("books").alias("b1"))
+        if now is None:
+            return rows.join(first, side).withColumnsRenamed({"v1": f"v{side}", "b1": f"b{side}"})
+        later = now.select(F.col("id").alias(side), F.col("variants").alias("v2"), F.col("books").alias("b2"))
+        rows = rows.join(first, side).join(later, side, "left")
+        return rows.withColumns({f"v{side}": F.coalesce("v2", "v1"), f"b{side}": F.coalesce("b2", "b1")}).drop("v1", "v2", "b1", "b2")
+
+    joined = beside(beside(pairs, "a"), "b").where(~F.arrays_overlap("ba", "bb")).select("a", "b", "va", "vb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b, va, vb = (c.to_pylist() for c in batch.columns)
-            scores = [match(profile(x), profile(y)) for x, y in zip(va, vb)]
-            keep = [i for i, s in enumerate(scores) if s]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([a[i] for i in keep], pa.int64()), pa.array([b[i] for i in keep], pa.int64()), pa.array([scores[i] for i in keep], pa.int32())],
-                names=["a", "b", "score"],
-            )
+            scores = pa.array([match(profile(x), profile(y)) for x, y in zip(va, vb)], pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), scores], names=["a", "b", "score"])
 
     return joined.mapInArrow(run, "a long, b long, score int")
 
 
-def _candidates(blocks: DataFrame, changed: DataFrame | None) -> DataFrame:
-    """Pairs that share a block, at least one of them changed."""
-    left = blocks if changed is None else blocks.join(changed, "id", "left_semi")
-    other = blocks.select("key", F.col("id").alias("other"), F.col("part").alias("other_part"))
-    pairs = left.join(other, "key").where("id < other" if changed is None else "id != other").where("inside or part != other_part")
-    return pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
-
-
 def link_profiles(entries: DataFrame, block: int = BLOCK) -> DataFrame:
     """``person_id, group_id`` of all entries ``(person_id, variants)`` that could be read.
 
-    Every round but the last merges profiles, so the rounds end by themselves.
+    Every round but the last merges profiles, so the rounds end by themselves. The profiles as they were read are written
+    once, in buckets of their number, their blocking keys once in buckets of the key; a round moves only what it
+    changes: merged profiles, the keys they did not have before, and the candidate pairs.
     """
     entries = entries.withColumn("book", F.substring_index("person_id", ":", 1))
-    # equal spellings: the books are gathered only where they can be as many as the entries
-    per_book = entries.groupBy("variants", "book").agg(F.count("*").alias("n"), F.min("person_id").alias("person_id"))
-    single = per_book.groupBy("variants").agg(F.max("n").alias("most")).where("most = 1").select("variants")
-    kept = per_book.join(single, "variants", "left_semi")
-    grouped = kept.groupBy("variants").agg(F.sort_array(F.collect_list("book")).alias("books"), F.sort_array(F.collect_list("person_id")).alias("members"))
-    # numbers are given over sorted rows and then kept in the written table
-    profiles = materialize(grouped.select("variants", "books", "members").withColumn("id", F.monotonically_increasing_id()))
-    profiles = _with_near(profiles)
-    keys = materialize(_keys(profiles))
-    scores: DataFrame | None = None
-    changed: DataFrame | None = None
+    # of equal spellings in one book none can be told from the others; as many books are gathered as there are
+    per_book = materialize(entries.groupBy("variants", "book").agg(F.count("*").alias("n"), F.min("person_id").alias("person_id")))
+    member = F.when(F.col("n") == 1, F.struct("book", "person_id"))
+    grouped = per_book.groupBy("variants").agg(F.sort_array(F.collect_list(member)).alias("m")).where(F.size("m") > 0)
+    # numbers are given once and then kept in the written table
+    numbered = grouped.select(F.monotonically_increasing_id().alias("id"), "variants", F.col("m.book").alias("books"), F.col("m.person_id").alias("members"))
+    base = _with_near(materialize(numbered))
+    keys = bucketed(_keys(base), "key")
+    crowded = _crowded(keys, base, block)
+    blocks = _blocks(keys, base, None) if crowded is None else bucketed(_blocks(keys, base, crowded), "key")
+    scores = materialize(_scored(_pairs(blocks, blocks, once=True), base, None))
+    into: DataFrame | None = None  # number of each profile that was merged, and of the one it is part of now
+    now: DataFrame | None = None  # the merged profiles
+    later: DataFrame | None = None  # blocks of the keys that merged profiles did not have before
     weak = False
     while True:
-        fresh = _scored(_candidates(_blocks(keys, block), changed), profiles)
-        old = scores
-        scores = materialize(fresh if old is None else old.unionByName(fresh).dropDuplicates(["a", "b"]))
         merges = _mutual(scores, weak)
         if merges.isEmpty() and not weak:
+            release(merges)
             weak, merges = True, _mutual(scores, True)
         if merges.isEmpty():
             break
-        before = (profiles, keys)
-        profiles = _merged(profiles, merges)
-        changed = merges.select(F.col("a").alias("id"))
-        gone = merges.select(F.explode(F.array("a", "b")).alias("id"))
-        fresh_keys = _keys(profiles.join(changed, "id", "left_semi"))
-        keys = materialize(keys.join(gone, "id", "left_anti").unionByName(fresh_keys))
-        kept_scores = scores.join(gone.withColumnRenamed("id", "a"), "a", "left_anti").join(gone.withColumnRenamed("id", "b"), "b", "left_anti")
-        last, scores = scores, materialize(kept_scores.select("a", "b", "score"))
-        release(old, last, *before)
-    return profiles.select(F.explode("members").alias("person_id"), F.col("id").alias("group_id"))
+        before = (into, now, later, scores, merges)
+        step = merges.select(F.explode(F.array("a", "b")).alias("id"), F.col("a").alias("into"))
+        changed = materialize(_merged(base, now, step))
+        now = changed if now is None else materialize(now.join(step, "id", "left_anti").unionByName(changed.select(*now.columns)))
+        moved = step if into is None else into.select("id", F.col("into").alias("was")).join(step.select(F.col("id").alias("was"), F.col("into").alias("to")), "was", "left").select(
+            "id", F.coalesce("to", "was").alias("into")
+        ).unionByName(step.join(into, "id", "left_anti"))
+        into = materialize(moved)
+        fresh = materialize(_blocks(_fresh_keys(changed), now, crowded))
+        met = _pairs(fresh, blocks, fresh, *((later,) if later is not None else ()))
+        later = fresh if later is None else materialize(later.unionByName(fresh))
+        # candidates by their present numbers; what has changed is compared again
+        old = scores.select("a", "b", "score", F.lit(False).alias("again")).unionByName(met.select("a", "b", F.lit(0).alias("score"), F.lit(True).alias("again")))
+        for side in ("a", "b"):
+            to = into.select(F.col("id").alias(side), F.col("into").alias("to"))
+            old = old.join(to, side, "left").withColumn(side, F.coalesce("to", side)).drop("to")
+        now_changed = changed.select("id", F.lit(True).alias("hit"))
+        for side in ("a", "b"):
+            old = old.join(now_changed.withColumnRenamed("id", side), side, "left").withColumn("again", F.col("again") | F.col("hit").isNotNull()).drop("hit")
+        ordered = old.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "score", "again").where("a != b")
+        pairs = materialize(ordered.groupBy("a", "b").agg(F.max("again").alias("again"), F.max("score").alias("score")))
+        scores = materialize(pairs.where("not again").select("a", "b", "score").unionByName(_scored(pairs.where("again").select("a", "b"), base, now)))
+        release(pairs, *(x for x in before if x is not None and x not in (into, now, later)), *((fresh,) if fresh is not later else ()), *((changed,) if changed is not now else ()))
+    linked = base.select(F.explode("members").alias("person_id"), "id")
+    if into is not None:
+        linked = linked.join(into, "id", "left").withColumn("id", F.coalesce("into", "id"))
+    alone = per_book.where("n > 1").select("variants", "book").join(entries, ["variants", "book"])
+    alone = alone.select("person_id", (-1 - F.shiftrightunsigned(F.xxhash64("person_id"), 1)).alias("group_id"))
+    release(keys, scores, *((blocks,) if crowded else ()))
+    return linked.select("person_id", F.col("id").alias("group_id")).unionByName(alone)
 
 
 def _mutual(scores: DataFrame, weak: bool) -> DataFrame:
-    """Pairs that are each other's best match; weak ones only where neither has another candidate.
+    """Pairs that are each other's best match; weak ones only where neither has another candidate as good.
 
-    Equal scores are ordered by a hash of the pair, so that of many profiles alike many pairs are mutual at once.
+    Equal strong scores are ordered by a hash of the pair, so that of many profiles alike many pairs are mutual at once.
     """
-    both = scores.select("a", "b", "score", F.col("a").alias("me"), F.col("b").alias("other"))
-    both = both.unionByName(scores.select("a", "b", "score", F.col("b").alias("me"), F.col("a").alias("other")))
-    rank = F.struct(F.col("score"), F.xxhash64("a", "b"), F.col("a"), F.col("b"))
-    if not weak:
-        both = both.where("score >= 100")
-    best = both.groupBy("me").agg(F.max(rank).alias("top"), F.count("*").alias("n"))
-    if weak:
-        best = best.where("n = 1 or top.score >= 100")
-    return materialize(best.groupBy("top.a", "top.b").agg(F.count("*").alias("votes")).where("votes = 2").select("a", "b"))
-
-
-def _merged(profiles: DataFrame, merges: DataFrame) -> DataFrame:
-    """Profiles after the merges; a merged profile keeps its smaller number."""
-    of = merges.select(F.explode(F.array("a", "b")).alias("id"), F.col("a").alias("into"))
-    tagged = profiles.join(of, "id", "left")
-    rest = tagged.where("into is null").drop("into")
-    joined = tagged.where("into is not null").groupBy("into").agg(
-        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.split("variants", "\n"))))), "\n").alias("variants"),
-        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.split("near", "\n"))))), "\n").alias("near"),
-        F.sort_array(F.flatten(F.collect_list("books"))).alias("books"), F.sort_array(F.flatten(F.collect_list("members"))).alias("members"),
+    scores = scores.where("score > 0" if weak else "score >= 100")
+    both = scores.select("a", "b", "score", F.explode(F.array("a", "b")).alias("me"))
+    tied = both.groupBy("me", "score").agg(F.count("*").alias("n"), F.max(F.struct(F.xxhash64("a", "b").alias("h"), "a", "b")).alias("top"))
+    best = tied.groupBy("me").agg(F.max(F.struct("score", "n", "top")).alias("best")).where("best.n = 1 or best.score >= 100")
+    return materialize(best.groupBy("best.top.a", "best.top.b").agg(F.count("*").alias("votes")).where("votes = 2").select("a", "b"))
+
+
+def _merged(base: DataFrame, now: DataFrame | None, step: DataFrame) -> DataFrame:
+    """The profiles of ``step(id, into)`` united: ``id, variants, near, books, parts``."""
+    columns = ["id", "into", "variants", "near", "books"]
+    parts = base.join(step, "id") if now is None else base.join(step.join(now, "id", "left_anti"), "id").select(*columns).unionByName(now.join(step, "id").select(*columns))
+    lines = lambda c: F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.split(c, "\n"))))), "\n")
+    return parts.groupBy("into").agg(
+        lines("variants").alias("variants"), lines("near").alias("near"), F.sort_array(F.flatten(F.collect_list("books"))).alias("books"), F.collect_list("variants").alias("parts")
     ).withColumnRenamed("into", "id")
-    return materialize(rest.unionByName(joined))
 
 
 def linked_entries(persons: DataFrame, block: int = BLOCK) -> DataFrame:

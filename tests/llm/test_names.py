@@ -1,6 +1,6 @@
 import datetime as dt
 
-from silsila.llm.names import distance, keys_of, link_profiles, linked_entries, match, pack, parts_of, profile, split_keys, spelling, take_apart
+from silsila.llm.names import distance, finer_keys, firm_letters, keys_of, link_profiles, linked_entries, match, pack, profile, spelling, take_apart
 
 
 def person(*names, kunya=None):
@@ -48,11 +48,47 @@ def test_relatives_and_namesakes_do_not():
 
 def test_blocks_meet():
     a, b = person(FULL, kunya="ابو توذيش"), person("زهوج بن ميحث بن مسنن بن تافوب بن غنوج الخطادعي", kunya="ابو توذيش")
-    assert set(keys_of(a)) & set(keys_of(b))
-    parts = parts_of(a)
-    for key in keys_of(a):
-        finer = split_keys(key, parts, 1)
-        assert finer and all(f.startswith(key + "+") for f in finer)
+    assert {k for k in keys_of(a) if k.inside} & {k for k in keys_of(b) if k.inside}
+
+
+def meet(a, b):
+    return any(x.key == y.key and (x.inside or x.part != y.part) for x in a for y in b)
+
+
+def test_who_matches_in_a_crowded_block_meets_in_a_finer_one():
+    people = [
+        person(FULL), person("زهوح بن ميحث"), person("زهوح بن ميحث الخطادعي"), person("زهوح بن ميحث", kunya="ابو توذيش"), person("زهوح بن ميحث بن مسنان بن تافوب"),
+        person("زهوح بن ميحث بن مسنان بن غنوج", kunya="ابو توذيش"), person("زهوح بن ميحث الخطادعي", kunya="ابو توذيش"), person("زهوح بن ميحث بن م. بن غنوج"), person("ابو توذيشي زهوح بن ميحث"),
+    ]
+    met = 0
+    for i, a in enumerate(people):
+        for b in people[:i]:
+            if match(a, b):
+                met += 1
+                assert meet(finer_keys("of", a), finer_keys("of", b)), (a, b)
+    assert met > 20
+    # what cannot match need not meet
+    assert not meet(finer_keys("of", person("زهوح بن ميحث الخطادعي")), finer_keys("of", person("زهوح بن ميحث الطتاقخي")))
+
+
+def test_pet_forms():
+    from silsila.llm.names import _pet_form
+
+    for pet, name in (("ضعيص", "مضعاص"), ("تاهو", "عبد التليه"), ("سونو", "رستون"), ("رهيخ", "عبد الرهيخ"), ("فريث", "افيرثه"), ("ظحيج", "اظحج")):
+        assert _pet_form(pet, name), pet
+    assert not _pet_form("ظحيج", "اظهب") and not _pet_form("مضعاص", "ضعيص") and not _pet_form("تاهو", "تاهو")
+    assert firm_letters("ذيصجان") == ("صجن",) and firm_letters("") == () and firm_letters("اوي") == ()
+
+
+def test_a_father_left_out():
+    grandson = person("زهوح بن طارق بن ميحث بن مسنان بن تافوب بن غنوج الخطادعي")
+    assert 0 < match(person(FULL), grandson) < 100
+    assert match(person(FULL, kunya="ابو توذيش"), person("زهوح بن طارق بن ميحث بن مسنان بن تافوب بن غنوج الخطادعي", kunya="ابو توذيش")) >= 100
+    # cousins of one name
+    assert match(person("زهوح بن سالم بن ميحث بن مسنان بن تافوب بن غنوج الخطادعي"), grandson) == 0
+    # one candidate is not enough where another is as good
+    both = person(FULL, "زهوح بن طارق بن ميحث بن مسنان بن تافوب بن غنوج الخطادعي")
+    assert match(both, person("زهوح بن سالم بن ميحث بن مسنان بن تافوب بن غنوج الخطادعي")) == 0
 
 
 T0 = dt.datetime(2026, 1, 1)
@@ -77,7 +113,18 @@ def test_merge_and_rematch(spark):
 
 def test_namesakes_of_one_book_are_not_linked(spark):
     rows = [(f"a:1:{i}-1", FULL, None, None) for i in range(40)] + [("b:1:1-1", FULL, None, None)]
-    assert groups(spark, rows) == []
+    assert groups(spark, rows) == sorted([r[0]] for r in rows)
+    # entries of other books under this spelling are still linked
+    assert ["b:1:1-1", "c:1:1-1"] in groups(spark, [*rows, ("c:1:1-1", FULL, None, None)])
+
+
+def test_ambiguous_weak_matches_stay_apart(spark):
+    rows = [
+        ("a:1:1-1", "زهوح بن ميحث بن مسنان بن تافوب بن غنوج الخطادعي", None, None), ("b:1:1-1", "زذكان بن ميحث بن مسنان بن تافوب بن غنوج الخطادعي", None, None),
+        ("c:1:1-1", "ز. بن ميحث بن مسنان بن تافوب بن غنوج الخطادعي", None, None),
+    ]
+    assert groups(spark, rows) == [["a:1:1-1"], ["b:1:1-1"], ["c:1:1-1"]]
+    assert ["a:1:1-1", "c:1:1-1"] in groups(spark, [rows[0], rows[2]])
 
 
 def test_small_blocks_lose_nothing(spark):
