@@ -115,6 +115,8 @@ def distance(a: str, b: str, most: int = 2) -> int:
         return 0
     if abs(len(a) - len(b)) > most:
         return most + 1
+    if most == 1:
+        return 1 if _one_edit(a, b) else 2
     before: list[int] = []
     last = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
@@ -130,6 +132,16 @@ def distance(a: str, b: str, most: int = 2) -> int:
     return min(last[-1], most + 1)
 
 
+def _one_edit(a: str, b: str) -> bool:
+    """Whether two different names are one edit apart."""
+    if len(a) > len(b):
+        a, b = b, a
+    i = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
+    if len(a) < len(b):
+        return len(b) == len(a) + 1 and a[i:] == b[i + 1 :]
+    return a[i + 1 :] == b[i + 1 :] or a[i : i + 2] == b[i : i + 2][::-1] and a[i + 2 :] == b[i + 2 :]
+
+
 class Profile(NamedTuple):
     own: frozenset[str]
     father: frozenset[str]

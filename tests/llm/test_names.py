@@ -24,6 +24,8 @@ def test_apart():
 
 def test_distance():
     assert [distance("كتاب", x) for x in ("كتاب", "كتب", "كاتب", "كتابب", "قلم")] == [0, 1, 1, 1, 3]
+    words = [a + b + c + d for a in ("", "x", "y") for b in ("x", "z") for c in ("y", "x", "") for d in ("z", "y", "")]
+    assert all(min(distance(a, b, 2), 2) == distance(a, b, 1) for a in words for b in words)
 
 
 def test_variants_of_one_person_match():
