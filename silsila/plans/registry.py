@@ -12,7 +12,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **core_queries.QUERIES,
     "p4_found": flatten.p4_found,
     "p4_facts": flatten.p4_facts,
+    "p4_record": flatten.p4_record,
     "p4_inner": flatten.p4_inner,
+    "p4_tables": flatten.p4_tables,
     **flatten.LIST_QUERIES,
     "p6_found": hierarchy.p6_found,
     "p6_trees": hierarchy.p6_trees,

@@ -2,14 +2,20 @@ import datetime as dt
 import json
 import random
 
-from silsila.operators.flatten import PERSON_LISTS, flatten_lists, list_items, parse, pivot_fields, record_rows
+import pytest
+
+from silsila.operators.flatten import PERSON_LISTS, flatten_lists, pivot_fields, record_rows, tree_of
 from silsila.operators.hierarchy import hierarchy, lineage_edges
 
-LISTS = [(p, p.split(".")) for p in PERSON_LISTS]
+LISTS = tree_of(PERSON_LISTS)
+
+
+def rows_of(record):
+    return record_rows(record if isinstance(record, str) or record is None else json.dumps(record), LISTS)
 
 
 def places(record):
-    return [(r["coll_path"], r["pos"]) for r in record_rows(record if isinstance(record, str) or record is None else json.dumps(record), LISTS)]
+    return sorted((r.path, r.at[-1]) for r in rows_of(record) if r.path in PERSON_LISTS and r.is_object)
 
 
 def test_forms_of_a_list():
@@ -25,9 +31,76 @@ def test_forms_of_a_list():
 def test_what_is_not_json():
     for bad in (None, "", "{", '{"labels":[{"a":NaN}]}', "{'labels': []}", '{"labels":[{"a":1}],}', '{"a":"\\u12"}', "﻿{}"):
         assert places(bad) == []
-    assert parse("9" * 5000) == "9" * 5000
+        assert rows_of(bad) == []
+    assert rows_of('{"a":' + "9" * 5000 + "}")[0].fields == [("a", "9" * 5000)]
+    assert places({"labels": {"0": 1, "x": 2}}) == [("labels", 0)]
+
+
+def test_depth_is_not_bounded():
     assert places('{"labels":' + "[" * 100_000 + "]" * 100_000 + "}") == []
-    assert list(list_items({"0": 1, "x": 2})) == [(0, {"0": 1, "x": 2})]
+    assert places('{"labels":[' + '{"a":' * 20_000 + "1" + "}" * 20_000 + "]}") == [("labels", 0)]
+    rows = rows_of('{"labels":[' + '{"a":[' * 2_000 + "1" + "]}" * 2_000 + "]}")
+    assert len(rows) == 2_002 and rows[-1].at == (0,) * 2_001 and not rows[-1].is_object
+
+
+def test_rows_at_every_depth_keep_their_parents_place():
+    rows = rows_of({"x": 1, "life": {"y": None, "events": [{"seen": [{"by": "z", "in": [1, None, 2]}, "w"]}, {"a": {"b": True}}]}, "m": [[{"c": 1.50}]]})
+    got = [(r.path, r.at, r.is_object, r.fields) for r in rows]
+    assert got == [
+        ("", (), True, [("x", "1"), ("life.y", None)]), ("life.events", (0,), True, []), ("life.events.seen", (0, 0), True, [("by", "z")]),
+        ("life.events.seen.in", (0, 0, 0), False, [("", "1")]), ("life.events.seen.in", (0, 0, 2), False, [("", "2")]), ("life.events.seen", (0, 1), False, [("", "w")]),
+        ("life.events", (1,), True, [("a.b", "true")]), ("m[]", (0, 0), True, [("c", "1.5")]),
+    ]
+
+
+def test_of_equal_keys_the_last_counts():
+    assert [(r.path, r.at, r.fields) for r in rows_of('{"labels":[{"a":1},{"a":2}],"b":{"c":1},"labels":[{"a":3,"a":4}],"b":5}')] == [("", (), [("b", "5")]), ("labels", (0,), [("a", "4")])]
+    assert places('{"labels":{"0":{"a":1},"0":7,"1":{}}}') == [("labels", 1)]
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_events_against_a_parser(seed):
+    draw = random.Random(seed)
+
+    def value(depth=0):
+        kind = draw.randrange(8 if depth < 5 else 5)
+        if kind > 5:
+            return [value(depth + 1) for _ in range(draw.randrange(4))]
+        if kind == 5:
+            return {draw.choice(["a", "b", 'q"', "labels", "é\u0001", "", "x.y"]) + str(i): value(depth + 1) for i in range(draw.randrange(4))}
+        return draw.choice([None, True, False, 0, -1.5, 1e300, "", "t", 'q"\\ü', "\n", "[", "{}"])
+
+    from silsila.operators.flatten import ARRAY, END, OBJECT, TEXT, events
+
+    def built(text):
+        root = []
+        stack = [root]
+        for kind, key, v in events(text):
+            if kind == END:
+                stack.pop()
+                continue
+            new = {} if kind == OBJECT else [] if kind == ARRAY else v if kind == TEXT or v is None else json.loads(v)
+            if isinstance(stack[-1], dict):
+                stack[-1][key] = new
+            else:
+                stack[-1].append(new)
+            if kind in (OBJECT, ARRAY):
+                stack.append(new)
+        return root[0]
+
+    held = {"v": value()}
+    text = json.dumps(held, ensure_ascii=bool(seed % 2), indent=seed % 3 or None)
+    assert built(text) == held
+    # a damaged text is refused by both, or by neither
+    at = draw.randrange(len(text))
+    damaged = text[:at] + draw.choice(["", ",", "}", '"', "1", "x"]) + text[at + 1 :]
+    try:
+        want = json.loads(damaged)
+    except ValueError:
+        with pytest.raises(ValueError):
+            built(damaged)
+    else:
+        assert built(damaged) == want
 
 
 def test_current_record_and_clashing_columns(spark):
@@ -42,6 +115,12 @@ def test_current_record_and_clashing_columns(spark):
     assert flatten_lists(df.limit(0), "person_json", PERSON_LISTS).count() == 0
 
 
+def test_halves_of_surrogate_pairs(spark):
+    df = spark.createDataFrame([("a", '{"labels":[{"key":"x\\ud83d","z":"\\ud83d\\ude00"}]}', dt.datetime(2026, 1, 1))], "person_id string, person_json string, ingested_at timestamp")
+    (row,) = pivot_fields(flatten_lists(df, "person_json", PERSON_LISTS), ["key", "z"]).collect()
+    assert row.key.startswith("x\ufffd") and row.z == "\U0001f600"
+
+
 def test_each_list_has_a_table_with_all_its_fields(spark, tmp_path):
     from silsila.plans.registry import QUERIES
 
@@ -54,10 +133,13 @@ def test_each_list_has_a_table_with_all_its_fields(spark, tmp_path):
     assert (facts["life.events"].year_hijri, facts["life.events"].place, facts["life.offices"].role, facts["life.ages"].years) == ("57", "p", "r", "60")
     events = QUERIES["p4_life_events"](spark, str(tmp_path)).collect()
     assert [(r.person_id, r.coll_path, r.pos, r.value, r.year_hijri, r.place) for r in events] == [("a", "life.events", 0, "v", "57", "p")]
-    assert [tuple(x) for x in events[0].other] == [("seen[0].by", "x"), ("seen[1]", "y")]
+    assert events[0].other == []
     assert [(r.pos, r.role, r.place) for r in QUERIES["p4_life_offices"](spark, str(tmp_path)).collect()] == [(1, "r", "q")]
-    inner = sorted(tuple(r) for r in QUERIES["p4_inner"](spark, str(tmp_path)).collect())
-    assert inner == [("a", "life.events", 0, "seen", 0, "by", "x"), ("a", "life.events", 0, "seen", 1, "", "y")]
+    inner = sorted((r.person_id, r.coll_path, r.parent_pos, r.pos, [tuple(f) for f in r.fields]) for r in QUERIES["p4_inner"](spark, str(tmp_path)).collect())
+    assert inner == [("a", "life.events.seen", [0], 0, [("by", "x")]), ("a", "life.events.seen", [0], 1, [("", "y")])]
+    tables = sorted(tuple(r) for r in QUERIES["p4_tables"](spark, str(tmp_path)).collect())
+    assert tables == [("", 0, 1, 1), ("life.ages", 1, 1, 1), ("life.events", 1, 1, 1), ("life.events.seen", 2, 2, 1), ("life.offices", 1, 1, 1)]
+    assert [r.person_id for r in QUERIES["p4_record"](spark, str(tmp_path)).collect()] == ["a"]
     assert all(f"p4_{p.replace('.', '_')}" in QUERIES for p in PERSON_LISTS)
 
 
