@@ -1,18 +1,19 @@
 """Parent-child rows as full hierarchies: root, depth, path, descendants, cycles.
 
-Cycles are exposed first: pointers to the parent are doubled until every node has reached the top of its tree;
-after k rounds 2^k layers are peeled, and once a round finishes no node, what remains runs into itself (a deeper
-node would have an ancestor at every smaller depth). Over the trees that remain an Euler tour is built (two elements for each node, entered and
-left) and ranked in parallel by pointer doubling. Ranks of entering and leaving give intervals that hold exactly
-the descendants; the weighted ranks give the depth, the tour's end the root.
+Over all rows an Euler tour is built (two elements for each node, entered and left) and ranked in parallel by pointer
+doubling. Ranks of entering and leaving give intervals that hold exactly the descendants; the weighted ranks give
+the depth, the tour's end the root. A tour is a permutation of its elements, so that of a tree ends, and that of a
+component that runs into itself is a ring: a round of doubling that ends no element leaves only rings, since an element
+further from its end would have others at every smaller distance. Cycles are thus exposed without a pass of their own;
+peeling leaves would take as many rounds as the deepest tree has layers.
 
 Defined cases: a null id is no node; repeated rows count once; of several parents the smallest is taken; a parent that
-is no node counts as none; a node that is its own parent is a cycle. No step gathers the children of one parent
-in one task: siblings are ordered within hashed lanes, and the lanes are then linked.
+is no node counts as none; a node that is its own parent is a cycle, and so is all that descends from one. No step gathers
+the children of one parent in one task: siblings are ordered within hashed lanes, and the lanes are then linked.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize, release
@@ -21,45 +22,49 @@ LANES = 32
 
 
 def _edges(df: DataFrame, node: str, parent: str) -> DataFrame:
-    rows = df.select(F.col(node).cast("string").alias("node"), F.col(parent).cast("string").alias("parent"))
-    rows = rows.where("node is not null").groupBy("node").agg(F.min("parent").alias("parent"))
-    known = rows.select(F.col("node").alias("parent"))
-    with_parent = rows.where("parent is not null").join(known, "parent", "left_semi")
-    return materialize(rows.select("node").join(with_parent.select("node", "parent"), "node", "left"))
-
-
-def rooted(edges: DataFrame, paths: bool = False) -> DataFrame:
-    """``node, parent, top, steps[, path]``; ``top`` is null for nodes whose way up never ends."""
-    waiting = -1
-    state = edges.select(
-        "node", "parent", F.coalesce("parent", "node").alias("at"), F.col("parent").isNotNull().cast("long").alias("steps"),
-        F.col("parent").isNull().alias("done"),
-        *([F.when(F.col("parent").isNull(), F.array("node")).otherwise(F.array("node", "parent")).alias("path")] if paths else []),
-    )
-    while True:
-        nxt = state.select(F.col("node").alias("at"), F.col("at").alias("at2"), F.col("steps").alias("steps2"), F.col("done").alias("done2"),
-                           *([F.col("path").alias("path2")] if paths else []))
-        open_, closed = state.where("not done"), state.where("done")
-        moved = open_.join(nxt, "at").select(
-            "node", "parent", F.col("at2").alias("at"), (F.col("steps") + F.col("steps2")).alias("steps"), F.col("done2").alias("done"),
-            *([F.concat("path", F.slice("path2", F.lit(2), F.greatest(F.size("path2") - 1, F.lit(0)))).alias("path")] if paths else []),
-        )
-        before, state = state, materialize(closed.unionByName(moved))
+    """``node, parent, name``: numbered nodes; a null or unknown parent is null."""
+    rows = df.select(F.col(node).cast("string").alias("name"), F.col(parent).cast("string").alias("above"))
+    rows = rows.where("name is not null").groupBy("name").agg(F.min("above").alias("above"))
+    numbered = materialize(rows.withColumn("node", F.monotonically_increasing_id()))
+    known = numbered.select(F.col("name").alias("above"), F.col("node").alias("parent"))
+    out = materialize(numbered.join(known, "above", "left").select("node", "parent", "name"))
+    release(numbered)
+    return out
+
+
+def _counted(df: DataFrame, open_: str) -> tuple[DataFrame, int]:
+    """``df`` as a stage, and how many of its rows are ``open_``, counted as they are written."""
+    seen = Observation()
+    out = materialize(df.observe(seen, F.count_if(F.expr(open_)).alias("n")))
+    return out, seen.get["n"]
+
+
+def paths_up(edges: DataFrame) -> DataFrame:
+    """``node, path``: names from each node to its root, by doubling; a row for every node whose way up ends."""
+    names = edges.select(F.col("node").alias("parent"), F.col("name").alias("above"))
+    first = edges.join(names, "parent", "left")
+    path = F.when(F.col("parent").isNull(), F.array("name")).otherwise(F.array("name", "above"))
+    state, waiting = _counted(first.select("node", F.coalesce("parent", "node").alias("at"), F.col("parent").isNull().alias("done"), path.alias("path")), "not done")
+    while waiting:
+        nxt = state.select(F.col("node").alias("at"), F.col("at").alias("at2"), F.col("done").alias("done2"), F.col("path").alias("path2"))
+        longer = F.concat("path", F.slice("path2", F.lit(2), F.greatest(F.size("path2") - 1, F.lit(0))))
+        moved = state.where("not done").join(nxt, "at").select("node", F.col("at2").alias("at"), F.col("done2").alias("done"), longer.alias("path"))
+        before, was = state, waiting
+        state, waiting = _counted(state.where("done").unionByName(moved), "not done")
         release(before)
-        left = state.where("not done").count()
-        if left in (0, waiting):
+        if waiting == was:
             break
-        waiting = left
-    return state.select("node", "parent", F.when(F.col("done"), F.col("at")).alias("top"), "steps", *(["path"] if paths else []))
+    return state.where("done").select("node", "path")
 
 
-def tour(trees: DataFrame) -> DataFrame:
-    """``element, next``: the Euler tours of the trees ``(node, parent)``; ``next`` is null at a tour's end.
+def tour(edges: DataFrame) -> DataFrame:
+    """``element, next, weight``: the Euler tours of ``edges(node, parent)``; ``next`` is null at a tour's end.
 
-    Siblings follow one another in lanes by hash; each lane's last sibling is followed by the next lane's first.
+    A node is entered as element ``2 * node`` and left as ``2 * node + 1``. Siblings follow one another in lanes by hash;
+    each lane's last sibling is followed by the next lane's first.
     """
     lane = F.pmod(F.xxhash64("node"), F.lit(LANES))
-    children = trees.where("parent is not null").select("parent", lane.alias("lane"), "node")
+    children = edges.where("parent is not null").select("parent", lane.alias("lane"), "node")
     in_lane = Window.partitionBy("parent", "lane").orderBy("node")
     ordered = children.withColumn("sibling", F.lead("node").over(in_lane))
     heads = children.groupBy("parent", "lane").agg(F.min("node").alias("head"))
@@ -67,60 +72,63 @@ def tour(trees: DataFrame) -> DataFrame:
     first = heads.groupBy("parent").agg(F.min_by("head", "lane").alias("first"))
     ordered = ordered.join(linked.select("parent", "lane", "next_head"), ["parent", "lane"])
     siblings = ordered.select("node", F.coalesce("sibling", "next_head").alias("sibling"))
-    nodes = trees.join(first.withColumnRenamed("parent", "node"), "node", "left").join(siblings, "node", "left")
-    entered = F.concat(F.lit(">"), "node")
-    left = F.concat(F.lit("<"), "node")
+    nodes = edges.select("node", "parent").join(first.withColumnRenamed("parent", "node"), "node", "left").join(siblings, "node", "left")
     steps = F.array(
-        F.struct(entered.alias("element"), F.coalesce(F.concat(F.lit(">"), "first"), left).alias("next"), F.lit(1).alias("weight")),
-        F.struct(left.alias("element"), F.coalesce(F.concat(F.lit(">"), "sibling"), F.concat(F.lit("<"), "parent")).alias("next"), F.lit(-1).alias("weight")),
+        F.struct(F.expr("2 * node").alias("element"), F.expr("coalesce(2 * first, 2 * node + 1)").alias("next"), F.lit(1).alias("weight")),
+        F.struct(F.expr("2 * node + 1").alias("element"), F.expr("coalesce(2 * sibling, 2 * parent + 1)").alias("next"), F.lit(-1).alias("weight")),
     )
     return nodes.select(F.explode(steps).alias("s")).select("s.element", "s.next", "s.weight")
 
 
 def ranked(elements: DataFrame) -> DataFrame:
-    """``element, last, rank, weight``: steps and weights from each element to the end of its list.
+    """``element, last, rank, weight, done``: steps and weights from each element to the end of its list, by pointer doubling.
 
-    Pointer doubling; lists without an end must have been taken out before.
+    Elements of a list without an end are not ``done``.
     """
-    state = materialize(elements.select(
+    state, waiting = _counted(elements.select(
         "element", F.coalesce("next", "element").alias("last"), F.col("next").isNotNull().cast("long").alias("rank"),
         F.col("weight").cast("long").alias("weight"), F.col("next").isNull().alias("done"),
-    ))
-    while True:
+    ), "not done")
+    while waiting:
         open_, closed = state.where("not done"), state.where("done")
         nxt = state.select(F.col("element").alias("last"), F.col("last").alias("last2"), F.col("rank").alias("rank2"), F.col("weight").alias("weight2"), F.col("done").alias("done2"))
         moved = open_.join(nxt, "last").select(
             "element", F.col("last2").alias("last"), (F.col("rank") + F.col("rank2")).alias("rank"), (F.col("weight") + F.col("weight2")).alias("weight"), F.col("done2").alias("done")
         )
-        before, state = state, materialize(closed.unionByName(moved))
+        before, was = state, waiting
+        state, waiting = _counted(closed.unionByName(moved), "not done")
         release(before)
-        if state.where("not done").isEmpty():
-            return state.drop("done")
+        if waiting == was:
+            break
+    return state
 
 
 def hierarchy(df: DataFrame, node: str, parent: str, paths: bool = False) -> DataFrame:
     """``node, parent, root, depth, entered, left, descendants, is_cycle[, path]`` for every node.
 
     ``x`` descends from ``y`` exactly if both have one root and ``y.entered < x.entered < y.left``. For nodes of a way
-    that never ends root and depth are null and ``is_cycle`` is true.
+    that never ends all these are null and ``is_cycle`` is true.
     """
-    climbed = materialize(rooted(_edges(df, node, parent), paths))
-    trees = climbed.where("top is not null")
-    ranks = ranked(tour(trees.select("node", "parent")))
-    side, name = F.substring("element", 1, 1), F.expr("substring(element, 2)")
+    edges = _edges(df, node, parent)
+    ranks = ranked(tour(edges))
     # ranks count from the tour's end; entered and left count from its beginning
-    both = ranks.select(name.alias("node"), side.alias("side"), F.expr("substring(last, 2)").alias("root"), "rank", "weight")
-    sides = both.groupBy("node").agg(
-        F.first("root").alias("root"), F.max(F.when(F.col("side") == ">", F.col("rank"))).alias("in_rank"),
-        F.max(F.when(F.col("side") == "<", F.col("rank"))).alias("out_rank"), F.max(F.when(F.col("side") == ">", -F.col("weight"))).alias("depth"),
+    entered = F.col("element") % 2 == 0
+    sides = ranks.groupBy(F.expr("element div 2").alias("node")).agg(
+        F.bool_and("done").alias("done"), F.max(F.expr("last div 2")).alias("top"), F.max(F.when(entered, F.col("rank"))).alias("in_rank"),
+        F.max(F.when(~entered, F.col("rank"))).alias("out_rank"), F.max(F.when(entered, -F.col("weight"))).alias("depth"),
     )
-    lengths = sides.where("node = root").select("root", (F.col("in_rank")).alias("length"))
-    placed = sides.join(lengths, "root").select(
-        "node", "root", "depth", (F.col("length") - F.col("in_rank")).alias("entered"), (F.col("length") - F.col("out_rank")).alias("left"),
-        ((F.col("in_rank") - F.col("out_rank") - 1) / 2).cast("long").alias("descendants"),
+    rows = edges.join(sides, "node").withColumn("top", F.when(F.col("done"), F.col("top")))
+    tops = rows.where("node = top").select("top", F.col("name").alias("root"), F.col("in_rank").alias("length"))
+    above = edges.select(F.col("node").alias("parent"), F.col("name").alias("above"))
+    placed = rows.join(tops, "top", "left").join(above, "parent", "left")
+    if paths:
+        placed = placed.join(paths_up(edges), "node", "left")
+    known = F.col("top").isNotNull()
+    return placed.select(
+        F.col("name").alias("node"), F.col("above").alias("parent"), "root", F.when(known, F.col("depth")).alias("depth"), (F.col("length") - F.col("in_rank")).alias("entered"),
+        (F.col("length") - F.col("out_rank")).alias("left"), F.when(known, F.expr("(in_rank - out_rank - 1) div 2")).alias("descendants"), (~known).alias("is_cycle"),
+        *(["path"] if paths else []),
     )
-    out = climbed.select("node", "parent", F.col("top").isNull().alias("is_cycle"), *(["path"] if paths else [])).join(placed, "node", "left")
-    return out.select("node", "parent", "root", "depth", "entered", "left", "descendants", "is_cycle", *([F.when(~F.col("is_cycle"), F.col("path")).alias("path")] if paths else []))
 
 
 def lineage_edges(nasab: DataFrame) -> DataFrame:
