@@ -1,8 +1,9 @@
 """Sentence boundaries across languages and scripts.
 
 The method is that of the standard sentence-break properties: terminators of all scripts, closing
-quotation marks and brackets, numbers and lower-case continuation, with language-specific suppression of
-abbreviations. A paragraph is always left at a blank line.
+quotation marks and brackets, numbers and lower-case continuation, with suppression of the abbreviations of the
+paragraph's language. A paragraph is always left at a blank line. Work grows in proportion to the text, however many
+marks and quotations a paragraph has.
 
 Defined cases: a null, empty or blank text has no sentences; a paragraph without any letter or digit is one
 sentence; a quotation mark without its partner in the paragraph is ordinary text.
@@ -11,9 +12,12 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,31 +26,42 @@ from pyspark.sql import functions as F
 INVISIBLE = "\u00ad\u034f\u061c\u180e\u200b-\u200f\u202a-\u202e\u2060-\u2064\u2066-\u206f\ufeff"
 #: Full stops that may also close an abbreviation or stand in a number.
 DOTS = ".․…．﹒"
-#: Marks that close a sentence wherever they stand outside quotation marks: Unicode's Sentence_Terminal but for ``DOTS``, and a few more.
-STRONG = (
-    "!?\u0589\u061d\u061e\u061f\u06d4\u0700-\u0702\u0964\u0965\u104a\u104b\u1362\u1367\u1368\u166e\u1803\u1809"
-    "\u17d4\u17d5\u0f0d\u0f0e\u203c\u203d\u2047-\u2049\u3002\ufe12\ufe15\ufe16\ufe56\ufe57\uff01\uff1f\uff61"
-    "\u07f9\u0837\u0839\u083d\u083e\u1735\u1736\u1944\u1945\u1aa8-\u1aab\u1b4e\u1b4f\u1b5a\u1b5b\u1b5e\u1b5f\u1b7d-\u1b7f\u1c3b\u1c3c\u1c7e\u1c7f"
-    "\u2cf9-\u2cfb\u2e2e\u2e3c\u2e53\u2e54\u2e60\u2e61\ua4ff\ua60e\ua60f\ua6f3\ua6f7\ua876\ua877\ua8ce\ua8cf\ua92f\ua9c8\ua9c9\uaa5d-\uaa5f"
-    "\uaaf0\uaaf1\uabeb\U00010a56\U00010a57\U00010f55-\U00010f59\U00010f86-\U00010f89\U00011047\U00011048\U000110be-\U000110c1"
-    "\U00011141-\U00011143\U000111c5\U000111c6\U000111cd\U000111de\U000111df\U00011238\U00011239\U0001123b\U0001123c\U000112a9"
-    "\U000113d4\U000113d5\U0001144b\U0001144c\U000115c2\U000115c3\U000115c9-\U000115d7\U00011641\U00011642\U0001173c-\U0001173e\U00011944"
-    "\U00011946\U00011a42\U00011a43\U00011a9b\U00011a9c\U00011c41\U00011c42\U00011ef7\U00011ef8\U00011f43\U00011f44\U00016a6e\U00016a6f\U00016af5"
-    "\U00016b37\U00016b38\U00016b44\U00016d6e\U00016d6f\U00016e98\U0001bc9f\U0001da88"
-)
+#: Tibetan shads close a sentence, too, though they lack the property of sentence terminals.
+SHADS = "\u0f0d\u0f0e"
 #: Scripts without closing marks, in which white space divides the sentences (Thai, Lao).
 UNMARKED = "\u0e01-\u0e3a\u0e40-\u0e5b\u0e81-\u0edf"
 QUOTES = {"«": "»", "“": "”", "”": "“", '"': '"', "„": "“", "「": "」", "『": "』", "｢": "｣", "＂": "＂", "‹": "›", "《": "》"}
 CLOSERS = "»”“\"」』｣＂›》)\\]）］}'’"
-#: Abbreviations before a name: they never end a sentence before a capital letter.
-TITLES = {"dr", "prof", "mr", "mrs", "st", "rev", "gen", "col", "capt", "hon", "pres", "b", "bt", "d"}
-#: Abbreviations that point at something that follows.
+#: Abbreviations that never end a sentence before a capital letter (they stand before a name), that point at something
+#: which follows, and that may be the last word of a sentence; accents left out.
+TITLES = {
+    "en": {"dr", "prof", "mr", "mrs", "st", "rev", "gen", "col", "capt", "hon", "pres", "b", "bt", "d"},
+    "de": {"dr", "prof", "hr", "fr", "frl", "st", "hl", "dipl", "ing", "b", "bt"},
+    "fr": {"dr", "pr", "m", "mm", "mme", "mmes", "mlle", "mgr", "st", "ste", "me", "b", "bt"},
+    "es": {"dr", "dra", "prof", "sr", "sra", "srta", "sres", "d", "dna", "lic", "ing", "sto", "sta", "ud", "uds", "b", "bt"},
+}
 REFERENCES = {
-    "vol", "vols", "no", "nos", "p", "pp", "fol", "fols", "ff", "cf", "c", "ca", "i.e", "e.g", "ed", "eds", "ch", "sec",
-    "fig", "art", "viz", "ms", "mss", "approx", "vs", "trans", "tr", "n", "l", "ll", "r", "v", "s", "q.v", "s.v",
+    "en": {
+        "vol", "vols", "no", "nos", "p", "pp", "fol", "fols", "ff", "cf", "c", "ca", "i.e", "e.g", "ed", "eds", "ch", "sec",
+        "fig", "art", "viz", "ms", "mss", "approx", "vs", "trans", "tr", "n", "l", "ll", "r", "v", "s", "q.v", "s.v",
+    },
+    "de": {"nr", "vgl", "bzw", "bd", "bde", "s", "anm", "abb", "hrsg", "evtl", "ggf", "ca", "geb", "gest", "art", "abs", "kap", "sog", "inkl", "max", "min", "ebd", "fol"},
+    "fr": {"vol", "no", "p", "pp", "fig", "t", "chap", "ed", "cf", "env", "art", "av", "apr", "ms", "mss", "fol", "al"},
+    "es": {"vol", "num", "nums", "pag", "pags", "p", "pp", "fig", "cap", "ed", "aprox", "art", "cf", "ms", "fol", "tel", "av"},
 }
-#: Abbreviations that may be the last word of a sentence.
-FINALS = {"jr", "sr", "etc", "al", "ibid", "ah", "ad", "bc", "ce", "bce", "a.h", "a.d", "b.c", "op", "cit", "esq", "inc", "ltd", "co"}
+FINALS = {
+    "en": {"jr", "sr", "etc", "al", "ibid", "ah", "ad", "bc", "ce", "bce", "a.h", "a.d", "b.c", "op", "cit", "esq", "inc", "ltd", "co"},
+    "de": {"usw", "etc", "jh", "chr", "co", "ff", "u.a", "n.chr", "v.chr"},
+    "fr": {"etc", "ibid", "cie", "j.-c", "s"},
+    "es": {"etc", "ibid", "cia", "a.c", "d.c", "jr"},
+}
+#: Frequent words by which a paragraph's language is told; without any the English lists hold.
+FREQUENT = {
+    "en": {"the", "and", "of", "was", "is", "to", "his", "he", "in", "for", "with", "that"},
+    "de": {"der", "die", "das", "und", "ist", "nicht", "ein", "eine", "den", "dem", "mit", "von", "zu", "auch"},
+    "fr": {"le", "la", "les", "et", "est", "une", "des", "du", "dans", "que", "qui", "il", "au"},
+    "es": {"el", "la", "los", "las", "y", "es", "una", "del", "en", "que", "por", "con", "su"},
+}
 #: Words that begin a sentence though an initial stands before them.
 STARTERS = {
     "he", "she", "it", "they", "we", "i", "the", "his", "her", "its", "their", "this", "that", "these", "those", "there", "here",
@@ -56,6 +71,9 @@ STARTERS = {
 #: Letters of other scripts that look like Latin ones in a short token.
 LATIN_ALIKE = str.maketrans("аеосрхуіАВЕНІКМОРСТХУοαεορνΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "aeocpxyiABEHIKMOPCTXYoaeopvABEZHIKMNOPTYX")
 # ------------------------------------------------------------------------------------------------------
+#: Marks that close a sentence wherever they stand outside quotation marks: Unicode's Sentence_Terminal but for ``DOTS``.
+STRONG = "".join(c for c in regex.findall(r"\p{Sentence_Terminal}", "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))) if c not in DOTS) + SHADS
+_LONGEST = max(len(x) for lists in (TITLES, REFERENCES, FINALS) for words in lists.values() for x in words)
 
 _BREAK = r"(?>\r\n|[\n\r\x85\u2028])"
 _PARAGRAPHS = re.compile(rf"{_BREAK}(?:[^\S\r\n\x85\u2028\u2029]|[{INVISIBLE}])*{_BREAK}[\s{INVISIBLE}]*|\u2029\s*")
@@ -72,19 +90,37 @@ _TAIL = re.compile(
 _TOKEN = re.compile(r"[^\s(\[{（［«“\"'「『،,؛;:/\-–—]{1,12}$")
 _BEFORE_TOKEN = re.compile(rf"(\d)[{INVISIBLE}]*\s+[{INVISIBLE}]*$")
 _WORD = re.compile(r"[^\W_]")
+_LATIN_WORD = re.compile(r"[A-Za-z\u00c0-\u024f]+")
 _HEAD = re.compile(rf"[\s{INVISIBLE}]*(?:\d[{INVISIBLE}]*)+$")
 
 
-def _quoted(text: str, start: int, end: int) -> list[tuple[int, int]]:
-    spans, at = [], start
-    while (m := _QUOTE.search(text, at, end)) is not None:
-        close = text.find(QUOTES[m[0]], m.end(), end)
-        if close < 0:
-            at = m.end()
-        else:
-            spans.append((m.start(), close))
-            at = close + 1
-    return spans
+class _Quotations:
+    """The quotations of a paragraph, one behind the other."""
+
+    def __init__(self, text: str, start: int, end: int):
+        self.begins: list[int] = []
+        self.closes: list[int] = []
+        at, missing = start, set()
+        while (m := _QUOTE.search(text, at, end)) is not None:
+            mark = QUOTES[m[0]]
+            close = -1 if mark in missing else text.find(mark, m.end(), end)
+            if close < 0:
+                missing.add(mark)
+                at = m.end()
+            else:
+                self.begins.append(m.start())
+                self.closes.append(close)
+                at = close + 1
+
+    def hold(self, at: int) -> bool:
+        k = bisect_left(self.begins, at) - 1
+        return k >= 0 and at < self.closes[k]
+
+
+def language_of(text: str, start: int, end: int) -> str:
+    """The language whose frequent words the paragraph holds most."""
+    words = [w.lower() for w in _LATIN_WORD.findall(text, start, end)]
+    return max(FREQUENT, key=lambda lang: sum(w in FREQUENT[lang] for w in words))
 
 
 def _short_form(token: str) -> str:
@@ -92,7 +128,7 @@ def _short_form(token: str) -> str:
     return "".join(c for c in token if not unicodedata.combining(c))
 
 
-def _dot_ends(text: str, start: int, at: int, after: int, end: int) -> bool:
+def _dot_ends(text: str, start: int, at: int, after: int, end: int, language: Callable[[], str]) -> bool:
     """Whether the single dot at ``at`` ends a sentence; the paragraph is ``text[start:end]``."""
     nxt = _VISIBLE_NEXT.match(text, after, end)
     if nxt is None:
@@ -124,14 +160,15 @@ def _dot_ends(text: str, start: int, at: int, after: int, end: int) -> bool:
             if unicodedata.normalize("NFKC", head + rest).lower() in STARTERS and unicodedata.normalize("NFKC", head).isupper():
                 return True
             return False
-        if lower in TITLES or lower in REFERENCES:
+        lang = language() if len(lower) <= _LONGEST else ""
+        head = unicodedata.normalize("NFKC", head)
+        if lang and (lower in TITLES[lang] or lower in REFERENCES[lang]):
             return False
-        if lower in FINALS:
-            head = unicodedata.normalize("NFKC", head)
+        if lang and lower in FINALS[lang]:
             return not (head.islower() or head.isdigit())
-        if "." in stem and all(len(x) <= 1 for x in stem.split(".")) and stem[0].isalpha():
-            return False  # initials without blanks
-        return not unicodedata.normalize("NFKC", head).islower()
+        if "." in stem and all(len(x) <= 1 for x in stem.split(".")) and stem[0].isalpha():  # initials without blanks
+            return lang == "en" and head.isupper() and unicodedata.normalize("NFKC", head + rest).lower() in STARTERS
+        return not head.islower()
     parts = stem.split(".")
     tail = parts[-1].replace("ـ", "")
     if len(tail) == 1 and tail.isalpha():
@@ -162,13 +199,14 @@ def sentence_spans(text: str | None) -> list[tuple[int, int]]:
 
 
 def _paragraph(text: str, start: int, end: int, unmarked: bool, out: list[tuple[int, int]]) -> None:
-    quotes: list[tuple[int, int]] | None = None
+    quotes: _Quotations | None = None
     ends: list[int] = []
+    language = lru_cache(maxsize=1)(lambda: language_of(text, start, end))
     for m in _MARKS.finditer(text, start, end):
         a, b = m.span()
         if quotes is None:
-            quotes = _quoted(text, start, end)
-        if quotes and any(x < a < y for x, y in quotes):
+            quotes = _Quotations(text, start, end)
+        if quotes.hold(a):
             continue
         marks = m[0]
         if marks.strip(DOTS) == "":
@@ -178,14 +216,14 @@ def _paragraph(text: str, start: int, end: int, unmarked: bool, out: list[tuple[
                     k -= 1
                 if k < start or text[k].isspace():
                     continue
-            elif not _dot_ends(text, start, a, b, end):
+            elif not _dot_ends(text, start, a, b, end, language):
                 continue
         ends.append(min(end, _TAIL.match(text, b, end).end()))
     if unmarked:
         for m in _SPACE_UNMARKED.finditer(text, start, end):
             if quotes is None:
-                quotes = _quoted(text, start, end)
-            if not any(x < m.start() < y for x, y in quotes):
+                quotes = _Quotations(text, start, end)
+            if not quotes.hold(m.start()):
                 ends.append(m.start(1))
         ends.sort()
     first, at = True, start

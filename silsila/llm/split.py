@@ -1,8 +1,9 @@
 """Cutting oversized texts into overlapping pieces at natural boundaries.
 
-Offsets are prefix sums of the units' lengths (code points), the possible cuts a sorted array for each level:
-paragraph, sentence, word. The last cut under the limit is found by binary search, the next piece steps back by
-the overlap, and where no level offers a cut the piece is cut hard at the limit.
+Offsets count code points, so that they are the prefix sums of the units before them; the possible cuts are a sorted array
+for each level: paragraph, sentence, word. The last cut under the limit is found by binary search, the next piece steps
+back by the overlap, and where no level offers a cut the piece is cut hard at the limit. The same search tells the
+coarsest level that suffices: the first at which it never falls back.
 
 Defined cases: null, empty and blank texts and texts of at most ``limit`` code points without outer white space
 give no pieces. A cut lies at the beginning of the next paragraph, sentence or word, so that the blanks before it
@@ -14,7 +15,6 @@ from __future__ import annotations
 import re
 from bisect import bisect_right
 from collections.abc import Iterator
-from itertools import accumulate
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -30,40 +30,51 @@ LIMIT, OVERLAP = 9000, 200
 _WORDS = re.compile(r"\S+")
 
 
-class Boundaries(NamedTuple):
-    """Sorted cut offsets of each level and the length of its longest unit."""
+class Level(NamedTuple):
+    """The units of one level: sorted offsets where they begin and where they end, blanks left out."""
 
-    cuts: tuple[list[int], list[int], list[int]]
-    longest: tuple[int, int, int]
+    begins: list[int]
+    ends: list[int]
 
+    def last_cut(self, limit: int) -> int:
+        """The last offset up to ``limit`` at which a unit but the first begins; -1 if there is none."""
+        k = bisect_right(self.begins, limit, 1) - 1 if self.begins else 0
+        return self.begins[k] if k > 0 else -1
 
-def boundaries(text: str) -> Boundaries:
+    def suffices(self, limit: int) -> bool:
+        """Whether pieces of at most ``limit`` can be cut between units only: the search never falls back."""
+        unit, size = 0, len(self.begins)
+        while unit < size:
+            after = bisect_right(self.ends, self.begins[unit] + limit, unit)
+            if after == unit:
+                return False
+            unit = after
+        return True
+
+
+def boundaries(text: str) -> tuple[Level, Level, Level]:
+    """Paragraphs, sentences and words."""
     paragraphs, at = [], 0
     for m in _PARAGRAPHS.finditer(text):
         paragraphs.append((at, m.start()))
         at = m.end()
     paragraphs.append((at, len(text)))
-    units = (
-        [(a, b) for a, b in paragraphs if not text[a:b].isspace() and b > a],
-        sentence_spans(text),
-        [m.span() for m in _WORDS.finditer(text)],
-    )
-    longest = tuple(max((len(text[a:b].strip()) for a, b in level), default=0) for level in units)
-    # prefix sums: a unit and the blanks behind it make one step
-    cuts = []
-    for level in units:
-        starts = [a for a, _ in level][1:]
-        steps = [b - a for a, b in zip([0, *starts], starts)]
-        cuts.append(list(accumulate(steps)))
-    return Boundaries(tuple(cuts), longest)
-
-
-def finest(found: Boundaries, limit: int = LIMIT) -> str:
-    """The coarsest level all of whose units stay within ``limit``."""
-    return next((name for name, size in zip(LEVELS, found.longest) if size <= limit), "char")
-
-
-def pieces(text: str | None, limit: int = LIMIT, overlap: int = OVERLAP, found: Boundaries | None = None) -> list[tuple[int, int, str]]:
+    trimmed = []
+    for a, b in paragraphs:
+        unit = text[a:b]
+        if unit and not unit.isspace():
+            first = a + len(unit) - len(unit.lstrip())
+            trimmed.append((first, first + len(unit.strip())))
+    units = (trimmed, sentence_spans(text), [m.span() for m in _WORDS.finditer(text)])
+    return tuple(Level([a for a, _ in level], [b for _, b in level]) for level in units)
+
+
+def finest(found: tuple[Level, Level, Level], limit: int = LIMIT) -> str:
+    """The coarsest level whose units suffice for pieces of at most ``limit``."""
+    return next((name for name, level in zip(LEVELS, found) if level.suffices(limit)), "char")
+
+
+def pieces(text: str | None, limit: int = LIMIT, overlap: int = OVERLAP, found: tuple[Level, Level, Level] | None = None) -> list[tuple[int, int, str]]:
     """``(start, end, level of the cut at its end)`` of each piece; the last piece ends with ``end``."""
     if not 0 <= overlap < limit:
         raise ValueError("overlap must be at least 0 and less than limit")
@@ -73,10 +84,10 @@ def pieces(text: str | None, limit: int = LIMIT, overlap: int = OVERLAP, found:
     out, start, size = [], 0, len(text)
     while size - start > limit:
         end, level = start + limit, "char"
-        for cuts, name in zip(found.cuts, LEVELS):
-            k = bisect_right(cuts, start + limit) - 1
-            if k >= 0 and cuts[k] > start + overlap:
-                end, level = cuts[k], name
+        for units, name in zip(found, LEVELS):
+            cut = units.last_cut(start + limit)
+            if cut > start + overlap:
+                end, level = cut, name
                 break
         out.append((start, end, level))
         start = end - overlap

@@ -89,3 +89,21 @@ def test_terminators_of_all_scripts():
 
     for mark in "\u07f9\u1735\u1b5a\u1c7e\ua60e\ua9c8\uaa5d\uabeb\u2e2e\U00011047\U00016af5":
         assert sentence_starts(f"abc def{mark} ghi jkl{mark}") == [0, 9], hex(ord(mark))
+
+
+def test_abbreviations_of_the_paragraphs_language():
+    cases = {
+        "Siehe Nr. 5 und die Herren. Das ist gut.": 2, "El Sr. López llegó. La casa es grande.": 2, "Das ist vgl. Seite 5 und bzw. Herr Meier. Gut.": 2,
+        "He lives in Washington D.C. The city grew.": 2, "Voir M. Dupont et la maison. Il est là.": 2, "The house of John Brown Sr. He left it.": 2, "See i.e. The book of J.R. Brown.": 1,
+    }
+    for text, n in cases.items():
+        assert len(sentence_spans(text)) == n, text
+
+
+def test_work_is_in_proportion_to_the_quotations():
+    import time
+
+    for text in ("He said «no. yes» and left. ", "He said „no. yes and left. ", "قال «لا. نعم» ثم مضى. "):
+        began = time.perf_counter()
+        assert len(sentence_spans(text * 8000)) >= 8000
+        assert time.perf_counter() - began < 2
