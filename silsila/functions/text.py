@@ -14,6 +14,9 @@ NUMERALS = {
     "ثلاثين": 30, "أربعين": 40, "اربعين": 40, "خمسين": 50, "ستين": 60, "سبعين": 70, "ثمانين": 80, "تسعين": 90, "مائة": 100, "مئة": 100,
 }
 LAST_YEAR = 1500
+#: What a quotation of a clause may begin with or leave out.
+CONNECTIVE = r"^(?:و|ف|ثم|قال)\s*"
+SHORTEST_QUOTE = 8
 CHUNK, CHUNKS = 9000, 8
 # ----------------------------------------------------------------------------------------------------
 
@@ -158,8 +161,15 @@ def confidence(layer: Column, status: Column) -> Column:
     return F.when(layer == "regex", 0.3).when(layer == "structural", 1.0).when(status == "verified", 0.9).when(status == "unverified", 0.55).otherwise(0.7)
 
 
-def evidence_status(source: Column, quote: Column) -> Column:
-    """absent, too_short (under 8), verified (the source holds the quote, if need be without a leading "and"), unverified."""
-    bare = F.regexp_replace(quote, r"^و", "")
-    held = F.contains(source, quote) | ((F.length(bare) >= 8) & F.contains(source, bare))
-    return F.when(quote.isNull() | (quote == ""), "absent").when(F.length(quote) < 8, "too_short").when(held, "verified").otherwise("unverified")
+def evidence_status(source: Column | str, quote: Column | str) -> Column:
+    """absent, too_short, verified or unverified: whether the source holds the quote.
+
+    Both are compared by their ``verification_key``, of which under 8 characters are too short; a connective at the
+    quote's beginning may be missing in the source. A null or empty quote is absent.
+    """
+    given = _col(quote)
+    hay, needle = verification_key(source), verification_key(quote)
+    bare = F.regexp_replace(needle, CONNECTIVE, "")
+    held = F.contains(hay, needle) | ((F.length(bare) >= SHORTEST_QUOTE) & F.contains(hay, bare))
+    status = F.when(F.length(needle) < SHORTEST_QUOTE, "too_short").when(held, "verified").otherwise("unverified")
+    return F.when(given.isNull() | (given == ""), "absent").otherwise(status)

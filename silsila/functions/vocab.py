@@ -29,17 +29,14 @@ class Vocabulary:
     def load(cls, terms: DataFrame, key: str = "authority_key", label: str = "label_ar", aliases: str = "aliases", most: int = 10_000) -> Vocabulary:
         """Of a fixed table; more than ``most`` terms are refused, since a vocabulary is carried by every task.
 
-        Equally long aliases go by their letters, then by key.
+        Terms go by their key, aliases before the label; of equal aliases the later term wins. Equally long aliases keep
+        the order in which they first stood.
         """
         rows = terms.select(key, label, aliases).limit(most + 1).collect()
         if len(rows) > most:
             raise ValueError(f"a vocabulary of more than {most} terms must be joined, not carried")
-        pairs = {(a, r[key]) for r in rows for a in [*(r[aliases] or []), r[label]] if a and r[key]}
-        best: dict[str, str] = {}
-        for a, k in sorted(pairs, reverse=True):
-            best[a] = k
-        every = sorted(pairs, key=lambda p: (-len(p[0]), p[0], p[1]))
-        return cls(tuple(every))
+        named = sorted((r[key], sorted(a for a in (r[aliases] or []) if a), r[label] or "") for r in rows if r[key])
+        return cls.of([(k, [*names, last]) for k, names, last in named])
 
     def _table(self) -> Column:
         return F.array(*[F.struct(F.lit(a).alias("alias"), F.lit(k).alias("key")) for a, k in self.aliases])

@@ -38,7 +38,7 @@ class Pass:
         return top_k_per_key(self.select(facts), [key], [F.col("field"), F.col("idx")], self.most, "item_no")
 
 
-REPAIR = Pass("repair", lambda f: f.where((F.col("source") == "llm") & (evidence_status(F.coalesce("body", F.lit("")), F.col("evidence")) == "unverified")))
+REPAIR = Pass("repair", lambda f: f.where((F.col("source") == "llm") & (evidence_status("body", "evidence") == "unverified")))
 KINDS = Pass("kinds", lambda f: f.where(
     (F.col("field").isin("narration.praise", "narration.criticism", "narration.defenses") & (F.coalesce("kind", F.lit("other")) == "other"))
     | ((F.col("field") == "life.events") & (F.coalesce("kind", F.lit("incident")) == "incident"))
@@ -85,11 +85,11 @@ def answered(requests: DataFrame, provider: Provider | None, at_a_time: int = 8,
 
 
 def repaired(facts: DataFrame, patches: DataFrame, key: str = "person_id") -> DataFrame:
-    """Evidence patched where field, place and value agree: null clears (0.7), a verified quote counts 0.9, others are ignored."""
+    """Evidence patched where field, place and value agree: null clears (0.7), a quote that the body holds counts 0.9, others are ignored."""
     p = patches.select(key, "field", "idx", F.col("value").alias("p_value"), F.col("new_evidence"), F.lit(True).alias("__patched"))
     rows = facts.join(p, [key, "field", "idx"], "left")
     hit = F.coalesce("__patched", F.lit(False)) & (F.col("p_value") == F.col("value"))
-    verified = F.col("new_evidence").isNotNull() & F.contains(F.coalesce("body", F.lit("")), F.col("new_evidence"))
+    verified = evidence_status("body", "new_evidence") == "verified"
     clear, set_ = hit & F.col("new_evidence").isNull(), hit & verified
     return rows.withColumns({
         "evidence": F.when(clear, F.lit(None).cast("string")).when(set_, F.col("new_evidence")).otherwise(F.col("evidence")),
@@ -118,7 +118,7 @@ def relabelled(spans: DataFrame, replies: DataFrame, key: str = "person_id") ->
 def timelines(items: DataFrame, years: DataFrame, key: str = "person_id") -> DataFrame:
     """``items(key, kind, vocab_key, year, ord)`` as one list a person: birth, battles, events, death; the vocabulary's year
     stands in for a missing one; by year with unknown ones last, else in order. Persons without items have none."""
-    rows = items.join(F.broadcast(years.select("vocab_key", F.col("year").alias("v_year"))), "vocab_key", "left")
+    rows = items.join(years.select("vocab_key", F.col("year").alias("v_year")), "vocab_key", "left")
     rows = rows.withColumn("year", F.coalesce("year", "v_year")).where(~F.col("kind").isin("birth", "death") | F.col("year").isNotNull())
     entry = F.struct(F.col("year").isNull().alias("last"), "year", "ord", "kind", "vocab_key")
     out = rows.groupBy(key).agg(F.sort_array(F.collect_list(entry)).alias("t"))
