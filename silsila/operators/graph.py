@@ -4,8 +4,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.folding import folded, folded_each
 from ..functions.text import flatten, western_digits
 from ..functions.vocab import Vocabulary
+from ..session import materialize
 from .lineage import overlap
 from .relational import filter_or_keep, first_members, unique_best
 
@@ -22,9 +24,8 @@ RELATION = {
     "أبيه": "father", "أبيها": "father", "والده": "father", "والدها": "father", "جده": "grandfather", "جدها": "grandfather", "أخيه": "brother", "أخيها": "brother",
     "أخته": "sister", "ابنه": "son", "ابنها": "son", "ولده": "son", "زوجها": "husband", "زوجه": "wife", "أمه": "mother", "أمها": "mother", "عمه": "uncle", "عمها": "uncle",
 }
-COLLECTIVE = "وغيره|آخرون|جماعة|غير واحد"
+COLLECTIVE = "آخرون|كثيرون|جماعة|غيرهم|خلق|جمع|غير واحد|وغيره"
 MOST = 40
-EDGE = "from_id string, to_id string, to_literal string, type string, relation string, source string, evidence string, confidence double, resolved boolean, ambiguous boolean, candidates array<string>"
 # -------------------------------------------------------------------------------------------------------
 
 
@@ -40,8 +41,8 @@ def citations_in(df: DataFrame, flat: str, key: str, authorities: Vocabulary) ->
     return hits.select(key, authorities.find_first("target").alias("authority_key"), "verb").where("authority_key is not null").distinct()
 
 
-def text_references(df: DataFrame, text: str, key: str) -> DataFrame:
-    """Pointers of each text, classified in order: adjacent, relation, number, qism, section, letter; at most 40 a text."""
+def text_references(df: DataFrame, text: str, key: str, most: int | None = MOST) -> DataFrame:
+    """Pointers of each text, classified in order: adjacent, relation, number, qism, section, letter; at most ``most`` a text, or all."""
     flat = western_digits(flatten(text))
     zipped = F.arrays_zip(
         F.regexp_extract_all(flat, F.lit(POINTER), F.lit(1)).alias("verb"), F.regexp_extract_all(flat, F.lit(POINTER), F.lit(2)).alias("target"),
@@ -74,37 +75,77 @@ def text_references(df: DataFrame, text: str, key: str) -> DataFrame:
     same = ["kind", "offset", "relation", "entry_number", "qism", "section", "letter"]
     first = rows.groupBy(key, *same).agg(F.min(F.struct("pos", "direction", "evidence")).alias("f"))
     out = first.select(key, "f.pos", *same, "f.direction", "f.evidence")
-    return out.withColumn("n", F.row_number().over(Window.partitionBy(key).orderBy("pos"))).where(F.col("n") <= MOST).drop("n")
+    if most is None:
+        return out
+    return out.withColumn("n", F.row_number().over(Window.partitionBy(key).orderBy("pos"))).where(F.col("n") <= most).drop("n")
 
 
-def name_keys(index: DataFrame) -> DataFrame:
-    """``norm, person_id`` of every name form of ``index(person_id, forms array<string>)``."""
-    return index.select("person_id", F.explode("forms").alias("norm")).where("norm is not null and norm != ''").distinct()
+#: The relations whose bearer is a woman.
+WOMEN = ("mother", "sister", "wife", "daughter")
+FILTERS = ("section", "letter", "qism", "is_woman", "nisba_key")
 
 
-def resolve_names(wanted: DataFrame, keys: DataFrame, index: DataFrame, most: int = 5) -> DataFrame:
-    """Outcome of each ``wanted(ref_id, from_id, norm, short[, qism, section, letter, is_woman, chain])``.
+def name_keys(index: DataFrame, names: DataFrame | None = None) -> DataFrame:
+    """``norm, person_id``: every folded spelling under which a person of ``index`` can be looked up.
 
-    The full spelling is looked up; only where nobody has it, the first two names. Filters narrow several candidates
-    unless they would leave none; then the chain that shares the most forefathers decides if it is alone.
+    Of ``index`` the columns ``display_name_norm, full_name_norm, kunya, ism, father`` and ``name_keys`` (an array) are
+    taken as far as it has them: each by itself, and own name with father's name. ``names(person_id, form)`` adds variants.
     """
-    full = wanted.join(keys, "norm").select("ref_id", "person_id")
-    rest = wanted.join(full.select("ref_id").distinct(), "ref_id", "left_anti")
-    short = rest.where("short is not null").join(keys.withColumnRenamed("norm", "short"), "short").select("ref_id", "person_id")
-    found = full.unionByName(short).distinct().join(wanted.drop("norm", "short"), "ref_id").where("person_id != from_id")
-    about = index.select("person_id", *[F.col(c).alias(f"c_{c}") for c in ("qism", "section", "letter", "is_woman", "chain")])
-    found = found.join(about, "person_id")
+    have = set(index.columns)
+    single = [F.col(c) for c in ("display_name_norm", "full_name_norm", "kunya", "ism") if c in have]
+    if {"ism", "father"} <= have:
+        single.append(F.when(F.col("ism").isNotNull() & F.col("father").isNotNull(), F.concat("ism", F.lit(" بن "), "father")))
+    forms = F.array(*single)
+    if "name_keys" in have:
+        forms = F.concat(forms, F.coalesce("name_keys", F.array().cast("array<string>")))
+    rows = index.select("person_id", F.explode(forms).alias("form"))
+    if names is not None:
+        rows = rows.unionByName(names.select("person_id", "form"))
+    return rows.select(folded("form").alias("norm"), "person_id").where("norm != ''").distinct()
+
+
+def name_tokens(name: Column) -> Column:
+    """The names of a lineage, cut at the links."""
+    return F.filter(F.transform(F.split(F.coalesce(name, F.lit("")), r"(?U)\s+بن\s+"), F.btrim), lambda n: n != "")
+
+
+def resolve_names(wanted: DataFrame, keys: DataFrame, index: DataFrame, most: int = MOST) -> DataFrame:
+    """Outcome of each ``wanted(ref_id, norm[, section, letter, qism, is_woman, nisba_key, chain])``.
+
+    The full spelling is looked up; only where nobody has it, its first two names. Of several candidates those stay that
+    pass all filters given, or all of them if none passes; then the one whose lineage shares the most of the chain's
+    last four names decides, if no other shares as many. ``n_candidates`` counts all that are left, ``candidates``
+    lists the first ``most``. ``index`` has ``person_id, section, letter, qism, is_woman, nisba_keys, tokens``.
+    """
+    for c in FILTERS:
+        if c not in wanted.columns:
+            wanted = wanted.withColumn(c, F.lit(None).cast("boolean" if c == "is_woman" else "int" if c == "qism" else "string"))
+    if "chain" not in wanted.columns:
+        wanted = wanted.withColumn("chain", F.lit(None).cast("array<string>"))
+    tokens = name_tokens(F.col("norm"))
+    asked = wanted.select("ref_id", "norm", F.when(F.size(tokens) > 1, F.concat_ws(" بن ", F.slice(tokens, 1, 2))).alias("short"))
+    full = asked.join(keys, "norm").select("ref_id", "person_id")
+    rest = asked.where("short is not null").join(full.select("ref_id").distinct(), "ref_id", "left_anti")
+    short = rest.select("ref_id", F.col("short").alias("norm")).join(keys, "norm").select("ref_id", "person_id")
+    about = index.select("person_id", *[F.col(c).alias(f"c_{c}") for c in ("section", "letter", "qism", "is_woman", "nisba_keys", "tokens")])
+    found = full.unionByName(short).distinct().join(wanted.select("ref_id", *FILTERS, "chain"), "ref_id").join(about, "person_id")
+    fits = F.lit(True)
     for c in ("section", "letter", "qism", "is_woman"):
-        found = filter_or_keep(found, ["ref_id"], F.col(c).isNull() | (F.col(c) == F.col(f"c_{c}")))
-    scored = found.withColumn("score", F.coalesce(overlap(F.col("chain"), F.col("c_chain")), F.lit(0)))
-    counts = scored.groupBy("ref_id").agg(F.count_distinct("person_id").alias("n"), F.min("person_id").alias("one"))
+        fits = fits & (F.col(c).isNull() | F.coalesce(F.col(c) == F.col(f"c_{c}"), F.lit(False)))
+    fits = fits & (F.col("nisba_key").isNull() | F.coalesce(F.array_contains("c_nisba_keys", F.col("nisba_key")), F.lit(False)))
+    found = filter_or_keep(found, ["ref_id"], fits)
+    # read by each of the aggregates below
+    scored = materialize(found.select("ref_id", "person_id", F.coalesce(overlap(F.col("chain"), F.col("c_tokens")), F.lit(0)).alias("score")))
+    counts = scored.groupBy("ref_id").agg(F.count("*").alias("n"), F.min("person_id").alias("one"))
     best = unique_best(scored, ["ref_id"], "score", "person_id", 1).select("ref_id", F.col("person_id").alias("best"))
-    some = first_members(scored, ["ref_id"], "person_id", most, "candidates")
+    several = scored.join(counts.where("n > 1").select("ref_id"), "ref_id", "left_semi").join(best, "ref_id", "left_anti")
+    some = first_members(several, ["ref_id"], "person_id", most, "candidates")
     out = wanted.join(counts, "ref_id", "left").join(best, "ref_id", "left").join(some, "ref_id", "left")
     to = F.when(F.col("n") == 1, F.col("one")).otherwise(F.col("best"))
+    left = F.when(to.isNotNull(), F.lit(1).cast("long")).otherwise(F.coalesce("n", F.lit(0).cast("long")))
     return out.select(
         *wanted.columns, to.alias("to_id"), to.isNotNull().alias("resolved"), (to.isNull() & (F.coalesce("n", F.lit(0)) > 1)).alias("ambiguous"),
-        F.when(to.isNull() & (F.col("n") > 1), F.col("candidates")).alias("candidates"),
+        left.alias("n_candidates"), "candidates",
     )
 
 
@@ -114,29 +155,104 @@ def adjacent(index: DataFrame) -> DataFrame:
     return index.select("person_id", F.lead("person_id").over(w).alias("next_id"), F.lag("person_id").over(w).alias("previous_id"))
 
 
-def reference_edges(refs: DataFrame, index: DataFrame) -> DataFrame:
-    """Edges of numbered and adjacent pointers; other kinds stay unresolved with what they name. Confidence 0.8."""
+def _edges(rows: DataFrame, kind: Column, literal: Column, source: Column, evidence: Column, confidence: Column, relation: Column | None = None) -> DataFrame:
+    """Resolved rows ``(from_id, to_id, resolved, ambiguous, candidates)`` as edges."""
+    none = F.lit(None).cast("string")
+    return rows.select(
+        "from_id", "to_id", F.when(F.col("to_id").isNull(), literal).alias("to_literal"), kind.alias("type"), (none if relation is None else relation).alias("relation"),
+        source.alias("source"), evidence.alias("evidence"), confidence.cast("double").alias("confidence"), "resolved", "ambiguous",
+        F.when(F.col("ambiguous"), F.col("candidates")).alias("candidates"),
+    )
+
+
+def reference_edges(refs: DataFrame, index: DataFrame, keys: DataFrame, fathers: DataFrame | None = None) -> DataFrame:
+    """Edges of the pointers in texts, confidence 0.8.
+
+    A number resolves to the one entry that bears it, an adjacent pointer to the neighbour in the book, a relation to
+    the ``fathers(from_id, relation, to_id)`` edge of that relation, else to the father's or grandfather's name of the
+    lineage. Pointers to a part, section or letter name no entry: they stay unresolved with what they name. ``index``
+    has ``person_id, book, doc_ord, entry_number, father, grandfather, chain`` and what ``resolve_names`` needs.
+    """
     by_number = index.groupBy("entry_number").agg(F.count("*").alias("n"), F.min("person_id").alias("one"))
     some = first_members(index.select("entry_number", "person_id"), ["entry_number"], "person_id", MOST, "candidates")
-    r = refs.join(by_number.join(some, "entry_number"), "entry_number", "left").join(adjacent(index), "person_id", "left")
-    near = F.when(F.col("offset") == 1, F.col("next_id")).when(F.col("offset") == -1, F.col("previous_id"))
-    to = F.when(F.col("kind") == "see_entry", F.when(F.col("n") == 1, F.col("one"))).when(F.col("kind") == "see_adjacent", near)
-    named = F.coalesce(F.col("relation"), F.col("entry_number").cast("string"), F.col("qism").cast("string"), F.col("section"), F.col("letter"))
-    return r.select(
-        F.col("person_id").alias("from_id"), to.alias("to_id"), F.when(to.isNull(), named).alias("to_literal"), F.col("kind").alias("type"), "relation",
-        F.lit("structural").alias("source"), "evidence", F.lit(0.8).alias("confidence"), to.isNotNull().alias("resolved"),
-        (to.isNull() & (F.coalesce("n", F.lit(0)) > 1)).alias("ambiguous"), F.when(F.col("n") > 1, F.col("candidates")).alias("candidates"),
+    numbered = refs.where("kind = 'see_entry'").join(by_number, "entry_number", "left").join(some, "entry_number", "left")
+    by_entry = numbered.select(
+        F.col("person_id").alias("from_id"), F.when(F.col("n") == 1, F.col("one")).alias("to_id"), F.coalesce(F.col("n") == 1, F.lit(False)).alias("resolved"),
+        F.coalesce(F.col("n") > 1, F.lit(False)).alias("ambiguous"), "candidates", "kind", "relation", "evidence",
     )
+    near = F.when(F.col("offset") == 1, F.col("next_id")).when(F.col("offset") == -1, F.col("previous_id"))
+    none = F.lit(None).cast("array<string>").alias("candidates")
+    beside = refs.where("kind = 'see_adjacent'").join(adjacent(index), "person_id", "left").select(
+        F.col("person_id").alias("from_id"), near.alias("to_id"), near.isNotNull().alias("resolved"), F.lit(False).alias("ambiguous"), none, "kind", "relation", "evidence"
+    )
+    related = _relation_targets(refs.where("kind = 'see_relation'"), index, keys, fathers)
+    parts = refs.where("kind in ('see_qism', 'see_section', 'see_letter')").select(
+        F.col("person_id").alias("from_id"), F.lit(None).cast("string").alias("to_id"), F.lit(False).alias("resolved"), F.lit(False).alias("ambiguous"), none, "kind", "relation", "evidence"
+    )
+    rows = by_entry.unionByName(beside).unionByName(related).unionByName(parts)
+    return _edges(rows, F.col("kind"), F.col("evidence"), F.lit("structural"), F.col("evidence"), F.lit(0.8), F.col("relation"))
 
 
-def genealogy(children: DataFrame, names: DataFrame) -> DataFrame:
-    """Father edges: persons any of whose names is the child's father; the best overlap of chains if it is alone (0.7), else ambiguous (0.4)."""
-    pairs = children.join(names, children["father_norm"] == names["norm"]).where("child_id != person_id")
-    scored = pairs.withColumn("score", F.coalesce(overlap(F.col("child_chain"), F.col("chain")), F.lit(0))).select("child_id", "person_id", "score").distinct()
-    best = unique_best(scored, ["child_id"], "score", "person_id").select("child_id", F.col("person_id").alias("to_id"))
-    some = first_members(scored, ["child_id"], "person_id", 5, "candidates")
-    out = some.join(best, "child_id", "left")
-    return out.select(
-        F.col("child_id").alias("from_id"), "to_id", F.lit("father").alias("type"), F.when(F.col("to_id").isNotNull(), 0.7).otherwise(0.4).alias("confidence"),
-        F.col("to_id").isNotNull().alias("resolved"), F.col("to_id").isNull().alias("ambiguous"), F.when(F.col("to_id").isNull(), F.col("candidates")).alias("candidates"),
+def _relation_targets(refs: DataFrame, index: DataFrame, keys: DataFrame, fathers: DataFrame | None) -> DataFrame:
+    refs = refs.withColumn("ref_id", F.concat_ws("#", "person_id", F.col("pos").cast("string")))
+    if fathers is not None:
+        known = fathers.where("to_id is not null").groupBy(F.col("from_id").alias("person_id"), "relation").agg(F.min("to_id").alias("edge_id"))
+        refs = refs.join(known, ["person_id", "relation"], "left")
+    else:
+        refs = refs.withColumn("edge_id", F.lit(None).cast("string"))
+    about = index.select("person_id", "father", "grandfather", "chain")
+    named = refs.where("edge_id is null").join(about, "person_id")
+    name = F.when(F.col("relation") == "father", F.col("father")).when(F.col("relation") == "grandfather", F.col("grandfather"))
+    wanted = named.where(name.isNotNull()).select("ref_id", folded(name).alias("norm"), folded_each("chain").alias("chain"))
+    found = resolve_names(wanted, keys, index).select("ref_id", "to_id", "ambiguous", "candidates")
+    rows = refs.join(found, "ref_id", "left")
+    to = F.coalesce("edge_id", "to_id")
+    return rows.select(
+        F.col("person_id").alias("from_id"), to.alias("to_id"), to.isNotNull().alias("resolved"), F.coalesce(F.col("ambiguous") & to.isNull(), F.lit(False)).alias("ambiguous"),
+        "candidates", "kind", "relation", "evidence",
     )
+
+
+def fact_edges(facts: DataFrame, index: DataFrame, keys: DataFrame) -> DataFrame:
+    """Edges of narrators and kin named in ``facts(person_id, coll_path, pos, value, relation, source, evidence, confidence)``.
+
+    Words for groups name nobody. A relation that only women bear asks for a woman.
+    """
+    kinds = {"narration.narrated_from": "narrated_from", "narration.narrated_to": "narrated_to", "life.family": "family"}
+    kind = F.coalesce(*[F.when(F.col("coll_path") == p, F.lit(k)) for p, k in kinds.items()])
+    rows = facts.where(F.col("coll_path").isin(*kinds) & F.col("value").isNotNull() & ~F.regexp_like("value", F.lit(COLLECTIVE)))
+    rows = rows.select(
+        F.concat_ws("#", "person_id", "coll_path", F.col("pos").cast("string")).alias("ref_id"), "person_id", kind.alias("type"), "value", "relation", "source", "evidence", "confidence"
+    )
+    chains = index.select("person_id", folded_each("chain").alias("chain"))
+    woman = F.when((F.col("type") == "family") & F.col("relation").isin(*WOMEN), F.lit(True))
+    wanted = rows.join(chains, "person_id", "left").select("ref_id", folded("value").alias("norm"), woman.alias("is_woman"), "chain")
+    found = resolve_names(wanted, keys, index).select("ref_id", "to_id", "resolved", "ambiguous", "candidates")
+    out = rows.join(found, "ref_id").withColumnRenamed("person_id", "from_id")
+    relation = F.when(F.col("type") == "family", F.col("relation"))
+    return _edges(out, F.col("type"), F.col("value"), F.col("source"), F.col("evidence"), F.col("confidence"), relation)
+
+
+def edge_stats(edges: DataFrame) -> DataFrame:
+    """Edges by type with their outcomes."""
+    out = F.when(F.col("resolved"), "resolved").when(F.col("ambiguous"), "ambiguous").otherwise("unresolved")
+    return edges.groupBy("type").agg(F.count("*").alias("n_edges"), *[F.count_if(out == o).alias(o) for o in ("resolved", "ambiguous", "unresolved")])
+
+
+def genealogy(index: DataFrame, keys: DataFrame, most: int = 5) -> DataFrame:
+    """Father edges: the entries one of whose spellings is the child's father's name.
+
+    The one whose chain shares the most of the child's last four names, if no other shares as many (0.7), else none
+    (0.4): ambiguous where there were several. ``index`` has ``person_id, father, full_name, chain``.
+    """
+    children = index.where("father is not null").select(F.col("person_id").alias("from_id"), "father", "full_name", folded("father").alias("norm"), folded_each("chain").alias("own"))
+    about = index.select("person_id", folded_each("chain").alias("chain"))
+    pairs = children.select("from_id", "norm", "own").join(keys, "norm").where("from_id != person_id").join(about, "person_id")
+    scored = materialize(pairs.select("from_id", "person_id", F.coalesce(overlap(F.col("own"), F.col("chain")), F.lit(0)).alias("score")))
+    counts = scored.groupBy("from_id").agg(F.count("*").alias("n"))
+    best = unique_best(scored, ["from_id"], "score", "person_id").select("from_id", F.col("person_id").alias("to_id"))
+    some = first_members(scored.join(best, "from_id", "left_anti"), ["from_id"], "person_id", most, "candidates")
+    out = children.join(counts, "from_id", "left").join(best, "from_id", "left").join(some, "from_id", "left")
+    out = out.withColumns({"resolved": F.col("to_id").isNotNull(), "ambiguous": F.col("to_id").isNull() & (F.coalesce("n", F.lit(0)) > 1)})
+    confidence = F.when(F.col("resolved"), 0.7).otherwise(0.4)
+    return _edges(out, F.lit("family"), F.col("father"), F.lit("structural"), F.col("full_name"), confidence, F.lit("father"))

@@ -117,20 +117,6 @@ def numeral_parse(spark, sf_dir):
     return phrases.select("phrase", X.parse_year("phrase").alias("year"))
 
 
-@query("""
-SELECT doc_id, CASE WHEN text IS NULL OR text = '' THEN 'absent' WHEN length(text) < 8 THEN 'too_short' WHEN contains(src, text) THEN 'verified' ELSE 'unverified' END AS status
-FROM (SELECT d.doc_id, regexp_extract(coalesce(d.text, ''), '«([^«»]*)»', 1) AS text, coalesce(r.text_body, '') AS src
-      FROM documents d JOIN """ + _now("raw", "person_id, text_body") + """ r ON d.person_id = r.person_id)
-""")
-def evidence_verification(spark, sf_dir):
-    raw = current_rows(table(spark, sf_dir, "raw"), "person_id", ["text_body"])
-    d = table(spark, sf_dir, "documents").where("person_id is not null").select("doc_id", "person_id", F.regexp_extract(F.coalesce("text", F.lit("")), "«([^«»]*)»", 1).alias("quote"))
-    src = F.coalesce("text_body", F.lit(""))
-    q = F.col("quote")
-    status = F.when(q == "", "absent").when(F.length(q) < 8, "too_short").when(F.contains(src, q), "verified").otherwise("unverified")
-    return d.join(raw, "person_id").select("doc_id", status.alias("status"))
-
-
 @query("""
 SELECT CASE WHEN evidence IS NULL OR evidence = '' THEN 'absent' WHEN confidence >= 0.85 THEN 'verified' WHEN confidence <= 0.6 THEN 'unverified' END AS status, count(*) AS n
 FROM """ + CITED + """ GROUP BY 1 HAVING status IS NOT NULL
@@ -443,19 +429,6 @@ def rejection_reasons(spark, sf_dir):
     return A.distribution(n, F.substring_index("rejected_reason", ":", 1), "none", "reason")
 
 
-@query("""
-WITH e AS (SELECT extract_source AS type, authority_key IS NOT NULL AS resolved, authority_key IS NULL AND authority IS NOT NULL AS ambiguous FROM """ + CITED + """),
-g AS (SELECT CASE WHEN type IN ('regex', 'structural') THEN 'rules' WHEN type = 'llm' THEN 'model' ELSE 'other' END AS edge_group, * FROM e)
-SELECT edge_group, count(*) AS n_edges, CAST(count(*) FILTER (WHERE resolved) AS BIGINT) AS resolved, CAST(count(*) FILTER (WHERE NOT resolved AND ambiguous) AS BIGINT) AS ambiguous,
-  CAST(count(*) FILTER (WHERE NOT resolved AND NOT ambiguous) AS BIGINT) AS unresolved, CAST(round(CAST(count(*) FILTER (WHERE resolved) AS DECIMAL(18,6)) / count(*), 4) AS DOUBLE) AS resolution_rate
-FROM g GROUP BY 1
-""")
-def outcome_split(spark, sf_dir):
-    c = citations(spark, sf_dir)
-    edges = c.select(F.col("extract_source").alias("type"), F.col("authority_key").isNotNull().alias("resolved"), (F.col("authority_key").isNull() & F.col("authority").isNotNull()).alias("ambiguous"))
-    return A.outcome_split(edges, {"rules": ["regex", "structural"], "model": ["llm"]})
-
-
 @query("""
 WITH c AS (SELECT *, row_number() OVER (PARTITION BY person_id ORDER BY ingested_at, evidence, authority, verb) AS rn FROM """ + CITED + """ WHERE person_id IS NOT NULL),
 o AS (SELECT person_id, authority_key, min(rn) AS first FROM c WHERE authority_key IS NOT NULL GROUP BY 1, 2)
@@ -645,7 +618,6 @@ def user_sessions(spark, sf_dir):
 # --- entries ---------------------------------------------------------------------------------------------------
 from ..functions.vocab import Vocabulary  # noqa: E402
 from ..operators import biography as Y  # noqa: E402
-from ..operators import graph as G  # noqa: E402
 
 
 def _bodies(spark, sf_dir):
@@ -680,25 +652,6 @@ def biography_facts(spark, sf_dir):
     return Y.fact_groups(raw, "text_body", "person_id")
 
 
-@query()
-def text_references(spark, sf_dir):
-    """Pointers to other entries in every text."""
-    raw = current_rows(table(spark, sf_dir, "raw"), "person_id", ["text_body"])
-    return G.text_references(raw, "text_body", "person_id").drop("evidence")
-
-
-@query()
-def genealogy_edges(spark, sf_dir):
-    """Father edges by names: the entry whose display or full name is the father's."""
-    n = current_rows(table(spark, sf_dir, "nasab"), "person_id", ["ism", "father", "grandfather", "chain"])
-    p = current_rows(table(spark, sf_dir, "persons"), "person_id", ["display_name_norm"])
-    father = F.concat_ws(" بن ", "father", "grandfather")
-    children = n.where("father is not null").select(F.col("person_id").alias("child_id"), father.alias("father_norm"), F.col("chain").alias("child_chain"))
-    chains = n.select("person_id", "chain")
-    names = p.select("person_id", F.col("display_name_norm").alias("norm")).where("norm is not null").join(chains, "person_id", "left")
-    return G.genealogy(children, names).select("from_id", "to_id", "type", "confidence", "resolved", "ambiguous", F.array_join("candidates", ",").alias("candidates"))
-
-
 @query("WITH p AS " + _now("persons", "person_id, death_year_hijri") + """, n AS """ + _now("nasab", "person_id, chain") + """
 SELECT p.person_id, coalesce(death_year_hijri, -1) AS year, CAST(coalesce(len(chain), 0) AS INTEGER) AS links FROM p LEFT JOIN n ON p.person_id = n.person_id""")
 def joined_features(spark, sf_dir):
@@ -736,24 +689,3 @@ def facts_evidence(spark, sf_dir):
 
     f = p4_facts(spark, sf_dir).select("evidence", F.col("confidence").cast("double").alias("confidence"))
     return A.evidence_tally(f)
-
-
-@query()
-def narration_edges(spark, sf_dir):
-    """Narrators named in the nested records, resolved to entries by their names: resolved, ambiguous or unresolved."""
-    from ..operators.flatten import PERSON_LISTS, flatten_lists, pivot_fields
-
-    lists = [p for p in PERSON_LISTS if p.startswith("narration.narrated")]
-    facts = pivot_fields(flatten_lists(table(spark, sf_dir, "persons"), "person_json", lists), ["value", "normalized"])
-    n = current_rows(table(spark, sf_dir, "nasab"), "person_id", ["chain"]).drop("ingested_at")
-    p = current_rows(table(spark, sf_dir, "persons"), "person_id", ["display_name_norm", "full_name_norm", "qism", "section_type", "letter", "is_woman"])
-    index = p.join(n, "person_id", "left").select(
-        "person_id", F.array_distinct(F.array_compact(F.array("display_name_norm", "full_name_norm"))).alias("forms"), "qism", F.col("section_type").alias("section"), "letter", "is_woman", "chain"
-    )
-    norm = F.coalesce("normalized", "value")
-    wanted = facts.where(norm.isNotNull()).join(n, "person_id", "left").select(
-        F.concat_ws("#", "person_id", "coll_path", F.col("pos").cast("string")).alias("ref_id"), F.col("person_id").alias("from_id"), norm.alias("norm"),
-        F.array_join(F.slice(F.split(norm, " بن "), 1, 2), " بن ").alias("short"), F.lit(None).cast("int").alias("qism"), F.lit(None).cast("string").alias("section"),
-        F.lit(None).cast("string").alias("letter"), F.lit(None).cast("boolean").alias("is_woman"), "chain",
-    )
-    return G.resolve_names(wanted, G.name_keys(index), index).select("ref_id", "from_id", "to_id", "resolved", "ambiguous", F.array_join("candidates", ",").alias("candidates"))

@@ -51,7 +51,7 @@ def _opened(x: str) -> str:
     return f"(CASE WHEN json_type({x}) = 'VARCHAR' AND json_valid({x} ->> '$') THEN CAST({x} ->> '$' AS JSON) ELSE {x} END)"
 
 
-def _flat() -> str:
+def _flat(columns: str = "CAST(x.pos AS INTEGER) AS pos") -> str:
     holders = sorted({p.rsplit(".", 1)[0] for p in PERSON_LISTS if "." in p}, key=lambda p: p.count("."))
     names = {"": "o"} | {h: h.replace(".", "_") for h in holders}
     steps, done = [], "r0"
@@ -72,10 +72,16 @@ WITH j AS (SELECT person_id, CAST(person_json AS JSON) AS h FROM {_now('persons'
 r0 AS (SELECT person_id, {_opened('h')} AS o FROM j), {', '.join(steps)},
 l AS ({lists}), v AS (SELECT person_id, coll_path, {_opened('v')} AS v FROM l WHERE v IS NOT NULL),
 x AS (SELECT person_id, coll_path, unnest({items}) AS x FROM v)
-SELECT person_id, coll_path, CAST(x.pos AS INTEGER) AS pos FROM x WHERE json_type(x.item) = 'OBJECT'
+SELECT person_id, coll_path, {columns} FROM x WHERE json_type(x.item) = 'OBJECT'
 """
 
 
+def facts_sql(lists: list[str], fields: list[str]) -> str:
+    """The objects of these lists with some of their fields as text."""
+    columns = ", ".join(["CAST(x.pos AS INTEGER) AS pos", *(f"x.item ->> '$.{f}' AS \"{f}\"" for f in fields)])
+    return f"SELECT * FROM ({_flat(columns)}) WHERE coll_path IN ({', '.join(repr(p) for p in lists)})"
+
+
 SQL = {"p6_found": LINEAGE, "p4_found": _flat()}
 FACT_COUNTS = f"""
 WITH f AS ({SQL['p4_found']}), c AS (SELECT coll_path, person_id, count(*) AS n FROM f GROUP BY 1, 2)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import flatten, hierarchy
-from . import core_queries, lineage_sql
+from . import core_queries, graph_queries, lineage_sql  # noqa: F401 - graph_queries registers its queries with the core's
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **core_queries.QUERIES,

@@ -39,7 +39,7 @@ def test_overlap_and_score(spark):
 @pytest.mark.parametrize(
     ("sentence", "label"),
     [
-        ("قلت: هذا أولى", "voice"), ("اختلف في اسمه على أقوال", "name_dispute"), ("ثنا فلان عن فلان", "isnad"), ("ومات سنة خمسين", "death"), ("ولد سنة عشر", "birth"), ("استعمله عمر على البصرة", "office"),
+        ("قلت: هذا أولى", "ibn_hajar_voice"), ("اختلف في اسمه على أقوال", "name_dispute"), ("ثنا فلان عن فلان", "isnad"), ("ومات سنة خمسين", "death"), ("ولد سنة عشر", "birth"), ("استعمله عمر على البصرة", "office"),
         ("أمه هند", "family"), ("كان ثقة", "praise"), ("ليس بشيء ضعيف", "criticism"), ("شهد بدرا", "battle"), ("ذكره البغوي", "citation"), ("سكن البصرة", "event"), ("زيد بن عمرو بن علي", "nasab"),
         ("فلان الفلاني", "unlabeled"), ("..", "boilerplate"), ("12- زيد بن عمرو", "heading"),
     ],
@@ -67,21 +67,75 @@ def test_references(spark):
     }
 
 
+INDEX = "person_id string, name_keys array<string>, section string, letter string, qism int, is_woman boolean, nisba_keys array<string>, tokens array<string>"
+WANTED = "ref_id string, norm string, section string, letter string, qism int, is_woman boolean, nisba_key string, chain array<string>"
+
+
 def test_resolution_of_names(spark):
     index = spark.createDataFrame(
-        [("p1", ["زيد بن علي", "زيد"], 1, "names", "ز", False, ["زيد", "علي", "بكر"]), ("p2", ["زيد بن علي"], 2, "names", "ز", False, ["زيد", "علي", "خالد"]), ("p3", ["هند"], 1, "women", "ه", True, ["هند"])],
-        "person_id string, forms array<string>, qism int, section string, letter string, is_woman boolean, chain array<string>",
-    )
+        [
+            ("p1", ["زيد بن علي", "زيد"], "names", "ز", 1, False, ["qurashi"], ["زيد", "علي", "بكر"]), ("p2", ["زيد بن علي"], "kunya", "ز", 2, False, [], ["زيد", "علي", "خالد"]), ("p3", ["هند"], "women", "ه", 1, True, None, ["هند"]),
+            ("a", ["عمر"], "names", "ب", 1, False, None, ["عمر"]), ("b", ["عمر"], "kunya", "ع", 1, False, None, ["عمر"]),
+        ], INDEX,
+    )
     wanted = spark.createDataFrame(
-        [("r1", "x", "هند", None, None, None, None, None, []), ("r2", "x", "زيد بن علي", None, None, None, None, None, []), ("r3", "x", "زيد بن علي", None, 2, None, None, None, []),
-         ("r4", "x", "زيد بن علي", None, 4, None, None, None, ["س", "علي", "بكر"]), ("r5", "x", "زيد بن علي بن ص", "زيد", None, None, None, None, []), ("r6", "x", "لا أحد", None, None, None, None, None, [])],
-        "ref_id string, from_id string, norm string, short string, qism int, section string, letter string, is_woman boolean, chain array<string>",
+        [
+            ("r1", "هند", None, None, None, None, None, []), ("r2", "زيد بن علي", None, None, None, None, None, []), ("r3", "زيد بن علي", None, None, 2, None, None, []), ("r4", "زيد بن علي", None, None, 4, None, None, ["س", "علي", "بكر"]),
+            ("r5", "زيد بن علي بن ص", None, None, None, None, "qurashi", []), ("r6", "لا أحد", None, None, None, None, None, []), ("r7", "عمر", "names", "ع", None, None, None, None), ("r8", "هند", None, None, None, False, None, None),
+        ], WANTED,
     )
-    got = {r.ref_id: (r.to_id, r.resolved, r.ambiguous, r.candidates) for r in G.resolve_names(wanted, G.name_keys(index), index).collect()}
+    got = {r.ref_id: (r.to_id, r.resolved, r.ambiguous, r.n_candidates, r.candidates) for r in G.resolve_names(wanted, G.name_keys(index), index).collect()}
     assert got == {
-        "r1": ("p3", True, False, None), "r2": (None, False, True, ["p1", "p2"]), "r3": ("p2", True, False, None), "r4": ("p1", True, False, None), "r5": ("p1", True, False, None),
-        "r6": (None, False, False, None),
+        "r1": ("p3", True, False, 1, None), "r2": (None, False, True, 2, ["p1", "p2"]), "r3": ("p2", True, False, 1, None), "r4": ("p1", True, False, 1, None), "r5": ("p1", True, False, 1, None),
+        "r6": (None, False, False, 0, None), "r7": (None, False, True, 2, ["a", "b"]), "r8": ("p3", True, False, 1, None),
     }
+    listed = {r.ref_id: (r.n_candidates, r.candidates) for r in G.resolve_names(wanted, G.name_keys(index), index, 1).collect()}
+    assert listed["r2"] == (2, ["p1"])
+
+
+def test_keys_of_names(spark):
+    index = spark.createDataFrame([("p", "أَبو بكر", None, "أبو علي", "زيد", "عمرو", ["زيد العدوي", ""]), ("q", None, None, None, None, "عمرو", None)], "person_id string, display_name_norm string, full_name_norm string, kunya string, ism string, father string, name_keys array<string>")
+    names = spark.createDataFrame([("q", "الحارث")], "person_id string, form string")
+    got = {(r.person_id, r.norm) for r in G.name_keys(index, names).collect()}
+    assert got == {("p", x) for x in ("ابو بكر", "ابو علي", "زيد", "زيد بن عمرو", "زيد العدوي")} | {("q", "الحارث")}
+
+
+def test_edges_of_facts(spark):
+    index = spark.createDataFrame([("p", ["زيد"], "names", "ز", 1, False, None, ["زيد"], ["زيد"]), ("w", ["هند"], "women", "ه", 1, True, None, ["هند"], None), ("m", ["هند"], "names", "ه", 1, False, None, ["هند"], None)], INDEX + ", chain array<string>")
+    facts = spark.createDataFrame(
+        [("p", "life.family", 0, "هند", "wife", "regex", "e", 0.3), ("p", "narration.narrated_to", 0, "هند", None, "llm", "e", 0.9), ("p", "narration.narrated_to", 1, "جماعة", None, "llm", "e", 0.9), ("w", "narration.narrated_from", 0, "زيد", None, "llm", None, 0.9), ("w", "labels", 0, "زيد", None, "llm", None, 0.9)],
+        "person_id string, coll_path string, pos int, value string, relation string, source string, evidence string, confidence double",
+    )
+    edges = G.fact_edges(facts, index, G.name_keys(index))
+    got = {(r.from_id, r.type, r.to_id, r.to_literal, r.relation, r.resolved, r.ambiguous) for r in edges.collect()}
+    assert got == {("p", "family", "w", None, "wife", True, False), ("p", "narrated_to", None, "هند", None, False, True), ("w", "narrated_from", "p", None, None, True, False)}
+    assert sorted(tuple(r) for r in G.edge_stats(edges).collect()) == [("family", 1, 1, 0, 0), ("narrated_from", 1, 1, 0, 0), ("narrated_to", 1, 0, 1, 0)]
+
+
+def test_pointers_as_edges(spark):
+    index = spark.createDataFrame(
+        [("p1", ["زيد"], "names", "ز", 1, False, None, ["زيد"], "b", 1, 7, None, None, ["زيد"]), ("p2", ["علي"], "names", "ع", 1, False, None, ["علي"], "b", 2, 7, "زيد", "x", ["علي", "زيد"]), ("p3", ["س"], "names", "س", 1, False, None, ["س"], "b", 3, 9, "لا أحد", "زيد", ["س"])],
+        INDEX + ", book string, doc_ord int, entry_number int, father string, grandfather string, chain array<string>",
+    )
+    texts = [("p1", "تقدم في رقم 9. يأتي في الذي بعده. انظر في حرف الباء"), ("p2", "تقدم في رقم 7. تقدم في ترجمة أبيه"), ("p3", "تقدم في ترجمة أبيه. مضى في ترجمة جده. يأتي في الذي بعده. تقدم في رقم 8")]
+    refs = G.text_references(spark.createDataFrame(texts, "person_id string, t string"), "t", "person_id")
+    keys = G.name_keys(index)
+    got = {(r.from_id, r.type, r.relation, r.to_id, r.resolved, r.ambiguous) for r in G.reference_edges(refs, index, keys).collect()}
+    assert got == {
+        ("p1", "see_entry", None, "p3", True, False), ("p1", "see_adjacent", None, "p2", True, False), ("p1", "see_letter", None, None, False, False), ("p2", "see_entry", None, None, False, True), ("p2", "see_relation", "father", "p1", True, False),
+        ("p3", "see_relation", "father", None, False, False), ("p3", "see_relation", "grandfather", "p1", True, False), ("p3", "see_adjacent", None, None, False, False), ("p3", "see_entry", None, None, False, False),
+    }
+    fathers = spark.createDataFrame([("p3", "father", "p2")], "from_id string, relation string, to_id string")
+    assert ("p3", "father", "p2") in {(r.from_id, r.relation, r.to_id) for r in G.reference_edges(refs, index, keys, fathers).collect()}
+
+
+def test_evidence(spark):
+    from silsila.functions.text import evidence_status
+
+    source = "وكان (١) زيدٌ «رجلا» صالحا، ثم مات سنة خمسين."
+    rows = [(None, "absent"), ("", "absent"), ("رجل", "too_short"), ("...،،؛؛؛؛", "too_short"), ("زيد رجلا صالحا.", "verified"), ("فثم مات سنة خمسين", "verified"), ("ثم ثم مات سنة خمسين", "verified"), ("فكان زيد رجلا", "unverified"), ("قال مات سنة خمسين", "verified"), ("صالحا رجلا زيد", "unverified")]
+    df = spark.createDataFrame([(source, q, w) for q, w in rows] + [(None, "نص طويل جدا", "unverified")], "s string, q string, want string")
+    assert [(r.q, r.got) for r in df.withColumn("got", evidence_status("s", "q")).collect() if r.got != r.want] == []
 
 
 def test_kinds_events_and_merge(spark):
