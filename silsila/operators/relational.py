@@ -65,12 +65,17 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_order:
     return carried.select(*by, "__row.*", *[F.col("__found").getField(v).alias(v) for v in values])
 
 
-def range_join(points: DataFrame, ranges: DataFrame, at: str, low: str, high: str, width: float, how: str = "inner") -> DataFrame:
-    """Points joined with the ranges that hold them (both ends inside), by equal bins instead of all pairs."""
+def range_join(points: DataFrame, ranges: DataFrame, at: str, low: str, high: str, width: float, how: str = "inner", by: Sequence[str] = ()) -> DataFrame:
+    """Points joined with the ranges that hold them (both ends inside), by equal bins instead of all pairs.
+
+    ``by`` are columns of both sides that must be equal. A range whose ends are swapped or null holds nothing.
+    """
     p = points.withColumn("__bin", F.floor(F.col(at) / width))
-    r = ranges.withColumn("__bin", F.explode(F.sequence(F.floor(F.col(low) / width), F.floor(F.col(high) / width))))
+    r = ranges.where(F.col(low) <= F.col(high)).withColumn("__bin", F.explode(F.sequence(F.floor(F.col(low) / width), F.floor(F.col(high) / width))))
     if how == "inner":
-        return p.join(r, "__bin").where(F.col(at).between(F.col(low), F.col(high))).drop("__bin")
+        return p.join(r, [*by, "__bin"]).where(F.col(at).between(F.col(low), F.col(high))).drop("__bin")
+    if by:
+        raise ValueError("equal columns are for inner joins")
     on = (p["__bin"] == r["__bin"]) & (p[at] >= r[low]) & (p[at] <= r[high])
     return p.join(r, on, how).drop("__bin")
 

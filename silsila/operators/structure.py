@@ -7,11 +7,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import squeeze
-from .relational import uncovered
+from .relational import range_join, uncovered
 
 # --- fixed values ----------------------------------------------------------------------------------
 #: Number, up to six characters of marker, dash, name.
@@ -26,6 +28,8 @@ CHAPTERS = [
 ]
 TEXT_KINDS = ("preface", "definition", "method", "virtue_adala", "taxonomy")
 TEXT_LIMIT = 40_000
+#: Page numbers in a bin of the joins of ranges with pages.
+PAGE_BIN = 16
 LAST_NUMBER = 13_000
 # ---------------------------------------------------------------------------------------------------
 
@@ -57,19 +61,28 @@ def bab_of(title: Column) -> Column:
     return F.when(~other & F.regexp_like(title, F.lit(r"بعدها|^باب\s")), squeeze(title))
 
 
-def ancestors(toc: DataFrame, depth: int = 12) -> DataFrame:
-    """``toc(book, ord, lvl, title)`` with ``titles``: titles of the open ancestors and the node itself.
+def walked(toc: DataFrame) -> DataFrame:
+    """``toc(book, ord, id, lvl, title)`` with ``titles``, those of the open ancestors and the node itself, and ``next_id``,
+    the page of the next node that is no deeper.
 
-    For each level the last title at it, unless a shallower node came after it: levels are carried apart, each within
-    the group that the last shallower node opens.
+    A table of contents is read once in its order with a stack of open nodes, whatever its depth; one book's is one task.
     """
-    order = Window.partitionBy("book").orderBy("ord").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = toc
-    for k in range(depth + 1):
-        last = F.max(F.when(F.col("lvl") == k, F.struct("ord", "title"))).over(order)
-        shallower = F.max(F.when(F.col("lvl") < k, F.col("ord"))).over(order)
-        out = out.withColumn(f"__l{k}", F.when((F.col("lvl") >= k) & (last["ord"] > F.coalesce(shallower, F.lit(-1)) if k else F.lit(True)), last["title"]))
-    return out.withColumn("titles", F.array_compact(F.array(*[F.col(f"__l{k}") for k in range(depth + 1)]))).drop(*[f"__l{k}" for k in range(depth + 1)])
+    schema = T.StructType([*toc.schema.fields, T.StructField("titles", T.ArrayType(T.StringType())), T.StructField("next_id", T.LongType())])
+
+    def run(nodes):
+        nodes = nodes.sort_values("ord", kind="stable").reset_index(drop=True)
+        open_: list[int] = []
+        titles, closes = [], [None] * len(nodes)
+        for i, (level, page) in enumerate(zip(nodes["lvl"].tolist(), nodes["id"].tolist())):
+            while open_ and nodes["lvl"].iat[open_[-1]] >= level:
+                closes[open_.pop()] = page
+            open_.append(i)
+            titles.append([nodes["title"].iat[k] for k in open_])
+        nodes["titles"] = titles
+        nodes["next_id"] = pd.array(closes, dtype="Int64")
+        return nodes
+
+    return toc.groupBy("book").applyInPandas(run, schema)
 
 
 def placement(toc: DataFrame) -> DataFrame:
@@ -77,7 +90,7 @@ def placement(toc: DataFrame) -> DataFrame:
 
     The bab ends where a new letter begins; the section is only replaced by one that is known.
     """
-    rows = ancestors(toc)
+    rows = walked(toc)
     t = F.col("title")
     rows = rows.withColumns({
         "__v": volume_of(t), "__q": qism_of(t), "__l": letter_of(t), "__b": bab_of(t),
@@ -116,24 +129,63 @@ def entries(toc: DataFrame, last_page: Column) -> DataFrame:
 
 def chapters(toc: DataFrame, entry_pages: DataFrame, last_page: Column) -> DataFrame:
     """Chapters of ``toc``: nodes that are no entries, with kind and page range; the range ends before the next node as shallow."""
-    rows = toc.join(entry_pages.select("book", "id").distinct(), ["book", "id"], "left_anti").where(~F.regexp_like("title", F.lit(HEADING)))
+    rows = walked(toc).join(entry_pages.select("book", "id").distinct(), ["book", "id"], "left_anti").where(~F.regexp_like("title", F.lit(HEADING)))
     rows = rows.withColumn("kind", first_rule(CHAPTERS, F.col("title"), "other")).where("lvl <= 2 or kind != 'other'")
-    after = toc.select("book", F.col("ord").alias("o2"), F.col("lvl").alias("l2"), F.col("id").alias("id2"))
-    ends = rows.join(after, "book").where("o2 > ord and l2 <= lvl").groupBy("book", "ord").agg(F.min_by("id2", "o2").alias("next_id"))
-    rows = rows.join(ends, ["book", "ord"], "left")
-    return rows.withColumn("end_id", F.greatest("id", F.coalesce(F.col("next_id") - 1, last_page))).drop("next_id")
+    return rows.withColumn("end_id", F.greatest("id", F.coalesce(F.col("next_id") - 1, last_page))).drop("next_id", "titles")
+
+
+def paged(ranges: DataFrame, pages: DataFrame, first: str, last: str) -> DataFrame:
+    """``ranges(book, ..)`` with each of their pages, by bins of page numbers within a book."""
+    of_page = pages.select("book", F.col("id").alias("page_id"), *[c for c in pages.columns if c not in ("book", "id")])
+    return range_join(of_page, ranges, "page_id", first, last, PAGE_BIN, by=["book"])
 
 
 def chapter_texts(found: DataFrame, pages: DataFrame, limit: int = TEXT_LIMIT) -> DataFrame:
     """Text of prose chapters: pages of the range in order until the text before a page has passed the limit."""
     rows = found.where(F.col("kind").isin(*TEXT_KINDS)).select("book", "ord", F.col("id").alias("a"), "end_id")
-    rows = rows.join(pages.select("book", F.col("id").alias("page_id"), "text"), "book").where("page_id between a and end_id")
+    rows = paged(rows, pages.select("book", "id", "text"), "a", "end_id")
     so_far = Window.partitionBy("book", "ord").orderBy("page_id").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("__before", F.coalesce(F.sum(F.length("text")).over(so_far), F.lit(0))).where(F.col("__before") <= limit)
     parts = rows.groupBy("book", "ord").agg(F.sort_array(F.collect_list(F.struct("page_id", "text"))).alias("p"))
     return parts.select("book", "ord", F.array_join(F.transform("p", lambda x: x["text"]), "\n\n").alias("text"))
 
 
+def in_page_order(nodes: DataFrame, pages: DataFrame) -> DataFrame:
+    """``nodes(book, ord, id, entry_number, name)`` with ``doc_ord``: by page, within a page by where the heading stands in it.
+
+    A heading is looked up by its number, else by its name; one that the page does not hold comes after the others.
+    """
+    text = pages.select("book", "id", F.col("text").alias("__text"))
+    at = F.coalesce(_heading_at("entry_number", "name", F.coalesce("__text", F.lit(""))), F.lit(2**31 - 1))
+    rows = nodes.join(text, ["book", "id"], "left").withColumn("__at", at).drop("__text")
+    return rows.withColumn("doc_ord", F.row_number().over(Window.partitionBy("book").orderBy("id", "__at", "ord"))).drop("__at")
+
+
+def page_spans(ranges: DataFrame, pages: DataFrame, keys: Sequence[str], first: str = "id", last: str = "end_id", gap: int = 2) -> DataFrame:
+    """``keys, page_id, page, part, span_start, span_end``: the offsets that each page takes in the joined text of a range."""
+    rows = paged(ranges.select("book", *keys, first, last), pages.select("book", "id", "page", "part", F.length("text").alias("__size")), first, last)
+    before = Window.partitionBy("book", *keys).orderBy("page_id").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum(F.col("__size") + gap).over(before), F.lit(0))
+    return rows.withColumn("span_start", start).select("book", *keys, "page_id", "page", "part", "span_start", (F.col("span_start") + F.col("__size")).alias("span_end"))
+
+
+def page_at(offsets: DataFrame, spans: DataFrame, keys: Sequence[str], at: str = "at") -> DataFrame:
+    """The page in which each offset lies: the first whose span holds it, else the last page of its text."""
+    rows = offsets.join(spans, ["book", *keys])
+    held = (F.col(at) >= F.col("span_start")) & (F.col(at) <= F.col("span_end"))
+    best = rows.groupBy("book", *keys, at).agg(
+        F.min(F.when(held, F.struct("span_start", "page_id", "page", "part"))).alias("__held"), F.max(F.struct("span_start", "page_id", "page", "part")).alias("__last")
+    )
+    return best.select("book", *keys, at, F.coalesce("__held", "__last").alias("p")).select("book", *keys, at, "p.page_id", "p.page", "p.part")
+
+
+def placed(raw: DataFrame, placements: DataFrame, key: str = "person_id") -> DataFrame:
+    """``raw`` with its placement; an entry without one fails the job, since both must come from one pass."""
+    rows = raw.join(placements.withColumn("__placed", F.lit(True)), key, "left")
+    ok = F.assert_true(F.col("__placed").isNotNull(), F.concat(F.lit("no placement for "), F.col(key)))
+    return rows.where(ok.isNull()).drop("__placed")
+
+
 def page_coverage(pages: DataFrame, ranges: DataFrame, first: str = "id", last: str = "end_id") -> DataFrame:
     """Pages that no entry and no chapter covers."""
     covered = ranges.select("book", F.explode(F.sequence(first, last)).alias("id")).withColumn("__on", F.concat_ws(":", "book", "id"))
@@ -141,6 +193,15 @@ def page_coverage(pages: DataFrame, ranges: DataFrame, first: str = "id", last:
     return uncovered(spine, covered, "__on").drop("__on")
 
 
+def _heading_at(number: str, name: str, text: Column) -> Column:
+    """Where a heading stands, from 1: by its number at a line's beginning, else by its first three words; null if nowhere."""
+    pattern = F.concat(F.lit(r"(?:^|\n)[^\S\n]*"), F.col(number).cast("string"), F.lit(r"[^\n0-9]{0,6}?[-–—]"))
+    by_number = F.regexp_instr(text, pattern)
+    words = F.array_join(F.slice(F.split(name, " "), 1, 3), " ")
+    by_name = F.when(F.length(words) >= 4, F.instr(text, words)).otherwise(0)
+    return F.coalesce(F.nullif(by_number, F.lit(0)), F.nullif(by_name, F.lit(0)))
+
+
 def entry_texts(found: DataFrame, pages: DataFrame) -> DataFrame:
     """``book, doc_ord, text``: each entry's pages joined, cut from its own heading to the next entry's.
 
@@ -148,20 +209,12 @@ def entry_texts(found: DataFrame, pages: DataFrame) -> DataFrame:
     begins with the page. The end is the next number's heading behind it, else the next name, else the last page's end.
     """
     rows = found.where("reject_reason is null").select("book", "doc_ord", "entry_number", "name", "next_number", "next_name", "id", "end_id")
-    joined = rows.join(pages.select("book", F.col("id").alias("page_id"), "text"), "book").where("page_id between id and end_id")
+    joined = paged(rows.select("book", "doc_ord", "id", "end_id"), pages.select("book", "id", "text"), "id", "end_id")
     whole = joined.groupBy("book", "doc_ord").agg(F.sort_array(F.collect_list(F.struct("page_id", "text"))).alias("p"))
     whole = whole.select("book", "doc_ord", F.array_join(F.transform("p", lambda x: x["text"]), "\n\n").alias("t"))
-
-    def heading_at(number: str, name: str, text: Column) -> Column:
-        pattern = F.concat(F.lit(r"(?:^|\n)[^\S\n]*"), F.col(number).cast("string"), F.lit(r"[^\n0-9]{0,6}?[-–—]"))
-        by_number = F.regexp_instr(text, pattern)
-        words = F.array_join(F.slice(F.split(name, " "), 1, 3), " ")
-        by_name = F.when(F.length(words) >= 4, F.instr(text, words)).otherwise(0)
-        return F.coalesce(F.nullif(by_number, F.lit(0)), F.nullif(by_name, F.lit(0)))
-
     rows = rows.join(whole, ["book", "doc_ord"])
-    rows = rows.withColumn("from", F.coalesce(heading_at("entry_number", "name", F.col("t")), F.lit(1)))
+    rows = rows.withColumn("from", F.coalesce(_heading_at("entry_number", "name", F.col("t")), F.lit(1)))
     rows = rows.withColumn("rest", F.expr("substring(t, `from` + 1)"))
-    rows = rows.withColumn("stop", heading_at("next_number", "next_name", F.col("rest")))
+    rows = rows.withColumn("stop", _heading_at("next_number", "next_name", F.col("rest")))
     cut = F.when(F.col("stop").isNotNull(), F.expr("substring(t, `from`, stop)")).otherwise(F.expr("substring(t, `from`)"))
     return rows.select("book", "doc_ord", "entry_number", "name", F.regexp_replace(cut, r"(?U)^\s+|\s+$", "").alias("text"))

@@ -47,3 +47,33 @@ def test_chapters_and_coverage(spark):
     assert [r.text for r in B.chapter_texts(found, p).collect()] == ["page 1\n\npage 2"]
     only = found.where("kind = 'preface'").select("book", "id", "end_id")
     assert sorted(r.id for r in B.page_coverage(p, only).collect()) == [3, 4, 5, 6]
+
+
+def test_any_depth_of_a_table_of_contents(spark):
+    toc = [(i, i, f"t{i}") for i in range(1, 41)] + [(50, 3, "u"), (51, 1, "v")]
+    t, _ = book(spark, toc, [(1, 1, "")])
+    got = {r.title: r for r in B.walked(t).collect()}
+    assert got["t40"].titles == [f"t{i}" for i in range(1, 41)] and got["u"].titles == ["t1", "t2", "u"] and got["v"].titles == ["v"]
+    assert (got["t40"].next_id, got["t3"].next_id, got["t2"].next_id, got["v"].next_id) == (50, 50, 51, None)
+
+
+def test_order_within_a_page_and_pages_of_offsets(spark):
+    toc = [(1, 5, "2- خالد بن سعد"), (1, 5, "1- زيد بن عمرو"), (1, 5, "9- غائب"), (2, 5, "3- بكر")]
+    t, p = book(spark, toc, [(1, 10, "1- زيد بن عمرو مات.\n2- خالد بن سعد"), (2, 11, "3- بكر"), (3, 12, "بقية")])
+    found = B.entries(t, F.lit(3).cast("long")).select("book", "ord", "id", "entry_number", "name")
+    assert [r.entry_number for r in B.in_page_order(found, p).orderBy("doc_ord").collect()] == [1, 2, 9, 3]
+    ranges = spark.createDataFrame([("b", "x", 1, 3), ("b", "y", 3, 2)], "book string, k string, id long, end_id long")
+    spans = B.page_spans(ranges, p.withColumn("part", F.lit("v")), ["k"])
+    assert [(r.page_id, r.span_start, r.span_end) for r in spans.orderBy("page_id").collect()] == [(1, 0, 34), (2, 36, 42), (3, 44, 48)]
+    at = spark.createDataFrame([("b", "x", n) for n in (0, 34, 35, 36, 99)], "book string, k string, at int")
+    assert {(r.at, r.page_id) for r in B.page_at(at, spans, ["k"]).collect()} == {(0, 1), (34, 1), (35, 3), (36, 2), (99, 3)}
+
+
+def test_an_entry_without_placement_fails(spark):
+    import pytest
+
+    raw = spark.createDataFrame([("a",), ("b",)], "person_id string")
+    one = spark.createDataFrame([("a", 1)], "person_id string, qism int")
+    assert B.placed(raw.where("person_id = 'a'"), one).count() == 1
+    with pytest.raises(Exception, match="no placement for b"):
+        B.placed(raw, one).collect()
