@@ -330,20 +330,6 @@ def anti_join_resume(spark, sf_dir):
     return table(spark, sf_dir, "persons").where("person_id is not null").select("person_id").distinct().join(done, "person_id", "left_anti")
 
 
-@query("""
-WITH k AS (SELECT split_part(person_id, ':', 1) AS book, """ + _NAMES + """ AS name, person_id FROM """ + _now("persons", "person_id, display_name_norm") + """ WHERE display_name_norm IS NOT NULL),
-a AS (SELECT * FROM k WHERE book = 'nawwara'), b AS (SELECT * FROM k WHERE book = 'zuhayla'),
-p AS (SELECT a.person_id AS source_id, b.person_id AS target_id, a.name FROM a JOIN b USING (name)), n AS (SELECT source_id, count(*) AS n, min(target_id) AS target_id FROM p GROUP BY 1)
-SELECT source_id, target_id FROM n WHERE n = 1
-""")
-def identity_links(spark, sf_dir):
-    k = _display_keys(spark, sf_dir).where("name is not null").withColumn("book", F.substring_index("person_id", ":", 1))
-    a = k.where("book = 'nawwara'").select(F.col("person_id").alias("source_id"), "name")
-    b = k.where("book = 'zuhayla'").select(F.col("person_id").alias("target_id"), "name")
-    scored = a.join(b, "name").withColumn("score", F.lit(1.0))
-    return R.unique_best(scored, ["source_id"], "score", "target_id", 0.7).select("source_id", "target_id")
-
-
 # --- aggregates ---------------------------------------------------------------------------------------------
 _FILLED = ["display_name", "full_name", "kunya", "nisba", "death_year_hijri", "qism", "letter", "page_start", "volume"]
 
@@ -397,18 +383,6 @@ def rollup_capped_members(spark, sf_dir):
     return A.rollup(facts, "nation", "segment", "o_custkey", 5).withColumn("first_ids", F.array_join(F.transform("first_ids", lambda x: x.cast("string")), ","))
 
 
-@query("WITH p AS " + _now("persons", "*") + """, f AS (
-SELECT 'qism' AS facet, CAST(qism AS VARCHAR) AS key FROM p UNION ALL SELECT 'entry_kind', entry_kind FROM p UNION ALL SELECT 'marker', coalesce(entry_marker, 'none') FROM p
-UNION ALL SELECT 'letter', letter FROM p UNION ALL SELECT 'section', section_type FROM p UNION ALL SELECT 'nisba', unnest(nisba) FROM p)
-SELECT facet, key, count(*) AS n FROM f WHERE key IS NOT NULL AND key <> '' GROUP BY 1, 2""")
-def facets_union(spark, sf_dir):
-    p = current_rows(table(spark, sf_dir, "persons"), "person_id", ["qism", "entry_kind", "entry_marker", "letter", "section_type", "nisba"])
-    return A.facets(p, {
-        "qism": F.col("qism"), "entry_kind": F.col("entry_kind"), "marker": F.coalesce("entry_marker", F.lit("none")), "letter": F.col("letter"),
-        "section": F.col("section_type"), "nisba": F.col("nisba"),
-    })
-
-
 @query("WITH p AS " + _now("persons", "person_id, qism, nisba") + """
 SELECT key, count(*) AS n FROM (SELECT unnest(nisba) AS key FROM p WHERE qism IS NULL OR qism <> 4) WHERE key IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 80""")
 def faceted_counts_excluding(spark, sf_dir):
@@ -667,25 +641,9 @@ def chunk_text(spark, sf_dir):
     return d.select("doc_id", F.posexplode("c").alias("chunk_no", "chunk")).select("doc_id", "chunk_no", F.length("chunk").alias("n_chars"))
 
 
-@query("WITH p AS " + _now("persons", "person_id, display_name, full_name, kunya") + """
-SELECT DISTINCT person_id, trim(form, ' ') AS form, kind FROM (SELECT person_id, display_name AS form, 'display' AS kind FROM p UNION ALL SELECT person_id, full_name, 'full' FROM p UNION ALL SELECT person_id, kunya, 'kunya' FROM p)
-WHERE form IS NOT NULL AND trim(form, ' ') <> ''""")
-def name_rows(spark, sf_dir):
-    return Y.name_rows(current_rows(table(spark, sf_dir, "persons"), "person_id", ["display_name", "full_name", "kunya"]))
-
-
 @query()
 def fact_counts(spark, sf_dir):
     """Facts and persons of each list of the nested records."""
     from ..operators.flatten import p4_found
 
     return Y.fact_counts(p4_found(spark, sf_dir))
-
-
-@query()
-def facts_evidence(spark, sf_dir):
-    """Evidence tally of the facts in the nested records."""
-    from ..operators.flatten import p4_facts
-
-    f = p4_facts(spark, sf_dir).select("evidence", F.col("confidence").cast("double").alias("confidence"))
-    return A.evidence_tally(f)

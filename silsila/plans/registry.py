@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import flatten, hierarchy
-from . import book_queries, core_queries, graph_queries, lineage_sql  # noqa: F401 - these modules register with core_queries
+from . import book_queries, core_queries, graph_queries, lineage_sql, person_queries  # noqa: F401 - these modules register with core_queries
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **core_queries.QUERIES,
