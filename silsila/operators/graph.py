@@ -256,3 +256,12 @@ def genealogy(index: DataFrame, keys: DataFrame, most: int = 5) -> DataFrame:
     out = out.withColumns({"resolved": F.col("to_id").isNotNull(), "ambiguous": F.col("to_id").isNull() & (F.coalesce("n", F.lit(0)) > 1)})
     confidence = F.when(F.col("resolved"), 0.7).otherwise(0.4)
     return _edges(out, F.lit("family"), F.col("father"), F.lit("structural"), F.col("full_name"), confidence, F.lit("father"))
+
+
+def two_steps(rows: DataFrame, node: str, parent: str, grandparent: str) -> DataFrame:
+    """``node, parent, grandparent`` of the nodes whose parent is a node; the grandparent is null where it is none."""
+    n = rows.select(node, parent)
+    f = n.select(F.col(node).alias(parent), F.col(parent).alias(grandparent))
+    g = n.select(F.col(node).alias(grandparent), F.lit(True).alias("__known"))
+    out = n.join(f, parent).join(g, grandparent, "left")
+    return out.select(node, parent, F.when(F.col("__known"), F.col(grandparent)).alias(grandparent))

@@ -17,6 +17,7 @@ from .relational import running_until, top_k_per_key
 
 # --- fixed values -----------------------------------------------------------------------------------
 ITEMS = 16
+FIXED_TOKENS = 1200
 THIN = ("name_only", "kunya_redirect")
 LONGEST_QUOTE = 12
 ISNAD = r"ثنا |أخبرنا |حدثنا |أنبأنا |عن [^.\n]{2,40} عن "
@@ -59,6 +60,12 @@ def missing(requests: DataFrame, cache: DataFrame) -> DataFrame:
     return requests.join(cache.select("request_key").distinct(), "request_key", "left_anti")
 
 
+def estimated(df: DataFrame, size: str, chunk: int = 9000) -> DataFrame:
+    """``requests`` and ``tokens`` of asking about texts of ``size`` characters: three to a token, and a fixed part a request."""
+    requests = F.greatest(F.lit(1), F.ceil(F.col(size) / chunk)).cast("long")
+    return df.withColumn("requests", requests).withColumn("tokens", (F.floor(F.col(size) / 3) + FIXED_TOKENS * F.col("requests")).cast("long"))
+
+
 def within_budget(requests: DataFrame, cost: str, cap: int, order: list[str], bucket: Column) -> DataFrame:
     """Requests in order until their cost reaches the cap."""
     return running_until(requests, order, cost, cap, bucket)

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 LANES = 32
+#: Values from which the ranges of ``ordinals`` are drawn.
+SAMPLE = 10_000
 
 
 def top_k_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, rank: str = "rank", lanes: int = LANES) -> DataFrame:
@@ -133,6 +135,29 @@ def round_robin(df: DataFrame, strata: Sequence[str], order: Sequence[str], n: i
     return top.orderBy("round", *strata, *order).limit(n)
 
 
+def ordinals(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, lanes: int = LANES) -> DataFrame:
+    """Place of each row among those of its key, from 0, in a total order.
+
+    Rows are ranked within ranges of the order, and a range begins behind the rows of those before it, so that a hot key
+    is many tasks. The ranges are split points of the order's first column, drawn from a sample; they decide speed only.
+    """
+    first = F.col(order[0])
+    cuts = [r[0] for r in df.where(first.isNotNull()).select(first).sample(0.1).limit(SAMPLE).distinct().orderBy(first).collect()]
+    cuts = cuts[:: max(1, len(cuts) // lanes)][1:]
+    lane = F.when(first.isNull(), F.lit(-1)).otherwise(sum((F.when(first >= F.lit(c), 1).otherwise(0) for c in cuts), F.lit(0)))
+    rows = df.withColumn("__lane", lane)
+    sizes = rows.groupBy(*keys, "__lane").agg(F.count("*").alias("__n"))
+    before = Window.partitionBy(*keys).orderBy("__lane").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.withColumn("__start", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    starts = starts.select(F.col("__lane").alias("__l"), "__start", *[F.col(c).alias(f"__k_{c}") for c in keys])
+    on = F.col("__lane") == F.col("__l")
+    for c in keys:
+        on = on & F.col(c).eqNullSafe(F.col(f"__k_{c}"))
+    both = rows.join(starts, on).drop("__l", *[f"__k_{c}" for c in keys])
+    inner = Window.partitionBy(*keys, "__lane").orderBy(*order)
+    return both.withColumn(out, F.col("__start") + F.row_number().over(inner) - 1).drop("__lane", "__start")
+
+
 def neighbors(df: DataFrame, by: Sequence[str], order: Sequence[str], column: str) -> DataFrame:
     """The column's values in the row before and the row after, within a key."""
     w = Window.partitionBy(*by).orderBy(*order)

@@ -1,7 +1,7 @@
 """Queries over the driver's tables, each with the SQL it must equal."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as X
@@ -9,6 +9,7 @@ from ..operators import relational as R
 from ..operators import reports as A
 from ..operators.current import current_rows
 from ..session import spread
+from .lineage_sql import BLANKS_SQL, flat_sql, squeezed_sql
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -34,6 +35,10 @@ def _now(name: str, columns: str) -> str:
 
 
 CITED = "(SELECT DISTINCT * FROM citations)"
+#: White space as the text functions see it, and pieces of a text between marks.
+_W = BLANKS_SQL
+_EDGES = f"^{_W}+|{_W}+$"
+_SPANS = r"[^\n.؟!]+(?:[.؟!]+(?:\s*\[\s*\(\s*[0-9]+\s*\)\s*\])?|\n+|$)|[\n.؟!]+"
 
 
 def citations(spark, sf_dir) -> DataFrame:
@@ -42,12 +47,11 @@ def citations(spark, sf_dir) -> DataFrame:
 
 
 # --- text -----------------------------------------------------------------------------------------------
-@query("""
-SELECT doc_id, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\n.؟!]+([.؟!]+|\\n+|$)')) AS BIGINT) AS n_sentences FROM documents
+@query(f"""
+SELECT doc_id, CAST(len(list_filter(regexp_extract_all(coalesce(text, ''), '{_SPANS}'), lambda q: NOT regexp_full_match(q, '[\\n.؟!]+') AND regexp_replace(q, '{_EDGES}', '', 'g') <> '')) AS BIGINT) AS n_sentences FROM documents
 """)
 def sentence_split_counts(spark, sf_dir):
-    pieces = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\n.؟!]+([.؟!]+|\n+|$)"), F.lit(0))
-    return table(spark, sf_dir, "documents").select("doc_id", F.size(pieces).cast("long").alias("n_sentences"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.size(X.sentence_spans("text")).cast("long").alias("n_sentences"))
 
 
 @query("""
@@ -77,34 +81,31 @@ def exact_duplicate_groups(spark, sf_dir):
     return h.groupBy("text_hash").agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc")).where("n_docs > 1")
 
 
-@query("""
-SELECT doc_id, trim(regexp_replace(regexp_replace(trim(regexp_replace(coalesce(text, ''), '[ \\t\\r\\n]+', ' ', 'g')),
-  '«[ ]*[0-9]+[ ]*»|\\[[ ]*\\([ ]*[0-9]+[ ]*\\)[ ]*\\]|\\([ ]*[0-9]+[ ]*\\)', ' ', 'g'), '[ «»]+', ' ', 'g')) AS flat FROM documents
-""")
+@query(f"SELECT doc_id, {flat_sql('text')} AS flat FROM documents")
 def note_markers_removed(spark, sf_dir):
-    one = F.btrim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[ \t\r\n]+", " "))
-    marks = F.regexp_replace(one, r"«[ ]*[0-9]+[ ]*»|\[[ ]*\([ ]*[0-9]+[ ]*\)[ ]*\]|\([ ]*[0-9]+[ ]*\)", " ")
-    return table(spark, sf_dir, "documents").select("doc_id", F.btrim(F.regexp_replace(marks, "[ «»]+", " ")).alias("flat"))
+    return table(spark, sf_dir, "documents").select("doc_id", X.flatten("text").alias("flat"))
 
 
-@query("""
-WITH p AS (SELECT doc_id, regexp_split_to_array(regexp_replace(coalesce(text, ''), '\\r\\n?', chr(10), 'g'), '\\n?_{3,}\\n?') AS parts FROM documents)
-SELECT doc_id, CAST(length(parts[1]) AS BIGINT) AS body_chars,
-  CAST(len(regexp_extract_all(array_to_string(parts[2:], chr(10)), '\\([ ]*[0-9]+[ ]*\\)[ ]*[^\\n]+')) AS BIGINT) AS n_notes FROM p
+@query(f"""
+WITH p AS (SELECT doc_id, regexp_split_to_array(regexp_replace(coalesce(text, ''), '\\r\\n?', chr(10), 'g'), '\\n?_{{3,}}\\n?') AS parts FROM documents),
+n AS (SELECT doc_id, regexp_replace(parts[1], '{_EDGES}', '', 'g') AS body, array_to_string(parts[2:], chr(10)) AS rest FROM p),
+k AS (SELECT doc_id, body, list_filter(list_transform(regexp_extract_all(rest, '\\(\\s*[0-9]+\\s*\\)\\s*([^\\n]+)', 1), lambda y: {squeezed_sql('y')}), lambda y: y <> '') AS notes FROM n)
+SELECT doc_id, CAST(length(body) AS BIGINT) AS body_chars, CAST(len(notes) AS BIGINT) AS n_notes, notes[1] AS first_note FROM k
 """)
 def footnote_split(spark, sf_dir):
-    parts = F.split(X.line_ends("text"), r"\n?_{3,}\n?")
-    rest = F.array_join(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), "\n")
-    notes = F.size(F.regexp_extract_all(rest, F.lit(r"\([ ]*[0-9]+[ ]*\)[ ]*[^\n]+"), F.lit(0)))
-    return table(spark, sf_dir, "documents").select("doc_id", F.length(parts[0]).cast("long").alias("body_chars"), notes.cast("long").alias("n_notes"))
+    d = table(spark, sf_dir, "documents").select("doc_id", X.split_footnotes("text").alias("s"))
+    return d.select("doc_id", F.length("s.body").cast("long").alias("body_chars"), F.size("s.footnotes").cast("long").alias("n_notes"), F.try_element_at("s.footnotes", F.lit(1))["text"].alias("first_note"))
 
 
 @query("""
-SELECT doc_id, CAST(nullif(regexp_extract(translate(coalesce(text, ''), '٠١٢٣٤٥٦٧٨٩', '0123456789'), 'سنة ([0-9]{1,4})', 1), '') AS INTEGER) AS year FROM documents
+WITH y AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '٠١٢٣٤٥٦٧٨٩', '0123456789'), 'سنة ([0-9]{1,4})', 1)) AS y FROM documents)
+SELECT doc_id, CASE WHEN CAST(y AS INTEGER) BETWEEN 1 AND 1500 THEN CAST(y AS INTEGER) END AS year, count(*) AS n FROM y GROUP BY 1, 2
 """)
 def years_in_text(spark, sf_dir):
-    y = F.regexp_extract(X.western_digits(F.coalesce("text", F.lit(""))), "سنة ([0-9]{1,4})", 1)
-    return table(spark, sf_dir, "documents").select("doc_id", F.when(y != "", y.cast("int")).alias("year"))
+    """Every year told in digits behind the word for it, as the year parser reads it."""
+    found = F.regexp_extract_all(X.western_digits(F.coalesce("text", F.lit(""))), F.lit("سنة ([0-9]{1,4})"), F.lit(1))
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.explode(found).alias("y"))
+    return rows.select("doc_id", X.parse_year("y").alias("year")).groupBy("doc_id", "year").agg(F.count("*").alias("n"))
 
 
 _PHRASES = ["سبع وخمسين", "ثلاث وسبعين", "إحدى وأربعين", "57", "٥٧", "9999", "", "قال", "مائة وعشرين", "خمس خمس", "ست وستين ومائة"]
@@ -192,8 +193,7 @@ SELECT entry_number, split_part(person_id, ':', 1) AS book, person_id, CAST(row_
 FROM """ + _now("persons", "person_id, entry_number"))
 def repeated_number_ordinal(spark, sf_dir):
     p = current_rows(table(spark, sf_dir, "persons"), "person_id", ["entry_number"]).withColumn("book", F.substring_index("person_id", ":", 1))
-    w = Window.partitionBy("book", "entry_number").orderBy("person_id")
-    return p.select("entry_number", "book", "person_id", (F.row_number().over(w) - 1).cast("long").alias("ordinal"))
+    return R.ordinals(p, ["book", "entry_number"], ["person_id"], "ordinal").select("entry_number", "book", "person_id", "ordinal")
 
 
 @query("""
@@ -296,10 +296,10 @@ WITH n AS """ + _now("nasab", "person_id, father_id") + """
 SELECT c.person_id, f.person_id AS father_id, g.person_id AS grandfather_id FROM n c JOIN n f ON c.father_id = f.person_id LEFT JOIN n g ON f.father_id = g.person_id
 """)
 def self_join_genealogy(spark, sf_dir):
-    n = current_rows(table(spark, sf_dir, "nasab"), "person_id", ["father_id"]).select("person_id", "father_id")
-    f = n.select(F.col("person_id").alias("f"), F.col("father_id").alias("ff"))
-    g = n.select(F.col("person_id").alias("g"))
-    return n.join(f, n["father_id"] == f["f"]).join(g, F.col("ff") == g["g"], "left").select(n["person_id"], F.col("f").alias("father_id"), F.col("g").alias("grandfather_id"))
+    from ..operators.graph import two_steps
+
+    n = current_rows(table(spark, sf_dir, "nasab"), "person_id", ["father_id"])
+    return two_steps(n, "person_id", "father_id", "grandfather_id")
 
 
 @query("""
@@ -404,16 +404,21 @@ def rejection_reasons(spark, sf_dir):
 
 
 @query("""
-WITH c AS (SELECT *, row_number() OVER (PARTITION BY person_id ORDER BY ingested_at, evidence, authority, verb) AS rn FROM """ + CITED + """ WHERE person_id IS NOT NULL),
-o AS (SELECT person_id, authority_key, min(rn) AS first FROM c WHERE authority_key IS NOT NULL GROUP BY 1, 2)
-SELECT person_id, string_agg(authority_key, ',' ORDER BY first) AS authorities, count(*) AS n FROM o GROUP BY 1
+WITH c AS (SELECT *, row_number() OVER (PARTITION BY person_id ORDER BY ingested_at, evidence NULLS FIRST, authority NULLS FIRST, verb NULLS FIRST, authority_key NULLS FIRST, confidence NULLS FIRST, extract_source NULLS FIRST) AS rn
+  FROM """ + CITED + """ WHERE person_id IS NOT NULL),
+o AS (SELECT person_id, authority_key, min(rn) AS first FROM c WHERE authority_key IS NOT NULL GROUP BY 1, 2),
+l AS (SELECT person_id, string_agg(authority_key, ',' ORDER BY first) AS authorities FROM o GROUP BY 1)
+SELECT c.person_id, arg_min(verb, rn) FILTER (WHERE verb IS NOT NULL) AS verb, bool_or(confidence >= 0.85) AS sure, coalesce(any_value(authorities), '') AS authorities FROM c LEFT JOIN l ON c.person_id = l.person_id GROUP BY 1
 """)
 def merge_chunks(spark, sf_dir):
-    """Partial rows of one person merged: authorities in the order of their first mention."""
-    c = citations(spark, sf_dir).where("person_id is not null and authority_key is not null")
-    first = c.groupBy("person_id", "authority_key").agg(F.min(F.struct("ingested_at", F.col("evidence").isNull().alias("a"), "evidence", F.col("authority").isNull().alias("b"), "authority", F.col("verb").isNull().alias("c"), "verb")).alias("at"))
-    rows = first.groupBy("person_id").agg(F.sort_array(F.collect_list(F.struct("at", "authority_key"))).alias("m"), F.count("*").alias("n"))
-    return rows.select("person_id", F.array_join(F.transform("m", lambda x: x["authority_key"]), ",").alias("authorities"), "n")
+    """Partial rows of one person merged in order: the first verb, any certainty, authorities without repeats."""
+    from ..operators.biography import merged_chunks
+
+    order = F.struct("ingested_at", "evidence", "authority", "verb", "authority_key", "confidence", "extract_source")
+    keys = F.array_compact(F.array("authority_key"))
+    c = citations(spark, sf_dir).where("person_id is not null").select("person_id", order.alias("at"), "verb", (F.col("confidence") >= 0.85).alias("sure"), keys.alias("authorities"))
+    out = merged_chunks(c, "person_id", "at", ["verb"], ["sure"], ["authorities"])
+    return out.withColumn("authorities", F.array_join("authorities", ","))
 
 
 @query("WITH n AS " + _now("nasab", "person_id, chain") + """
@@ -427,8 +432,10 @@ def ordered_dedupe(spark, sf_dir):
 SELECT source, count(*) AS n_docs, CAST(sum(greatest(1, ceil(n_chars / 9000.0))) AS BIGINT) AS requests, CAST(sum(n_chars // 3 + 1200 * greatest(1, ceil(n_chars / 9000.0))) AS BIGINT) AS tokens FROM documents GROUP BY 1
 """)
 def cost_estimate(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("source", F.col("n_chars").alias("n"), F.greatest(F.lit(1), F.ceil(F.col("n_chars") / 9000.0)).cast("long").alias("requests"))
-    return d.groupBy("source").agg(F.count("*").alias("n_docs"), F.sum("requests").alias("requests"), F.sum(F.floor(F.col("n") / 3) + 1200 * F.col("requests")).cast("long").alias("tokens"))
+    from ..operators.passes import estimated
+
+    d = estimated(table(spark, sf_dir, "documents").select("source", "n_chars"), "n_chars")
+    return d.groupBy("source").agg(F.count("*").alias("n_docs"), F.sum("requests").alias("requests"), F.sum("tokens").alias("tokens"))
 
 
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
@@ -498,23 +505,16 @@ def label_coverage_by_lang(spark, sf_dir):
     return L.coverage(rows, ["lang"])
 
 
-@query("""
-WITH RECURSIVE p AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\n.؟!]+([.؟!]+|\\n+|$)|[\\n.؟!]+') AS a FROM documents),
-e AS (SELECT doc_id, unnest(a) AS piece, generate_subscripts(a, 1) AS i FROM p),
-o AS (SELECT doc_id, piece, i, sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY i) - length(piece) AS pos0 FROM e)
-SELECT doc_id, CAST(pos0 + length(piece) - length(ltrim(piece, ' ' || chr(9) || chr(13) || chr(10))) AS INTEGER) AS start_at, trim(piece, ' ' || chr(9) || chr(13) || chr(10)) AS quote
-FROM o WHERE trim(piece, ' ' || chr(9) || chr(13) || chr(10)) <> '' AND NOT regexp_full_match(piece, '[\\n.؟!]+')
+@query(f"""
+WITH p AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_SPANS}') AS a FROM documents), e AS (SELECT doc_id, unnest(a) AS piece, generate_subscripts(a, 1) AS i FROM p),
+o AS (SELECT doc_id, piece, sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY i) - length(piece) AS pos0 FROM e)
+SELECT doc_id, CAST(pos0 + length(piece) - length(regexp_replace(piece, '^{_W}+', '')) AS INTEGER) AS start_at, regexp_replace(piece, '{_EDGES}', '', 'g') AS quote
+FROM o WHERE regexp_replace(piece, '{_EDGES}', '', 'g') <> '' AND NOT regexp_full_match(piece, '[\\n.؟!]+')
 """)
 def span_offsets(spark, sf_dir):
-    """Offsets of the labelling stage's sentences, from the running length of the pieces."""
-    pieces = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\n.؟!]+([.؟!]+|\n+|$)|[\n.؟!]+"), F.lit(0))
-    d = table(spark, sf_dir, "documents").select("doc_id", pieces.alias("a"))
-    ends = F.aggregate("a", F.array(F.lit(0)), lambda acc, p: F.array_append(acc, F.element_at(acc, -1) + F.length(p)))
-    rows = d.select("doc_id", F.explode(F.arrays_zip(F.col("a").alias("piece"), F.slice(ends, F.lit(1), F.size("a")).alias("at"))).alias("x"))
-    piece = F.col("x.piece")
-    blanks = F.lit(" \t\r\n")
-    keep = (F.btrim(piece, blanks) != "") & ~F.regexp_like(piece, F.lit(r"^[\n.؟!]+$"))
-    return rows.where(keep).select("doc_id", (F.col("x.at") + F.length(piece) - F.length(F.ltrim(piece, blanks))).cast("int").alias("start_at"), F.btrim(piece, blanks).alias("quote"))
+    """Offsets of the labelling stage's sentences."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.explode(X.sentence_spans("text")).alias("s"))
+    return rows.select("doc_id", F.col("s.start").alias("start_at"), "s.quote")
 
 
 # --- search -------------------------------------------------------------------------------------------------

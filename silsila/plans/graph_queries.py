@@ -11,7 +11,7 @@ from ..operators import reports as A
 from ..operators.current import current_rows
 from ..session import materialize
 from .core_queries import _now, query, table
-from .lineage_sql import facts_sql, folded as folded_sql
+from .lineage_sql import facts_sql, flat_sql, folded as folded_sql, squeezed_sql
 
 
 def index_of(spark, sf_dir) -> DataFrame:
@@ -182,18 +182,9 @@ def outcome_split(spark, sf_dir):
     return A.outcome_split(edges, {"narrators": ["narrated_from", "narrated_to"], "in_book": ["family", "see_entry", "see_adjacent", "see_relation"]})
 
 
-_QUOTED = "regexp_extract(coalesce(d.text, ''), '«([^«»]*)»', 1)"
-
-
 def _key_sql(x: str) -> str:
-    w = r"[\t\n\v\f\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
-    def squeezed(y: str) -> str:
-        return f"trim(regexp_replace({y}, '{w}', ' ', 'g'))"
-    bare = squeezed(f"coalesce({x}, '')")
-    marks = r"«\s*[0-9]+\s*»|\[\s*\(\s*[0-9]+\s*\)\s*\]|\(\s*[0-9]+\s*\)"
-    flat = squeezed(f"regexp_replace(regexp_replace({bare}, '{marks}', ' ', 'g'), '[«»]', ' ', 'g')")
     points = X.PUNCTUATION.replace("'", "''").replace("\\-", "\\-")
-    return squeezed(folded_sql(f"regexp_replace({flat}, '{points}', ' ', 'g')"))
+    return squeezed_sql(folded_sql(f"regexp_replace({flat_sql(x)}, '{points}', ' ', 'g')"))
 
 
 @query(f"""

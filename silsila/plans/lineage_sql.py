@@ -32,6 +32,21 @@ def folded(x: str) -> str:
     return f"lower(trim(regexp_replace({out}, '{blanks}', ' ', 'g')))"
 
 
+#: White space of the text functions.
+BLANKS_SQL = r"[\t\n\v\f\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
+
+def squeezed_sql(x: str) -> str:
+    return f"trim(regexp_replace({x}, '{BLANKS_SQL}+', ' ', 'g'))"
+
+
+def flat_sql(x: str) -> str:
+    """One line without note markers."""
+    marks = r"«\s*[0-9]+\s*»|\[\s*\(\s*[0-9]+\s*\)\s*\]|\(\s*[0-9]+\s*\)"
+    bare = squeezed_sql(f"coalesce({x}, '')")
+    return squeezed_sql(f"regexp_replace(regexp_replace({bare}, '{marks}', ' ', 'g'), '[«»]', ' ', 'g')")
+
+
 LINEAGE = f"""
 WITH RECURSIVE n AS (SELECT *, array_to_string(list_transform(chain, lambda x: {folded('x')}), chr(31)) AS line,
                             array_to_string(list_transform(chain[2:], lambda x: {folded('x')}), chr(31)) AS tail FROM {_now('nasab', 'person_id, father_id, chain')}),
