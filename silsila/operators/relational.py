@@ -158,10 +158,29 @@ def ordinals(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str,
     return both.withColumn(out, F.col("__start") + F.row_number().over(inner) - 1).drop("__lane", "__start")
 
 
-def neighbors(df: DataFrame, by: Sequence[str], order: Sequence[str], column: str) -> DataFrame:
-    """The column's values in the row before and the row after, within a key."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    return df.withColumn(f"previous_{column}", F.lag(column).over(w)).withColumn(f"next_{column}", F.lead(column).over(w))
+def neighbors(df: DataFrame, by: Sequence[str], order: Sequence[str], column: str, bucket: Column | None = None) -> DataFrame:
+    """The column's values in the row before and the row after, within a key.
+
+    With ``bucket``, a coarse monotone function of the first order column, a hot key is many tasks: rows see their
+    neighbours within a bucket, and its first and last row those of the buckets beside it.
+    """
+    before, after = f"previous_{column}", f"next_{column}"
+    if bucket is None:
+        w = Window.partitionBy(*by).orderBy(*order)
+        return df.withColumn(before, F.lag(column).over(w)).withColumn(after, F.lead(column).over(w))
+    rows = df.withColumn("__bucket", bucket)
+    inner = Window.partitionBy(*by, "__bucket").orderBy(*order)
+    rows = rows.withColumns({before: F.lag(column).over(inner), after: F.lead(column).over(inner), "__first": F.row_number().over(inner) == 1, "__last": F.lead(F.lit(1)).over(inner).isNull()})
+    at = F.struct(*order)
+    ends = df.withColumn("__bucket", bucket).groupBy(*by, "__bucket").agg(F.min(F.struct(at.alias("o"), F.col(column).alias("v"))).alias("__a"), F.max(F.struct(at.alias("o"), F.col(column).alias("v"))).alias("__z"))
+    beside = Window.partitionBy(*by).orderBy("__bucket")
+    ends = ends.select(F.col("__bucket").alias("__b"), F.lag("__z").over(beside).getField("v").alias("__prev"), F.lead("__a").over(beside).getField("v").alias("__next"), *[F.col(c).alias(f"__k_{c}") for c in by])
+    on = F.col("__bucket").eqNullSafe(F.col("__b"))
+    for c in by:
+        on = on & F.col(c).eqNullSafe(F.col(f"__k_{c}"))
+    both = rows.join(ends, on)
+    both = both.withColumns({before: F.when(F.col("__first"), F.col("__prev")).otherwise(F.col(before)), after: F.when(F.col("__last"), F.col("__next")).otherwise(F.col(after))})
+    return both.select(*df.columns, before, after)
 
 
 def uncovered(spine: DataFrame, covered: DataFrame, on: str) -> DataFrame:

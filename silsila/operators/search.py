@@ -7,6 +7,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.folding import fold
+from ..functions.text import score_hit
+from ..session import materialize
 from .relational import having_all
 
 TOKEN = r"[\p{L}\p{N}]+"
@@ -31,6 +34,97 @@ def lengths(postings: DataFrame, key: str) -> DataFrame:
     return postings.groupBy(key).agg(F.sum("tf").alias("length"))
 
 
+def _words(text: str) -> Column:
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TOKEN), F.lit(0))
+
+
+def texts_with(df: DataFrame, text: str, tokens: list[str]) -> DataFrame:
+    """Rows whose text has, for each token, a word that begins with it: one narrow filter, no index. No tokens find nothing."""
+    if not tokens:
+        return df.limit(0)
+    def begun(t: str) -> Column:
+        return F.exists("__words", lambda w: F.startswith(w, F.lit(t)))
+
+    held = F.lit(True)
+    for t in tokens:
+        held = held & begun(t)
+    return df.withColumn("__words", _words(text)).where(held).drop("__words")
+
+
+def bm25_of_texts(df: DataFrame, key: str, text: str, terms: list[str], prefix: bool = False, every: bool = False) -> DataFrame:
+    """``key, score`` of the texts that hold one of the terms (or ``every`` one), by the words that equal it or begin with it.
+
+    Only the wanted terms and the length are counted of each text; what is kept of a text is a few numbers, and the
+    statistics over all texts are one row.
+    """
+    def count(t: str) -> Column:
+        return F.size(F.filter("__words", lambda w: F.startswith(w, F.lit(t)) if prefix else w == t))
+
+    words = df.select(key, _words(text).alias("__words")).where("size(__words) > 0")
+    counted = materialize(words.select(key, F.size("__words").alias("__length"), *[count(t).alias(f"__t{i}") for i, t in enumerate(terms)]))
+    stats = counted.agg(F.count("*").alias("__n"), F.avg("__length").alias("__mean"), *[F.count_if(F.col(f"__t{i}") > 0).alias(f"__d{i}") for i in range(len(terms))])
+    # one row of statistics
+    rows = counted.crossJoin(F.broadcast(stats))
+    score = F.lit(0.0)
+    for i in range(len(terms)):
+        tf, n = F.col(f"__t{i}"), F.col(f"__d{i}")
+        score = score + F.log(1 + (F.col("__n") - n + 0.5) / (n + 0.5)) * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("__length") / F.col("__mean")))
+    held = [F.col(f"__t{i}") > 0 for i in range(len(terms))]
+    kept = F.lit(every)
+    for h in held:
+        kept = kept & h if every else kept | h
+    return rows.where(kept).select(key, score.alias("score"))
+
+
+#: Latin spellings of frequent names (fixed values).
+LATIN_ALIASES = {
+    "abu huraira": "أبو هريرة", "abu hurayra": "أبو هريرة", "abu": "أبو", "abu bakr": "أبو بكر", "umar": "عمر", "uthman": "عثمان", "ali": "علي", "aisha": "عائشة", "anas": "أنس", "bilal": "بلال",
+    "hamza": "حمزة", "khadija": "خديجة", "ibn umar": "عبد الله بن عمر", "ibn abbas": "عبد الله بن عباس", "ibn masud": "عبد الله بن مسعود", "salman": "سلمان", "muadh": "معاذ",
+}
+ROW = [
+    "person_id", "entry_number", "display_name", "full_name", "kunya", "nisba", "is_woman", "qism", "section_type", "letter", "volume", "page_start", "page_end", "char_len", "death_year_hijri",
+    "nasab_confidence", "entry_number_is_ambiguous", "entry_marker", "entry_kind",
+]
+
+
+def resolved_query(text: str) -> str:
+    """What a Latin spelling stands for; any other query as it is."""
+    return LATIN_ALIASES.get((text or "").strip().lower(), text or "")
+
+
+def decorated(rows: DataFrame) -> DataFrame:
+    """The columns of a row that is shown; unknown truths count as false, a missing list of affiliations as empty."""
+    have = set(rows.columns)
+    shown = []
+    for c in ROW:
+        if c not in have:
+            shown.append(F.lit(None).alias(c))
+        elif c in ("is_woman", "entry_number_is_ambiguous"):
+            shown.append(F.coalesce(c, F.lit(False)).alias(c))
+        elif c == "nisba":
+            shown.append(F.coalesce(c, F.array().cast("array<string>")).alias(c))
+        else:
+            shown.append(F.col(c))
+    return rows.select(*shown)
+
+
+def scored(persons: DataFrame, text: str, limit: int = 40, offset: int = 0, key: str = "person_id") -> DataFrame:
+    """A page of the persons whose number or folded name holds the query, with ``score``: the number 0, an equal name 1, one
+    that begins with it 2, one that holds it 3, and 4 for all where nothing is asked."""
+    needle = fold(resolved_query(text))
+    score = score_hit(F.lit(needle), F.col("entry_number"), F.col("display_name_norm")) if needle else F.lit(4)
+    rows = persons.withColumn("score", score).where("score is not null")
+    return rows.orderBy("score", F.asc_nulls_last("entry_number"), key).offset(offset).limit(limit)
+
+
+def labels_of(rows: DataFrame, key: str, labels: dict[str, str], out: str = "label") -> DataFrame:
+    """The label of each key; a key without one stands for itself."""
+    if not labels:
+        return rows.withColumn(out, F.col(key))
+    table = F.create_map(*[x for k, v in labels.items() for x in (F.lit(k), F.lit(v))])
+    return rows.withColumn(out, F.coalesce(F.try_element_at(table, F.col(key)), F.col(key)))
+
+
 def query_tokens(text: str) -> list[str]:
     """Words of a query in lower case; each is a prefix that must be found."""
     return [w for w in re.sub(f"[{re.escape(QUERY_MARKS)}]", " ", text or "").lower().split() if w]

@@ -135,20 +135,20 @@ SELECT authority_key, count(*) AS n_docs FROM h GROUP BY 1
 def vocab_all_matches(spark, sf_dir):
     from ..functions.vocab import Vocabulary
 
-    found = spread(table(spark, sf_dir, "documents").select("text")).select(F.explode(F.array_distinct(Vocabulary.load(table(spark, sf_dir, "authorities")).find_all("text"))).alias("authority_key"))
+    found = spread(table(spark, sf_dir, "documents").select("text")).select(F.explode(Vocabulary.load(table(spark, sf_dir, "authorities")).scan("text")).alias("authority_key"))
     return found.groupBy("authority_key").agg(F.count("*").alias("n_docs"))
 
 
 @query("""
-WITH v AS (SELECT DISTINCT authority_key, alias FROM (SELECT authority_key, unnest(list_append(aliases, label_ar)) AS alias FROM authorities) WHERE alias IS NOT NULL AND alias <> ''),
+WITH v AS (SELECT authority_key, alias, bool_and(is_label) AS is_label FROM (SELECT authority_key, unnest(aliases) AS alias, false AS is_label FROM authorities UNION ALL SELECT authority_key, label_ar, true FROM authorities) WHERE alias IS NOT NULL AND alias <> '' GROUP BY 1, 2),
 h AS (SELECT d.doc_id, v.authority_key, v.alias FROM documents d, v WHERE contains(coalesce(d.text, ''), v.alias)
-      QUALIFY row_number() OVER (PARTITION BY d.doc_id ORDER BY length(v.alias) DESC, v.alias, v.authority_key) = 1)
+      QUALIFY row_number() OVER (PARTITION BY d.doc_id ORDER BY length(v.alias) DESC, v.authority_key, v.is_label, v.alias) = 1)
 SELECT d.doc_id, h.authority_key FROM documents d LEFT JOIN h ON d.doc_id = h.doc_id
 """)
 def vocab_first_match(spark, sf_dir):
     from ..functions.vocab import Vocabulary
 
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", Vocabulary.load(table(spark, sf_dir, "authorities")).find_first("text").alias("authority_key"))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", F.try_element_at(Vocabulary.load(table(spark, sf_dir, "authorities")).scan("text"), F.lit(1)).alias("authority_key"))
 
 
 # --- windows ----------------------------------------------------------------------------------------------
@@ -178,7 +178,7 @@ FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
 """)
 def lead_lag_neighbors(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    return R.neighbors(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_orderkey").select("o_orderkey", "previous_o_orderkey", "next_o_orderkey")
+    return R.neighbors(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_orderkey", F.date_trunc("year", "o_orderdate")).select("o_orderkey", "previous_o_orderkey", "next_o_orderkey")
 
 
 @query("SELECT person_id, entry_number, count(*) OVER (PARTITION BY entry_number) > 1 AS is_ambiguous FROM " + _now("persons", "person_id, entry_number"))
@@ -522,13 +522,9 @@ _TERMS = "t AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(
 _QUERY = ["كان", "مات", "سنة"]
 
 
-def _terms(spark, sf_dir):
-    return S.index(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), "doc_id", {"text": "text"})
-
-
 @query(f"WITH {_TERMS} SELECT doc_id FROM t GROUP BY 1 HAVING " + " AND ".join(f"bool_or(starts_with(term, '{q}'))" for q in _QUERY))
 def prefix_fts_and(spark, sf_dir):
-    return S.prefix_and(_terms(spark, sf_dir), "doc_id", _QUERY)
+    return S.texts_with(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), "text", _QUERY).select("doc_id")
 
 
 @query(f"""WITH {_TERMS}, z AS (SELECT doc_id, sum(tf) AS len FROM t GROUP BY 1), st AS (SELECT count(*) AS n, avg(len) AS a FROM z),
@@ -536,7 +532,36 @@ d AS (SELECT term, count(*) AS df FROM t WHERE term IN ({', '.join(repr(q) for q
 SELECT t.doc_id, round(sum(ln(1 + (st.n - d.df + 0.5) / (d.df + 0.5)) * t.tf * 2.2 / (t.tf + 1.2 * (0.25 + 0.75 * z.len / st.a))), 6) AS score
 FROM t JOIN d ON t.term = d.term JOIN z ON t.doc_id = z.doc_id, st GROUP BY 1""")
 def bm25_rank(spark, sf_dir):
-    return S.bm25(_terms(spark, sf_dir), "doc_id", _QUERY).select("doc_id", F.round("score", 6).alias("score"))
+    return S.bm25_of_texts(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), "doc_id", "text", _QUERY).select("doc_id", F.round("score", 6).alias("score"))
+
+
+@query(f"WITH {_TERMS}, z AS (SELECT term, doc_id, tf FROM t WHERE term IN ({', '.join(repr(q) for q in _QUERY)})) SELECT term, count(*) AS n_docs, CAST(sum(tf) AS BIGINT) AS n FROM z GROUP BY 1")
+def term_index(spark, sf_dir):
+    """Documents and occurrences of a few terms in the inverted index of all documents."""
+    postings = S.index(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), "doc_id", {"text": "text"})
+    return postings.where(F.col("term").isin(*_QUERY)).groupBy("term").agg(F.count("*").alias("n_docs"), F.sum("tf").alias("n"))
+
+
+_SCORED = """CASE WHEN CAST(entry_number AS VARCHAR) = '{q}' THEN 0 WHEN display_name_norm = '{q}' THEN 1 WHEN starts_with(display_name_norm, '{q}') THEN 2 WHEN contains(display_name_norm, '{q}') THEN 3 END"""
+
+
+@query("WITH p AS " + _now("persons", "*") + f""", h AS (SELECT person_id, entry_number, {_SCORED.format(q='عبد')} AS score FROM p)
+SELECT person_id, entry_number, score FROM h WHERE score IS NOT NULL ORDER BY score, entry_number NULLS LAST, person_id LIMIT 30""")
+def search_scored(spark, sf_dir):
+    """A page of the entries whose number or name holds the word: equal ones first, then those that begin with it."""
+    p = current_rows(table(spark, sf_dir, "persons"), "person_id", ["entry_number", "display_name", "display_name_norm"])
+    return S.scored(p, "عبد", 30).select("person_id", "entry_number", "score")
+
+
+@query("WITH p AS " + _now("persons", "*") + """, t AS (SELECT person_id, unnest(regexp_extract_all(lower(coalesce(display_name_norm, '')), '[\\p{L}\\p{N}]+')) AS term FROM p),
+z AS (SELECT person_id, count(*) AS len, count(*) FILTER (WHERE starts_with(term, 'عبد')) AS f1, count(*) FILTER (WHERE starts_with(term, 'بن')) AS f2 FROM t GROUP BY 1),
+st AS (SELECT count(*) AS n, avg(len) AS a, count(*) FILTER (WHERE f1 > 0) AS d1, count(*) FILTER (WHERE f2 > 0) AS d2 FROM z)
+SELECT person_id, round(ln(1 + (n - d1 + 0.5) / (d1 + 0.5)) * f1 * 2.2 / (f1 + 1.2 * (0.25 + 0.75 * len / a)) + ln(1 + (n - d2 + 0.5) / (d2 + 0.5)) * f2 * 2.2 / (f2 + 1.2 * (0.25 + 0.75 * len / a)), 6) AS score
+FROM z, st WHERE f1 > 0 AND f2 > 0""")
+def search_ranked(spark, sf_dir):
+    """Entries whose names hold words that begin with each of the query's, ranked by their weight."""
+    p = current_rows(table(spark, sf_dir, "persons"), "person_id", ["display_name_norm"])
+    return S.bm25_of_texts(p, "person_id", "display_name_norm", ["عبد", "بن"], prefix=True, every=True).select("person_id", F.round("score", 6).alias("score"))
 
 
 @query("WITH p AS " + _now("persons", "*") + """
@@ -562,9 +587,9 @@ _CITES = "(ذكره|ذكرها|ذكر|قاله|قال|أخرجه|أخرج|روا
 
 @query("WITH r AS " + _now("raw", "person_id, text_body") + f""", f AS (SELECT person_id, trim(regexp_replace(coalesce(text_body, ''), '[ \\t\\r\\n]+', ' ', 'g')) AS t FROM r),
 m AS (SELECT person_id, unnest(regexp_extract_all(t, '{_CITES}', 1)) AS verb, unnest(regexp_extract_all(t, '{_CITES}', 2)) AS target FROM f),
-v AS (SELECT DISTINCT authority_key, alias FROM (SELECT authority_key, unnest(list_append(aliases, label_ar)) AS alias FROM authorities) WHERE alias IS NOT NULL AND alias <> ''),
+v AS (SELECT authority_key, alias, bool_and(is_label) AS is_label FROM (SELECT authority_key, unnest(aliases) AS alias, false AS is_label FROM authorities UNION ALL SELECT authority_key, label_ar, true FROM authorities) WHERE alias IS NOT NULL AND alias <> '' GROUP BY 1, 2),
 d AS (SELECT DISTINCT verb, target FROM m),
-h AS (SELECT d.verb, d.target, v.authority_key FROM d JOIN v ON contains(d.target, v.alias) QUALIFY row_number() OVER (PARTITION BY d.verb, d.target ORDER BY length(v.alias) DESC, v.alias, v.authority_key) = 1)
+h AS (SELECT d.verb, d.target, v.authority_key FROM d JOIN v ON contains(d.target, v.alias) QUALIFY row_number() OVER (PARTITION BY d.verb, d.target ORDER BY length(v.alias) DESC, v.authority_key, v.is_label, v.alias) = 1)
 SELECT DISTINCT m.person_id, h.authority_key, m.verb FROM m JOIN h ON m.verb = h.verb AND m.target = h.target""")
 def text_citations(spark, sf_dir):
     """Authorities cited in the entries: the verb's window, the longest alias in it, each (authority, verb) once."""
