@@ -13,10 +13,10 @@ the children of one parent in one task: siblings are ordered within hashed lanes
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize, release
+from ..session import counted, materialize, release
 
 LANES = 32
 
@@ -32,25 +32,18 @@ def _edges(df: DataFrame, node: str, parent: str) -> DataFrame:
     return out
 
 
-def _counted(df: DataFrame, open_: str) -> tuple[DataFrame, int]:
-    """``df`` as a stage, and how many of its rows are ``open_``, counted as they are written."""
-    seen = Observation()
-    out = materialize(df.observe(seen, F.count_if(F.expr(open_)).alias("n")))
-    return out, seen.get["n"]
-
-
 def paths_up(edges: DataFrame) -> DataFrame:
     """``node, path``: names from each node to its root, by doubling; a row for every node whose way up ends."""
     names = edges.select(F.col("node").alias("parent"), F.col("name").alias("above"))
     first = edges.join(names, "parent", "left")
     path = F.when(F.col("parent").isNull(), F.array("name")).otherwise(F.array("name", "above"))
-    state, waiting = _counted(first.select("node", F.coalesce("parent", "node").alias("at"), F.col("parent").isNull().alias("done"), path.alias("path")), "not done")
+    state, waiting = counted(first.select("node", F.coalesce("parent", "node").alias("at"), F.col("parent").isNull().alias("done"), path.alias("path")), "not done")
     while waiting:
         nxt = state.select(F.col("node").alias("at"), F.col("at").alias("at2"), F.col("done").alias("done2"), F.col("path").alias("path2"))
         longer = F.concat("path", F.slice("path2", F.lit(2), F.greatest(F.size("path2") - 1, F.lit(0))))
         moved = state.where("not done").join(nxt, "at").select("node", F.col("at2").alias("at"), F.col("done2").alias("done"), longer.alias("path"))
         before, was = state, waiting
-        state, waiting = _counted(state.where("done").unionByName(moved), "not done")
+        state, waiting = counted(state.where("done").unionByName(moved), "not done")
         release(before)
         if waiting == was:
             break
@@ -85,7 +78,7 @@ def ranked(elements: DataFrame) -> DataFrame:
 
     Elements of a list without an end are not ``done``.
     """
-    state, waiting = _counted(elements.select(
+    state, waiting = counted(elements.select(
         "element", F.coalesce("next", "element").alias("last"), F.col("next").isNotNull().cast("long").alias("rank"),
         F.col("weight").cast("long").alias("weight"), F.col("next").isNull().alias("done"),
     ), "not done")
@@ -96,7 +89,7 @@ def ranked(elements: DataFrame) -> DataFrame:
             "element", F.col("last2").alias("last"), (F.col("rank") + F.col("rank2")).alias("rank"), (F.col("weight") + F.col("weight2")).alias("weight"), F.col("done2").alias("done")
         )
         before, was = state, waiting
-        state, waiting = _counted(closed.unionByName(moved), "not done")
+        state, waiting = counted(closed.unionByName(moved), "not done")
         release(before)
         if waiting == was:
             break

@@ -5,7 +5,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -62,6 +63,13 @@ def materialize(df: DataFrame) -> DataFrame:
     return out
 
 
+def counted(df: DataFrame, condition: str = "true") -> tuple[DataFrame, int]:
+    """``df`` as a stage, and how many of its rows meet the condition, counted as they are written."""
+    seen = Observation()
+    out = materialize(df.observe(seen, F.count_if(F.expr(condition)).alias("n")))
+    return out, seen.get["n"]
+
+
 def bucketed(df: DataFrame, column: str) -> DataFrame:
     """``df`` written to the shared folder in sorted buckets of ``column``.
 
