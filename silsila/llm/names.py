@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from ..functions.folding import fold
 from ..operators.current import current_rows
-from ..session import bucketed, materialize, release
+from ..session import bucketed, counted, materialize, release
 from .lookalike import Canonical, representatives
 
 # --- fixed values ------------------------------------------------------------------------------------
@@ -38,6 +38,8 @@ KNOWN_AS = re.compile(r" المعروفه? ب(\S+)")
 # -----------------------------------------------------------------------------------------------------
 #: A block with more profiles than this is compared in portions of about this many (see ``_blocks``).
 BLOCK = 64
+#: Tables of new blocking keys that are kept apart before they are written as one.
+MOST_STAGES = 8
 
 _INVERTED = re.compile(r"^(ال\S+)(?: (ال\S+))? ، (.+)$")
 
@@ -613,16 +615,17 @@ def link_profiles(entries: DataFrame, block: int = BLOCK) -> DataFrame:
     scores = materialize(_scored(_pairs(blocks, blocks, once=True), base, None))
     into: DataFrame | None = None  # number of each profile that was merged, and of the one it is part of now
     now: DataFrame | None = None  # the merged profiles
-    later: DataFrame | None = None  # blocks of the keys that merged profiles did not have before
+    later: list[DataFrame] = []  # blocks of the keys that merged profiles did not have before
     weak = False
     while True:
-        merges = _mutual(scores, weak)
-        if merges.isEmpty() and not weak:
+        merges, found = _mutual(scores, weak)
+        if not found and not weak:
             release(merges)
-            weak, merges = True, _mutual(scores, True)
-        if merges.isEmpty():
+            weak = True
+            merges, found = _mutual(scores, weak)
+        if not found:
             break
-        before = (into, now, later, scores, merges)
+        before = [x for x in (into, now, scores, merges) if x is not None]
         step = merges.select(F.explode(F.array("a", "b")).alias("id"), F.col("a").alias("into"))
         changed = materialize(_merged(base, now, step))
         now = changed if now is None else materialize(now.join(step, "id", "left_anti").unionByName(changed.select(*now.columns)))
@@ -631,8 +634,8 @@ def link_profiles(entries: DataFrame, block: int = BLOCK) -> DataFrame:
         ).unionByName(step.join(into, "id", "left_anti"))
         into = materialize(moved)
         fresh = materialize(_blocks(_fresh_keys(changed), now, crowded))
-        met = _pairs(fresh, blocks, fresh, *((later,) if later is not None else ()))
-        later = fresh if later is None else materialize(later.unionByName(fresh))
+        met = _pairs(fresh, blocks, fresh, *later)
+        later.append(fresh)
         # candidates by their present numbers; what has changed is compared again
         old = scores.select("a", "b", "score", F.lit(False).alias("again")).unionByName(met.select("a", "b", F.lit(0).alias("score"), F.lit(True).alias("again")))
         for side in ("a", "b"):
@@ -644,18 +647,21 @@ def link_profiles(entries: DataFrame, block: int = BLOCK) -> DataFrame:
         ordered = old.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "score", "again").where("a != b")
         pairs = materialize(ordered.groupBy("a", "b").agg(F.max("again").alias("again"), F.max("score").alias("score")))
         scores = materialize(pairs.where("not again").select("a", "b", "score").unionByName(_scored(pairs.where("again").select("a", "b"), base, now)))
-        release(pairs, *(x for x in before if x is not None and x not in (into, now, later)), *((fresh,) if fresh is not later else ()), *((changed,) if changed is not now else ()))
+        if len(later) == MOST_STAGES:
+            before += later
+            later = [materialize(reduce(DataFrame.unionByName, later))]
+        release(pairs, *before, *((changed,) if changed is not now else ()))
     linked = base.select(F.explode("members").alias("person_id"), "id")
     if into is not None:
         linked = linked.join(into, "id", "left").withColumn("id", F.coalesce("into", "id"))
     alone = per_book.where("n > 1").select("variants", "book").join(entries, ["variants", "book"])
     alone = alone.select("person_id", (-1 - F.shiftrightunsigned(F.xxhash64("person_id"), 1)).alias("group_id"))
-    release(keys, scores, *((blocks,) if crowded else ()))
+    release(keys, scores, *later, *((blocks,) if crowded else ()))
     return linked.select("person_id", F.col("id").alias("group_id")).unionByName(alone)
 
 
-def _mutual(scores: DataFrame, weak: bool) -> DataFrame:
-    """Pairs that are each other's best match; weak ones only where neither has another candidate as good.
+def _mutual(scores: DataFrame, weak: bool) -> tuple[DataFrame, int]:
+    """Pairs that are each other's best match, and how many; weak ones only where neither has another candidate as good.
 
     Equal strong scores are ordered by a hash of the pair, so that of many profiles alike many pairs are mutual at once.
     """
@@ -663,7 +669,7 @@ def _mutual(scores: DataFrame, weak: bool) -> DataFrame:
     both = scores.select("a", "b", "score", F.explode(F.array("a", "b")).alias("me"))
     tied = both.groupBy("me", "score").agg(F.count("*").alias("n"), F.max(F.struct(F.xxhash64("a", "b").alias("h"), "a", "b")).alias("top"))
     best = tied.groupBy("me").agg(F.max(F.struct("score", "n", "top")).alias("best")).where("best.n = 1 or best.score >= 100")
-    return materialize(best.groupBy("best.top.a", "best.top.b").agg(F.count("*").alias("votes")).where("votes = 2").select("a", "b"))
+    return counted(best.groupBy("best.top.a", "best.top.b").agg(F.count("*").alias("votes")).where("votes = 2").select("a", "b"))
 
 
 def _merged(base: DataFrame, now: DataFrame | None, step: DataFrame) -> DataFrame:
