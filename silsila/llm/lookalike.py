@@ -34,6 +34,8 @@ ALIKE: list[tuple[str, ...]] = [
     ("A", "А"), ("A", "Α"), ("B", "В"), ("B", "Β"), ("C", "С"), ("E", "Е"), ("E", "Ε"), ("H", "Н"), ("H", "Η"), ("I", "І"), ("I", "Ι"),
     ("J", "Ј"), ("K", "К"), ("K", "Κ"), ("M", "М"), ("M", "Μ"), ("N", "Ν"), ("O", "О"), ("O", "Ο"), ("P", "Р"), ("P", "Ρ"), ("Q", "Ԛ"),
     ("S", "Ѕ"), ("T", "Т"), ("T", "Τ"), ("W", "Ԝ"), ("X", "Х"), ("X", "Χ"), ("Y", "Υ"), ("Z", "Ζ"), ("Г", "Γ"), ("П", "Π"), ("Ф", "Φ"),
+    ("o", "օ"), ("O", "Օ"), ("g", "ɡ"), ("A", "Ꭺ"), ("B", "Ᏼ"), ("C", "Ꮯ"), ("D", "Ꭰ"), ("E", "Ꭼ"), ("G", "Ꮐ"), ("H", "Ꮋ"), ("J", "Ꭻ"), ("K", "Ꮶ"), ("L", "Ꮮ"),
+    ("M", "Ꮇ"), ("P", "Ꮲ"), ("S", "Ꮪ"), ("T", "Ꭲ"), ("V", "Ꮩ"), ("W", "Ꮃ"), ("Z", "Ꮓ"),
     ("٠", "۰"), ("١", "۱"), ("٢", "۲"), ("٣", "۳"), ("٧", "۷"), ("٨", "۸"), ("٩", "۹"),
     ("\u0626", "\u0649\u0654"), ("\u0626", "\u06cc\u0654"), ("\u0629", "\u06c3"),
     ("\u0e41", "\u0e40\u0e40"), ("-", "\u2010"), (":", "\u2236"), (":", "\u05c3"),
@@ -254,6 +256,17 @@ def alike_pairs(values: DataFrame, key: str = "person_id", slice_rows: int = 400
     return out.select("field_name", F.least("x", "y").alias("person_a"), F.greatest("x", "y").alias("person_b"))
 
 
+def alike_classes(values: DataFrame, key: str = "person_id") -> DataFrame:
+    """``field_name, key, class_id, n_variants, n_links`` of each value: its class of values that print alike, the different
+    strings in it, and the keys whose value prints alike but differs in its characters. Copies are counted, not paired."""
+    values = materialize(values)
+    variants = values.groupBy("field_name", "form", "chars").agg(F.count("*").alias("n"))
+    classes_ = variants.groupBy("field_name", "form").agg(F.count("*").alias("n_variants"), F.sum("n").alias("n_keys"))
+    sized = variants.join(classes_, ["field_name", "form"]).select("field_name", "chars", "form", "n_variants", (F.col("n_keys") - F.col("n")).alias("n_links"))
+    rows = values.select("field_name", "chars", key).join(sized, ["field_name", "chars"])
+    return rows.select("field_name", key, F.lower(F.hex("form")).alias("class_id"), "n_variants", "n_links")
+
+
 def _tables(spark, sf_dir: str) -> list[tuple[DataFrame, list[str]]]:
     return [
         (spark.read.parquet(f"{sf_dir}/persons.parquet").select("person_id", "ingested_at", "display_name", "full_name"), ["display_name", "full_name"]),
@@ -265,6 +278,10 @@ def p2_found(spark, sf_dir: str) -> DataFrame:
     return alike_pairs(alike_values(_tables(spark, sf_dir)))
 
 
+def p2_classes(spark, sf_dir: str) -> DataFrame:
+    return alike_classes(alike_values(_tables(spark, sf_dir)))
+
+
 def canonical_values(df: DataFrame, columns: list[str], rewrite: dict[str, str], key: str = "person_id", order: str = "ingested_at") -> DataFrame:
     """``key, field_name, form``: the consistent form of each value of the current rows, null for null."""
     state = T.StructType([T.StructField(c, T.StringType()) for c in columns])

@@ -1,8 +1,9 @@
 """Filling containers of a fixed number of tokens.
 
 Conflict-constrained best fit: pieces come in falling size; the open bins lie ordered by the room they have left,
-each with a set of the sources and duplicate clusters it holds. The search goes from the tightest bin that fits
-to wider ones until a compatible one is found. As little room left as possible comes first: where no open bin is
+each with bitmaps of the sources and duplicate clusters it holds; where a bitmap tells of a conflict, the bin's exact
+set decides. The search goes from the tightest bin that fits to wider ones until a compatible one is found. A cluster
+of one conflicts with nothing. As little room left as possible comes first: where no open bin is
 compatible, the tightest one that fits is taken rather than a new one opened (``strict=True`` opens one instead).
 
 Documents are dealt to shards by a hash of their id, so a source or a cluster of copies with a third of all rows
@@ -13,7 +14,7 @@ cut into full containers and a remainder, which is packed like any other piece;
 """
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -38,15 +39,22 @@ class Packer:
         self.residual: list[int] = []
         self.sources: list[int] = []
         self.clusters: list[int] = []
+        self.held: list[set[tuple[str, object]]] = []
         self.source_bits: dict[object, int] = {}
         self.cluster_bits: dict[object, int] = {}
 
     def _bit(self, table: dict[object, int], key: object) -> int:
-        """A bit of a 64-bit signature; different keys may share one, which only makes the search look further."""
+        """A bit of a 64-bit signature; different keys may share one, and the exact set tells them apart."""
         if key is None:
             return 0
         return table.setdefault(key, 1 << (len(table) % 64))
 
+    def _conflict(self, b: int, s: int, source: object, c: int, cluster: object) -> bool:
+        if not (self.clusters[b] & c or self.sources[b] & s):
+            return False
+        held = self.held[b]
+        return bool(c) and ("c", cluster) in held or bool(s) and ("s", source) in held
+
     def place(self, size: int, source: object = None, cluster: object = None) -> int:
         s, c = self._bit(self.source_bits, source), self._bit(self.cluster_bits, cluster)
         found, fallback = -1, -1
@@ -62,7 +70,7 @@ class Packer:
                 break
             if fallback < 0:
                 fallback = bins[-1]
-            found = next((b for b in reversed(bins) if not (self.clusters[b] & c or self.sources[b] & s)), -1)
+            found = next((b for b in reversed(bins) if not self._conflict(b, s, source, c, cluster)), -1)
             if found >= 0:
                 break
             room += 1
@@ -73,6 +81,7 @@ class Packer:
             self.residual.append(self.capacity)
             self.sources.append(0)
             self.clusters.append(0)
+            self.held.append(set())
         elif size:
             held = self.bins[self.residual[found]]
             held.remove(found) if held[-1] != found else held.pop()
@@ -84,6 +93,10 @@ class Packer:
             self.free |= 1 << self.residual[found]
         self.sources[found] |= s
         self.clusters[found] |= c
+        if s:
+            self.held[found].add(("s", source))
+        if c:
+            self.held[found].add(("c", cluster))
         return found
 
 
@@ -110,8 +123,10 @@ def pack_sizes(sizes, capacity: int = CAPACITY, sources=None, clusters=None, str
         order.append((-size, turn, n))
     pieces = [pieces[n] for _, _, n in sorted(order)]
     packer, places, out = Packer(capacity, strict), defaultdict(int), []
+    members = Counter(clusters) if clusters is not None else {}
     for size, item, piece, start in pieces:
-        b = packer.place(size, None if sources is None else sources[item], None if clusters is None else clusters[item])
+        cluster = None if clusters is None or members[clusters[item]] < 2 else clusters[item]
+        b = packer.place(size, None if sources is None else sources[item], cluster)
         out.append((b, places[b], item, piece, start, size))
         places[b] += 1
     return out
@@ -140,13 +155,13 @@ def pack(sized: DataFrame, shards: int, capacity: int = CAPACITY, strict: bool =
 
 def containers(documents: DataFrame, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS, strict: bool = False) -> DataFrame:
     """Containers of all documents by the tokens of ``text``; only sizes and hashes are shuffled."""
-    keyed = documents.where("doc_id is not null").select(
+    shards = max(1, -(-documents.count() // shard_rows))
+    keyed = spread(documents).where("doc_id is not null").select(
         "doc_id", "text", F.pmod(F.xxhash64("source"), F.lit(1 << 30)).cast("int").alias("source"), F.xxhash64("text").alias("cluster")
     )
     sized = count_column(keyed, "text", ["doc_id", "source", "cluster"])
-    shards = max(1, -(-documents.count() // shard_rows))
     return pack(sized, shards, capacity, strict)
 
 
 def p8_containers(spark, sf_dir: str) -> DataFrame:
-    return containers(spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")))
+    return containers(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source"))

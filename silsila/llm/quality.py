@@ -31,6 +31,8 @@ BULLETS = r"\-\u2010-\u2015*\u2022\u2023\u2043\u00b7\u25e6\u25cf\u25cb\u25c6\u25
 SEPARATORS = "|;\t,،؛=:"
 VOWELS = frozenset("aeiouy")
 NGRAMS = (2, 4)
+#: Characters from which on a text without blanks is looked at for repeated phrases.
+LEAST_UNSPACED = 80
 # --------------------------------------------------------------------------------------------------------
 
 _LINE = re.compile("\r\n|[\n\r\x85\u2028\u2029]")
@@ -151,8 +153,14 @@ class Reader:
         dense = _share(sizes["u"], solid)
         n_words = word_chars = common = single = longest = top = 0
         words = self.words
+        grams_of = tokens
+        if dense > 0.3:  # without blanks each character is a word
+            n_words = word_chars = sizes["u"]
+            grams_of = [c for c in text if _CLASSES[c] == "u"]
         for token, n in counts.items():
             size, is_word, is_common, is_single, spaced, weight = words[token]
+            if is_word and dense > 0.3 and not spaced:
+                is_word = size = 0
             n_words += n * is_word
             word_chars += n * size
             common += n * is_common
@@ -183,7 +191,11 @@ class Reader:
         out["duplicate_paragraphs"] = _share(len(paragraphs) - len(set(paragraphs)), len(paragraphs))
         times = 2
         for n in NGRAMS:
-            out[f"top_{n}gram"], times = coverage(tokens, n) if times > 1 else (0.0, 0)
+            out[f"top_{n}gram"], times = coverage(grams_of, n) if times > 1 else (0.0, 0)
+        out["_distinct_8grams"] = 1.0
+        if dense > 0.3 and len(grams_of) >= LEAST_UNSPACED:
+            grams = len(grams_of) - 7
+            out["_distinct_8grams"] = len({tuple(grams_of[i : i + 8]) for i in range(grams)}) / grams
         out["top_word"] = _share(top, solid)
         out["single_letters"] = _share(single, len(tokens))
         out["odd_ratio"] = _share(sizes["o"] + sizes["r"], solid)
@@ -221,6 +233,8 @@ def _repeats(s: Statistics) -> bool:
     if s["duplicate_lines"] > 0.6 and s["n_lines"] >= 5 or s["duplicate_paragraphs"] > 0.6 and s["n_paragraphs"] >= 4:
         return True
     if s["_dense"] > 0.3:
+        if s["_distinct_8grams"] < 0.1:
+            return True
         clauses = [c.strip() for c in _CLAUSE.split(s["_text"]) if c.strip()]
         return len(clauses) >= 5 and len(set(clauses)) < 0.35 * len(clauses) or s["_tokens"] >= 12 and s["distinct_words"] < 0.2
     again = s["_tokens"] >= 12 and (s["top_word"] > 0.4 or s["distinct_words"] < 0.12 and s["top_4gram"] > 0.25)
@@ -318,10 +332,13 @@ def _is_list(s: Statistics) -> bool:
     return s["_list"]
 
 
-def _common_words(spark, sf_dir: str) -> dict[str, list[str]]:
-    """The fixed table of common words; it does not grow with the corpus."""
+def _common_words(spark, sf_dir: str, most: int = 10_000) -> dict[str, list[str]]:
+    """The fixed table of common words, which every task carries; more than ``most`` rows are refused."""
     words: dict[str, list[str]] = {}
-    for row in spark.read.parquet(f"{sf_dir}/common_words.parquet").select("lang", "word").distinct().collect():
+    rows = spark.read.parquet(f"{sf_dir}/common_words.parquet").select("lang", "word").distinct().limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} common words cannot be carried by every task")
+    for row in rows:
         if row["word"]:
             words.setdefault(row["lang"] or "", []).append(row["word"])
     return words

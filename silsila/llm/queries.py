@@ -12,6 +12,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_pieces": split.p1_pieces,
     "p2_found": lookalike.p2_found,
     "p2_forms": lookalike.p2_forms,
+    "p2_classes": lookalike.p2_classes,
     "p3_found": names.p3_found,
     "p3_groups": names.p3_groups,
     "p5_found": sentences.p5_found,

@@ -163,15 +163,27 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def shipped(df: DataFrame, path: str) -> str:
+    """The name under which the vocabulary file goes to the executors with the job; it need not lie on their machines."""
+    df.sparkSession.sparkContext.addFile(path)
+    return os.path.basename(path)
+
+
+def _received(name: str) -> str:
+    from pyspark import SparkFiles
+
+    return SparkFiles.get(name)
+
+
 def encode_column(df: DataFrame, text: str, keep: list[str], ids: str = "ids", path: str | None = None) -> DataFrame:
     """``keep`` and the token ids of ``text`` for every row; narrow, no shuffle."""
-    path = path or vocabulary_path()
+    name = shipped(df, path or vocabulary_path())
     schema = T.StructType([*[df.schema[c] for c in keep], T.StructField(ids, T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        encode = encoder(path).encode
+        encode = encoder(_received(name)).encode
         for batch in batches:
             flat, offsets = array("i"), [0]
             for value in batch.column(0):
@@ -186,11 +198,11 @@ def encode_column(df: DataFrame, text: str, keep: list[str], ids: str = "ids", p
 
 def count_column(df: DataFrame, text: str, keep: list[str], count: str = "n_tokens", path: str | None = None) -> DataFrame:
     """``keep`` and the number of tokens of ``text`` for every row; narrow, no shuffle."""
-    path = path or vocabulary_path()
+    name = shipped(df, path or vocabulary_path())
     schema = T.StructType([*[df.schema[c] for c in keep], T.StructField(count, T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode
+        encode = encoder(_received(name)).encode
         for batch in batches:
             sizes = pa.array([len(encode(v.as_py())) for v in batch.column(0)], pa.int32())
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], sizes], names=[*keep, count])

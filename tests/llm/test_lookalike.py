@@ -54,3 +54,16 @@ def test_pairs_against_brute_force(spark):
     assert sorted((r.person_a, r.person_b) for r in found.collect()) == want and want
     assert alike_pairs(alike_values([(df.limit(0), ["display_name"])])).count() == 0
     assert member_counts(df, ["display_name"])["x"] == 6
+
+
+def test_classes_count_copies_without_pairs(spark):
+    import datetime as dt
+
+    from silsila.llm.lookalike import alike_classes, alike_values
+
+    t = dt.datetime(2026, 1, 1)
+    rows = [(f"p{i}", t, "abc") for i in range(50)] + [("q", t, "аbc"), ("r", t, "other"), ("s", t, None), ("u", t, "")]
+    df = spark.createDataFrame(rows, "person_id string, ingested_at timestamp, v string")
+    got = {r.person_id: (r.n_variants, r.n_links) for r in alike_classes(alike_values([(df, ["v"])])).collect()}
+    assert got == {**{f"p{i}": (2, 1) for i in range(50)}, "q": (2, 50), "r": (1, 0)}
+    assert len({r.class_id for r in alike_classes(alike_values([(df, ["v"])])).collect()}) == 2

@@ -63,3 +63,13 @@ def test_rows(spark):
     got = [(r.doc_id, r.kind) for r in with_statistics(df, COMMON).orderBy("doc_id").collect()]
     assert got == [(1, None), (2, None), (3, None), (4, "prose"), (5, "list"), (5, "list"), (6, "junk")]
     assert with_statistics(df.limit(0), COMMON).count() == 0 and len(with_statistics(df, {}).columns) == len(FIELDS) + 2
+
+
+def test_a_phrase_over_and_over_without_blanks():
+    reader = Reader({"zh": ["的", "是"], "en": ["the", "of"]})
+    phrase = "据海谷所记其宅距城十里"
+    for text in (phrase * 20, (phrase + "，") * 20, (phrase + "。") * 20):
+        assert reader.kind(reader.statistics(text)) == "junk"
+    prose = "".join(chr(0x4E00 + (i * i * 7 + i * 13) % 3000) + ("。" if i % 17 == 16 else "") for i in range(400))
+    s = reader.statistics(prose)
+    assert reader.kind(s) == "prose" and s["n_words"] == 400 and 0.9 < s["mean_word_length"] <= 1.0

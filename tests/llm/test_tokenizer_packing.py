@@ -80,3 +80,22 @@ def test_containers(spark):
         load[r.container_id] = load.get(r.container_id, 0) + r.n_tokens
     assert max(load.values()) <= 2048 and sum(1 for r in got if r.doc_id == 102) == 3
     assert containers(df.limit(0)).count() == 0
+
+
+def test_only_copies_conflict_and_signatures_do_not_decide():
+    from silsila.llm.packing import Packer, pack_sizes
+
+    # 200 documents of one, each its own cluster: no two conflict, though signatures have 64 bits
+    rows = pack_sizes([10] * 200, 100, clusters=list(range(200)), strict=True)
+    assert len({r[0] for r in rows}) == 20
+    # two copies never share a bin when the rule is strict
+    rows = pack_sizes([10] * 8, 100, clusters=["a"] * 4 + ["b"] * 4, strict=True)
+    bins = {}
+    for b, _, item, *_ in rows:
+        bins.setdefault(b, []).append("ab"[item // 4])
+    assert all(len(set(held)) == len(held) for held in bins.values()) and len(bins) == 4
+    # keys that share a bit of the signature are told apart
+    p = Packer(100, strict=True)
+    for i in range(65):
+        p.place(1, cluster=i)
+    assert len(p.residual) == 1
