@@ -233,6 +233,17 @@ def fact_edges(facts: DataFrame, index: DataFrame, keys: DataFrame) -> DataFrame
     return _edges(out, F.col("type"), F.col("value"), F.col("source"), F.col("evidence"), F.col("confidence"), relation)
 
 
+def all_edges(references: DataFrame, facts: DataFrame) -> DataFrame:
+    """Pointers, narrators and kin as one table of edges."""
+    return references.unionByName(facts)
+
+
+def neighbour_pairs(edges: DataFrame, fathers: DataFrame) -> DataFrame:
+    """``src, dst, type, source`` of all resolved edges, those by names of fathers as their own source."""
+    own = edges.where("to_id is not null").select(F.col("from_id").alias("src"), F.col("to_id").alias("dst"), "type", "source")
+    return own.unionByName(fathers.where("to_id is not null").select(F.col("from_id").alias("src"), F.col("to_id").alias("dst"), "type", F.lit("genealogy").alias("source"))).distinct()
+
+
 def edge_stats(edges: DataFrame) -> DataFrame:
     """Edges by type with their outcomes."""
     out = F.when(F.col("resolved"), "resolved").when(F.col("ambiguous"), "ambiguous").otherwise("unresolved")

@@ -5,6 +5,9 @@ inside ``mapInPandas``, so the number of partitions is the number of calls at a
 """
 from __future__ import annotations
 
+import random
+import re
+import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -17,6 +20,10 @@ from .relational import running_until, top_k_per_key
 
 # --- fixed values -----------------------------------------------------------------------------------
 ITEMS = 16
+#: Fields of an extraction reply that are lists.
+REPLY_LISTS = (
+    "alternate_names", "name_dispute_notes", "conversion", "companionship", "battles", "offices", "family", "residences", "traits", "cited_authorities", "cross_references",
+)
 FIXED_TOKENS = 1200
 THIN = ("name_only", "kunya_redirect")
 LONGEST_QUOTE = 12
@@ -56,6 +63,52 @@ def request_key(*columns: str) -> Column:
     return F.sha2(F.to_json(F.struct(*columns)), 256)
 
 
+def strip_fences(reply: Column | str) -> Column:
+    """A reply without the code fence around it."""
+    bare = F.btrim(F.coalesce(F.col(reply) if isinstance(reply, str) else reply, F.lit("")), F.lit(" \t\r\n"))
+    inner = F.regexp_extract(bare, r"(?s)^```(?:json)?\s*(.*?)\s*```$", 1)
+    return F.when(F.regexp_like(bare, F.lit(r"(?s)^```(?:json)?\s*.*```$")), inner).otherwise(bare)
+
+
+def reply_problem(reply: Column | str) -> Column:
+    """What is wrong with the shape of an extraction reply (JSON text): null if nothing is."""
+    value = F.try_parse_json(strip_fences(reply))
+
+    def kind(path: str) -> Column:
+        return F.schema_of_variant(F.try_variant_get(value, path, "variant"))
+
+    def given(path: str) -> Column:
+        return kind(path).isNotNull() & (kind(path) != "VOID")
+
+    checks = [(value.isNull() | ~F.startswith(F.schema_of_variant(value), F.lit("OBJECT")), "Response was not a JSON object.")]
+    checks += [(given(f"$.{f}") & ~F.startswith(kind(f"$.{f}"), F.lit("ARRAY")), f'Field "{f}" must be an array.') for f in REPLY_LISTS]
+    checks.append((given("$.narration") & ~F.regexp_like(kind("$.narration"), F.lit("^(OBJECT|ARRAY)")), 'Field "narration" must be an object.'))
+    for f in ("birth", "death"):
+        checks.append((given(f"$.{f}") & ~F.regexp_like(kind(f"$.{f}"), F.lit("^(OBJECT|ARRAY)")), f'Field "{f}" must be an object.'))
+        year = kind(f"$.{f}.year_hijri")
+        checks.append((given(f"$.{f}.year_hijri") & (year != "BIGINT"), f'Field "{f}.year_hijri" must be an integer Hijri year or null.'))
+    return F.coalesce(*[F.when(F.coalesce(wrong, F.lit(False)), F.lit(text)) for wrong, text in checks])
+
+
+def parse_duration(value: object) -> float | None:
+    """Milliseconds of ``500ms``, ``2s``, ``1m30s`` or a bare number of seconds; null for anything else."""
+    text = str(value if value is not None else "").strip()
+    if re.fullmatch(r"[0-9]+(\.[0-9]+)?", text):
+        return float(text) * 1000
+    parts = re.findall(r"([0-9]+(?:\.[0-9]+)?)(ms|s|m|h)", text)
+    return sum(float(n) * {"ms": 1, "s": 1000, "m": 60_000, "h": 3_600_000}[unit] for n, unit in parts) if parts else None
+
+
+def retry_delay(headers: dict[str, str], attempt: int, jitter: float = 0.0) -> float:
+    """Milliseconds to wait after a refused call: what the provider tells, else twice as long each time; at most 90 seconds."""
+    told = parse_duration(headers.get("retry-after-ms"))
+    if told is None:
+        resets = [parse_duration(headers.get(f"x-ratelimit-reset-{x}")) or 0 for x in ("tokens", "requests")]
+        told = parse_duration(headers.get("retry-after")) or max(resets) or None
+    base = told if told is not None else min(60_000, 1000 * 2**attempt)
+    return min(90_000, base + 750) + jitter
+
+
 def missing(requests: DataFrame, cache: DataFrame) -> DataFrame:
     return requests.join(cache.select("request_key").distinct(), "request_key", "left_anti")
 
@@ -71,8 +124,24 @@ def within_budget(requests: DataFrame, cost: str, cap: int, order: list[str], bu
     return running_until(requests, order, cost, cap, bucket)
 
 
+class Refused(Exception):
+    """Raised by a provider whose service asks to wait; ``headers`` tell how long."""
+
+    def __init__(self, message: str, headers: dict[str, str] | None = None):
+        super().__init__(message)
+        self.headers = headers or {}
+
+
+class Fatal(Exception):
+    """Raised by a provider where trying again is of no use."""
+
+
 def answered(requests: DataFrame, provider: Provider | None, at_a_time: int = 8, tries: int = 6) -> DataFrame:
-    """``request_key, reply, error``; without a provider nothing is asked. A failed batch is tried again, then logged."""
+    """``request_key, reply, error``; without a provider nothing is asked.
+
+    A refused batch (``Refused``) waits as told, any other failed one is tried again at once, ``Fatal`` ones are not; what fails
+    in the end is logged as an error.
+    """
     if provider is None:
         return requests.sparkSession.createDataFrame([], "request_key string, reply string, error string")
 
@@ -80,10 +149,17 @@ def answered(requests: DataFrame, provider: Provider | None, at_a_time: int = 8,
         for frame in frames:
             error: str | None = None
             replies: list[str | None] = [None] * len(frame)
-            for _ in range(tries):
+            for attempt in range(tries):
                 try:
                     replies, error = list(provider(frame["prompt"].tolist())), None
                     break
+                except Fatal as e:
+                    error = str(e)[:300]
+                    break
+                except Refused as e:
+                    error = str(e)[:300]
+                    if attempt + 1 < tries:
+                        time.sleep(retry_delay(e.headers, attempt, random.random() * 500) / 1000)
                 except Exception as e:  # noqa: BLE001 - a provider may raise anything; the row keeps it
                     error = str(e)[:300]
             yield pd.DataFrame({"request_key": frame["request_key"], "reply": replies, "error": error})
@@ -122,6 +198,43 @@ def relabelled(spans: DataFrame, replies: DataFrame, key: str = "person_id") ->
     }).drop("new_label", "new_confidence")
 
 
+def with_hadith_counts(persons: DataFrame, replies: DataFrame, key: str = "person_id") -> DataFrame:
+    """``persons(key, value, count, uncertain, evidence, source, confidence)`` of counted traditions, where the reply has a count.
+
+    Persons without one of their own are left as they are; a reply's evidence makes it more certain (0.9, else 0.7).
+    """
+    r = replies.where("count is not null").select(key, F.col("count").alias("r_count"), F.coalesce("uncertain", F.lit(False)).alias("r_uncertain"), F.col("evidence").alias("r_evidence"))
+    rows = persons.join(r, key, "left")
+    hit = F.col("r_count").isNotNull() & F.col("value").isNotNull()
+    return rows.withColumns({
+        "count": F.when(hit, F.col("r_count")).otherwise(F.col("count")), "uncertain": F.when(hit, F.col("r_uncertain")).otherwise(F.col("uncertain")),
+        "evidence": F.when(hit, F.coalesce("r_evidence", "evidence")).otherwise(F.col("evidence")), "source": F.when(hit, "llm").otherwise(F.col("source")),
+        "confidence": F.when(hit, F.when(F.col("r_evidence").isNotNull(), 0.9).otherwise(0.7)).otherwise(F.col("confidence")),
+    }).drop("r_count", "r_uncertain", "r_evidence")
+
+
+def with_verdicts(persons: DataFrame, replies: DataFrame, key: str = "person_id") -> DataFrame:
+    """``persons(key, verdict_keys)`` with the keys of ``replies(key, idx, verdict_key)`` behind their own, each once."""
+    found = replies.where("verdict_key is not null").groupBy(key).agg(F.sort_array(F.collect_list(F.struct("idx", "verdict_key"))).alias("__v"))
+    own = F.coalesce("verdict_keys", F.array().cast("array<string>"))
+    new = F.coalesce(F.transform("__v", lambda v: v["verdict_key"]), F.array().cast("array<string>"))
+    return persons.join(found, key, "left").withColumn("verdict_keys", F.array_distinct(F.concat(own, new))).drop("__v")
+
+
+def isnad_rows(replies: DataFrame, key: str = "person_id") -> DataFrame:
+    """``key, isnad_no, link_no, name`` of the chains of transmission in ``replies(key, idx, links array<string>)``; empty names are left out."""
+    rows = replies.select(key, F.col("idx").alias("isnad_no"), F.posexplode("links").alias("link_no", "name"))
+    return rows.withColumn("name", F.btrim("name")).where("name != ''")
+
+
+def pass_counters(before: DataFrame, after: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """``column_name, changed``: how many rows a pass has changed in each column."""
+    b = before.select(*keys, *[F.col(c).alias(f"__b_{c}") for c in columns])
+    both = after.join(b, keys)
+    counts = both.agg(*[F.count_if(~F.col(c).eqNullSafe(F.col(f"__b_{c}"))).alias(c) for c in columns])
+    return counts.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("changed")) for c in columns])).alias("r")).select("r.*")
+
+
 def timelines(items: DataFrame, years: DataFrame, key: str = "person_id") -> DataFrame:
     """``items(key, kind, vocab_key, year, ord)`` as one list a person: birth, battles, events, death; the vocabulary's year
     stands in for a missing one; by year with unknown ones last, else in order. Persons without items have none."""

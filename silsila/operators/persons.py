@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.folding import fold, folded, folded_each
-from ..functions.text import flatten
+from ..functions.text import confidence, evidence_status, flatten
 from ..functions.vocab import Vocabulary
 from .lineage import identity_score
 from .relational import first_members, unique_best
@@ -86,6 +86,38 @@ def gathered(facts: DataFrame, fields: list[str], key: str = "person_id") -> Dat
     return lists.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("coll_path", "items"))).alias("facts"))
 
 
+def layered(model: DataFrame, patterns: DataFrame, key: str = "person_id") -> DataFrame:
+    """Facts of the model where it answered for a person without an error, else those read by patterns.
+
+    ``model(key, error, ..)`` and ``patterns(key, ..)`` have the same fields; ``layer`` names where a row comes from.
+    """
+    good = model.where("error is null").drop("error")
+    rest = patterns.join(good.select(key).distinct(), key, "left_anti")
+    return good.withColumn("layer", F.lit("llm")).unionByName(rest.withColumn("layer", F.lit("regex")), allowMissingColumns=True)
+
+
+def chain_key(chain: Column | str) -> Column:
+    """A lineage's folded names, one behind the other."""
+    return F.array_join(F.filter(folded_each(chain), lambda n: n != ""), "|")
+
+
+def facts_from(items_: DataFrame, body: str = "body") -> DataFrame:
+    """Rows ``(.., value, evidence, source, <body>)`` as facts: trimmed, without a value dropped, with their confidence.
+
+    ``normalized`` is the folded value. Confidence is that of the source and of whether the body holds the evidence.
+    """
+    value, evidence = F.btrim(F.coalesce(F.col("value").cast("string"), F.lit(""))), F.nullif(F.btrim("evidence"), F.lit(""))
+    rows = items_.withColumns({"value": value, "evidence": evidence}).where("value != ''")
+    status = evidence_status(body, "evidence")
+    return rows.withColumns({"normalized": F.nullif(folded("value"), F.lit("")), "confidence": confidence(F.col("source"), status)}).drop(body)
+
+
+def samples(persons: DataFrame, numbers: list[int], order: str = "person_id") -> DataFrame:
+    """The entries with these numbers, and the first one that is listed in error."""
+    refuted = persons.where(f"qism = {REFUTED}").orderBy(order).limit(1)
+    return persons.where(F.col("entry_number").isin(*numbers)).unionByName(refuted)
+
+
 def items(path: str, held: Column | str = "facts") -> Column:
     """The objects of one list of a gathered person, an empty array where there are none."""
     held = F.col(held) if isinstance(held, str) else held

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import squeeze
+from ..functions.text import squeeze, strip_notes
 from .relational import range_join, uncovered
 
 # --- fixed values ----------------------------------------------------------------------------------
@@ -127,6 +127,39 @@ def entries(toc: DataFrame, last_page: Column) -> DataFrame:
     return good.unionByName(bad, allowMissingColumns=True)
 
 
+def clean_name(raw: Column | str) -> Column:
+    """A heading's name without note markers and what closes it: marks, commas, colons, a dash."""
+    bare = F.regexp_replace(strip_notes(raw), r"(?U)[：:،,.؛\s]+$", "")
+    return squeeze(F.regexp_replace(bare, r"(?U)[-–—]\s*$", ""))
+
+
+def marker_counts(found: DataFrame) -> DataFrame:
+    """Entries by marker, without one as ``none``."""
+    return found.where("reject_reason is null").groupBy(F.coalesce("entry_marker", F.lit("none")).alias("marker")).agg(F.count("*").alias("n"))
+
+
+def suspect_numbers(found: DataFrame) -> DataFrame:
+    """``book, entry_number, reason, n``: numbers that several entries bear, and those beyond the printed ones."""
+    several = found.where("reject_reason is null").groupBy("book", "entry_number").agg(F.count("*").alias("n")).where("n > 1").withColumn("reason", F.lit("ambiguous"))
+    beyond = found.where(F.col("entry_number") > LAST_NUMBER).groupBy("book", "entry_number").agg(F.count("*").alias("n")).withColumn("reason", F.lit("suspect"))
+    return several.unionByName(beyond).select("book", "entry_number", "reason", "n")
+
+
+def manifest(pages: DataFrame, toc: DataFrame, found: DataFrame, chapter_rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """``counter, n``: pages, nodes, entries, chapters, repeated numbers, rejected headings and characters of a corpus."""
+    good = F.col("reject_reason").isNull()
+    counts = [
+        pages.agg(F.lit("pages").alias("counter"), F.count("*").alias("n")), toc.agg(F.lit("toc_nodes").alias("counter"), F.count("*").alias("n")),
+        found.agg(F.lit("entries").alias("counter"), F.count_if(good).alias("n")), found.agg(F.lit("rejected_toc_candidates").alias("counter"), F.count_if(~good).alias("n")),
+        suspect_numbers(found).where("reason = 'ambiguous'").agg(F.lit("ambiguous_entry_numbers").alias("counter"), F.count("*").alias("n")),
+        chapter_rows.agg(F.lit("chapters").alias("counter"), F.count("*").alias("n")), texts.agg(F.lit("corpus_chars").alias("counter"), F.coalesce(F.sum(F.length("text")), F.lit(0)).cast("long").alias("n")),
+    ]
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionByName(c)
+    return out
+
+
 def chapters(toc: DataFrame, entry_pages: DataFrame, last_page: Column) -> DataFrame:
     """Chapters of ``toc``: nodes that are no entries, with kind and page range; the range ends before the next node as shallow."""
     rows = walked(toc).join(entry_pages.select("book", "id").distinct(), ["book", "id"], "left_anti").where(~F.regexp_like("title", F.lit(HEADING)))
@@ -153,12 +186,12 @@ def chapter_texts(found: DataFrame, pages: DataFrame, limit: int = TEXT_LIMIT) -
 def in_page_order(nodes: DataFrame, pages: DataFrame) -> DataFrame:
     """``nodes(book, ord, id, entry_number, name)`` with ``doc_ord``: by page, within a page by where the heading stands in it.
 
-    A heading is looked up by its number, else by its name; one that the page does not hold comes after the others.
+    A heading is looked up by its number, else by its name; those that the page does not hold come last, in reverse order.
     """
     text = pages.select("book", "id", F.col("text").alias("__text"))
     at = F.coalesce(_heading_at("entry_number", "name", F.coalesce("__text", F.lit(""))), F.lit(2**31 - 1))
     rows = nodes.join(text, ["book", "id"], "left").withColumn("__at", at).drop("__text")
-    return rows.withColumn("doc_ord", F.row_number().over(Window.partitionBy("book").orderBy("id", "__at", "ord"))).drop("__at")
+    return rows.withColumn("doc_ord", F.row_number().over(Window.partitionBy("book").orderBy("id", "__at", F.when(F.col("__at") == 2**31 - 1, -F.col("ord")).otherwise(F.col("ord"))))).drop("__at")
 
 
 def page_spans(ranges: DataFrame, pages: DataFrame, keys: Sequence[str], first: str = "id", last: str = "end_id", gap: int = 2) -> DataFrame:

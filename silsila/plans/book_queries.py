@@ -8,6 +8,7 @@ from ..operators import relational as R
 from ..operators import structure as B
 from ..operators.current import current_rows
 from .core_queries import _now, query, table
+from .lineage_sql import BLANKS_SQL, flat_sql, squeezed_sql
 
 
 def _rows(spark, sf_dir) -> DataFrame:
@@ -85,7 +86,7 @@ def page_coverage(spark, sf_dir):
 @query(f"""WITH {ROWS_SQL}, {PAGES_SQL}, w AS (SELECT e.book, e.k, e.start_id, {_NAME} AS name, nullif(strpos(chr(10) || g.text, chr(10) || CAST(e.entry_number AS VARCHAR) || '-'), 0) AS by_number, g.text
   FROM e JOIN g ON e.book = g.book AND e.start_id = g.id WHERE e.entry_number IS NOT NULL),
 a AS (SELECT book, k, start_id, coalesce(CASE WHEN by_number > 1 THEN by_number - 1 ELSE by_number END, CASE WHEN length(n3) >= 4 THEN nullif(strpos(text, n3), 0) END, 2147483647) AS place FROM (SELECT *, array_to_string(string_split(name, ' ')[1:3], ' ') AS n3 FROM w))
-SELECT book, k AS entry, CAST(row_number() OVER (PARTITION BY book ORDER BY start_id, place, k) AS INTEGER) AS doc_ord FROM a""")
+SELECT book, k AS entry, CAST(row_number() OVER (PARTITION BY book ORDER BY start_id, place, CASE WHEN place = 2147483647 THEN -k ELSE k END) AS INTEGER) AS doc_ord FROM a""")
 def order_in_page(spark, sf_dir):
     """Entries by page and, within a page, by where their headings stand in its text."""
     rows = _rows(spark, sf_dir)
@@ -117,3 +118,44 @@ def entry_neighbors(spark, sf_dir):
     """The entries before and behind each in its book."""
     found = R.neighbors(_rows(spark, sf_dir).select("book", "k", "person_id"), ["book"], ["k"], "person_id")
     return found.select("person_id", F.coalesce("previous_person_id", F.lit("")).alias("previous_id"), F.coalesce("next_person_id", F.lit("")).alias("next_id"))
+
+
+_FOUND = f"""j AS (SELECT book, k, start_id, CAST(entry_number AS INTEGER) AS entry_number, CASE WHEN regexp_matches({_NAME}, '{B.STRUCTURAL}') THEN 'structural_heading' WHEN entry_number > {B.LAST_NUMBER} THEN 'number_out_of_range' END AS reason
+  FROM e WHERE regexp_matches(CAST(entry_number AS VARCHAR) || '- ' || coalesce(display_name, '؟'), '{B.HEADING}'))"""
+
+
+def _found(rows: DataFrame) -> DataFrame:
+    return B.entries(toc_of(rows).where("lvl = 5 and title is not null"), F.lit(1_000_000).cast("long"))
+
+
+@query(f"""WITH {ROWS_SQL}, {_FOUND} SELECT book, entry_number, 'ambiguous' AS reason, count(*) AS n FROM j WHERE reason IS NULL GROUP BY 1, 2 HAVING count(*) > 1
+UNION ALL SELECT book, entry_number, 'suspect', count(*) FROM j WHERE entry_number > {B.LAST_NUMBER} GROUP BY 1, 2""")
+def suspect_numbers(spark, sf_dir):
+    """Entry numbers that several entries of a book bear, and those beyond the printed ones."""
+    return B.suspect_numbers(_found(_rows(spark, sf_dir)))
+
+
+@query(f"""WITH {ROWS_SQL}, {_FOUND}, {PAGES_SQL} SELECT 'pages' AS counter, count(*) AS n FROM g UNION ALL SELECT 'toc_nodes', (SELECT count(*) FROM e WHERE entry_number IS NOT NULL) + (SELECT count(*) FROM e WHERE letter IS NOT NULL)
+UNION ALL SELECT 'entries', count(*) FROM j WHERE reason IS NULL UNION ALL SELECT 'rejected_toc_candidates', count(*) FROM j WHERE reason IS NOT NULL
+UNION ALL SELECT 'ambiguous_entry_numbers', count(*) FROM (SELECT 1 FROM j WHERE reason IS NULL GROUP BY book, entry_number HAVING count(*) > 1)
+UNION ALL SELECT 'chapters', count(*) FROM e WHERE letter IS NOT NULL
+UNION ALL SELECT 'corpus_chars', CAST(sum(length(text)) AS BIGINT) FROM e""")
+def corpus_manifest(spark, sf_dir):
+    """Counters of the corpus read as books."""
+    rows = _rows(spark, sf_dir)
+    toc = toc_of(rows).where("title is not null")
+    none = rows.limit(0).select("book", F.col("start_id").alias("id"))
+    return B.manifest(pages_of(rows), toc, _found(rows), B.chapters(toc, none, F.lit(1_000_000).cast("long")), rows)
+
+
+@query(f"""WITH p AS {_now('persons', 'person_id, entry_marker')} SELECT coalesce(entry_marker, 'none') AS marker, count(*) AS n FROM p GROUP BY 1""")
+def marker_counts(spark, sf_dir):
+    p = current_rows(table(spark, sf_dir, "persons"), "person_id", ["entry_marker"])
+    return B.marker_counts(p.withColumn("reject_reason", F.lit(None).cast("string")))
+
+
+@query(f"""WITH p AS {_now('persons', 'person_id, display_name')} SELECT person_id, {squeezed_sql("regexp_replace(regexp_replace(" + flat_sql('display_name') + ", '([：:،,.؛]|" + BLANKS_SQL + ")+$', ''), '[-–—]" + BLANKS_SQL + "*$', '')")} AS name FROM p""")
+def clean_names(spark, sf_dir):
+    """Display names without note markers and closing marks."""
+    p = current_rows(table(spark, sf_dir, "persons"), "person_id", ["display_name"])
+    return p.select("person_id", B.clean_name("display_name").alias("name"))

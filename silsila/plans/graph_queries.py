@@ -200,3 +200,13 @@ def evidence_verification(spark, sf_dir):
     quotes = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit("«([^«»]*)»"), F.lit(1))
     d = table(spark, sf_dir, "documents").where("person_id is not null").select("doc_id", "person_id", F.explode(quotes).alias("quote"))
     return d.join(raw, "person_id").select("doc_id", "quote", X.evidence_status("text_body", "quote").alias("status"))
+
+
+@query(f"""WITH {_EDGES_SQL}, {_GENEALOGY_SQL}, x AS (SELECT from_id AS src, to_id AS dst, type, false AS by_names FROM fe JOIN z USING (ref_id) WHERE to_id IS NOT NULL
+  UNION SELECT from_id, to_id, 'family', true FROM ge WHERE to_id IS NOT NULL) SELECT src, dst, type, by_names FROM x""")
+def neighbour_pairs(spark, sf_dir):
+    """Resolved edges of facts and of fathers by names as pairs of neighbours."""
+    index = index_of(spark, sf_dir)
+    keys = _keys(index)
+    pairs = G.neighbour_pairs(G.fact_edges(_edge_facts(spark, sf_dir), index, keys), G.genealogy(index, keys))
+    return pairs.select("src", "dst", "type", (F.col("source") == "genealogy").alias("by_names")).distinct()

@@ -5,11 +5,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.folding import fold, folded
+from ..functions.text import CONNECTIVE
+from ..operators import labels as L
 from ..operators import persons as P
 from ..operators.current import current_rows
 from ..operators.flatten import PERSON_LISTS, flatten_lists, pivot_fields
+from .core_queries import _SPANS as SPANS_SQL
 from .core_queries import _now, query, table
-from .lineage_sql import facts_sql, folded as folded_sql
+from .graph_queries import _key_sql
+from .lineage_sql import BLANKS_SQL, facts_sql, folded as folded_sql
 
 _FIELDS = ["value", "key", "kind", "source"]
 _LISTS = ["life.battles", "life.events", "life.family", "life.offices", "life.residences", "life.wounds", "labels"]
@@ -180,3 +184,70 @@ def facts_evidence(spark, sf_dir):
 def fact_values(spark, sf_dir):
     """The objects of all lists of the nested records with their fields."""
     return facts_of(spark, sf_dir, PERSON_LISTS, ["value", "kind", "key", "source", "evidence", "page", "year_hijri", "role", "relation"])
+
+
+_BODIES = f"b AS {_now('raw', 'person_id, text_body')}"
+_PASSAGES = f"""{_BODIES}, a AS (SELECT person_id, regexp_extract_all(coalesce(text_body, ''), '{SPANS_SQL}') AS a FROM b), e AS (SELECT person_id, unnest(a) AS piece, generate_subscripts(a, 1) AS i FROM a),
+o AS (SELECT person_id, piece, sum(length(piece)) OVER (PARTITION BY person_id ORDER BY i) - length(piece) AS pos0 FROM e),
+s AS (SELECT person_id, CAST(pos0 + length(piece) - length(regexp_replace(piece, '^{BLANKS_SQL}+', '')) AS BIGINT) AS a, regexp_replace(piece, '^{BLANKS_SQL}+|{BLANKS_SQL}+$', '', 'g') AS quote FROM o),
+w AS (SELECT *, a + length(quote) AS z, {L.label_sql('quote')} AS label FROM s WHERE quote <> '' AND NOT regexp_full_match(quote, '[\\n.؟!]+'))"""
+
+
+def _passages(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    raw = current_rows(table(spark, sf_dir, "raw"), "person_id", ["text_body"])
+    return raw, L.passages(raw, "text_body", "person_id")
+
+
+@query(f"WITH {_PASSAGES} SELECT label, count(*) AS n, CAST(sum(a) AS BIGINT) AS starts, CAST(sum(z) AS BIGINT) AS ends, CAST(sum(length(left(quote, 400))) AS BIGINT) AS quoted FROM w GROUP BY 1")
+def passage_labels(spark, sf_dir):
+    """Labelled passages of all entries by label, with their places."""
+    _, spans = _passages(spark, sf_dir)
+    return spans.groupBy("label").agg(F.count("*").alias("n"), F.sum("start").cast("long").alias("starts"), F.sum("end").cast("long").alias("ends"), F.sum(F.length("quote")).cast("long").alias("quoted"))
+
+
+@query(f"""WITH {_PASSAGES}, t AS (SELECT b.person_id, length(coalesce(text_body, '')) AS char_len, coalesce(h, 0) AS h, coalesce(u, 0) AS u FROM b LEFT JOIN
+  (SELECT person_id, sum(CASE WHEN label <> 'unlabeled' THEN z - a ELSE 0 END) AS h, count(*) FILTER (WHERE label = 'unlabeled') AS u FROM w GROUP BY 1) x ON b.person_id = x.person_id),
+c AS (SELECT *, round(CAST(least(1.0, h / greatest(char_len, 1)) AS DECIMAL(20,10)), 4) AS cov FROM t)
+SELECT CAST(sum(round(CAST(cov * char_len AS DECIMAL(20,6)), 0)) AS BIGINT) AS labelled_chars, CAST(sum(char_len) AS BIGINT) AS chars, CAST(sum(u) AS BIGINT) AS n_unlabeled,
+  CAST(round(CAST(sum(round(CAST(cov * char_len AS DECIMAL(20,6)), 0)) AS DECIMAL(20,6)) / sum(char_len), 4) AS DOUBLE) AS coverage FROM c""")
+def corpus_coverage(spark, sf_dir):
+    """How much of all bodies has a label."""
+    raw, spans = _passages(spark, sf_dir)
+    return L.corpus_coverage(L.text_coverage(spans, raw, "person_id", "text_body"))
+
+
+@query(f"""WITH p AS {_now('persons', 'person_id, entry_number, qism')} SELECT person_id, entry_number FROM p WHERE entry_number IN (7, 10, 5000) UNION ALL (SELECT person_id, entry_number FROM p WHERE qism = 4 ORDER BY person_id LIMIT 1)""")
+def sample_entries(spark, sf_dir):
+    """Pinned entries by number, and the first one listed in error."""
+    p = current_rows(table(spark, sf_dir, "persons"), "person_id", ["entry_number", "qism"])
+    return P.samples(p, [7, 10, 5000]).select("person_id", "entry_number")
+
+
+@query(f"""WITH n AS {_now('nasab', 'person_id, chain')} SELECT person_id, array_to_string(list_filter(list_transform(chain, lambda y: {folded_sql('y')}), lambda y: y <> ''), '|') AS chain_key FROM n WHERE chain IS NOT NULL""")
+def chain_keys(spark, sf_dir):
+    n = current_rows(table(spark, sf_dir, "nasab"), "person_id", ["chain"]).where("chain is not null")
+    return n.select("person_id", P.chain_key("chain").alias("chain_key"))
+
+
+@query(f"""WITH c AS (SELECT DISTINCT * FROM citations), m AS (SELECT DISTINCT person_id FROM c WHERE extract_source = 'llm' AND confidence IS NOT NULL AND person_id IS NOT NULL)
+SELECT person_id, authority, 'llm' AS layer FROM c WHERE extract_source = 'llm' AND confidence IS NOT NULL AND person_id IS NOT NULL
+UNION ALL SELECT person_id, authority, 'regex' FROM c WHERE coalesce(extract_source, '') <> 'llm' AND person_id IS NOT NULL AND person_id NOT IN (SELECT person_id FROM m)""")
+def layered_citations(spark, sf_dir):
+    """Citations of the model where it answered for an entry, else those read by patterns; an answer without confidence is an error."""
+    c = table(spark, sf_dir, "citations").distinct().where("person_id is not null")
+    error = F.when(F.col("confidence").isNull(), F.lit("no confidence"))
+    model = c.where("extract_source = 'llm'").select("person_id", error.alias("error"), "authority")
+    return P.layered(model, c.where("coalesce(extract_source, '') != 'llm'").select("person_id", "authority")).select("person_id", "authority", "layer")
+
+
+@query(f"""WITH c AS (SELECT DISTINCT * FROM citations), r AS (SELECT person_id, {_key_sql('text_body')} AS hay FROM {_now('raw', 'person_id, text_body')}),
+v AS (SELECT c.person_id, trim(coalesce(authority, ''), ' ') AS value, nullif(trim(evidence, ' '), '') AS evidence, extract_source, hay FROM c LEFT JOIN r ON c.person_id = r.person_id WHERE trim(coalesce(authority, ''), ' ') <> ''),
+k AS (SELECT *, {_key_sql('evidence')} AS needle FROM v), s AS (SELECT *, CASE WHEN evidence IS NULL THEN 'absent' WHEN length(needle) < 8 THEN 'too_short' WHEN contains(coalesce(hay, ''), needle) OR
+  length(regexp_replace(needle, '{CONNECTIVE}', '')) >= 8 AND contains(coalesce(hay, ''), regexp_replace(needle, '{CONNECTIVE}', '')) THEN 'verified' ELSE 'unverified' END AS status FROM k)
+SELECT person_id, value, nullif({folded_sql('value')}, '') AS normalized, evidence, CAST(CASE WHEN extract_source = 'regex' THEN 0.3 WHEN extract_source = 'structural' THEN 1.0 WHEN status = 'verified' THEN 0.9 WHEN status = 'unverified' THEN 0.55 ELSE 0.7 END AS DOUBLE) AS confidence FROM s""")
+def built_facts(spark, sf_dir):
+    """Authorities cited, as facts with the confidence that their evidence earns."""
+    c = table(spark, sf_dir, "citations").distinct()
+    raw = current_rows(table(spark, sf_dir, "raw"), "person_id", ["text_body"]).select("person_id", F.col("text_body").alias("body"))
+    rows = c.select("person_id", F.col("authority").alias("value"), "evidence", F.coalesce("extract_source", F.lit("")).alias("source")).join(raw, "person_id", "left")
+    return P.facts_from(rows).select("person_id", "value", "normalized", "evidence", "confidence")
