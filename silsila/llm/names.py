@@ -38,6 +38,8 @@ KNOWN_AS = re.compile(r" المعروفه? ب(\S+)")
 # -----------------------------------------------------------------------------------------------------
 #: A block with more profiles than this is compared in portions of about this many (see ``_blocks``).
 BLOCK = 64
+#: Profiles that a worker keeps taken apart, two kilobytes each.
+KNOWN_PROFILES = 8_000
 #: Tables of new blocking keys that are kept apart before they are written as one.
 MOST_STAGES = 8
 
@@ -154,7 +156,7 @@ class Profile(NamedTuple):
     female: frozenset[str]
 
 
-@lru_cache(maxsize=100_000)
+@lru_cache(maxsize=KNOWN_PROFILES)
 def profile(variants: str) -> Profile:
     parsed = [Variant(tuple(a.split(";")) if a else (), tuple(b.split(";")) if b else (), c, d) for a, b, c, d in (v.split("|") for v in variants.split("\n"))]
     own = {v.line[0] for v in parsed if v.line and v.line[0]}
@@ -181,7 +183,7 @@ def _bare(name: str) -> str:
     return name.rsplit(" ", 1)[-1].removeprefix(ARTICLE) if name.startswith(SERVANT + " ") else name
 
 
-@lru_cache(maxsize=100_000)
+@lru_cache(maxsize=KNOWN_PROFILES)
 def firm_letters(name: str) -> tuple[str, ...]:
     """The last three firm letters of a name; a feminine end counts only where fewer are left without it."""
     name = _bare(name)
@@ -190,7 +192,6 @@ def firm_letters(name: str) -> tuple[str, ...]:
     return tuple(dict.fromkeys(x[-3:] for x in ((cut,) if len(cut) > 2 else (cut, whole)) if x))
 
 
-@lru_cache(maxsize=100_000)
 def _is_pet(name: str) -> bool:
     """Whether the name has the shape of a pet name: XYyZ, XaZw or XwZw."""
     return len(name) == 4 and (name[2] == "ي" or name[1] in "او" and name[3] == "و")
