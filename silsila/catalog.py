@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from .operators import reports, search
 from .operators.relational import one_hop
+from .sources.io import exists
 
 CAP_NODES = 28
 
 
 class Catalog:
-    """Tables ``persons, postings, terms, edges, citations, chapters, spans, quality`` under one path; any may be missing."""
+    """Tables ``persons, raw, postings, terms, edges, neighbours, citations, names, facts, chapters, spans, quality`` under one path; any may be missing."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
@@ -19,15 +20,27 @@ class Catalog:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/{name}")
 
+    def has(self, name: str) -> bool:
+        return exists(self.spark, f"{self.path}/{name}")
+
     def meta(self) -> DataFrame:
-        persons = self.table("persons")
-        return persons.agg(F.count("*").alias("n_persons"), F.count_if("is_woman").alias("n_women"), F.count_distinct("letter").alias("n_letters"))
+        """One row of counts: persons, women, letters, edges that are not by names of fathers, citations, chapters; 0 for a missing table."""
+        out = self.table("persons").agg(F.count("*").alias("n_persons"), F.count_if("is_woman").alias("n_women"), F.count_distinct("letter").alias("n_letters"))
+        for name in ("edges", "citations", "chapters"):
+            count = self.table(name).agg(F.count("*").alias(f"n_{name}")) if self.has(name) else self.spark.range(1).select(F.lit(0).cast("long").alias(f"n_{name}"))
+            out = out.crossJoin(count)  # one row each
+        return out
 
     def search(self, **given: str) -> DataFrame:
-        return search.search(self.table("persons"), search.Filters.parse(given), self.table("postings"), self.table("terms"))
+        """A page of rows as they are shown, best match first; a frequent Latin spelling of a name stands for it."""
+        found = search.search(self.table("persons"), search.Filters.parse({**given, "q": search.resolved_query(given.get("q", ""))}), self.table("postings"), self.table("terms"), ranked=True)
+        return search.decorated(found)
 
     def letters(self) -> DataFrame:
-        return reports.distribution(self.table("persons"), F.col("letter"), "none", "letter").orderBy("letter")
+        """Entries by letter, in the order of the alphabet; other values behind, by name."""
+        order = F.create_map(*[x for i, w in enumerate(search.LETTER_ORDER) for x in (F.lit(w), F.lit(i))])
+        rows = reports.distribution(self.table("persons"), F.col("letter"), "none", "letter")
+        return rows.orderBy(F.asc_nulls_last(F.try_element_at(order, F.col("letter"))), "letter")
 
     def facets(self, kind: str, most: int = 80) -> DataFrame:
         """Values of a facet by number of postings; entries listed in error are left out, unknown parts kept."""
@@ -55,9 +68,14 @@ class Catalog:
         return self.table("raw").where(F.col("person_id") == person_id).select("person_id", "text_body", "footnotes")
 
     def spans(self, person_id: str) -> DataFrame:
-        return self.table("spans").where(F.col("person_id") == person_id).orderBy("sent_no")
+        return self.table("spans").where(F.col("person_id") == person_id).orderBy("start")
+
+    def citations(self, person_id: str) -> DataFrame:
+        return self.table("citations").where(F.col("person_id") == person_id)
+
+    def facts(self, person_id: str) -> DataFrame:
+        return self.table("facts").where(F.col("person_id") == person_id).orderBy("coll_path", "pos")
 
     def graph(self, person_id: str) -> DataFrame:
-        edges = self.table("edges").where((F.col("from_id") == person_id) | (F.col("to_id") == person_id)).where("to_id is not null")
-        pairs = edges.select(F.col("from_id").alias("src"), F.col("to_id").alias("dst"))
+        pairs = self.table("neighbours").where((F.col("src") == person_id) | (F.col("dst") == person_id)).select("src", "dst")
         return one_hop(pairs, "person_id", CAP_NODES).where(F.col("person_id") == person_id)

@@ -81,6 +81,12 @@ LATIN_ALIASES = {
     "abu huraira": "أبو هريرة", "abu hurayra": "أبو هريرة", "abu": "أبو", "abu bakr": "أبو بكر", "umar": "عمر", "uthman": "عثمان", "ali": "علي", "aisha": "عائشة", "anas": "أنس", "bilal": "بلال",
     "hamza": "حمزة", "khadija": "خديجة", "ibn umar": "عبد الله بن عمر", "ibn abbas": "عبد الله بن عباس", "ibn masud": "عبد الله بن مسعود", "salman": "سلمان", "muadh": "معاذ",
 }
+#: The letters of a book in their order.
+LETTER_ORDER = [
+    "حرف الألف", "حرف الهمزة", "حرف الباء", "حرف التاء", "حرف الثاء", "حرف الجيم", "حرف الحاء المهملة", "حرف الخاء المعجمة", "حرف الدال المهملة", "حرف الذال المعجمة", "حرف الراء", "حرف الزاي", "حرف السين المهملة",
+    "حرف الشين المعجمة", "حرف الصاد المهملة", "حرف الضاد المعجمة", "حرف الطاء المهملة", "حرف الظاء", "حرف العين المهملة", "حرف الغين المعجمة", "حرف الفاء", "حرف القاف", "حرف الكاف", "حرف اللام", "حرف الميم",
+    "حرف النون", "حرف الهاء", "حرف الواو", "حرف الياء",
+]
 ROW = [
     "person_id", "entry_number", "display_name", "full_name", "kunya", "nisba", "is_woman", "qism", "section_type", "letter", "volume", "page_start", "page_end", "char_len", "death_year_hijri",
     "nasab_confidence", "entry_number_is_ambiguous", "entry_marker", "entry_kind",
@@ -140,9 +146,9 @@ def prefix_and(postings: DataFrame, key: str, tokens: list[str], fields: list[st
     return hits.groupBy(key).agg(F.count_distinct("token").alias("n")).where(F.col("n") == len(tokens)).select(key)
 
 
-def bm25(postings: DataFrame, key: str, terms: list[str]) -> DataFrame:
+def bm25(postings: DataFrame, key: str, terms: list[str], sizes: DataFrame | None = None) -> DataFrame:
     """``key, score`` of documents that hold one of the terms; statistics over all documents, the terms' postings only joined."""
-    sizes = lengths(postings, key)
+    sizes = lengths(postings, key) if sizes is None else sizes
     stats = sizes.agg(F.count("*").alias("n_docs"), F.avg("length").alias("avg_length")).withColumn("all", F.lit(1))
     tf = postings.where(F.col("term").isin(*terms)).groupBy("term", key).agg(F.sum("tf").alias("tf"))
     df = tf.groupBy("term").agg(F.count("*").alias("df"))
@@ -197,8 +203,11 @@ class Filters:
         return out
 
 
-def search(persons: DataFrame, filters: Filters, postings: DataFrame | None = None, terms: DataFrame | None = None, key: str = "person_id") -> DataFrame:
-    """One page: a number is an entry's number, other words are prefixes that must all be found, nothing browses all."""
+def search(persons: DataFrame, filters: Filters, postings: DataFrame | None = None, terms: DataFrame | None = None, key: str = "person_id", ranked: bool = False) -> DataFrame:
+    """One page: a number is an entry's number, other words are prefixes that must all be found, nothing browses all.
+
+    ``ranked`` puts the entries first in which the words weigh most; else, and among equals, they go by number.
+    """
     rows = persons.where(filters.predicate())
     if filters.postings and postings is not None:
         rows = having_all(rows, key, postings, filters.postings)
@@ -206,5 +215,12 @@ def search(persons: DataFrame, filters: Filters, postings: DataFrame | None = No
         rows = rows.where(F.col("entry_number") == int(filters.q))
     elif filters.q and terms is not None:
         fields = ["display_name", "full_name", "name_keys"] + (["text_body"] if filters.in_text else [])
-        rows = rows.join(prefix_and(terms, key, query_tokens(filters.q), fields), key, "left_semi")
+        tokens = query_tokens(filters.q)
+        rows = rows.join(prefix_and(terms, key, tokens, fields), key, "left_semi")
+        if ranked:
+            wanted = terms.where(F.col("field").isin(*fields))
+            begun = F.array_compact(F.array(*[F.when(F.startswith("term", F.lit(t)), F.lit(t)) for t in tokens]))
+            weights = bm25(wanted.withColumn("term", F.explode(begun)), key, tokens, lengths(wanted, key)).withColumnRenamed("score", "__weight")
+            rows = rows.join(weights, key, "left").orderBy(F.desc_nulls_last("__weight"), F.asc_nulls_last("entry_number"), key)
+            return rows.drop("__weight").offset(filters.offset).limit(filters.limit)
     return rows.orderBy(F.asc_nulls_last("entry_number"), key).offset(filters.offset).limit(filters.limit)

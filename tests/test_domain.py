@@ -183,3 +183,87 @@ def test_names_disputes_and_gaps(spark):
     spans = spark.createDataFrame([("a", 2, 5, "x"), ("a", 4, 7, "y"), ("a", 7, 9, "z")], "person_id string, start int, end int, label string")
     sizes = spark.createDataFrame([("a", 12), ("b", 3)], "person_id string, length int")
     assert sorted(map(tuple, Y.span_gaps(spans, sizes).collect())) == [("a", 0, 2, "gap"), ("a", 2, 5, "x"), ("a", 5, 7, "gap"), ("a", 7, 9, "z"), ("a", 9, 12, "gap"), ("b", 0, 3, "gap")]
+
+
+def test_shape_of_replies(spark):
+    rows = [
+        ('{"battles":[],"birth":{"year_hijri":57}}', None), ('```json\n{"death":null}\n```', None), ("[1]", "Response was not a JSON object."), ("oops", "Response was not a JSON object."), (None, "Response was not a JSON object."),
+        ('{"family":"x"}', 'Field "family" must be an array.'), ('{"narration":3}', 'Field "narration" must be an object.'), ('{"birth":"x"}', 'Field "birth" must be an object.'),
+        ('{"death":{"year_hijri":57.5}}', 'Field "death.year_hijri" must be an integer Hijri year or null.'), ('{"death":{"year_hijri":"57"}}', 'Field "death.year_hijri" must be an integer Hijri year or null.'),
+    ]
+    df = spark.createDataFrame(rows, "reply string, want string").withColumn("got", P.reply_problem("reply"))
+    assert [(r.reply, r.got) for r in df.collect() if r.got != r.want] == []
+    fenced = spark.createDataFrame([("```\nx\n```",), (" y ",), ("```json {} ```",), (None,)], "r string")
+    assert [r.x for r in fenced.select(P.strip_fences("r").alias("x")).collect()] == ["x", "y", "{}", ""]
+
+
+def test_durations_and_delays():
+    assert [P.parse_duration(x) for x in ("500ms", "2s", "1m30s", "1.5s", "20", "", None, "soon")] == [500, 2000, 90_000, 1500, 20_000, None, None, None]
+    assert P.retry_delay({"retry-after": "2"}, 0) == 2750 and P.retry_delay({}, 3) == 8750 and P.retry_delay({}, 30) == 60_750 and P.retry_delay({"retry-after-ms": "500ms"}, 9) == 1250
+    assert P.retry_delay({"x-ratelimit-reset-tokens": "3s", "x-ratelimit-reset-requests": "1s"}, 0) == 3750 and P.retry_delay({"retry-after": "1h"}, 0) == 90_000
+
+
+def test_fatal_and_refused_calls(spark):
+    asked = spark.createDataFrame([("k", "p")], "request_key string, prompt string")
+
+    def fatal(prompts):
+        raise P.Fatal("no key")
+
+    assert [tuple(r) for r in P.answered(asked, fatal).collect()] == [("k", None, "no key")]
+
+    calls = {"n": 0}
+
+    def refused(prompts):
+        calls["n"] += 1
+        if calls["n"] < 2:
+            raise P.Refused("slow down", {"retry-after-ms": "1ms"})
+        return ["ok"]
+
+    assert [tuple(r) for r in P.answered(asked, refused).collect()] == [("k", "ok", None)]
+
+
+def test_passes_applied(spark):
+    persons = spark.createDataFrame([("a", "نحو مائة", None, True, None, "regex", 0.3), ("b", None, None, None, None, None, None)], "person_id string, value string, count int, uncertain boolean, evidence string, source string, confidence double")
+    replies = spark.createDataFrame([("a", 100, False, "e"), ("b", 5, None, None), ("c", 1, None, None)], "person_id string, count int, uncertain boolean, evidence string")
+    after = P.with_hadith_counts(persons, replies)
+    assert {r.person_id: (r["count"], r.uncertain, r.evidence, r.source, r.confidence) for r in after.collect()} == {"a": (100, False, "e", "llm", 0.9), "b": (None, None, None, None, None)}
+    assert {r.column_name: r.changed for r in P.pass_counters(persons, after, ["person_id"], ["count", "evidence", "value"]).collect()} == {"count": 1, "evidence": 1, "value": 0}
+    keyed = spark.createDataFrame([("a", ["thiqa"]), ("b", None)], "person_id string, verdict_keys array<string>")
+    found = spark.createDataFrame([("a", 1, "daif"), ("a", 0, "thiqa"), ("b", 0, None)], "person_id string, idx int, verdict_key string")
+    assert {r.person_id: r.verdict_keys for r in P.with_verdicts(keyed, found).collect()} == {"a": ["thiqa", "daif"], "b": []}
+    chains = spark.createDataFrame([("a", 0, [" x ", "", "y"])], "person_id string, idx int, links array<string>")
+    assert [tuple(r) for r in P.isnad_rows(chains).collect()] == [("a", 0, 0, "x"), ("a", 0, 2, "y")]
+    spans = spark.createDataFrame([("a", 0, 5, "unlabeled", 0.1), ("a", 5, 9, "death", 0.6)], "person_id string, start int, end int, label string, confidence double")
+    new = spark.createDataFrame([("a", 0, 5, "battle", 0.8), ("a", 5, 9, "birth", 0.8)], "person_id string, start int, end int, label string, confidence double")
+    assert {(r.start, r.label) for r in P.relabelled(spans, new).collect()} == {(0, "battle"), (5, "death")}
+
+
+def test_wounds_ages_and_counts(spark):
+    from silsila.operators import persons as N
+
+    df = spark.createDataFrame([("أصيب يوم أحد. ومات وهو ابن ستين سنة. وأسلم وهو ابن عشرين سنة",), ("لا شيء",), (None,)], "t string")
+    got = df.select(N.wounds("t").alias("w"), N.ages("t").alias("a")).collect()
+    assert got[0].w == ["أصيب"] and [a.kind for a in got[0].a] == ["at_death", "at_islam"] and got[1].w == [] == got[2].w and got[1].a == []
+    counts = spark.createDataFrame([("نحو 120 حديثا",), ("ألفان",), (None,)], "v string").select(N.hadith_count(F.col("v")).alias("c")).collect()
+    assert (counts[0].c["count"], counts[0].c.uncertain) == (120, True) and (counts[1].c["count"], counts[1].c.uncertain) == (None, True) and counts[2].c is None
+    texts = spark.createDataFrame([("استشهد يوم احد",), ("طاعون عمواس",), ("",)], "t string")
+    assert [r.k for r in texts.select(N.death_cause("t").alias("k")).collect()] == ["battle", "plague", None]
+
+
+def test_search_rows_and_aliases(spark):
+    rows = spark.createDataFrame([("a", 5, "ابو هريره", None), ("b", 7, "ابو بكر", ["x"]), ("c", 9, "عمر ابو بكر", None), ("d", 12, "ابو بكره", None)], "person_id string, entry_number int, display_name_norm string, nisba array<string>")
+    assert [(r.person_id, r.score) for r in S.scored(rows, "abu bakr").collect()] == [("b", 1), ("d", 2), ("c", 3)]
+    assert [(r.person_id, r.score) for r in S.scored(rows, "12").collect()] == [("d", 0)] and S.scored(rows, "", limit=2, offset=1).count() == 2
+    shown = S.decorated(rows).first()
+    assert shown.nisba == [] and shown.is_woman is None and set(shown.asDict()) == set(S.ROW)
+    keys = S.labels_of(spark.createDataFrame([("badr",), ("zz",)], "key string"), "key", {"badr": "بدر"}).collect()
+    assert [r.label for r in keys] == ["بدر", "zz"]
+
+
+def test_vocabulary_scan_equals_containment(spark):
+    from silsila.functions.vocab import Vocabulary
+
+    v = Vocabulary.of([("a", ["فتح مكة", "xx"]), ("b", ["مكة", "xx"]), ("c", ["كة ي"])])
+    df = spark.createDataFrame([("فتح مكة يوم",), ("مكة",), ("xx",), ("",), (None,)], "t string")
+    got = df.select("t", v.scan("t").alias("scan"), v.find_all("t").alias("held")).collect()
+    assert all(r.scan == r.held for r in got) and got[0].scan == ["a", "c", "b"] and got[2].scan == ["b"]

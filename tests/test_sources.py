@@ -67,3 +67,12 @@ def test_catalog(spark, data, tmp_path):
     assert len(first) == 3 and c.person(first[0].person_id).count() == 1 and c.meta().first().n_persons > 0
     assert c.letters().count() > 0 and c.facets("nisba").count() > 0 and c.spans(first[0].person_id).count() >= 0 and c.graph(first[0].person_id).count() >= 0
     json.dumps(c.by_number(first[0].entry_number).count())
+    meta = c.meta().first()
+    assert meta.n_edges == c.table("edges").count() > 0 and meta.n_citations > 0 and meta.n_chapters == 0
+    name = next(r.display_name_norm for r in c.table("persons").collect() if r.display_name_norm and len(r.display_name_norm.split()) > 2)
+    hits = c.search(q=name.split()[0]).collect()
+    assert hits and all(set(h.asDict()) == set(first[0].asDict()) for h in hits)
+    one = c.table("facts").first().person_id
+    assert c.facts(one).count() > 0 and c.citations(one).count() >= 0 and c.table("names").count() > 0
+    build(spark, data, str(tmp_path / "few"), 7)
+    assert Catalog(spark, str(tmp_path / "few")).meta().first().n_persons == 7
