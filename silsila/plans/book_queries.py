@@ -57,8 +57,8 @@ _NAME = "trim(regexp_replace(coalesce(display_name, '؟'), '[\\t\\n\\v\\f\\r \\x
 j AS (SELECT *, CASE WHEN regexp_matches(name, '{B.STRUCTURAL}') THEN 'structural_heading' WHEN entry_number > {B.LAST_NUMBER} THEN 'number_out_of_range' END AS reject_reason FROM h),
 a AS (SELECT *, count(*) OVER (PARTITION BY book, entry_number) > 1 AS is_ambiguous, row_number() OVER (PARTITION BY book, entry_number, start_id ORDER BY k) - 1 AS ordinal, row_number() OVER (PARTITION BY book ORDER BY k) AS doc_ord,
   lead(start_id) OVER (PARTITION BY book ORDER BY k) AS end_id FROM j WHERE reject_reason IS NULL)
-SELECT book, 2 * k AS ord, entry_number, name, is_ambiguous, CAST(ordinal AS INTEGER) AS ordinal, CAST(doc_ord AS INTEGER) AS doc_ord, coalesce(end_id, 1000000) AS end_id, NULL AS reject_reason FROM a
-UNION ALL SELECT book, 2 * k, entry_number, name, NULL, NULL, NULL, NULL, reject_reason FROM j WHERE reject_reason IS NOT NULL""")
+SELECT book, CAST(2 * k AS INTEGER) AS ord, entry_number, name, is_ambiguous, CAST(ordinal AS INTEGER) AS ordinal, CAST(doc_ord AS INTEGER) AS doc_ord, coalesce(end_id, 1000000) AS end_id, NULL AS reject_reason FROM a
+UNION ALL SELECT book, CAST(2 * k AS INTEGER), entry_number, name, NULL, NULL, NULL, NULL, reject_reason FROM j WHERE reject_reason IS NOT NULL""")
 def book_entries(spark, sf_dir):
     """Entries read from the headings: numbers, names, page ranges, repeated numbers, rejects."""
     found = B.entries(toc_of(_rows(spark, sf_dir)).where("lvl = 5 and title is not null"), F.lit(1_000_000).cast("long"))
