@@ -638,14 +638,7 @@ def link_profiles(entries: DataFrame, block: int = BLOCK) -> DataFrame:
         met = _pairs(fresh, blocks, fresh, *later)
         later.append(fresh)
         # candidates by their present numbers; what has changed is compared again
-        old = scores.select("a", "b", "score", F.lit(False).alias("again")).unionByName(met.select("a", "b", F.lit(0).alias("score"), F.lit(True).alias("again")))
-        for side in ("a", "b"):
-            to = into.select(F.col("id").alias(side), F.col("into").alias("to"))
-            old = old.join(to, side, "left").withColumn(side, F.coalesce("to", side)).drop("to")
-        now_changed = changed.select("id", F.lit(True).alias("hit"))
-        for side in ("a", "b"):
-            old = old.join(now_changed.withColumnRenamed("id", side), side, "left").withColumn("again", F.col("again") | F.col("hit").isNotNull()).drop("hit")
-        ordered = old.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "score", "again").where("a != b")
+        ordered = _renumbered(scores, step).unionByName(_renumbered(met.withColumn("score", F.lit(0)), into).withColumn("again", F.lit(True))).where("a != b")
         pairs = materialize(ordered.groupBy("a", "b").agg(F.max("again").alias("again"), F.max("score").alias("score")))
         scores = materialize(pairs.where("not again").select("a", "b", "score").unionByName(_scored(pairs.where("again").select("a", "b"), base, now)))
         if len(later) == MOST_STAGES:
@@ -661,6 +654,15 @@ def link_profiles(entries: DataFrame, block: int = BLOCK) -> DataFrame:
     return linked.select("person_id", F.col("id").alias("group_id")).unionByName(alone)
 
 
+def _renumbered(pairs: DataFrame, numbers: DataFrame) -> DataFrame:
+    """Scored pairs (a < b) by the ``numbers(id, into)`` of their profiles; ``again`` where a number has changed."""
+    for side in ("a", "b"):
+        pairs = pairs.join(numbers.select(F.col("id").alias(side), F.col("into").alias(f"to_{side}")), side, "left")
+    a, b = F.coalesce("to_a", "a"), F.coalesce("to_b", "b")
+    again = F.col("to_a").isNotNull() | F.col("to_b").isNotNull()
+    return pairs.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"), "score", again.alias("again"))
+
+
 def _mutual(scores: DataFrame, weak: bool) -> tuple[DataFrame, int]:
     """Pairs that are each other's best match, and how many; weak ones only where neither has another candidate as good.
 
