@@ -112,22 +112,30 @@ def length_class(n: Column | str) -> Column:
     return F.when(n < 200, "stub").when(n < 800, "short").when(n < 4000, "medium").otherwise("long")
 
 
-def chunks(c: Column | str, limit: int = CHUNK, most: int = CHUNKS) -> Column:
-    """Paragraphs packed to at most ``limit`` characters, the first ``most`` chunks; a single longer sentence stays whole."""
-    text = F.coalesce(_col(c), F.lit(""))
-    paragraphs = F.split(text, r"\n{2,}")
-    units = F.flatten(F.transform(paragraphs, lambda p: F.when(F.length(p) <= limit, F.array(p)).otherwise(F.split(p, r"(?<=[.؟!])\s+"))))
+def chunks(c: Column | str, limit: int = CHUNK, most: int | None = CHUNKS) -> Column:
+    """Paragraphs packed to chunks of at most ``limit`` characters, the first ``most`` of them, or all.
+
+    Paragraphs stand apart by a blank line; one that is longer than the limit begins a chunk and is packed sentence by
+    sentence, with a space between them. A single longer sentence stays whole.
+    """
+    text = F.regexp_replace(F.coalesce(_col(c), F.lit("")), r"(?U)^\s+|\s+$", "")
+    paragraphs = F.filter(F.split(text, r"\n{2,}"), lambda p: ~F.regexp_like(p, F.lit(r"(?U)^\s*$")))
+
+    def units(p: Column) -> Column:
+        sentences_ = F.transform(F.split(p, r"(?U)(?<=[.؟!])\s+"), lambda s, i: F.struct(s.alias("t"), F.lit(" ").alias("gap"), (i == 0).alias("first")))
+        whole = F.array(F.struct(p.alias("t"), F.lit("\n\n").alias("gap"), F.lit(False).alias("first")))
+        return F.when(F.length(p) <= limit, whole).otherwise(sentences_)
+
     acc = F.struct(F.array().cast("array<string>").alias("out"), F.lit("").alias("now"))
 
     def step(a: Column, u: Column) -> Column:
-        full = (a["now"] != "") & (F.length(a["now"]) + F.length(u) + 2 > limit)
-        return F.struct(
-            F.when(full, F.array_append(a["out"], a["now"])).otherwise(a["out"]).alias("out"),
-            F.when(full | (a["now"] == ""), u).otherwise(F.concat(a["now"], F.lit("\n\n"), u)).alias("now"),
-        )
-
-    packed = F.aggregate(units, acc, step, lambda a: F.array_append(a["out"], a["now"]))
-    return F.when(F.length(text) <= limit, F.array(text)).otherwise(F.slice(F.filter(packed, lambda p: p != ""), 1, most))
+        over = F.length(a["now"]) + F.length(u["t"]) + F.length(u["gap"]) > limit
+        full = (a["now"] != "") & (over | u["first"])
+        return F.struct(F.when(full, F.array_append(a["out"], a["now"])).otherwise(a["out"]).alias("out"), F.concat(F.when(full, "").otherwise(a["now"]), u["t"], u["gap"]).alias("now"))
+
+    packed = F.aggregate(F.flatten(F.transform(paragraphs, units)), acc, step, lambda a: F.array_append(a["out"], a["now"]))
+    packed = F.filter(F.transform(packed, lambda p: F.regexp_replace(p, r"(?U)^\s+|\s+$", "")), lambda p: p != "")
+    return F.when(F.length(text) <= limit, F.array(text)).otherwise(packed if most is None else F.slice(packed, 1, most))
 
 
 def snippet(c: Column | str, size: int) -> Column:

@@ -58,19 +58,28 @@ def has(text: Column, pattern: str) -> Column:
     return F.regexp_like(text, F.lit(pattern))
 
 
-def fact_groups(df: DataFrame, text: str, key: str) -> DataFrame:
-    """``key, field, idx, value, evidence, source, confidence`` of every group, in one long table: the hub of the later stages."""
+def fact_groups(df: DataFrame, text: str, key: str, capped: bool = True) -> DataFrame:
+    """``key, field, idx, value, evidence, source, confidence`` of every group, in one long table: the hub of the later stages.
+
+    ``capped`` keeps the first facts of each group and the beginning of each value; without it all come out whole.
+    """
+    def first(hits: Column, most: int) -> Column:
+        return F.slice(hits, 1, most) if capped else hits
+
+    def fact(name: str):
+        return _fact(name, capped)
+
     rows = df.select(key, sentences(text).alias("__s"), flatten(text).alias("__t"))
     groups = []
     for name, (pattern, most) in SENTENCE_FACTS.items():
-        hits = F.slice(_hits(pattern), 1, most)
-        groups.append(F.transform(F.array_distinct(hits), _fact(name)))
+        hits = first(_hits(pattern), most)
+        groups.append(F.transform(F.array_distinct(hits), fact(name)))
     for relation, words in FAMILY.items():
         found = F.regexp_extract_all("__t", F.lit(rf"(?:{words})\s+([^.،؛:]{{3,60}})"), F.lit(1))
-        groups.append(F.transform(F.slice(F.array_distinct(found), 1, MOST_FAMILY), _fact(f"life.family:{relation}")))
+        groups.append(F.transform(first(F.array_distinct(found), MOST_FAMILY), fact(f"life.family:{relation}")))
     for name, words in (("narration.narrated_from", "روى عن|يروي عن"), ("narration.narrated_to", "روى عنه|وعنه")):
         found = F.flatten(F.transform(F.regexp_extract_all("__t", F.lit(rf"(?:{words})\s+([^.؛:]{{3,300}})"), F.lit(1)), name_list))
-        groups.append(F.transform(F.slice(F.array_distinct(found), 1, MOST_NAMES), _fact(name)))
+        groups.append(F.transform(first(F.array_distinct(found), MOST_NAMES), fact(name)))
     out = rows.select(key, F.explode(F.concat(*groups)).alias("f"))
     return out.select(key, "f.field", "f.idx", "f.value", "f.evidence", F.lit("regex").alias("source"), F.lit(0.3).alias("confidence"))
 
@@ -79,11 +88,11 @@ def _hits(pattern: str) -> Column:
     return F.filter("__s", lambda s: has(s, pattern))
 
 
-def _fact(name: str):
+def _fact(name: str, capped: bool = True):
     field, _, relation = name.partition(":")
     label = field if not relation else f"{field}.{relation}"
     return lambda v, i: F.struct(
-        F.lit(label).alias("field"), i.alias("idx"), F.left(v, F.lit(VALUE)).alias("value"), F.left(v, F.lit(EVIDENCE)).alias("evidence")
+        F.lit(label).alias("field"), i.alias("idx"), (F.left(v, F.lit(VALUE)) if capped else v).alias("value"), (F.left(v, F.lit(EVIDENCE)) if capped else v).alias("evidence")
     )
 
 

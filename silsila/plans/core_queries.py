@@ -648,7 +648,7 @@ def person_labels(spark, sf_dir):
 def biography_facts(spark, sf_dir):
     """The long table of facts read from every entry by patterns."""
     raw = current_rows(table(spark, sf_dir, "raw"), "person_id", ["text_body"])
-    return Y.fact_groups(raw, "text_body", "person_id")
+    return Y.fact_groups(raw, "text_body", "person_id", capped=False)
 
 
 @query("WITH p AS " + _now("persons", "person_id, death_year_hijri") + """, n AS """ + _now("nasab", "person_id, chain") + """
@@ -662,7 +662,7 @@ def joined_features(spark, sf_dir):
 @query()
 def chunk_text(spark, sf_dir):
     """Texts packed into chunks for an extractor."""
-    d = table(spark, sf_dir, "documents").select("doc_id", X.chunks("text").alias("c"))
+    d = table(spark, sf_dir, "documents").select("doc_id", X.chunks("text", most=None).alias("c"))
     return d.select("doc_id", F.posexplode("c").alias("chunk_no", "chunk")).select("doc_id", "chunk_no", F.length("chunk").alias("n_chars"))
 
 

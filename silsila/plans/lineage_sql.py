@@ -97,7 +97,8 @@ def facts_sql(lists: list[str], fields: list[str]) -> str:
     return f"SELECT * FROM ({_flat(columns)}) WHERE coll_path IN ({', '.join(repr(p) for p in lists)})"
 
 
-SQL = {"p6_found": LINEAGE, "p4_found": _flat()}
+DESCENDANTS = LINEAGE[: LINEAGE.rindex("SELECT person_id, CASE")] + "SELECT u.node AS person_id, u.person_id AS descendant_id FROM up u JOIN top t ON u.person_id = t.person_id WHERE t.depth <= (SELECT count(*) FROM edges)"
+SQL = {"p6_found": LINEAGE, "p6_descendants": DESCENDANTS, "p4_found": _flat()}
 FACT_COUNTS = f"""
 WITH f AS ({SQL['p4_found']}), c AS (SELECT coll_path, person_id, count(*) AS n FROM f GROUP BY 1, 2)
 SELECT coll_path, CAST(sum(n) AS BIGINT) AS n_facts, count(*) AS n_persons, max(n) AS most FROM c GROUP BY 1

@@ -78,3 +78,33 @@ def test_ordered_distinct(spark):
 def test_score_hit(spark):
     df = spark.createDataFrame([("12", 12, "x"), ("ab", 1, "ab"), ("ab", 1, "abc"), ("ab", 1, "xab"), ("ab", 1, "x")], "n string, e int, d string")
     assert [r.s for r in df.select(X.score_hit(F.col("n"), F.col("e"), F.col("d")).alias("s")).collect()] == [0, 1, 2, 3, None]
+
+
+def test_chunks_against_a_loop(spark):
+    import random
+    import re
+
+    from silsila.functions.text import chunks
+
+    def packed(text, limit):
+        body = (text or "").strip()
+        if len(body) <= limit:
+            return [body]
+        out, now = [], ""
+        for p in (p for p in re.split(r"\n{2,}", body) if p.strip()):
+            if now and len(now) + len(p) + 2 > limit:
+                out, now = [*out, now.strip()], ""
+            if len(p) > limit:
+                for s in re.split(r"(?<=[.؟!])\s+", p):
+                    if len(now) + len(s) + 1 > limit:
+                        out, now = [*out, now.strip()], ""
+                    now += s + " "
+            else:
+                now += p + "\n\n"
+        return [c for c in [*out, now.strip()] if c]
+
+    rng = random.Random(3)
+    texts = [None, "", "  x  ", *("".join(rng.choice(["a", "bb ", ". ", "! ", "\n", "\n\n", "\n\n\n", "ccc"]) for _ in range(rng.randrange(120))) for _ in range(60))]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", chunks("t", 20, None).alias("c"), chunks("t", 20, 2).alias("two"))
+    for r in df.collect():
+        assert r.c == packed(texts[r.i], 20) and r.two == r.c[:2], texts[r.i]
