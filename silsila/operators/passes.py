@@ -15,7 +15,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import evidence_status
+from ..functions.text import chunks, evidence_status
+from ..session import materialize
+from .biography import merged_chunks
 from .relational import running_until, top_k_per_key
 
 # --- fixed values -----------------------------------------------------------------------------------
@@ -41,19 +43,36 @@ class Pass:
     name: str
     select: Callable[[DataFrame], DataFrame]
     most: int = ITEMS
+    #: Fields of each item of a reply, as a schema.
+    reply: str = "field string, idx int, value string"
 
     def items(self, facts: DataFrame, key: str = "person_id") -> DataFrame:
         return top_k_per_key(self.select(facts), [key], [F.col("field"), F.col("idx")], self.most, "item_no")
 
 
+    def requests(self, facts: DataFrame, instruction: str = "", key: str = "person_id") -> DataFrame:
+        """``request_key, key, pass_name, prompt``: one request for the items of each key, as JSON behind the instruction."""
+        rows = self.items(facts, key)
+        listed = rows.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("item_no", "field", "idx", "value"))).alias("items"))
+        prompt = F.concat(F.lit(instruction), F.to_json(F.transform("items", lambda i: F.struct(i["field"].alias("field"), i["idx"].alias("idx"), i["value"].alias("value")))))
+        out = listed.select(key, F.lit(self.name).alias("pass_name"), prompt.alias("prompt"))
+        return out.withColumn("request_key", request_key("pass_name", "prompt"))
+
+    def records(self, requests: DataFrame, log: DataFrame, key: str = "person_id") -> DataFrame:
+        """The items of the good replies, by key; a reply that is no list of objects of the pass's fields gives none."""
+        parsed = F.from_json(strip_fences("reply"), f"array<struct<{self.reply.replace(' ', ': ').replace(',: ', ', ')}>>")
+        good = requests.join(log.where("error is null").select("request_key", "reply"), "request_key").select(key, F.explode(parsed).alias("r"))
+        return good.select(key, "r.*")
+
+
 REPAIR = Pass("repair", lambda f: f.where((F.col("source") == "llm") & (evidence_status("body", "evidence") == "unverified")))
 KINDS = Pass("kinds", lambda f: f.where(
     (F.col("field").isin("narration.praise", "narration.criticism", "narration.defenses") & (F.coalesce("kind", F.lit("other")) == "other"))
     | ((F.col("field") == "life.events") & (F.coalesce("kind", F.lit("incident")) == "incident"))
 ))
 SPANS = Pass("spans", lambda f: f.where((F.col("field") == "span") & (F.col("kind") == "unlabeled") & (F.length("value") >= LONGEST_QUOTE) & ~F.col("entry_kind").isin(*THIN)))
-VERDICTS = Pass("verdicts", lambda f: f.where((F.col("qism") == 4) | (F.col("field") == "narration.criticism") | F.regexp_like(F.coalesce("body", F.lit("")), F.lit(VERDICT))), 1)
-ISNADS = Pass("isnads", lambda f: f.where((F.col("field") == "span") & F.regexp_like("value", F.lit(ISNAD))), 8)
+VERDICTS = Pass("verdicts", lambda f: f.where((F.col("qism") == 4) | (F.col("field") == "narration.criticism") | F.regexp_like(F.coalesce("body", F.lit("")), F.lit(VERDICT))), 1, "idx int, verdict_key string")
+ISNADS = Pass("isnads", lambda f: f.where((F.col("field") == "span") & F.regexp_like("value", F.lit(ISNAD))), 8, "idx int, links array<string>")
 COUNTS = Pass("hadith", lambda f: f.where((F.col("field") == "narration.hadith_count") & F.col("key").isNull()))
 ALL = (REPAIR, KINDS, SPANS, VERDICTS, ISNADS, COUNTS)
 
@@ -243,3 +262,49 @@ def timelines(items: DataFrame, years: DataFrame, key: str = "person_id") -> Dat
     entry = F.struct(F.col("year").isNull().alias("last"), "year", "ord", "kind", "vocab_key")
     out = rows.groupBy(key).agg(F.sort_array(F.collect_list(entry)).alias("t"))
     return out.select(key, F.transform("t", lambda e: F.struct(e["year"].alias("year"), e["kind"].alias("kind"), e["vocab_key"].alias("key"))).alias("timeline"))
+
+
+LOG = "request_key string, reply string, error string"
+
+
+def run_passes(
+    facts: DataFrame, passes: list[Pass], provider: Provider | None, log: DataFrame | None = None, cap: int | None = None, key: str = "person_id", at_a_time: int = 8
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Records of each pass by its name, and the log of all answers, those of ``log`` before included.
+
+    Requests that the log holds are not asked again. ``cap`` bounds the tokens of all passes together: the requests of the
+    first passes go first, and those of one pass in a fixed order. Each pass's answers are written before the next one asks.
+    """
+    spark = facts.sparkSession
+    log = spark.createDataFrame([], LOG) if log is None else log.select("request_key", "reply", "error")
+    records: dict[str, DataFrame] = {}
+    spent = 0
+    for p in passes:
+        asked = materialize(estimated(p.requests(facts, key=key).withColumn("__size", F.length("prompt")), "__size"))
+        open_ = missing(asked, log.where("error is null"))
+        if cap is not None:
+            # any fixed order will do; this one is many buckets
+            open_ = open_.withColumn("__bucket", F.pmod(F.xxhash64(key), F.lit(4096)))
+            open_ = within_budget(open_, "tokens", cap - spent, ["__bucket", key], F.col("__bucket")) if cap > spent else open_.limit(0)
+        new = materialize(answered(open_, provider, at_a_time))
+        spent += open_.join(new.select("request_key"), "request_key", "left_semi").agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("n")).first()["n"]
+        log = log.unionByName(new)
+        records[p.name] = p.records(asked, log, key)
+    return records, log
+
+
+def extracted(texts: DataFrame, provider: Provider | None, fields: dict[str, str], text: str = "text_body", key: str = "person_id", at_a_time: int = 8) -> DataFrame:
+    """``key, problem`` and the ``fields`` (name: SQL type; scalars, flags or lists of strings) that the provider reads from each text.
+
+    Long texts are asked for chunk by chunk, and the replies merged in order: the first scalar that is known, any flag, lists
+    without repeats. ``problem`` is the first reply's that has not the shape of an extraction.
+    """
+    rows = texts.select(key, F.posexplode(chunks(text, most=None)).alias("chunk_no", "prompt"))
+    rows = materialize(rows.withColumn("request_key", request_key("prompt")))
+    log = materialize(answered(rows.select("request_key", "prompt").dropDuplicates(["request_key"]), provider, at_a_time))
+    schema = ", ".join(f"{n} {t}" for n, t in fields.items())
+    both = rows.join(log, "request_key").withColumn("problem", F.coalesce("error", reply_problem("reply")))
+    read = both.withColumn("r", F.when(F.col("problem").isNull(), F.from_json(strip_fences("reply"), schema))).select(key, "chunk_no", "problem", "r.*")
+    kinds = {n: t.strip().lower() for n, t in fields.items()}
+    lists, flags = [n for n, t in kinds.items() if t.startswith("array")], [n for n, t in kinds.items() if t == "boolean"]
+    return merged_chunks(read, key, "chunk_no", ["problem", *(n for n in fields if n not in lists and n not in flags)], flags, lists)

@@ -251,3 +251,40 @@ def built_facts(spark, sf_dir):
     raw = current_rows(table(spark, sf_dir, "raw"), "person_id", ["text_body"]).select("person_id", F.col("text_body").alias("body"))
     rows = c.select("person_id", F.col("authority").alias("value"), "evidence", F.coalesce("extract_source", F.lit("")).alias("source")).join(raw, "person_id", "left")
     return P.facts_from(rows).select("person_id", "value", "normalized", "evidence", "confidence")
+
+
+_FILLS = {
+    "nasab_parsed": "rejected_reason IS NULL", "nasab_multi_link": "link_count >= 2", "nisba": "len(nisba) > 0", "kunya": "kunya <> ''", "qism": "qism IS NOT NULL", "letter": "letter <> ''", "death_year": "death_year_hijri IS NOT NULL",
+}
+_FILL_LISTS = ["conversion", "companionship", "battles", "offices", "family", "residences", "traits", "events", "narrated_from", "narrated_to", "praise", "criticism", "defenses", "labels"]
+
+
+def _path(name: str) -> str:
+    return name if name == "labels" else f"narration.{name}" if name in ("narrated_from", "narrated_to", "praise", "criticism", "defenses") else f"life.{name}"
+
+
+_FILL_SQL = _FILLS | {n: f"list_contains(lists, '{_path(n)}')" for n in _FILL_LISTS}
+_FILL_SQL["any_life_fact"] = " OR ".join(f"list_contains(lists, 'life.{n}')" for n in ("conversion", "companionship", "battles", "family")) + " OR death_year_hijri IS NOT NULL"
+
+
+@query(f"""WITH p AS {_now('persons', 'person_id, nisba, kunya, qism, letter, death_year_hijri')}, n AS {_now('nasab', 'person_id, link_count, rejected_reason')}, f AS ({facts_sql([_path(n) for n in _FILL_LISTS], ['value'])}),
+l AS (SELECT person_id, list(DISTINCT coll_path) AS lists FROM f GROUP BY 1), x AS (SELECT p.*, n.link_count, n.rejected_reason, coalesce(lists, []) AS lists FROM p LEFT JOIN n ON p.person_id = n.person_id LEFT JOIN l ON p.person_id = l.person_id)
+""" + " UNION ALL ".join(f"SELECT '{n}' AS field, CAST(count(*) FILTER (WHERE {c}) AS BIGINT) AS filled, count(*) AS total, CAST(round(CAST(count(*) FILTER (WHERE {c}) AS DECIMAL(18,6)) / count(*), 4) AS DOUBLE) AS fill_rate FROM x" for n, c in _FILL_SQL.items()))
+def record_fill_rates(spark, sf_dir):
+    """Fill rates of the records: lineage, classification, and every group of facts."""
+    from ..operators import reports as A
+
+    p = current_rows(table(spark, sf_dir, "persons"), "person_id", ["nisba", "kunya", "qism", "letter", "death_year_hijri"]).drop("ingested_at")
+    n = current_rows(table(spark, sf_dir, "nasab"), "person_id", ["link_count", "rejected_reason"]).drop("ingested_at")
+    lists = flatten_lists(table(spark, sf_dir, "persons"), "person_json", [_path(x) for x in _FILL_LISTS], with_fields=False).groupBy("person_id").agg(F.collect_set("coll_path").alias("lists"))
+    rows = p.join(n, "person_id", "left").join(lists, "person_id", "left")
+
+    def has(name: str):
+        return F.array_contains("lists", _path(name))
+
+    predicates = {
+        "nasab_parsed": F.col("rejected_reason").isNull(), "nasab_multi_link": F.col("link_count") >= 2, "nisba": F.size("nisba") > 0, "kunya": F.col("kunya") != "", "qism": F.col("qism").isNotNull(), "letter": F.col("letter") != "",
+        "death_year": F.col("death_year_hijri").isNotNull(), **{x: has(x) for x in _FILL_LISTS},
+        "any_life_fact": F.coalesce(has("conversion"), F.lit(False)) | F.coalesce(has("companionship"), F.lit(False)) | F.coalesce(has("battles"), F.lit(False)) | F.coalesce(has("family"), F.lit(False)) | F.col("death_year_hijri").isNotNull(),
+    }
+    return A.fill_rates(rows, predicates)

@@ -3,12 +3,15 @@ from __future__ import annotations
 
 import json
 import os
+import re
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import squeeze
 from .validate import checked
 
 PAGES = T.StructType([T.StructField("id", T.LongType()), T.StructField("page", T.IntegerType()), T.StructField("part", T.StringType()), T.StructField("text", T.StringType())])
@@ -49,12 +52,35 @@ def completed(rows: DataFrame, key: str) -> DataFrame:
     return rows.where("error is null").select(key).distinct()
 
 
-def read_book(spark: SparkSession, path: str, book: str) -> tuple[DataFrame, DataFrame]:
-    """``pages`` and ``toc`` of a decoded book folder, with the book's name and the order of its headings."""
-    pages = spark.read.schema(PAGES).json(f"{path}/pages") if exists(spark, f"{path}/pages") else spark.read.parquet(f"{path}/pages.parquet")
-    toc = spark.read.schema(TOC).json(f"{path}/toc") if exists(spark, f"{path}/toc") else spark.read.parquet(f"{path}/toc.parquet")
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return sorted(f.getPath().getName() for f in target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target))
+
+
+def find_tables(names: list[str]) -> tuple[str, str]:
+    """The tables of a decoded book that hold its pages and its contents: ``b`` and ``t`` with a number, else by their plain names."""
+    found = []
+    for pattern, plain in ((r"b[0-9]+", "pages"), (r"t[0-9]+", "toc")):
+        hit = next((n for n in names if re.fullmatch(rf"{pattern}(\.(parquet|json|jsonl))?", n, re.IGNORECASE)), None) or next((n for n in names if re.fullmatch(rf"{plain}(\.(parquet|json|jsonl))?", n)), None)
+        if hit is None:
+            raise ValueError(f"no table of pages and contents among: {', '.join(names)}")
+        found.append(hit)
+    return found[0], found[1]
+
+
+def read_book(spark: SparkSession, path: str, book: str, book_id: int | None = None, expected: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """``pages`` and ``toc`` of a decoded book folder, with the book's name and the order of its headings.
+
+    The tables are found by their names. A book whose ``book_id`` is not the ``expected`` one is read with a warning. Titles have
+    single spaces.
+    """
+    if expected is not None and book_id != expected:
+        warnings.warn(f"book {book_id} is not the expected {expected}; rules for its headings may not fit", stacklevel=2)
+    body, contents = (f"{path}/{n}" for n in find_tables(names_in(spark, path)))
+    pages = spark.read.parquet(body).select(*PAGES.names) if body.endswith(".parquet") else spark.read.schema(PAGES).json(body)
+    toc = spark.read.parquet(contents).select(*TOC.names) if contents.endswith(".parquet") else spark.read.schema(TOC).json(contents)
     order = Window.partitionBy("book").orderBy("id", "lvl", "sub", "title")
-    return pages.withColumn("book", F.lit(book)), toc.withColumn("book", F.lit(book)).withColumn("ord", F.row_number().over(order))
+    return pages.withColumn("book", F.lit(book)), toc.withColumn("title", squeeze("title")).withColumn("book", F.lit(book)).withColumn("ord", F.row_number().over(order))
 
 
 def decoded(column: str, charset: str = "windows-1256"):
@@ -74,6 +100,11 @@ def read_vocabulary(path: str, fold: Callable[[str], str] = lambda s: s):
     return Vocabulary.of([(t["key"], [t["key"], t.get("label_ar") or "", *t.get("aliases", [])]) for t in terms], fold)
 
 
+def read_vocabularies(folder: str, fold: Callable[[str], str] = lambda s: s) -> dict[str, object]:
+    """All vocabulary files of a folder by their names."""
+    return {n.removesuffix(".json"): read_vocabulary(os.path.join(folder, n), fold) for n in sorted(os.listdir(folder)) if n.endswith(".json")}
+
+
 def locate(explicit: str | None, variable: str, folders: list[str], suffix: str) -> str | None:
     """The explicit path, else the variable's, else the first file with the suffix in the folders, by name."""
     if explicit or os.environ.get(variable):

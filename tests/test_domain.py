@@ -267,3 +267,37 @@ def test_vocabulary_scan_equals_containment(spark):
     df = spark.createDataFrame([("فتح مكة يوم",), ("مكة",), ("xx",), ("",), (None,)], "t string")
     got = df.select("t", v.scan("t").alias("scan"), v.find_all("t").alias("held")).collect()
     assert all(r.scan == r.held for r in got) and got[0].scan == ["a", "c", "b"] and got[2].scan == ["b"]
+
+
+def test_passes_share_a_budget_and_a_log(spark):
+    facts = spark.createDataFrame(
+        [(f"p{i}", "narration.praise", 0, f"v{i}", "other", "llm", None, 0.5, "", "biography", 1) for i in range(3)] + [("p0", "span", 1, "ثنا فلان عن فلان", "x", "regex", None, 0.3, "", "biography", 1)],
+        "person_id string, field string, idx int, value string, kind string, source string, evidence string, confidence double, body string, entry_kind string, qism int",
+    )
+
+    def provider(prompts):
+        return ['```json\n[{"idx": 1, "links": ["فلان", "فلان"]}]\n```' if "span" in p else '[{"field": "narration.praise", "idx": 0, "value": "k"}]' if "v2" not in p else "no JSON" for p in prompts]
+
+    records, log = P.run_passes(facts, [P.KINDS, P.ISNADS], provider)
+    assert sorted(r.person_id for r in records["kinds"].collect()) == ["p0", "p1"] and log.count() == 4
+    assert [(r.person_id, r.links) for r in records["isnads"].collect()] == [("p0", ["فلان", "فلان"])]
+
+    def never(prompts):
+        raise AssertionError("asked again")
+
+    again, longer = P.run_passes(facts, [P.KINDS, P.ISNADS], never, log)
+    assert longer.count() == 4 and again["isnads"].count() == 1
+    few, short = P.run_passes(facts, [P.KINDS, P.ISNADS], provider, cap=1500)
+    assert short.count() == 2 and few["isnads"].count() == 0
+    assert P.run_passes(facts, [P.KINDS], None)[1].count() == 0
+
+
+def test_extraction_by_chunks(spark):
+    texts = spark.createDataFrame([("a", ("x" * 5000 + "\n\n") * 2), ("b", "short"), ("c", "bad")], "person_id string, text_body string")
+
+    def provider(prompts):
+        return ["oops" if p == "bad" else '{"kunya": null, "is_woman": true, "battles": ["badr"]}' if p == "short" else '{"kunya": "k", "is_woman": false, "battles": ["uhud", "badr"]}' for p in prompts]
+
+    out = P.extracted(texts, provider, {"kunya": "string", "is_woman": "boolean", "battles": "array<string>"})
+    got = {r.person_id: (r.problem, r.kunya, r.is_woman, r.battles) for r in out.collect()}
+    assert got == {"a": (None, "k", False, ["uhud", "badr"]), "b": (None, None, True, ["badr"]), "c": ("Response was not a JSON object.", None, None, [])}

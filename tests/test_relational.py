@@ -96,3 +96,25 @@ def test_citation_report(spark):
     c = spark.createDataFrame([("p1", "a", "v"), ("p1", "a", "w"), ("p2", "a", "v"), ("p3", "b", None), ("p3", None, "v")], "p string, k string, v string")
     got = {r.k: (r.n_mentions, r.n_persons, r.verbs, r.first_ids) for r in A.authority_report(c, "k", "p", "v", 10, 1).collect()}
     assert got == {"a": (3, 2, ["v=2", "w=1"], ["p1"]), "b": (1, 1, None, ["p3"])}
+
+
+def test_neighbors_across_buckets(spark):
+    values = [1, 2, 9, 10, 11, 40, 41]
+    df = spark.createDataFrame([("a", v) for v in values] + [("b", 5), (None, 3), (None, 4), ("c", None)], "k string, t int")
+    want = {(r.k, r.t): (r.previous_t, r.next_t) for r in R.neighbors(df, ["k"], ["t"], "t").collect()}
+    got = {(r.k, r.t): (r.previous_t, r.next_t) for r in R.neighbors(df, ["k"], ["t"], "t", F.floor(F.col("t") / 10)).collect()}
+    assert got == want and got[("a", 9)] == (2, 10) and got[("a", 11)] == (10, 40)
+
+
+def test_ordinals_within_a_hot_key(spark):
+    rows = [("hot", f"{i:05d}") for i in range(3000)] + [("x", "a"), ("x", "b"), (None, "c"), (None, "d")]
+    df = spark.createDataFrame(rows, "k string, v string").repartition(5)
+    got = {(r.k, r.v): r.n for r in R.ordinals(df, ["k"], ["v"], "n").collect()}
+    assert all(got[("hot", f"{i:05d}")] == i for i in range(3000)) and (got[("x", "b")], got[(None, "c")], got[(None, "d")]) == (1, 0, 1)
+    assert R.ordinals(df.limit(0), ["k"], ["v"], "n").count() == 0
+
+
+def test_range_join_within_equal_columns(spark):
+    p = spark.createDataFrame([("a", 1), ("a", 30), ("b", 1)], "book string, x int")
+    r = spark.createDataFrame([("a", 0, 40, "r"), ("b", 2, 9, "s"), ("b", 9, 1, "swapped"), ("b", None, 9, "null")], "book string, lo int, hi int, n string")
+    assert rows(R.range_join(p, r, "x", "lo", "hi", 7, by=["book"]).select("book", "x", "n")) == [("a", 1, "r"), ("a", 30, "r")]

@@ -76,3 +76,67 @@ def test_catalog(spark, data, tmp_path):
     assert c.facts(one).count() > 0 and c.citations(one).count() >= 0 and c.table("names").count() > 0
     build(spark, data, str(tmp_path / "few"), 7)
     assert Catalog(spark, str(tmp_path / "few")).meta().first().n_persons == 7
+
+
+def test_books_are_found_by_the_names_of_their_tables(spark, tmp_path):
+    assert io.find_tables(["Main.json", "B12.json", "t12.json"]) == ("B12.json", "t12.json") and io.find_tables(["pages.parquet", "toc.parquet"]) == ("pages.parquet", "toc.parquet")
+    with pytest.raises(ValueError, match="no table"):
+        io.find_tables(["x"])
+    write(tmp_path / "b7.json", ['{"id":2,"page":1,"part":"1","text":"x"}', '{"id":1,"text":"y"}'])
+    write(tmp_path / "t7.json", ['{"id":1,"lvl":2,"title":" a   b "}', '{"id":1,"lvl":1,"title":"c"}'])
+    pages, toc = io.read_book(spark, str(tmp_path), "n", 7, 7)
+    assert pages.count() == 2 and [(r.title, r.ord) for r in toc.orderBy("ord").collect()] == [("c", 1), ("a b", 2)]
+    with pytest.warns(UserWarning, match="not the expected"):
+        io.read_book(spark, str(tmp_path), "n", 8, 7)
+
+
+def test_vocabulary_files(tmp_path):
+    (tmp_path / "v.json").write_text(json.dumps({"terms": [{"key": "k", "label_ar": "ل", "aliases": ["ا", "ل"]}, {"key": "m", "aliases": ["ا"]}]}), encoding="utf-8")
+    v = io.read_vocabularies(str(tmp_path))["v"]
+    assert dict(v.aliases) == {"k": "k", "ل": "k", "ا": "m", "m": "m"}
+
+
+def test_the_rest_of_the_sinks(spark, tmp_path):
+    io.append(spark.createDataFrame([(1,)], "v int"), str(tmp_path / "log"))
+    io.append(spark.createDataFrame([(2,)], "v int"), str(tmp_path / "log"))
+    assert spark.read.json(str(tmp_path / "log")).count() == 2
+    io.write_report(spark.createDataFrame([(1,)], "v int"), str(tmp_path / "report"))
+    assert spark.read.json(str(tmp_path / "report")).first().v == 1
+    spark.range(3).write.parquet(str(tmp_path / "src" / "a"))
+    assert io.seed(spark, str(tmp_path / "src"), str(tmp_path / "dst"), ["a", "b"]) == ["a"] and io.seed(spark, str(tmp_path / "src"), str(tmp_path / "dst"), ["a"]) == []
+    assert io.seed(spark, str(tmp_path / "src"), str(tmp_path / "dst"), ["a"], force=True) == ["a"]
+    (tmp_path / "z.bok").write_text("x")
+    assert io.locate(None, "NO_SUCH_VARIABLE", [str(tmp_path)], ".bok") == str(tmp_path / "z.bok") and io.locate("given", "X", [], "") == "given" and io.locate(None, "NO_SUCH_VARIABLE", [], "") is None
+    assert io.completed(spark.createDataFrame([("a", None), ("b", "e")], "k string, error string"), "k").count() == 1
+
+
+def test_windows_of_a_stream_and_of_a_batch(spark, tmp_path):
+    import datetime as dt
+
+    t = [dt.datetime(2026, 1, 1, 0, m) for m in (0, 5, 50)]
+    df = spark.createDataFrame([("a", t[0]), ("a", t[1]), ("a", t[2]), ("b", t[0])], "k string, ts timestamp")
+    df.write.parquet(str(tmp_path / "in"))
+    stream = I.tumbling(I.file_stream(spark, str(tmp_path / "in"), df.schema), "ts", "30 minutes", ["k"])
+    got = {}
+    I.run_batches(stream, lambda b, n: got.update({(r.k, r.window.start): r.n for r in b.collect()}), str(tmp_path / "state"), "complete")
+    assert got == {("a", t[0]): 2, ("a", t[2].replace(minute=30)): 1, ("b", t[0]): 1}
+    assert sorted((r.k, r.n) for r in I.sessions(df, "ts", "10 minutes", ["k"]).collect()) == [("a", 1), ("a", 2), ("b", 1)]
+
+
+def test_stages_are_released_and_buckets_join_without_a_shuffle(spark):
+    from silsila.session import bucketed, counted, materialize, release
+
+    a, b = (bucketed(spark.range(50).selectExpr("id % 7 as k", f"id as {n}"), "k") for n in ("x", "y"))
+    joined = a.join(b, "k")
+    assert joined.count() == sum(len([i for i in range(50) if i % 7 == k]) ** 2 for k in range(7))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "Exchange" not in a.join(b, "k")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    stage, n = counted(spark.range(9), "id > 5")
+    assert n == 3 and stage.count() == 9
+    path = stage._stage_path
+    release(stage, a, b, None, spark.range(1))
+    assert not io.exists(spark, path) and not spark.catalog.listTables() or all(not t.name.startswith("silsila_") for t in spark.catalog.listTables() if t.name in (a._stage_table, b._stage_table))
+    assert materialize(spark.range(3)).count() == 3
