@@ -163,18 +163,34 @@ def index_rows(found: DataFrame) -> DataFrame:
     )
 
 
-def features(found: DataFrame) -> DataFrame:
-    """Counts and yes-or-no features of each record."""
+def features(found: DataFrame, classified: DataFrame | None = None, coverage: DataFrame | None = None) -> DataFrame:
+    """Counts and yes-or-no features of each record.
+
+    ``classified(person_id, origin, flags)`` and ``coverage(person_id, label_coverage, n_unlabeled)`` add what is read from the
+    text; a person that they lack has 0 and false.
+    """
     kinds = F.transform(items("life.events"), lambda x: x["kind"])
 
     def any_kind(*names: str) -> Column:
         return F.exists(kinds, lambda k: F.coalesce(k.isin(*names), F.lit(False)))
 
     counts = {"n_events": "life.events", "n_battles": "life.battles", "n_family": "life.family", "n_offices": "life.offices"}
-    return found.select(
+    out = found.select(
         "person_id", *[F.size(items(p)).alias(n) for n, p in counts.items()], any_kind(*FOUGHT).alias("fought"), (any_kind("wound") | (F.size(items("life.wounds")) > 0)).alias("wounded"),
         any_kind("martyrdom").alias("shahid"), any_kind("captivity").alias("captive"), F.col("death_year").isNotNull().alias("has_death_year"),
     )
+    if classified is not None:
+        def flag(name: str) -> Column:
+            return F.coalesce(F.array_contains("flags", name), F.lit(False))
+
+        told = classified.select("person_id", "origin", "flags")
+        out = out.join(told, "person_id", "left").withColumns({
+            "muhajir": F.coalesce(F.col("origin") == "muhajir", F.lit(False)), "ansari": F.coalesce(F.col("origin") == "ansari", F.lit(False)),
+            "has_isnad": flag("has_isnad"), "n_isnads": flag("has_isnad").cast("int"), "name_disputed": flag("has_name_dispute"), "n_citations": F.lit(0),
+        }).drop("origin", "flags")
+    if coverage is not None:
+        out = out.join(coverage.select("person_id", "label_coverage", F.col("n_unlabeled").alias("n_unlabeled_sents")), "person_id", "left").fillna(0, ["label_coverage", "n_unlabeled_sents"])
+    return out
 
 
 def name_forms(persons: DataFrame, facts: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.folding import fold, folded
 from ..functions.text import CONNECTIVE
+from ..operators import biography as Y
 from ..operators import labels as L
 from ..operators import persons as P
 from ..operators.current import current_rows
@@ -288,3 +289,18 @@ def record_fill_rates(spark, sf_dir):
         "any_life_fact": F.coalesce(has("conversion"), F.lit(False)) | F.coalesce(has("companionship"), F.lit(False)) | F.coalesce(has("battles"), F.lit(False)) | F.coalesce(has("family"), F.lit(False)) | F.col("death_year_hijri").isNotNull(),
     }
     return A.fill_rates(rows, predicates)
+
+
+_FLAG = dict(Y.FLAGS)
+
+
+@query(f"""WITH {_PASSAGES}, p AS {_now('persons', 'person_id')}, t AS (SELECT b.person_id, coalesce(text_body, '') AS t, length(coalesce(text_body, '')) AS char_len, coalesce(h, 0) AS h, coalesce(u, 0) AS u FROM b LEFT JOIN
+  (SELECT person_id, sum(CASE WHEN label <> 'unlabeled' THEN z - a ELSE 0 END) AS h, count(*) FILTER (WHERE label = 'unlabeled') AS u FROM w GROUP BY 1) x ON b.person_id = x.person_id)
+SELECT p.person_id, coalesce(regexp_matches(t, '{_FLAG['has_isnad']}'), false) AS has_isnad, coalesce(regexp_matches(t, '{_FLAG['has_name_dispute']}'), false) AS name_disputed,
+  coalesce(CAST(round(CAST(least(1.0, h / greatest(char_len, 1)) AS DECIMAL(20,10)), 4) AS DOUBLE), 0.0) AS label_coverage, CAST(coalesce(u, 0) AS BIGINT) AS n_unlabeled_sents FROM p LEFT JOIN t ON p.person_id = t.person_id""")
+def text_features(spark, sf_dir):
+    """Features of every person that are read from the text: chains, disputed names, coverage by labels."""
+    raw, spans = _passages(spark, sf_dir)
+    flags = raw.select("person_id", F.lit("unknown").alias("origin"), Y.flags(F.coalesce("text_body", F.lit("")), F.lit(0)).alias("flags"))
+    out = P.features(_records(spark, sf_dir), flags, L.text_coverage(spans, raw, "person_id", "text_body"))
+    return out.select("person_id", "has_isnad", "name_disputed", "label_coverage", "n_unlabeled_sents")

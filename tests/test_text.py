@@ -108,3 +108,39 @@ def test_chunks_against_a_loop(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", chunks("t", 20, None).alias("c"), chunks("t", 20, 2).alias("two"))
     for r in df.collect():
         assert r.c == packed(texts[r.i], 20) and r.two == r.c[:2], texts[r.i]
+
+
+def test_small_functions(spark):
+    from silsila.functions import text as X
+
+    one = spark.createDataFrame([("a\u00a0 b\n c", "x" * 30, "١٢x", "a\r\nb\rc")], "t string, long string, d string, e string")
+    r = one.select(X.squeeze("t").alias("s"), X.snippet("long", 10).alias("n"), X.snippet("t", 99).alias("whole"), X.western_digits("d").alias("d"), X.line_ends("e").alias("e")).first()
+    assert (r.s, r.n, r.whole, r.d, r.e) == ("a b c", "xxxx\n…\nxxxxxx", "a\u00a0 b\n c", "12x", "a\nb\nc")
+    ids = spark.createDataFrame([("n", 1, 2, 3, 0), ("n", 1, 2, 3, 2)], "s string, b int, e int, p int, o int")
+    from pyspark.sql import functions as F
+
+    keys = [x.k for x in ids.select(X.person_key(*map(F.col, "sbepo")).alias("k")).collect()]
+    assert keys == ["n:1:2-3", "n:1:2-3.2"]
+    import re
+
+    assert all(re.fullmatch(X.PERSON_KEY, k) for k in keys) and not re.fullmatch(X.PERSON_KEY, "N:1:2-3")
+    hits = spark.createDataFrame([(5, "زيد"), (6, "زيد بن"), (7, "ابن زيد"), (8, "x"), (9, None)], "n int, name string")
+    assert [x.s for x in hits.select(X.score_hit(F.lit("زيد"), F.col("n"), F.col("name")).alias("s")).collect()] == [1, 2, 3, None, None]
+    sure = spark.createDataFrame([("regex", "verified"), ("structural", None), ("llm", "verified"), ("llm", "unverified"), ("llm", "absent")], "l string, s string")
+    assert [x.c for x in sure.select(X.confidence(F.col("l"), F.col("s")).alias("c")).collect()] == [0.3, 1.0, 0.9, 0.55, 0.7]
+
+
+def test_years_and_life_events(spark):
+    from pyspark.sql import functions as F
+
+    from silsila.operators import biography as Y
+
+    df = spark.createDataFrame([("مات سنة سبع وخمسين، وقيل مات سنة ٥٨. ومات سنة 57",), ("لا سنة",)], "t string")
+    got = df.select(Y.years(F.col("t"), "مات").alias("y")).collect()
+    assert [r.y for r in got] == [[57, 58], []]
+    e = df.select(Y.life_event(Y.years(F.col("t"), "مات"), F.lit(None).cast("int")).alias("e")).collect()
+    assert (e[0].e.year_hijri, e[0].e.year_candidates, e[0].e.year_uncertain) == (57, [57, 58], True) and (e[1].e.year_hijri, e[1].e.year_uncertain) == (None, False)
+    chosen = df.limit(1).select(Y.life_event(F.array(F.lit(57), F.lit(9000)), F.lit(60)).alias("e")).first().e
+    assert (chosen.year_hijri, chosen.year_candidates) == (60, [57, 60])
+    names = spark.createDataFrame([("زيد، وعن عمرو بن علي وعن جماعة, بكر",)], "t string").select(Y.name_list(F.col("t")).alias("n")).first().n
+    assert names == ["زيد", "عمرو بن علي", "بكر"]
