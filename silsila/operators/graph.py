@@ -9,7 +9,7 @@ from ..functions.text import flatten, western_digits
 from ..functions.vocab import Vocabulary
 from ..session import materialize
 from .lineage import overlap
-from .relational import filter_or_keep, first_members, unique_best
+from .relational import filter_or_keep, first_members, neighbors, unique_best
 
 # --- fixed values --------------------------------------------------------------------------------------
 CITES = "(ذكره|ذكرها|ذكر|قاله|قال|أخرجه|أخرج|رواه|روى|أورده|نقله|حكاه|وثقه|ضعفه)[ ]+([^.،؛]{2,45})"
@@ -149,10 +149,10 @@ def resolve_names(wanted: DataFrame, keys: DataFrame, index: DataFrame, most: in
     )
 
 
-def adjacent(index: DataFrame) -> DataFrame:
-    """``person_id, next_id, previous_id`` in the order of the book."""
-    w = Window.partitionBy("book").orderBy("doc_ord")
-    return index.select("person_id", F.lead("person_id").over(w).alias("next_id"), F.lag("person_id").over(w).alias("previous_id"))
+def adjacent(index: DataFrame, bucket: Column | None = None) -> DataFrame:
+    """``person_id, next_id, previous_id`` in the order of the book; ``bucket`` (coarse, monotone in ``doc_ord``) parts a large one."""
+    rows = neighbors(index.select("book", "doc_ord", "person_id"), ["book"], ["doc_ord"], "person_id", bucket)
+    return rows.select("person_id", F.col("next_person_id").alias("next_id"), F.col("previous_person_id").alias("previous_id"))
 
 
 def _edges(rows: DataFrame, kind: Column, literal: Column, source: Column, evidence: Column, confidence: Column, relation: Column | None = None) -> DataFrame:
@@ -165,7 +165,7 @@ def _edges(rows: DataFrame, kind: Column, literal: Column, source: Column, evide
     )
 
 
-def reference_edges(refs: DataFrame, index: DataFrame, keys: DataFrame, fathers: DataFrame | None = None) -> DataFrame:
+def reference_edges(refs: DataFrame, index: DataFrame, keys: DataFrame, fathers: DataFrame | None = None, bucket: Column | None = None) -> DataFrame:
     """Edges of the pointers in texts, confidence 0.8.
 
     A number resolves to the one entry that bears it, an adjacent pointer to the neighbour in the book, a relation to
@@ -182,7 +182,7 @@ def reference_edges(refs: DataFrame, index: DataFrame, keys: DataFrame, fathers:
     )
     near = F.when(F.col("offset") == 1, F.col("next_id")).when(F.col("offset") == -1, F.col("previous_id"))
     none = F.lit(None).cast("array<string>").alias("candidates")
-    beside = refs.where("kind = 'see_adjacent'").join(adjacent(index), "person_id", "left").select(
+    beside = refs.where("kind = 'see_adjacent'").join(adjacent(index, bucket), "person_id", "left").select(
         F.col("person_id").alias("from_id"), near.alias("to_id"), near.isNotNull().alias("resolved"), F.lit(False).alias("ambiguous"), none, "kind", "relation", "evidence"
     )
     related = _relation_targets(refs.where("kind = 'see_relation'"), index, keys, fathers)

@@ -173,12 +173,13 @@ def paged(ranges: DataFrame, pages: DataFrame, first: str, last: str) -> DataFra
     return range_join(of_page, ranges, "page_id", first, last, PAGE_BIN, by=["book"])
 
 
-def chapter_texts(found: DataFrame, pages: DataFrame, limit: int = TEXT_LIMIT) -> DataFrame:
-    """Text of prose chapters: pages of the range in order until the text before a page has passed the limit."""
+def chapter_texts(found: DataFrame, pages: DataFrame, limit: int | None = TEXT_LIMIT) -> DataFrame:
+    """Text of prose chapters: pages of the range in order until the text before a page has passed the limit, or all."""
     rows = found.where(F.col("kind").isin(*TEXT_KINDS)).select("book", "ord", F.col("id").alias("a"), "end_id")
     rows = paged(rows, pages.select("book", "id", "text"), "a", "end_id")
-    so_far = Window.partitionBy("book", "ord").orderBy("page_id").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("__before", F.coalesce(F.sum(F.length("text")).over(so_far), F.lit(0))).where(F.col("__before") <= limit)
+    if limit is not None:
+        so_far = Window.partitionBy("book", "ord").orderBy("page_id").rowsBetween(Window.unboundedPreceding, -1)
+        rows = rows.withColumn("__before", F.coalesce(F.sum(F.length("text")).over(so_far), F.lit(0))).where(F.col("__before") <= limit)
     parts = rows.groupBy("book", "ord").agg(F.sort_array(F.collect_list(F.struct("page_id", "text"))).alias("p"))
     return parts.select("book", "ord", F.array_join(F.transform("p", lambda x: x["text"]), "\n\n").alias("text"))
 

@@ -138,7 +138,7 @@ def reference_edges(spark, sf_dir):
     index = index_of(spark, sf_dir)
     keys = _keys(index)
     refs = G.text_references(_pointing(spark, sf_dir), "text", "person_id", None)
-    edges = G.reference_edges(refs, index, keys, G.genealogy(index, keys))
+    edges = G.reference_edges(refs, index, keys, G.genealogy(index, keys), F.floor(F.col("doc_ord.n") / 256))
     return edges.select("from_id", "to_id", "type", "relation", "resolved", "ambiguous", F.array_join("candidates", ",").alias("candidates"))
 
 
