@@ -14,7 +14,7 @@ from ..operators.flatten import PERSON_LISTS, flatten_lists, pivot_fields
 from .core_queries import _SPANS as SPANS_SQL
 from .core_queries import _now, query, table
 from .graph_queries import _key_sql
-from .lineage_sql import BLANKS_SQL, facts_sql, folded as folded_sql
+from .lineage_sql import BLANKS_SQL, facts_sql, flat_sql, folded as folded_sql
 
 _FIELDS = ["value", "key", "kind", "source"]
 _LISTS = ["life.battles", "life.events", "life.family", "life.offices", "life.residences", "life.wounds", "labels"]
@@ -304,3 +304,32 @@ def text_features(spark, sf_dir):
     flags = raw.select("person_id", F.lit("unknown").alias("origin"), Y.flags(F.coalesce("text_body", F.lit("")), F.lit(0)).alias("flags"))
     out = P.features(_records(spark, sf_dir), flags, L.text_coverage(spans, raw, "person_id", "text_body"))
     return out.select("person_id", "has_isnad", "name_disputed", "label_coverage", "n_unlabeled_sents")
+
+
+@query(f"""WITH p AS {_now('persons', 'person_id, qism, is_woman, section_type')}, r AS {_now('raw', 'person_id, text_body, footnotes')}, t AS (SELECT p.*, coalesce(text_body, '') AS t, coalesce(len(footnotes), 0) AS notes FROM p LEFT JOIN r ON p.person_id = r.person_id)
+SELECT person_id, array_to_string(list_filter([{', '.join(f"CASE WHEN regexp_matches(t, '{p}') THEN '{n}' END" for n, p in Y.FLAGS)}, CASE WHEN notes > 3 THEN 'footnote_heavy' END], lambda y: y IS NOT NULL), ',') AS flags,
+  CASE WHEN qism IN (1, 2) THEN 'sahabi' WHEN qism = 3 THEN 'mukhadram' ELSE 'unknown' END AS generation,
+  CASE WHEN section_type = 'women' THEN 'women_section' WHEN is_woman AND regexp_matches(left(t, 250), 'بنت |وهي |أمها ') THEN 'grammar' WHEN is_woman THEN 'name' ELSE 'explicit' END AS gender_source FROM t""")
+def entry_flags(spark, sf_dir):
+    """Flags of every text, the generation of its part, and how a woman is told."""
+    p = current_rows(table(spark, sf_dir, "persons"), "person_id", ["qism", "is_woman", "section_type"]).drop("ingested_at")
+    raw = current_rows(table(spark, sf_dir, "raw"), "person_id", ["text_body", "footnotes"]).drop("ingested_at")
+    rows = p.join(raw, "person_id", "left")
+    body = F.coalesce("text_body", F.lit(""))
+    return rows.select(
+        "person_id", F.array_join(Y.flags(body, F.coalesce(F.size("footnotes"), F.lit(0))), ",").alias("flags"), Y.generation(F.col("qism")).alias("generation"),
+        Y.gender_source(F.coalesce("is_woman", F.lit(False)), F.col("section_type"), body).alias("gender_source"),
+    )
+
+
+@query(f"""WITH {_BODIES}, f AS (SELECT person_id, {flat_sql('text_body')} AS t FROM b)
+SELECT person_id, nullif(regexp_extract(t, '({P.WOUND})', 1), '') AS wound, nullif(left(regexp_extract(t, '({P.AGES['at_death']})', 1), 120), '') AS at_death, nullif(left(regexp_extract(t, '({P.AGES['at_islam']})', 1), 120), '') AS at_islam FROM f""")
+def wounds_and_ages(spark, sf_dir):
+    """The wound and the ages that each entry tells."""
+    raw = current_rows(table(spark, sf_dir, "raw"), "person_id", ["text_body"])
+    rows = raw.select("person_id", P.wounds("text_body").alias("w"), P.ages("text_body").alias("a"))
+
+    def age(kind: str):
+        return F.try_element_at(F.filter("a", lambda x: x["kind"] == kind), F.lit(1))["value"].alias(kind)
+
+    return rows.select("person_id", F.try_element_at("w", F.lit(1)).alias("wound"), age("at_death"), age("at_islam"))
