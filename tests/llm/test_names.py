@@ -181,3 +181,15 @@ def test_ties_merge_many_pairs_in_a_round(spark):
 
     tied = spark.createDataFrame([(a, b, 100) for b in range(32) for a in range(b)], "a long, b long, score int")
     assert _mutual(tied, False)[1] > 3
+
+
+def test_crowded_blocks_give_the_same_groups(spark, data):
+    persons = spark.read.parquet(f"{data}/persons.parquet")
+
+    def found(block):
+        out = {}
+        for r in linked_entries(persons, block).collect():
+            out.setdefault(r.group_id, []).append(r.person_id)
+        return sorted(map(sorted, out.values()))
+
+    assert found(64) == found(2)
