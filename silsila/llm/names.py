@@ -6,7 +6,7 @@ compared again, until a round merges nothing. Strong matches come first. Weak on
 left out, a name and a father's name and nothing else) are taken afterwards, and only where each side has no other
 candidate that is as good.
 
-Defined cases: entries without any name are linked with none; a person has at most one entry in a book (the part
+Defined cases: entries without any name, or with a kunya alone, are linked with none; a person has at most one entry in a book (the part
 of the id before the first colon), so profiles that share a book are never merged; of equal spellings of which one
 book has several entries, these are namesakes that nothing tells apart and are linked with none, while those of
 other books are linked. A profile's entries are thus at most as many as there are books, and no group of equal
@@ -323,6 +323,8 @@ def match(a: Profile, b: Profile) -> int:
         return score
     if own == 0 and father >= 2 and kunya >= 2 and tribe >= 2:
         return score
+    if father == 0 and (own == 3 or own == 0 and kunya >= 2) and nisba >= 2:
+        return score  # one of them has an own name or a kunya and an affiliation and nothing else
     return 0
 
 
@@ -352,7 +354,8 @@ def keys_of(p: Profile, near: dict[str, list[str]] | None = None) -> list[Key]:
 
     A match rests on parts that are equal or one edit apart, and names one edit apart share a label: own name and
     father (or, where one line leaves the father out, the grandfather); one of them and the kunya; or, where the own
-    name of one is an initial or a pet form, father and tribe.
+    name of one is an initial or a pet form, father and tribe; or, where one has no father, own name or kunya and the
+    affiliation.
     """
     near = near or {}
     own, father, kunyas = _labels(p.own, near), _labels(p.father, near), _labels(p.kunyas, near)
@@ -365,6 +368,11 @@ def keys_of(p: Profile, near: dict[str, list[str]] | None = None) -> list[Key]:
     out |= {Key(k, 1, False) for k in kin}
     if any(len(n) == 1 or _is_pet(n) for n in p.own):
         out |= {Key(k, 0, False) for k in kin}
+    # who has no father is compared with who has one
+    part, nisbas = int(bool(p.father)), _labels(p.nisbas, near)
+    out |= {Key(f"on|{o}|{n}", part, False) for o in p.own if len(o) > 1 for n in nisbas}
+    if p.father or not p.own:
+        out |= {Key(f"kn|{k}|{n}", part, False) for k in kunyas for n in nisbas}
     return sorted(out)
 
 
@@ -379,6 +387,8 @@ def finer_keys(kind: str, p: Profile, near: dict[str, list[str]] | None = None)
     each leaves open what the other tells. Those that meet otherwise share a tribe or a forefather as well.
     """
     near = near or {}
+    if kind in ("on", "kn"):
+        return [Key("")]  # the one of them has no further part
     elders = {g for x in p.lines for g in x[2:]}
     out = [Key(f"g{g}") for g in _labels(elders, near)]
     out += [Key(f"i{x[0]}", int(len(x) > 1), False) for x in sorted({*elders, *p.nisbas, *p.kunyas})]
@@ -405,7 +415,7 @@ def _entries(df: DataFrame) -> DataFrame:
                 if k := spelling(kunya):
                     names.append(take_apart(k + " "))
                 names = [v for v in names if v.line or v.kunya or v.nisbas]
-                if any(v.line for v in names):
+                if any(v.line for v in names) or any(v.nisbas for v in names) and any(v.kunya for v in names):
                     ids.append(key)
                     packed.append(pack(names))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(packed, pa.string())], names=["person_id", "variants"])
@@ -464,7 +474,7 @@ def _with_near(profiles: DataFrame) -> DataFrame:
 
 #: ``role`` is the kind of key, and the part of a profile in a block that is not compared inside.
 _KEY_ROW = "id long, key long, role int"
-_KINDS = ("of", "ok", "fk", "ft")
+_KINDS = ("of", "ok", "fk", "ft", "on", "kn")
 _ALL = 2
 
 

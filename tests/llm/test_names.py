@@ -193,3 +193,13 @@ def test_crowded_blocks_give_the_same_groups(spark, data):
         return sorted(map(sorted, out.values()))
 
     assert found(64) == found(2)
+
+
+def test_own_name_or_kunya_and_affiliation_alone(spark):
+    rows = [
+        ("a:1:1-1", FULL, None, "ابو توذيش"), ("b:1:1-1", None, "زهوح الخطادعي", None), ("c:1:1-1", None, "ابو توذيش الخطادعي", "ابو توذيش"), ("d:1:1-1", None, "زهوح الطتاقخي", None), ("d:1:2-1", None, None, "ابو توذيش"),
+    ]
+    assert groups(spark, rows) == [["a:1:1-1", "b:1:1-1", "c:1:1-1"], ["d:1:1-1"]]
+    # two who fit as well
+    rows = [("a:1:1-1", FULL, None, None), ("a:1:2-1", "زهوح بن طارق بن سالم بن رافع الخطادعي", None, None), ("b:1:1-1", None, "زهوح الخطادعي", None)]
+    assert groups(spark, rows) == [["a:1:1-1"], ["a:1:2-1"], ["b:1:1-1"]]
